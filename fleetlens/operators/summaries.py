@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -350,3 +350,24 @@ def ingest_completeness(
         (arrived / F.lit(expected)).alias("success_rate"),
         (arrived >= F.floor(F.lit(expected) * share)).alias("passed"),
     )
+
+
+def window_transitions(
+    history: DataFrame, events: DataFrame, limit: int = 20, tie: list[str] | None = None
+) -> DataFrame:
+    """Real scale transitions while a load test ran.
+
+    The window is the range of the history's total rows. Its two bounds are one
+    row, so they are read and used as literals that prune the event table.
+    """
+    totals = history.filter((F.col("Name") == "Aggregated") & F.col("Timestamp").isNotNull())
+    bounds = totals.agg(F.min("Timestamp").alias("lo"), F.max("Timestamp").alias("hi")).first()
+    moved = events.filter((F.col("action") != "no_change") & (F.col("prev_replicas") != F.col("new_replicas")))
+    if bounds["lo"] is not None:
+        at = F.col("triggered_at")
+        low = datetime.fromtimestamp(bounds["lo"], timezone.utc)
+        high = datetime.fromtimestamp(bounds["hi"], timezone.utc)
+        moved = moved.filter(
+            (at >= instant(events, "triggered_at", low)) & (at <= instant(events, "triggered_at", high))
+        )
+    return moved.orderBy("triggered_at", *(tie or [])).limit(limit)

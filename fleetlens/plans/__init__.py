@@ -1 +1,13 @@
 """Composed plans: the registered queries and their SQL counterparts."""
+
+
+def load_catalog():
+    """Import every query module and return the filled catalog."""
+    from fleetlens.plans import (  # noqa: F401
+        catalog,
+        flagship,
+        read_queries,
+        summary_queries,
+    )
+
+    return catalog
