@@ -16,9 +16,34 @@ def _num(value: str | Column) -> Column:
     return F.coalesce(F.nanvl(col.cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
+def exact_half(value: str | Column, digits: int, to_even: bool = True) -> Column:
+    """Move a value that looks like a tie at ``digits`` to its true side.
+
+    Spark rounds the shortest decimal text of a double half-up. The double
+    itself lies a hair above or below that tie (or on it, then the even or the
+    larger digit wins); the exact product error tells which.
+    """
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    scale = float(10**digits)
+    twice = v * (2 * scale)
+    split = v * 134217729.0
+    high = split - (split - v)
+    error = (high * (2 * scale) - twice) + (v - high) * (2 * scale)
+    down, up = (twice - 1) / 2, (twice + 1) / 2
+    away = F.when(v < 0, down).otherwise(up)
+    even = F.when(down % 2 == 0, down).otherwise(up) if to_even else away
+    settled = F.when(error < 0, down).when(error > 0, up).otherwise(even) / scale
+    return F.when((twice == F.rint(twice)) & (F.abs(twice % 2) == 1), settled).otherwise(v)
+
+
+def fixed(value: str | Column, digits: int, plus: bool = False) -> Column:
+    """Text with a fixed number of decimals, rounded on the exact value."""
+    return F.format_string(f"%{'+' if plus else ''}.{digits}f", exact_half(value, digits))
+
+
 def fmt_number(value: str | Column, digits: int = 0) -> Column:
     """Grouped thousands with at most ``digits`` decimals; missing shows as 0."""
-    text = F.format_number(_num(value), digits)
+    text = F.format_number(exact_half(_num(value), digits, to_even=False), digits)
     if digits == 0:
         return F.regexp_replace(text, "^-0$", "0")
     trimmed = F.regexp_replace(text, r"(\.\d*?)0+$", "$1")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +27,8 @@ def exact_percentiles(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
     slack = 2.0 / accuracy
+    # Below this size the slack is less than a few ranks: bracket the whole group.
+    whole = F.col("_n") < 2 * accuracy
     wanted = [
         F.struct(
             F.lit(name).alias("name"),
@@ -52,10 +52,10 @@ def exact_percentiles(
             "_n",
             F.col("_w.name").alias("_name"),
             F.col("_w.p").alias("_p"),
-            F.when(F.col("_w.p") - slack <= 0, F.col("_min"))
+            F.when(whole | (F.col("_w.p") - slack <= 0), F.col("_min"))
             .otherwise(F.col("_edges")[F.col("_i") * 2])
             .alias("_lo"),
-            F.when(F.col("_w.p") + slack >= 1, F.col("_max"))
+            F.when(whole | (F.col("_w.p") + slack >= 1), F.col("_max"))
             .otherwise(F.col("_edges")[F.col("_i") * 2 + 1])
             .alias("_hi"),
         )
@@ -127,6 +127,3 @@ def approximate_percentiles(
     out = df.groupBy(*keys).agg(array.alias("_q"))
     return out.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

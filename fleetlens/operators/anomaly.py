@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import instant, resolve_as_of, since
+from fleetlens.functions.present import fixed
 from fleetlens.functions.quantiles import exact_percentiles
 from fleetlens.operators.reads import latest_per_node, lookback
 from fleetlens.params import RULE_TEXT, Thresholds
@@ -69,7 +70,7 @@ def flag_rules(metrics: DataFrame, thresholds: Thresholds = Thresholds()) -> Dat
         limit.alias("threshold"),
         F.round(rule_score(value, limit), 3).alias("anomaly_score"),
         F.concat(
-            F.col("c.text"), F.lit(": "), F.format_string("%.1f", value), F.lit(" exceeds threshold "), F.col("c.shown")
+            F.col("c.text"), F.lit(": "), fixed(value, 1), F.lit(" exceeds threshold "), F.col("c.shown")
         ).alias("description"),
     )
 
@@ -193,7 +194,7 @@ def detect_outliers(
         F.lit(None).cast("double").alias("threshold"),
         F.round(outlier_score(decision), 3).alias("anomaly_score"),
         F.format_string(
-            "Isolation Forest outlier on %s: cpu=%.1f%% mem=%.1f%% lat=%.1fms rps=%.1f",
-            "node_id", "cpu_usage", "memory_usage", "latency_ms", "requests_per_sec",
+            "Isolation Forest outlier on %s: cpu=%s%% mem=%s%% lat=%sms rps=%s",
+            "node_id", *[fixed(c, 1) for c in FEATURES],
         ).alias("description"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import epoch, instant
+from fleetlens.functions.present import fixed
 from fleetlens.functions.skew import newest_per_key
 from fleetlens.operators.reads import lookback
 from fleetlens.operators.summaries import resample_mean
@@ -242,7 +243,7 @@ def interval_confidence(lower: Column, upper: Column, recent_std: Column) -> Col
 def warning_text(predicted: Column, current: Column) -> Column:
     """Fixed wording by the size of the change."""
     change = F.try_divide(predicted - current, current) * 100
-    shown = F.format_string("%.0f", F.abs(change))
+    shown = fixed(F.abs(change), 0)
     return (
         F.when(current == 0, "")
         .when(change > 100, F.concat(F.lit("⚠️ SPIKE ALERT: "), shown, F.lit("% increase predicted")))

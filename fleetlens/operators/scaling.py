@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.clock import epoch
 from fleetlens.functions.control import LoopState, ScalerState, control_step, decision_step
 from fleetlens.functions.ordered import ordered_scan
+from fleetlens.functions.present import fixed
 from fleetlens.functions.skew import side_by_side
 from fleetlens.operators.reads import latest_prediction
 from fleetlens.operators.summaries import active_workers, average_cpu
@@ -82,23 +83,27 @@ def action_name(previous: Column, new: Column) -> Column:
 def decision_reason(policy: ScalerPolicy = ScalerPolicy()) -> Column:
     """Text of a decision from its component columns (fixed wording)."""
     limit = F.lit(policy.headroom_limit)
-    threshold = F.lit(policy.spike_threshold * 100)
     held = F.format_string(
-        "Thrashing prevention: %.0fs since last decision (min: %.0fs)", "held_back_s", F.lit(policy.min_interval_s)
+        "Thrashing prevention: %ss since last decision (min: %ss)",
+        fixed("held_back_s", 0),
+        fixed(F.lit(policy.min_interval_s), 0),
     )
     small = F.format_string(
-        "Scaling action %.2f below minimum magnitude %.2f", "raw_action", F.lit(policy.min_magnitude)
+        "Scaling action %s below minimum magnitude %s", fixed("raw_action", 2), fixed(F.lit(policy.min_magnitude), 2)
     )
     spike = F.format_string(
-        "LSTM SPIKE ALERT: Spike probability %.1f%% exceeds threshold %.1f%%",
-        F.col("spike_probability") * 100,
-        threshold,
+        "LSTM SPIKE ALERT: Spike probability %s%% exceeds threshold %s%%",
+        fixed(F.col("spike_probability") * 100, 1),
+        fixed(F.lit(policy.spike_threshold * 100), 1),
     )
     ahead = F.format_string(
-        "Prophet detected predicted peak %.1f%% exceeds headroom threshold %.1f%%", "upper_util", limit
+        "Prophet detected predicted peak %s%% exceeds headroom threshold %s%%", fixed("upper_util", 1), fixed(limit, 1)
     )
     parts = F.format_string(
-        "PID: %+.2f, Prophet: %+.2f, LSTM: %+.2f", "pid_component", "forecast_component", "spike_component"
+        "PID: %s, Prophet: %s, LSTM: %s",
+        fixed("pid_component", 2, plus=True),
+        fixed("forecast_component", 2, plus=True),
+        fixed("spike_component", 2, plus=True),
     )
     return (
         F.when(F.col("held_back_s").isNotNull(), held)
@@ -112,8 +117,12 @@ def decision_reason(policy: ScalerPolicy = ScalerPolicy()) -> Column:
 def event_reason(policy: ScalerPolicy = ScalerPolicy()) -> Column:
     """The reason stored with a scaling event: decision text and its inputs."""
     inputs = F.format_string(
-        "; cpu=%.1f; predicted_rps=%.1f; upper_util=%.1f; spike_probability=%.2f; model=%s",
-        "utilization", "predicted_rps", "upper_util", "spike_probability", "model_name",
+        "; cpu=%s; predicted_rps=%s; upper_util=%s; spike_probability=%s; model=%s",
+        fixed("utilization", 1),
+        fixed("predicted_rps", 1),
+        fixed("upper_util", 1),
+        fixed("spike_probability", 2),
+        "model_name",
     )
     return F.concat(decision_reason(policy), inputs)
 

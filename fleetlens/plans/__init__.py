@@ -6,7 +6,10 @@ def load_catalog():
     from fleetlens.plans import (  # noqa: F401
         catalog,
         flagship,
+        detection_queries,
+        forecast_queries,
         read_queries,
+        scaling_queries,
         summary_queries,
     )
 

@@ -204,9 +204,8 @@ def _(spark, sf):
 
 @query(
     "presented_metrics",
-    f"""WITH {t.METRICS} SELECT id, format('{{:,}}', CAST(floor(latency_ms * 10 + 0.5) AS BIGINT) // 10)
-         || CASE WHEN CAST(floor(latency_ms * 10 + 0.5) AS BIGINT) % 10 = 0 THEN ''
-                 ELSE '.' || CAST(CAST(floor(latency_ms * 10 + 0.5) AS BIGINT) % 10 AS VARCHAR) END
+    f"""WITH {t.METRICS} SELECT id, regexp_replace(regexp_replace(format('{{:,}}', CAST(trunc(CAST(printf('%.1f', latency_ms) AS DOUBLE)) AS BIGINT))
+         || '.' || right(printf('%.1f', latency_ms), 1), '\\.0$', ''), '^-0$', '0')
          || ' ms' AS latency,
        CAST(CAST(memory_usage AS BIGINT) AS VARCHAR) || '%' AS memory,
        strftime("timestamp", '%H:%M:%S') AS time,
@@ -222,13 +221,10 @@ def _(spark, sf):
             WHEN (epoch_us({t.AS_OF}) - epoch_us("timestamp")) // 60000000 = 1 THEN '1 minute ago'
             WHEN (epoch_us({t.AS_OF}) - epoch_us("timestamp")) // 1000000 = 1 THEN '1 second ago'
             ELSE CAST((epoch_us({t.AS_OF}) - epoch_us("timestamp")) // 1000000 AS VARCHAR) || ' seconds ago' END AS age
-FROM metrics WHERE latency_ms * 10 - floor(latency_ms * 10) NOT BETWEEN 0.49 AND 0.51""",
+FROM metrics""",
 )
 def _(spark, sf):
     m = telemetry.metrics(spark, sf)
-    tenth = F.col("latency_ms") * 10
-    # Ties of the last shown digit are left out: the two engines break them differently.
-    m = m.filter(~(tenth - F.floor(tenth)).between(0.49, 0.51))
     return m.select(
         "id",
         present.fmt_ms("latency_ms").alias("latency"),

@@ -31,7 +31,11 @@ def build_session(
         .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = (
+            builder.master(master)
+            .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
+        )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
