@@ -1,4 +1,8 @@
-"""Isolation trees over a small numpy sample (used inside tasks)."""
+"""Isolation trees over a small numpy sample (used inside tasks).
+
+Trees are complete binary heaps: the children of cell ``i`` are ``2i + 1`` and
+``2i + 2``, so all trees grow and are searched level by level at once.
+"""
 
 from __future__ import annotations
 
@@ -10,72 +14,67 @@ EULER = 0.5772156649015329
 def mean_path(n: np.ndarray | float) -> np.ndarray:
     """Expected path length of an unsuccessful search among ``n`` points."""
     n = np.asarray(n, dtype="float64")
-    m = np.maximum(n - 1.0, 1.0)
-    full = 2.0 * (np.log(m) + EULER) - 2.0 * (n - 1.0) / np.maximum(n, 1.0)
+    full = 2.0 * (np.log(np.maximum(n - 1.0, 1.0)) + EULER) - 2.0 * (n - 1.0) / np.maximum(n, 1.0)
     return np.where(n > 2, full, np.where(n == 2, 1.0, 0.0))
 
 
-def grow_forest(data: np.ndarray, n_rows: int, trees: int, tree_rows: int, seed: int) -> dict:
-    """Random trees as flat arrays: a negative ``feature`` marks a leaf."""
+def grow_forest(data: np.ndarray, trees: int, tree_rows: int, seed: int) -> dict:
+    """Flat heaps of ``trees`` trees: feature (-1 marks a leaf), cut, path length."""
     rng = np.random.default_rng(seed)
-    size = min(tree_rows, len(data), n_rows)
-    limit = int(np.ceil(np.log2(max(size, 2))))
-    feature, cut, low, high, depth, roots = [], [], [], [], [], []
-
-    def leaf(level: int, count: int) -> None:
-        feature[-1], depth[-1] = -1, level + float(mean_path(count))
-
-    for _ in range(trees):
-        roots.append(len(feature))
-        pending = [(rng.choice(len(data), size, replace=False), 0, None)]
-        while pending:
-            rows, level, link = pending.pop()
-            here = len(feature)
-            for column in (feature, cut, low, high, depth):
-                column.append(0)
-            if link is not None:
-                link[0][link[1]] = here
-            points = data[rows]
-            spread = np.flatnonzero(points.max(axis=0) > points.min(axis=0)) if len(rows) > 1 else []
-            if level >= limit or len(rows) <= 1 or len(spread) == 0:
-                leaf(level, len(rows))
-                continue
-            f = int(rng.choice(spread))
-            column = points[:, f].astype("float64")
-            split = float(rng.uniform(column.min(), column.max()))
-            feature[here], cut[here] = f, split
-            left = column <= split
-            pending.append((rows[left], level + 1, (low, here)))
-            pending.append((rows[~left], level + 1, (high, here)))
+    size = min(tree_rows, len(data))
+    levels = int(np.ceil(np.log2(max(size, 2))))
+    cells = 2 ** (levels + 1) - 1
+    points = np.concatenate([data[rng.choice(len(data), size, replace=False)] for _ in range(trees)])
+    feature = np.full(trees * cells, -1, dtype="int32")
+    cut, depth = np.zeros(trees * cells), np.zeros(trees * cells)
+    at = np.repeat(np.arange(trees) * cells, size)
+    for level in range(levels + 1):
+        order = np.argsort(at, kind="stable")
+        points, at = points[order], at[order]
+        here, first, count = np.unique(at, return_index=True, return_counts=True)
+        low = np.minimum.reduceat(points, first, axis=0)
+        high = np.maximum.reduceat(points, first, axis=0)
+        draw = np.where(high > low, rng.random(low.shape), -1.0)
+        chosen = draw.argmax(axis=1)
+        group = np.arange(len(here))
+        splits = (count > 1) & (level < levels) & (draw[group, chosen] >= 0)
+        depth[here] = np.where(splits, 0.0, level + mean_path(count))
+        lo, hi = low[group, chosen].astype("float64"), high[group, chosen].astype("float64")
+        value = lo + rng.random(len(here)) * (hi - lo)
+        feature[here] = np.where(splits, chosen, -1)
+        cut[here] = value
+        member = np.repeat(group, count)
+        alive = splits[member]
+        points, at, member = points[alive], at[alive], member[alive]
+        if len(at) == 0:
+            break
+        right = points[np.arange(len(at)), chosen[member]] > value[member]
+        tree = at // cells
+        at = tree * cells + 2 * (at - tree * cells) + 1 + right
     return {
-        "feature": feature,
-        "cut": [float(c) for c in cut],
-        "low": low,
-        "high": high,
-        "depth": [float(d) for d in depth],
-        "roots": roots,
+        "feature": feature.tolist(),
+        "cut": cut.tolist(),
+        "depth": depth.tolist(),
+        "cells": cells,
         "scale": float(mean_path(size)),
     }
 
 
 def score_rows(data: np.ndarray, model) -> np.ndarray:
     """Negative anomaly score of each row: near -1 is an outlier, near 0 is not."""
-    feature = np.asarray(model["feature"])
-    cut = np.asarray(model["cut"])
-    low, high = np.asarray(model["low"]), np.asarray(model["high"])
-    depth = np.asarray(model["depth"])
-    roots = np.asarray(model["roots"])
-    total = np.zeros(len(data))
+    cells = int(model["cells"])
+    feature = np.asarray(model["feature"]).reshape(-1, cells)
+    cut = np.asarray(model["cut"]).reshape(-1, cells)
+    depth = np.asarray(model["depth"]).reshape(-1, cells)
+    wide = data.astype("float64")
     rows = np.arange(len(data))
-    for root in roots:
-        at = np.full(len(data), root)
-        while True:
-            f = feature[at]
-            inner = f >= 0
-            if not inner.any():
-                break
-            value = data[rows, np.maximum(f, 0)].astype("float64")
-            at = np.where(inner, np.where(value <= cut[at], low[at], high[at]), at)
-        total += depth[at]
-    scale = model["scale"] or 1.0
-    return -np.power(2.0, -total / len(roots) / scale)
+    total = np.zeros(len(data))
+    for f, c, d in zip(feature, cut, depth):
+        at = np.zeros(len(data), dtype="int64")
+        inner = f[at] >= 0
+        while inner.any():
+            go = wide[rows, np.maximum(f[at], 0)] > c[at]
+            at = np.where(inner, 2 * at + 1 + go, at)
+            inner = f[at] >= 0
+        total += d[at]
+    return -np.power(2.0, -total / len(feature) / (model["scale"] or 1.0))

@@ -58,20 +58,28 @@ def token_bucket(
     log: DataFrame,
     capacity: float = CAPACITY,
     rates: dict[str, float] | None = None,
-    idle_ttl_s: float = IDLE_TTL_S,
+    idle_ttl_s: float | None = None,
 ) -> DataFrame:
     """Token-bucket decision of every request.
 
-    A key's refill rate is that of its first request. A pause that refills the
-    bucket, or outlives an idle bucket, parts the key into independent stretches.
+    A key's refill rate is that of its first request; with ``idle_ttl_s`` a
+    bucket idle for longer is forgotten, and the next request sets the rate
+    anew. A pause that refills the bucket parts a key into independent
+    stretches, which are decided in parallel.
     """
     rate = role_rate("role", rates)
     order = F.struct("ts", "id")
-    first = log.groupBy("key").agg(F.min_by(rate, order).alias("refill"))
-    rated = log.join(first, "key")
+    life = ["key"]
+    if idle_ttl_s:
+        log = _segments(log, F.lit(float(idle_ttl_s)), idle_ttl_s).withColumnRenamed("_segment", "_life")
+        life.append("_life")
+    first = log.groupBy(*life).agg(F.min_by(rate, order).alias("refill"))
+    rated = log.join(first, life)
     quiet = F.lit(float(capacity)) / F.col("refill")
+    if idle_ttl_s:
+        quiet = F.least(quiet, F.lit(float(idle_ttl_s)))
     slowest = min([*(rates or ROLE_RATES).values(), UNKNOWN_ROLE_RATE])
-    parted = _segments(rated.withColumn("_q", quiet), F.col("_q"), min(capacity / slowest, idle_ttl_s))
+    parted = _segments(rated.withColumn("_q", quiet), F.col("_q"), capacity / slowest)
     timed = parted.withColumn("_at", epoch("ts"))
     scanned = ordered_scan(
         timed,
@@ -82,7 +90,7 @@ def token_bucket(
         lambda state, r: bucket_step(state, r[0], r[1], r[2], capacity),
         OUTPUTS,
     )
-    return scanned.drop("_at", "_segment", "_q").withColumnRenamed("refill", "limit")
+    return scanned.drop("_at", "_segment", "_q", "_life").withColumnRenamed("refill", "limit")
 
 
 def sliding_window(
@@ -134,3 +142,30 @@ def denied_by_role(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("role").agg(
         F.count("*").alias("requests"), F.count_if(~F.col("allowed")).alias("denied")
     )
+
+
+def idle_keys(log: DataFrame, as_of: float, ttl_s: float = IDLE_TTL_S) -> DataFrame:
+    """Keys whose last request is older than the limit: their state is expired."""
+    last = log.groupBy("key").agg(F.max(epoch("ts")).alias("last_seen"))
+    return last.filter(as_of - F.col("last_seen") > ttl_s)
+
+
+def reset_keys(log: DataFrame, resets: DataFrame) -> DataFrame:
+    """Number the lives of each key that its reset events ``(key, ts)`` start.
+
+    A request after a reset belongs to a new life, so grouping a limiter by
+    (key, life) forgets what happened before. Resets are rare control events.
+    """
+    marked = log.withColumn("_reset", F.lit(0)).unionByName(
+        resets.select("key", "ts", F.lit(1).alias("_reset")), allowMissingColumns=True
+    )
+    day = F.floor(epoch("ts") / 86400)
+    fine = marked.withColumn("_day", day)
+    per_day = fine.groupBy("key", "_day").agg(F.sum("_reset").alias("_n"))
+    before = Window.partitionBy("key").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_day.select("key", "_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = (
+        Window.partitionBy("key", "_day").orderBy("ts", F.col("_reset").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    numbered = fine.join(offsets, ["key", "_day"]).withColumn("life", F.col("_before") + F.sum("_reset").over(inside))
+    return numbered.filter(F.col("_reset") == 0).drop("_reset", "_day", "_before")

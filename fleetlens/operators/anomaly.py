@@ -115,13 +115,12 @@ def _fit_node(key: tuple, pool: pd.DataFrame) -> pd.DataFrame:
     from fleetlens.functions.forest import grow_forest
 
     data = pool[FEATURES].to_numpy("float32")
-    model = grow_forest(data, int(pool["n_rows"].iloc[0]), TREES, TREE_ROWS, SEED)
+    model = grow_forest(data, TREES, TREE_ROWS, SEED)
     return pd.DataFrame({"node_id": [key[0]], **{name: [value] for name, value in model.items()}})
 
 
 FOREST_SCHEMA = (
-    "node_id string, feature array<int>, cut array<double>, low array<int>, high array<int>, "
-    "depth array<double>, roots array<int>, scale double"
+    "node_id string, feature array<int>, cut array<double>, depth array<double>, cells int, scale double"
 )
 
 
@@ -166,7 +165,13 @@ def detect_outliers(
     pool_rows = TREES * TREE_ROWS
     share = F.least(F.lit(1.0), F.lit(float(pool_rows)) / F.col("n_rows"))
     pool = gated.filter(F.col("_draw") <= share * F.lit(float(2**63 - 1)))
-    forests = pool.select("node_id", "n_rows", *FEATURES).groupBy("node_id").applyInPandas(_fit_node, FOREST_SCHEMA)
+    tasks = int(metrics.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    forests = (
+        pool.select("node_id", *FEATURES)
+        .repartition(tasks, "node_id")  # a given count is not coalesced: the work is CPU, not bytes
+        .groupBy("node_id")
+        .applyInPandas(_fit_node, FOREST_SCHEMA)
+    )
 
     copies = forests.join(counts, "node_id").select(
         *forests.columns,

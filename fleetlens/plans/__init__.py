@@ -4,13 +4,17 @@
 def load_catalog():
     """Import every query module and return the filled catalog."""
     from fleetlens.plans import (  # noqa: F401
+        admission_queries,
         catalog,
+        counter_queries,
         flagship,
         detection_queries,
         forecast_queries,
         read_queries,
+        registry_queries,
         scaling_queries,
         summary_queries,
+        trace_queries,
     )
 
     return catalog

@@ -161,7 +161,7 @@ def _(spark, sf):
   SELECT node_id, min("timestamp") + INTERVAL 710 HOUR + id_shift * INTERVAL 1 HOUR AS trained_at FROM
     (SELECT node_id, "timestamp", CAST(right(node_id, 1) AS INT) * 2 AS id_shift FROM metrics WHERE node_id <> 'node-6')
   GROUP BY node_id, id_shift)
-SELECT c.node_id, n, trained_at, (trained_at IS NULL OR epoch_us({t.AS_OF}) - epoch_us(trained_at) >= 360 * 60000000)
+SELECT c.node_id, n, trained_at, (trained_at IS NULL OR epoch_us({t.AS_OF}) - epoch_us(trained_at) >= 21600000000)
   AND n >= 2016 AS retrain FROM counts c LEFT JOIN reg r ON r.node_id = c.node_id""",
 )
 def _(spark, sf):

@@ -42,7 +42,7 @@ def _(spark, sf):
     least(100.0, upper_bound / (2 * 300.0) * 100) AS upper_util, spike_probability,
     least(3.0, greatest(-3.0, 70.0 - utilization)) AS pid FROM inputs), comps AS (
   SELECT *, CASE WHEN upper_util - 80.5 > 0 THEN -least(2.4000000000000004, (upper_util - 80.5) * 0.1 / 10.0) ELSE 0.0 END AS forecast_component,
-    CASE WHEN spike_probability > 0.6 THEN -2.4000000000000004 ELSE 0.0 END AS spike_component FROM parts), raws AS (
+    CASE WHEN spike_probability > 0.6 THEN -2.4000000000000004::DOUBLE ELSE 0.0::DOUBLE END AS spike_component FROM parts), raws AS (
   SELECT *, greatest(-3.0, least(3.0, (pid + forecast_component + spike_component)
       * CASE WHEN spike_probability > 0.6 THEN 1.5 ELSE 1.0 END)) AS raw_action FROM comps), acts AS (
   SELECT *, CASE WHEN abs(raw_action) < 0.5 THEN 0.0 ELSE raw_action END AS action FROM raws)

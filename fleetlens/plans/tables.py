@@ -87,8 +87,8 @@ def control_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly steps per node: utilization, forecast and share of slow requests."""
     m = telemetry.metrics(spark, sf_dir)
     facts = m.groupBy("node_id", F.window("timestamp", "1 hour").alias("_w")).agg(
-        F.round(F.avg("cpu_usage"), 6).alias("utilization"),
-        F.round(F.avg((F.col("latency_ms") > 800).cast("double")), 6).alias("spike_probability"),
+        F.round(F.avg("cpu_usage"), 4).alias("utilization"),
+        F.round(F.avg((F.col("latency_ms") > 800).cast("double")), 4).alias("spike_probability"),
     )
     facts = facts.select("node_id", F.col("_w.start").alias("triggered_at"), "utilization", "spike_probability")
     ahead = predictions(spark, sf_dir, ["node_id"]).select(
@@ -203,8 +203,8 @@ CONTROL_INPUTS = METRICS + ", " + predictions_sql(True) + """, inputs AS (
   SELECT f.node_id, f.triggered_at, f.utilization, f.spike_probability, p.predicted_rps, p.upper_bound,
          p.model_name, row_number() OVER (PARTITION BY f.node_id ORDER BY f.triggered_at) AS rn
   FROM (SELECT node_id, time_bucket(INTERVAL '1 hour', "timestamp") AS triggered_at,
-               round(avg(cpu_usage), 6) AS utilization,
-               round(avg(CASE WHEN latency_ms > 800 THEN 1.0 ELSE 0.0 END), 6) AS spike_probability
+               round(avg(cpu_usage), 4) AS utilization,
+               round(avg(CASE WHEN latency_ms > 800 THEN 1.0 ELSE 0.0 END), 4) AS spike_probability
         FROM metrics GROUP BY ALL) f
   JOIN predictions p ON p.node_id = f.node_id AND p.predicted_at = f.triggered_at)"""
 
@@ -243,7 +243,7 @@ def decisions_sql(min_interval_s: float = 15.0, dt: str = "15.0") -> str:
                            ELSE ((70.0 - utilization) - prev_error) / {dt} END)) END AS pid_component,
          CASE WHEN held OR upper_util <= 80.5 THEN 0.0
               ELSE -least(2.4000000000000004, 0.1 * (upper_util - 80.5) / 10.0) END AS forecast_component,
-         CASE WHEN NOT held AND spike_probability > 0.6 THEN -2.4000000000000004 ELSE 0.0 END AS spike_component,
+         CASE WHEN NOT held AND spike_probability > 0.6 THEN -2.4000000000000004::DOUBLE ELSE 0.0::DOUBLE END AS spike_component,
          NOT held AND spike_probability > 0.6 AS is_emergency,
          CASE WHEN held THEN waited END AS held_back_s"""
     raw = f"""

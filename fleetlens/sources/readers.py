@@ -109,7 +109,7 @@ def explode_bulk(
     return normalise_requests(rows, received_at), sized.filter(~fits).drop("_metrics")
 
 
-def encode_entries(metrics: DataFrame) -> DataFrame:
+def encode_entries(metrics: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Metric rows to stream entries: every field as text, time as epoch seconds."""
     us = epoch_us("timestamp")
     fraction = F.regexp_replace(F.lpad((us % 1_000_000).cast("string"), 6, "0"), "0+$", "")
@@ -119,7 +119,7 @@ def encode_entries(metrics: DataFrame) -> DataFrame:
     pairs = [F.lit("node_id"), F.col("node_id"), F.lit("timestamp"), seconds]
     for name in METRIC_VALUES:
         pairs += [F.lit(name), F.col(name).cast("string")]
-    return metrics.select(F.create_map(*pairs).alias("entry"))
+    return metrics.select(*(keep or []), F.create_map(*pairs).alias("entry"))
 
 
 def encode_json(metrics: DataFrame) -> DataFrame:
