@@ -19,7 +19,7 @@ def bucket_step(state: Bucket, at: float, need: float, refill: float, capacity:
     if state.tokens is None:
         level = capacity
     else:
-        level = min(capacity, state.tokens + (at - state.at) * refill)
+        level = min(capacity, state.tokens + max(0.0, at - state.at) * refill)
     allowed = level >= need
     state.tokens, state.at = (level - need if allowed else level), at
     wait = 0.0 if state.tokens >= 1 else (1 - state.tokens) / refill

@@ -23,10 +23,10 @@ LIMIT_SQL = "CASE role WHEN 'admin' THEN 3 WHEN 'operator' THEN 2 WHEN 'viewer'
 
 BUCKET_SQL = f"""log AS (SELECT *, epoch_us(ts) / 1e6 AS at_s, row_number() OVER (PARTITION BY key ORDER BY ts, id) AS rn FROM requests),
 firsts AS (SELECT key, {RATE_SQL} AS refill FROM log WHERE rn = 1), bucket AS (
-  SELECT l.key, l.id, l.role, l.rn, l.at_s, refill, true AS allowed, {BURST} - 1 AS tokens FROM log l JOIN firsts USING (key) WHERE rn = 1
+  SELECT l.key, l.id, l.role, l.rn, l.at_s, refill, true AS allowed, {BURST}::DOUBLE - 1 AS tokens FROM log l JOIN firsts USING (key) WHERE rn = 1
   UNION ALL
   SELECT key, id, role, rn, at_s, refill, level >= 1 AS allowed, CASE WHEN level >= 1 THEN level - 1 ELSE level END FROM (
-    SELECT n.key, n.id, n.role, n.rn, n.at_s, b.refill, least({BURST}, b.tokens + (n.at_s - b.at_s) * b.refill) AS level
+    SELECT n.key, n.id, n.role, n.rn, n.at_s, b.refill, least({BURST}::DOUBLE, b.tokens + (n.at_s - b.at_s) * b.refill) AS level
     FROM bucket b JOIN log n ON n.key = b.key AND n.rn = b.rn + 1))"""
 
 

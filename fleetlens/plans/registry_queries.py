@@ -174,17 +174,18 @@ def _(spark, sf):
 M_OUT = 'node_id, "timestamp", cpu_usage, memory_usage, latency_ms, requests_per_sec, disk_usage'
 
 
+def damaged_entries(metrics):
+    """Stream entries of metric rows; two in ten lack a field or hold no number."""
+    coded = readers.encode_entries(metrics, keep=["id"])
+    without = lambda name: F.map_filter("entry", lambda k, v: k != F.lit(name))
+    broken = F.map_concat(without("cpu_usage"), F.create_map(F.lit("cpu_usage"), F.lit("n/a")))
+    kind = F.col("id") % 10
+    entry = F.when(kind == 0, without("latency_ms")).when(kind == 1, broken).otherwise(F.col("entry"))
+    return coded.select("id", entry.alias("entry"))
+
+
 def _entries(spark, sf):
-    """Stream entries of every metric row; each tenth is damaged in one of three ways."""
-    kept = F.when(F.col("id") % 10 == 0, F.map_filter("entry", lambda k, v: k != F.lit("latency_ms"))).when(
-        F.col("id") % 10 == 1,
-        F.map_concat(
-            F.map_filter("entry", lambda k, v: k != F.lit("cpu_usage")),
-            F.create_map(F.lit("cpu_usage"), F.lit("n/a")),
-        ),
-    )
-    rows = readers.encode_entries(telemetry.metrics(spark, sf), keep=["id"])
-    return rows.select("id", F.coalesce(kept, F.col("entry")).alias("entry"))
+    return damaged_entries(telemetry.metrics(spark, sf))
 
 
 @query("entries_parsed", f"WITH {t.METRICS} SELECT {M_OUT} FROM metrics WHERE id % 10 > 1")
