@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import instant, resolve_as_of, since
+from fleetlens.functions.forest import grow_forest, score_rows
 from fleetlens.functions.present import fixed
 from fleetlens.functions.quantiles import exact_percentiles
 from fleetlens.operators.reads import latest_per_node, lookback
@@ -112,8 +113,6 @@ def alerts_from_anomalies(anomalies: DataFrame) -> DataFrame:
 
 
 def _fit_node(key: tuple, pool: pd.DataFrame) -> pd.DataFrame:
-    from fleetlens.functions.forest import grow_forest
-
     data = pool[FEATURES].to_numpy("float32")
     model = grow_forest(data, TREES, TREE_ROWS, SEED)
     return pd.DataFrame({"node_id": [key[0]], **{name: [value] for name, value in model.items()}})
@@ -125,8 +124,6 @@ FOREST_SCHEMA = (
 
 
 def _score_slice(key: tuple, rows: pd.DataFrame, forest: pd.DataFrame) -> pd.DataFrame:
-    from fleetlens.functions.forest import score_rows
-
     columns = [*rows.columns.drop(["_slice"]), "raw_score"]
     if rows.empty or forest.empty:
         return pd.DataFrame({c: [] for c in columns})

@@ -128,7 +128,7 @@ def _(spark, sf):
 def _(spark, sf):
     log = telemetry.requests(_EventStream(spark), sf)
     _room(spark)
-    out = _run(spark, stateful.token_bucket(log, adm.BURST, adm.SLOW_RATES))
+    out = _run(spark, stateful.token_bucket(log, adm.BURST, adm.SLOW_RATES, ttl_s=None))
     return out.select("key", "id", "allowed", "remaining", F.round("reset_after", 3).alias("reset_after"))
 
 
@@ -139,11 +139,24 @@ FROM sliding""",
 )
 def _(spark, sf):
     log = telemetry.requests(_EventStream(spark), sf)
-    out = _run(spark, stateful.sliding_window(log, adm.WINDOW, adm.WINDOW_RATES))
+    out = _run(spark, stateful.sliding_window(log, adm.WINDOW, adm.WINDOW_RATES, ttl_s=None))
     return out.select("key", "id", "allowed", "remaining")
 
 
-@query("stream_scaling_decisions")
+LOOP_INPUTS = f"""{t.METRICS}, inputs AS (SELECT *, upper_bound AS predicted_rps, '' AS model_name,
+    row_number() OVER (PARTITION BY node_id ORDER BY triggered_at) AS rn FROM (
+  SELECT node_id, time_bucket(INTERVAL '1 hour', "timestamp") AS triggered_at, avg(cpu_usage) AS utilization,
+    avg(requests_per_sec) AS upper_bound, avg(CASE WHEN latency_ms > 800 THEN 1.0::DOUBLE ELSE 0.0 END) AS spike_probability
+  FROM metrics GROUP BY 1, 2)
+  WHERE triggered_at + INTERVAL 1 HOUR <= date_trunc('millisecond', {t.AS_OF}) - INTERVAL 10 MINUTE), ordered AS (
+  SELECT node_id, triggered_at, utilization, spike_probability, predicted_rps, upper_bound, model_name, rn FROM inputs)"""
+
+
+@query(
+    "stream_scaling_decisions",
+    f"""WITH RECURSIVE {LOOP_INPUTS}, {t.decisions_sql().replace("FROM inputs", "FROM ordered").replace("JOIN inputs", "JOIN ordered")}
+SELECT node_id, triggered_at, round(action, 6) AS action, is_emergency, prev_replicas, new_replicas FROM decided""",
+)
 def _(spark, sf):
     """Decisions on the stream of closed hourly load windows, one loop per node."""
     m = telemetry.metrics(_EventStream(spark), sf)
@@ -156,10 +169,16 @@ def _(spark, sf):
     steps = steps.select(
         "node_id", F.col("_w.start").alias("triggered_at"), "utilization", "upper_bound", "spike_probability"
     )
-    return _run(spark, stateful.scaling_decisions(steps, ["node_id"]))
+    out = _run(spark, stateful.scaling_decisions(steps, ["node_id"]))
+    return rounded(out.select("node_id", "triggered_at", "action", "is_emergency", "prev_replicas", "new_replicas"))
 
 
-@query("stream_silent_nodes")
+@query(
+    "stream_silent_nodes",
+    f"""WITH {t.METRICS} SELECT node_id, date_trunc('millisecond', max("timestamp")) AS last_seen,
+  date_trunc('millisecond', max("timestamp")) + INTERVAL 30 MINUTE AS silent_at FROM metrics GROUP BY node_id
+HAVING date_trunc('millisecond', max("timestamp")) + INTERVAL 30 MINUTE <= date_trunc('millisecond', {t.AS_OF}) - INTERVAL 1 MINUTE""",
+)
 def _(spark, sf):
     m = telemetry.metrics(_EventStream(spark), sf)
     return _run(spark, stateful.silent_nodes(m, 1_800))

@@ -133,7 +133,8 @@ def token_bucket(
     """Token-bucket admission of a request stream ``(id, ts, key, role, tokens)``.
 
     A row with ``reset`` set clears its key. A key that is idle for ``ttl_s`` of
-    processing time is forgotten.
+    processing time is forgotten; expiry keeps the query running, so a run that
+    is to end at the end of its input passes ``ttl_s=None``.
     """
     reset = F.col("reset") if "reset" in log.columns else F.lit(False)
     rows = log.withColumns({"rate": role_rate("role", rates), "reset": reset})
@@ -141,7 +142,7 @@ def token_bucket(
         statefulProcessor=_TokenBucket(capacity, ttl_s),
         outputStructType=_with_outputs(rows, ADMISSION),
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="ProcessingTime" if ttl_s else "None",
     )
 
 
@@ -183,7 +184,7 @@ def sliding_window(
         statefulProcessor=_SlidingWindow(window_s, ttl_s),
         outputStructType=_with_outputs(rows, ADMISSION),
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="ProcessingTime" if ttl_s else "None",
     )
 
 
@@ -203,7 +204,7 @@ class _Silence(StatefulProcessor):
                 self.handle.deleteTimer(timer)
             self.last.update((newest,))
             self.handle.registerTimer(newest + self.silent_ms)
-        yield pd.DataFrame({"node_id": [], "last_seen": [], "silent_at": []})
+        return iter([])
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         last = self.last.get()[0]
