@@ -61,7 +61,9 @@ def previous_sample(
     df = df.withColumn("_chunk", chunk)
     fine = [*keys, "_chunk"]
     w = Window.partitionBy(*fine).orderBy(*order)
-    tails = df.groupBy(*fine).agg(F.max(F.struct(F.col(ts), F.col(value))).alias("_tail"))
+    tails = df.groupBy(*fine).agg(F.max(ts).alias("_t"), F.max_by(value, ts).alias("_v")).select(
+        *fine, F.struct(F.col("_t").alias(ts), F.col("_v").alias(value)).alias("_tail")
+    )
     over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
     carried = tails.select(*fine, F.lag("_tail").over(over_chunks).alias("_carry"))
     return (

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -59,9 +61,10 @@ def flag_rules(metrics: DataFrame, thresholds: Thresholds = Thresholds()) -> Dat
             for name, limit in limits.items()
         ]
     )
-    exceeded = F.filter(checks, lambda c: c["metric_value"] > c["threshold"])
+    any_limit = reduce(or_, [F.col(RULE_COLUMNS[name]) > limit for name, limit in limits.items()])
     keep = ["node_id", "timestamp", *(["id"] if "id" in metrics.columns else [])]
-    rows = metrics.select(*keep, F.explode(exceeded).alias("c"))
+    rows = metrics.filter(any_limit).select(*keep, F.explode(checks).alias("c"))
+    rows = rows.filter(F.col("c.metric_value") > F.col("c.threshold"))
     value, limit = F.col("c.metric_value"), F.col("c.threshold")
     return rows.select(
         *keep,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,22 +89,15 @@ def counter_deltas(samples: DataFrame, keys: Keys, chunk_s: int = CHUNK_S) -> Da
     return with_prev.withColumn("delta", delta)
 
 
-def _grid_points(df: DataFrame, window_s: int, step_s: int, start: datetime | None, end: datetime | None) -> Column:
-    """Evaluation times whose window ``(t - window, t]`` holds the sample."""
-    step = step_s * 1_000_000
-    ts = epoch_us("ts")
-    origin = epoch_us(instant(df, "ts", start)) if start else F.lit(0)
-    first = F.ceil((ts - origin) / F.lit(step)) * step + origin
-    last = F.floor((ts + F.lit(window_s * 1_000_000 - 1) - origin) / F.lit(step)) * step + origin
-    if start:
+def _grid(pane_us: Column, window_us: int, step_us: int, origin: Column, end: Column | None, clip: bool) -> Column:
+    """Evaluation times (microseconds) whose window ``(t - window, t]`` holds a pane."""
+    first = F.ceil((pane_us - origin) / F.lit(step_us)) * step_us + origin
+    last = F.floor((pane_us + F.lit(window_us - 1) - origin) / F.lit(step_us)) * step_us + origin
+    if clip:
         first = F.greatest(first, origin)
-    if end:
-        last = F.least(last, epoch_us(instant(df, "ts", end)))
-    points = F.when(first <= last, F.sequence(first, last, F.lit(step).cast("bigint"))).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    kind = df.schema["ts"].dataType
-    return F.transform(points, lambda us: F.timestamp_micros(us).cast(kind))
+    if end is not None:
+        last = F.least(last, end)
+    return F.when(first <= last, F.sequence(first, last, F.lit(step_us).cast("bigint")))
 
 
 def increase(
@@ -117,24 +111,54 @@ def increase(
 ) -> DataFrame:
     """Counter growth inside ``(t - window, t]`` at each step of an aligned grid.
 
-    Only pairs of samples that both lie in the window count. A window with one
-    sample gives no row. ``extrapolate`` extends the growth to the window's
-    edges in the way the PromQL functions do.
+    Only pairs of samples that both lie in the window count, so the growth up
+    to a window's first sample is left out. A window with one sample gives no
+    row. ``extrapolate`` extends the growth to the window's edges in the way the
+    PromQL functions do.
+
+    Samples are folded into panes that divide both window and step before panes
+    fan out to overlapping windows, so the fan-out does not grow with the number
+    of samples.
     """
     step_s = step_s or window_s
+    window_us, step_us = window_s * 1_000_000, step_s * 1_000_000
+    pane_us = gcd(window_us, step_us)
     deltas = counter_deltas(samples, keys)
-    spread = deltas.withColumn("t", F.explode(_grid_points(deltas, window_s, step_s, start, end)))
-    inside = epoch_us("prev_ts") > epoch_us("t") - window_s * 1_000_000
-    grown = spread.groupBy(*keys, "t").agg(
-        F.sum(F.when(inside, F.col("delta"))).alias("increase"),
+    kind = samples.schema["ts"].dataType
+    origin = epoch_us(instant(samples, "ts", start)) if start else F.lit(0)
+    limit = epoch_us(instant(samples, "ts", end)) if end else None
+    pane = F.ceil((epoch_us("ts") - origin) / F.lit(pane_us)) * pane_us + origin
+    panes = deltas.groupBy(*keys, pane.alias("_pane")).agg(
+        F.sum("delta").alias("_sum"),
         F.count("*").alias("_n"),
-        F.min(F.struct("ts", "value")).alias("_first"),
+        F.min("ts").alias("_first"),
+        F.min_by("delta", "ts").alias("_first_delta"),
+        F.min_by("value", "ts").alias("_first_value"),
         F.max("ts").alias("_last"),
     )
-    grown = grown.filter(F.col("_n") > 1)
+    points = _grid(F.col("_pane"), window_us, step_us, origin, limit, start is not None)
+    grown = (
+        panes.withColumn("_t", F.explode(points))
+        .groupBy(*keys, "_t")
+        .agg(
+            F.sum("_sum").alias("_sum"),
+            F.sum("_n").alias("_n"),
+            F.min_by("_first_delta", "_first").alias("_first_delta"),
+            F.min_by("_first_value", "_first").alias("_first_value"),
+            F.min("_first").alias("_first"),
+            F.max("_last").alias("_last"),
+        )
+        .filter(F.col("_n") > 1)
+        .withColumns(
+            {
+                "t": F.timestamp_micros("_t").cast(kind),
+                "increase": F.col("_sum") - F.coalesce("_first_delta", F.lit(0.0)),
+            }
+        )
+    )
     if not extrapolate:
         return grown.select(*keys, "t", "increase")
-    first, last = epoch("_first.ts"), epoch("_last")
+    first, last = epoch("_first"), epoch("_last")
     sampled = last - first
     gap = sampled / (F.col("_n") - 1)
     to_start = first - (epoch("t") - window_s)
@@ -142,8 +166,8 @@ def increase(
     reach = gap * 1.1
     head = F.when(to_start >= reach, gap / 2).otherwise(to_start)
     to_zero = F.when(
-        (F.col("increase") > 0) & (F.col("_first.value") >= 0),
-        sampled * F.col("_first.value") / F.col("increase"),
+        (F.col("increase") > 0) & (F.col("_first_value") >= 0),
+        sampled * F.col("_first_value") / F.col("increase"),
     )
     head = F.least(head, to_zero)
     tail = F.when(to_end >= reach, gap / 2).otherwise(to_end)

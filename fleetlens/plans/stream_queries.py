@@ -28,10 +28,13 @@ class _EventStream:
         self.conf = spark.conf
         self.read = self
 
+    def schema(self, schema: str):
+        self._schema = schema
+        return self
+
     def parquet(self, path: str):
         folder, name = path.rsplit("/", 1)
-        schema = self._spark.read.parquet(path).schema
-        stream = self._spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+        stream = self._spark.readStream.schema(self._schema).option("pathGlobFilter", name).parquet(folder)
         return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from fleetlens.functions.clock import epoch
 from fleetlens.session import ensure_utc
 
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
 ROLE_ORDER = ["admin", "operator", "viewer", "service", "guest"]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
