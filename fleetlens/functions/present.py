@@ -26,14 +26,16 @@ def exact_half(value: str | Column, digits: int, to_even: bool = True) -> Column
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     scale = float(10**digits)
     twice = v * (2 * scale)
+    tie = F.rint(twice)
     split = v * 134217729.0
     high = split - (split - v)
-    error = (high * (2 * scale) - twice) + (v - high) * (2 * scale)
-    down, up = (twice - 1) / 2, (twice + 1) / 2
+    error = (high * (2 * scale) - tie) + (v - high) * (2 * scale)
+    down, up = (tie - 1) / 2, (tie + 1) / 2
     away = F.when(v < 0, down).otherwise(up)
     even = F.when(down % 2 == 0, down).otherwise(up) if to_even else away
     settled = F.when(error < 0, down).when(error > 0, up).otherwise(even) / scale
-    return F.when((twice == F.rint(twice)) & (F.abs(twice % 2) == 1), settled).otherwise(v)
+    near = (F.abs(tie % 2) == 1) & (F.abs(twice - tie) <= F.abs(tie) * 4e-16)
+    return F.when(near, settled).otherwise(v)
 
 
 def fixed(value: str | Column, digits: int, plus: bool = False) -> Column:

@@ -215,10 +215,25 @@ def test_stream_reset_event_refills_the_bucket(spark, tmp_path):
     assert got == {0: True, 1: True, 2: False, 3: None, 4: True}
 
 
-def test_checkpoint_dir_prefers_the_session_setting(spark):
-    assert session.checkpoint_dir(spark)
-    spark.conf.set("spark.checkpoint.dir", "/tmp/named-by-cluster")
-    try:
-        assert session.checkpoint_dir(spark) == "/tmp/named-by-cluster"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+class _Stub:
+    """Just enough of a session to ask for its checkpoint folder."""
+
+    def __init__(self, master, configured=None):
+        self.conf = self.sparkContext = self
+        self.master, self.configured = master, configured
+
+    def getConf(self):
+        return self
+
+    def get(self, name, default=None):
+        return self.configured or default
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_checkpoint_dir_comes_from_the_session():
+    assert session.checkpoint_dir(_Stub("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert session.checkpoint_dir(_Stub("local[2]"))
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(_Stub("yarn"))

@@ -133,7 +133,7 @@ def test_outliers_planted_and_share(spark):
     rows = []
     for node in ("a", "b"):
         for i in range(600):
-            cpu, mem, lat, rps = rng.normal([40, 50, 100, 200], [3, 3, 8, 10])
+            cpu, mem, lat, rps = rng.normal([40, 50, 100, 200], [3, 3, 8, 10]).tolist()
             rows.append((i, node, T0 + timedelta(seconds=5 * i), cpu, mem, lat, rps, 40.0))
     rows.append((9999, "a", T0 + timedelta(seconds=3000), 99.0, 97.0, 2500.0, 5.0, 40.0))
     rows += [(i, "tiny", T0 + timedelta(seconds=2990), 1.0, 1.0, 1.0, 1.0, 1.0) for i in range(20)]
