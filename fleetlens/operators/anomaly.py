@@ -143,7 +143,7 @@ def detect_outliers(
     min_rows: int = MIN_ROWS,
     contamination: float = CONTAMINATION,
     as_of: datetime | None = None,
-    slice_rows: int = 50_000,
+    slice_rows: int = 200_000,
 ) -> DataFrame:
     """Multivariate outliers among each node's newest rows.
 

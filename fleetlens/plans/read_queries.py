@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from fleetlens.functions import present
+from fleetlens.functions.clock import epoch_us
 from fleetlens.operators import reads
 from fleetlens.plans import tables as t
 from fleetlens.plans.catalog import query
@@ -58,16 +59,14 @@ def _(spark, sf):
 @query(
     "scaling_events_newest",
     f"""WITH RECURSIVE {t.SCALING}, numbered AS (
-  SELECT row_number() OVER (ORDER BY triggered_at, node_id) AS id, * FROM scaling_events)
+  SELECT epoch_us(triggered_at) // 3600000000 * 1000 + CAST(substr(node_id, 6) AS BIGINT) AS id, * FROM scaling_events)
 SELECT id, triggered_at, action, prev_replicas, new_replicas, reason FROM numbered
 ORDER BY triggered_at DESC, id DESC LIMIT 500""",
 )
 def _(spark, sf):
-    from pyspark.sql import Window
-
-    # One event per node and hour, so the ids are numbered over bucketed rows.
-    order = Window.orderBy("triggered_at", "node_id")
-    events = t.scaling_events(spark, sf).withColumn("id", F.row_number().over(order).cast("bigint"))
+    hour = F.floor(epoch_us("triggered_at") / 3_600_000_000)
+    node = F.substring("node_id", 6, 10).cast("bigint")
+    events = t.scaling_events(spark, sf).withColumn("id", hour * 1000 + node)
     return reads.get_scaling_events(events, limit=500)
 
 
