@@ -38,6 +38,11 @@ def exact_half(value: str | Column, digits: int, to_even: bool = True) -> Column
     return F.when(near, settled).otherwise(v)
 
 
+def exact_round(value: str | Column, digits: int) -> Column:
+    """Number rounded half-even on its exact value."""
+    return F.round(exact_half(value, digits), digits)
+
+
 def fixed(value: str | Column, digits: int, plus: bool = False) -> Column:
     """Text with a fixed number of decimals, rounded on the exact value."""
     return F.format_string(f"%{'+' if plus else ''}.{digits}f", exact_half(value, digits))

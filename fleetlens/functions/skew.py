@@ -55,11 +55,12 @@ def previous_sample(
     """Add ``prev_<ts>`` and ``prev_<value>`` of the preceding row of the series.
 
     The lag runs inside (keys, chunk); only the last row of each chunk crosses
-    to the next one, through a table of one row per (keys, chunk).
+    to the next one, through a table of one row per (keys, chunk). Rows are
+    shuffled by (keys, chunk) once, for both.
     """
     order = order or [F.col(ts)]
-    df = df.withColumn("_chunk", chunk)
     fine = [*keys, "_chunk"]
+    df = df.withColumn("_chunk", chunk).repartition(*fine)
     w = Window.partitionBy(*fine).orderBy(*order)
     tails = df.groupBy(*fine).agg(F.max(ts).alias("_t"), F.max_by(value, ts).alias("_v")).select(
         *fine, F.struct(F.col("_t").alias(ts), F.col("_v").alias(value)).alias("_tail")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import instant, resolve_as_of, since
 from fleetlens.functions.forest import grow_forest, score_rows
-from fleetlens.functions.present import fixed
+from fleetlens.functions.present import exact_round, fixed
 from fleetlens.functions.quantiles import exact_percentiles
 from fleetlens.operators.reads import latest_per_node, lookback
 from fleetlens.params import RULE_TEXT, Thresholds
@@ -72,7 +72,7 @@ def flag_rules(metrics: DataFrame, thresholds: Thresholds = Thresholds()) -> Dat
         F.col("c.metric_name").alias("metric_name"),
         value.alias("metric_value"),
         limit.alias("threshold"),
-        F.round(rule_score(value, limit), 3).alias("anomaly_score"),
+        exact_round(rule_score(value, limit), 3).alias("anomaly_score"),
         F.concat(
             F.col("c.text"), F.lit(": "), fixed(value, 1), F.lit(" exceeds threshold "), F.col("c.shown")
         ).alias("description"),
@@ -197,7 +197,7 @@ def detect_outliers(
         F.lit("composite").alias("metric_name"),
         F.col("cpu_usage").alias("metric_value"),
         F.lit(None).cast("double").alias("threshold"),
-        F.round(outlier_score(decision), 3).alias("anomaly_score"),
+        exact_round(outlier_score(decision), 3).alias("anomaly_score"),
         F.format_string(
             "Isolation Forest outlier on %s: cpu=%s%% mem=%s%% lat=%sms rps=%s",
             "node_id", *[fixed(c, 1) for c in FEATURES],

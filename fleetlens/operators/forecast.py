@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.arma import forecast_mean
 from fleetlens.functions.clock import epoch, instant
-from fleetlens.functions.present import fixed
+from fleetlens.functions.present import exact_round, fixed
 from fleetlens.functions.skew import newest_per_key
 from fleetlens.operators.reads import lookback
 from fleetlens.operators.summaries import resample_mean
@@ -272,15 +272,15 @@ def next_10_minutes(
     lo, up = F.col("lower_bound"), F.col("upper_bound")
     return ahead.select(
         *keys,
-        F.round(p, 2).alias("predicted_value"),
-        F.round(cur, 2).alias("current_value"),
-        F.round(lo, 2).alias("lower_bound"),
-        F.round(up, 2).alias("upper_bound"),
-        F.round(up - lo, 2).alias("margin_of_error"),
+        exact_round(p, 2).alias("predicted_value"),
+        exact_round(cur, 2).alias("current_value"),
+        exact_round(lo, 2).alias("lower_bound"),
+        exact_round(up, 2).alias("upper_bound"),
+        exact_round(up - lo, 2).alias("margin_of_error"),
         trend_direction(p, cur).alias("trend"),
-        F.round(trend_value(p, F.col("previous_value")), 3).alias("trend_value"),
-        F.round(spike_probability(up, cur), 2).alias("spike_probability"),
-        F.round(interval_confidence(lo, up, F.col("recent_std")), 2).alias("confidence"),
+        exact_round(trend_value(p, F.col("previous_value")), 3).alias("trend_value"),
+        exact_round(spike_probability(up, cur), 2).alias("spike_probability"),
+        exact_round(interval_confidence(lo, up, F.col("recent_std")), 2).alias("confidence"),
         warning_text(p, cur).alias("warning"),
     )
 
@@ -325,7 +325,7 @@ def predict(
     null = F.lit(None).cast("double")
     seasonal = card.select(
         *keys, F.col("predicted_value").alias("p"), "confidence",
-        "lower_bound", "upper_bound", F.round(probability, 3).alias("spike_probability"),
+        "lower_bound", "upper_bound", exact_round(probability, 3).alias("spike_probability"),
     )
     flat = lambda df, p, c: df.select(
         *keys, p.alias("p"), c.alias("confidence"), p.alias("lower_bound"), p.alias("upper_bound"),
@@ -334,8 +334,8 @@ def predict(
     arima = arima_forecast(only(MODEL_ARIMA), keys, steps)
     ema = ema_forecast(only(MODEL_EMA), keys, steps)
     parts = seasonal.unionByName(
-        flat(arima, F.round("predicted", 2), F.round("confidence", 3))
-    ).unionByName(flat(ema, F.round("predicted", 2), F.col("confidence")))
+        flat(arima, exact_round("predicted", 2), exact_round("confidence", 3))
+    ).unionByName(flat(ema, exact_round("predicted", 2), F.col("confidence")))
     zero = F.lit(0.0)
     return chosen.join(parts, keys, "left").select(
         *keys,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import epoch, instant, resolve_as_of, since
-from fleetlens.functions.present import severity_tone
+from fleetlens.functions.present import exact_round, severity_tone
 from fleetlens.functions.quantiles import approximate_percentiles, exact_percentiles
 from fleetlens.functions.skew import newest_per_key, side_by_side
 from fleetlens.operators.reads import latest_prediction, lookback
@@ -58,8 +58,8 @@ def system_status(
         F.lit("operational").alias("status"),
         F.coalesce("active_workers", F.lit(0)).alias("active_workers"),
         F.coalesce("nodes_reporting", F.lit(0)).alias("nodes_reporting"),
-        F.round(F.coalesce("latest_anomaly_score", F.lit(0.0)), 3).alias("latest_anomaly_score"),
-        F.round(F.coalesce("predicted_rps", F.lit(0.0)), 2).alias("predicted_rps"),
+        exact_round(F.coalesce("latest_anomaly_score", F.lit(0.0)), 3).alias("latest_anomaly_score"),
+        exact_round(F.coalesce("predicted_rps", F.lit(0.0)), 2).alias("predicted_rps"),
         instant(metrics, "timestamp", as_of).alias("timestamp"),
     )
 

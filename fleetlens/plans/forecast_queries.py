@@ -226,12 +226,12 @@ def _seqs(spark, sf):
     "sequences_normalised",
     f"""WITH {SEQ}, z AS (SELECT node_id, seq, list_transform(seq, lambda x: (x - m) / CASE WHEN s < 1e-6 THEN 1.0 ELSE s END) AS z
   FROM moments)
-SELECT node_id, (pos - 1)::INT AS pos, round(seq[pos], 6) AS y, round(z[pos], 6) AS z FROM z, range(1, 289) AS r(pos)""",
+SELECT node_id, (pos - 1)::INT AS pos, round(seq[pos], 9) AS y, round(z[pos], 9) AS z FROM z, range(1, 289) AS r(pos)""",
 )
 def _(spark, sf):
     z = spikes.z_normalise(_seqs(spark, sf))
     pairs = F.posexplode(F.arrays_zip("seq", "z")).alias("pos", "p")
-    return rounded(z.select("node_id", pairs).select("node_id", "pos", F.col("p.seq").alias("y"), F.col("p.z").alias("z")))
+    return rounded(z.select("node_id", pairs).select("node_id", "pos", F.col("p.seq").alias("y"), F.col("p.z").alias("z")), 9)
 
 
 @query(

@@ -24,15 +24,16 @@ SLOW_POLICY = replace(ScalerPolicy(), min_interval_s=9000.0)
   SELECT predicted_rps, coalesce(nullif(upper_bound, 0), nullif(predicted_rps, 0), 0.0) AS upper_bound,
     spike_probability, confidence, model_name FROM predictions ORDER BY predicted_at DESC LIMIT 1), w AS (
   SELECT greatest(count(*) FILTER (status = 'active'), 1)::INT AS current_workers FROM workers)
-SELECT round(avg_cpu, 6) AS avg_cpu, has_data, p.*, current_workers,
-  round(least(100.0, upper_bound / (current_workers * 300.0) * 100), 6) AS upper_util FROM cpu, p, w""",
+SELECT round(avg_cpu, 9) AS avg_cpu, has_data, p.*, current_workers,
+  round(least(100.0, upper_bound / (current_workers * 300.0) * 100), 9) AS upper_util FROM cpu, p, w""",
 )
 def _(spark, sf):
     now = t.as_of(spark, sf)
     return rounded(
         scaling.decision_inputs(
             telemetry.metrics(spark, sf), t.predictions(spark, sf), t.workers(spark, sf, now), minutes=120, as_of=now
-        )
+        ),
+        9,
     )
 
 
@@ -46,8 +47,8 @@ def _(spark, sf):
   SELECT *, greatest(-3.0, least(3.0, (pid + forecast_component + spike_component)
       * CASE WHEN spike_probability > 0.6 THEN 1.5 ELSE 1.0 END)) AS raw_action FROM comps), acts AS (
   SELECT *, CASE WHEN abs(raw_action) < 0.5 THEN 0.0 ELSE raw_action END AS action FROM raws)
-SELECT node_id, triggered_at, round(upper_util, 6) AS upper_util, round(forecast_component, 6) AS forecast_component,
-  round(spike_component, 6) AS spike_component, round(action, 6) AS action,
+SELECT node_id, triggered_at, round(upper_util, 9) AS upper_util, round(forecast_component, 9) AS forecast_component,
+  round(spike_component, 9) AS spike_component, round(action, 9) AS action,
   CASE WHEN action < 0 THEN least(8, 2 + CAST(ceil(-action) AS INT))
        WHEN action > 0 THEN greatest(1, 2 - CAST(ceil(action) AS INT)) ELSE 2 END AS target_workers,
   CASE WHEN action < 0 THEN 'scale_up' WHEN action > 0 THEN 'scale_down' ELSE 'no_change' END AS action_name
@@ -73,12 +74,13 @@ def _(spark, sf):
         acted.select(
             "node_id", "triggered_at", "upper_util", "forecast_component", "spike_component", "action",
             "target_workers", "action_name",
-        )
+        ),
+        9,
     )
 
 
-CONTROL_COLS = """round(error, 6) AS error, round(p_term, 6) AS p_term, round(i_term, 6) AS i_term, round(d_term, 6) AS d_term,
-  round(integral_error, 6) AS integral_error, round(action, 6) AS action"""
+CONTROL_COLS = """round(error, 9) AS error, round(p_term, 9) AS p_term, round(i_term, 9) AS i_term, round(d_term, 9) AS d_term,
+  round(integral_error, 9) AS integral_error, round(action, 9) AS action"""
 
 
 def _steps(spark, sf):
@@ -92,7 +94,7 @@ SELECT node_id, triggered_at, utilization, {CONTROL_COLS} FROM controlled""",
 )
 def _(spark, sf):
     out = scaling.replay_control(_steps(spark, sf), ["node_id"], "triggered_at", "utilization", "dt")
-    return rounded(out.drop("dt"))
+    return rounded(out.drop("dt"), 9)
 
 
 @query(
@@ -103,27 +105,27 @@ def _(spark, sf):
 {t.control_sql('1', '1', '1', '-5.0', '10.0', 'fanned', 'node_id, preset', '15.0')}, tuned AS (
   SELECT c.node_id, c.preset, triggered_at, utilization, error, kp::DOUBLE * error AS p_term,
     ki::DOUBLE * integral_error AS i_term, kd::DOUBLE * d_term AS d_term, integral_error FROM controlled c JOIN gains USING (preset))
-SELECT node_id, preset, triggered_at, utilization, round(error, 6) AS error, round(p_term, 6) AS p_term, round(i_term, 6) AS i_term,
-  round(d_term, 6) AS d_term, round(integral_error, 6) AS integral_error,
-  round(least(10.0, greatest(-5.0, p_term + i_term + d_term)), 6) AS action FROM tuned""",
+SELECT node_id, preset, triggered_at, utilization, round(error, 9) AS error, round(p_term, 9) AS p_term, round(i_term, 9) AS i_term,
+  round(d_term, 9) AS d_term, round(integral_error, 9) AS integral_error,
+  round(least(10.0, greatest(-5.0, p_term + i_term + d_term)), 9) AS action FROM tuned""",
 )
 def _(spark, sf):
     out = scaling.replay_presets(
         _steps(spark, sf), ["node_id"], "triggered_at", "utilization", "dt", GAIN_PRESETS
     )
-    return rounded(out.drop("dt"))
+    return rounded(out.drop("dt"), 9)
 
 
 DECISION_COLS = """node_id, triggered_at, utilization, spike_probability, predicted_rps, upper_bound, model_name,
-  round(upper_util, 6) AS upper_util, round(pid_component, 6) AS pid_component,
-  round(forecast_component, 6) AS forecast_component, round(spike_component, 6) AS spike_component,
-  round(raw_action, 6) AS raw_action, round(action, 6) AS action, is_emergency, round(held_back_s, 6) AS held_back_s,
+  round(upper_util, 9) AS upper_util, round(pid_component, 9) AS pid_component,
+  round(forecast_component, 9) AS forecast_component, round(spike_component, 9) AS spike_component,
+  round(raw_action, 9) AS raw_action, round(action, 9) AS action, is_emergency, round(held_back_s, 9) AS held_back_s,
   prev_replicas, new_replicas"""
 
 
 @query("decision_replay", f"WITH RECURSIVE {t.DECISIONS} SELECT {DECISION_COLS} FROM decided")
 def _(spark, sf):
-    return rounded(t.decisions(spark, sf))
+    return rounded(t.decisions(spark, sf), 9)
 
 
 @query(
@@ -131,7 +133,7 @@ def _(spark, sf):
     f"WITH RECURSIVE {t.CONTROL_INPUTS}, {t.decisions_sql(9000.0)} SELECT {DECISION_COLS} FROM decided",
 )
 def _(spark, sf):
-    return rounded(t.decisions(spark, sf, SLOW_POLICY))
+    return rounded(t.decisions(spark, sf, SLOW_POLICY), 9)
 
 
 @query(

@@ -68,10 +68,10 @@ def _(spark, sf):
 @query(
     "load_resampled",
     f"""WITH {t.METRICS} SELECT time_bucket(INTERVAL '5 minutes', "timestamp") AS ds,
-       round(avg(requests_per_sec), 6) AS y FROM metrics GROUP BY 1""",
+       round(avg(requests_per_sec), 9) AS y FROM metrics GROUP BY 1""",
 )
 def _(spark, sf):
-    return rounded(summaries.resample_mean(telemetry.metrics(spark, sf), "timestamp", "requests_per_sec"))
+    return rounded(summaries.resample_mean(telemetry.metrics(spark, sf), "timestamp", "requests_per_sec"), 9)
 
 
 @query(
@@ -249,7 +249,7 @@ STATS_SQL = t.REQUESTS + """, named AS (SELECT method AS "Type", CASE WHEN metho
 @query(
     "load_test_summary",
     f"""WITH {STATS_SQL} SELECT count(*) AS total_requests, count(*) FILTER (status = '500') AS failures,
-  round(avg(duration_s), 6) AS avg_ms, max(duration_s) AS p95_ms, max(duration_s) AS p99_ms,
+  round(avg(duration_s), 6) AS avg_ms, round(max(duration_s), 6) AS p95_ms, round(max(duration_s), 6) AS p99_ms,
   round(count(*) / 600.0, 6) AS sustained_rps,
   (count(*) FILTER ("Name" = '/api/metrics/bulk') * 20)::BIGINT AS estimated_metrics,
   (SELECT round(max(n) / 3600.0, 6) FROM (SELECT count(*) AS n FROM events GROUP BY time_bucket(INTERVAL '1 hour', ts))) AS peak_rps,
@@ -276,7 +276,7 @@ def _(spark, sf):
   SELECT min(b) AS lo, max(b) AS hi FROM (SELECT time_bucket(INTERVAL '1 hour', ts) AS b, count(*) AS n FROM events GROUP BY 1)
   WHERE n >= (SELECT 2 * avg(n) FROM (SELECT count(*) AS n FROM events GROUP BY time_bucket(INTERVAL '1 hour', ts))) * 0.9)
 SELECT e.* FROM scaling_events e, bounds WHERE action <> 'no_change' AND prev_replicas <> new_replicas
-  AND triggered_at BETWEEN lo AND hi ORDER BY triggered_at, node_id LIMIT 20""",
+  AND (lo IS NULL OR triggered_at BETWEEN lo AND hi) ORDER BY triggered_at, node_id LIMIT 20""",
 )
 def _(spark, sf):
     """The busy hours' range bounds the decisions: one row of bounds, read as literals."""

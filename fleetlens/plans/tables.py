@@ -68,7 +68,7 @@ def hourly(spark: SparkSession, sf_dir: str, keys: list[str] | None = None) -> D
 def predictions(spark: SparkSession, sf_dir: str, keys: list[str] | None = None) -> DataFrame:
     keys = keys or []
     rolled = forecast.rolling_ema_forecast(hourly(spark, sf_dir, keys), keys)
-    p = F.round("predicted", 2)
+    p = F.round("predicted", 6)
     return rolled.select(
         *keys,
         F.col("ds").alias("predicted_at"),
@@ -190,9 +190,9 @@ def predictions_sql(keyed: bool) -> str:
   FROM metrics GROUP BY ALL), rolled AS (
   SELECT {key}ds, y, list(y) OVER ({part}ORDER BY ds ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS v
   FROM hourly), predictions AS (
-  SELECT {key}ds AS predicted_at, 10 AS horizon_minutes, round({ema_sql('v')}, 2) AS predicted_rps,
+  SELECT {key}ds AS predicted_at, 10 AS horizon_minutes, round({ema_sql('v')}, 6) AS predicted_rps,
          CAST(NULL AS DOUBLE) AS predicted_cpu, 0.6::DOUBLE AS confidence,
-         round({ema_sql('v')}, 2) AS lower_bound, round({ema_sql('v')}, 2) AS upper_bound,
+         round({ema_sql('v')}, 6) AS lower_bound, round({ema_sql('v')}, 6) AS upper_bound,
          0.0::DOUBLE AS spike_probability, 'ema_fallback' AS model_name
   FROM rolled)"""
 
