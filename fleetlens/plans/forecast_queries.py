@@ -129,7 +129,7 @@ def _(spark, sf):
 
 @query("forecast_best_model_by_node")
 def _(spark, sf):
-    """Every node from the model its history allows, with the trained spike classifier."""
+    """Every node from the model its history allows."""
     now = t.as_of(spark, sf)
     series = _series(spark, sf, ["node_id"], "30 minutes")
     return forecast.predict(series, series.select("node_id").distinct(), ["node_id"], now)
