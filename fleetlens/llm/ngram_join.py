@@ -311,9 +311,14 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     placed = shared.select("key", "sign").distinct().join(roots.withColumnRenamed("node", "key"), "key", "left")
     placed = keep(placed.select("key", "sign", F.coalesce("root", "key").alias("root")), "placed")
     open_ = placed.groupBy("sign").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.count("*").alias("members"),
+        F.bit_xor(F.xxhash64("key")).alias("print"),
     )
-    open_ = open_.where("low < high").select("sign", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    # near copies share many signatures: of those with the same sets, one is searched
+    open_ = open_.where("low < high").groupBy("low", "high", "members", "print").agg(F.min("sign").alias("sign"))
+    open_ = open_.select("sign", F.ceil(F.col("members") / BLOCK).alias("blocks"))
     sizes = sets.select("key", (F.length("members") / 8).cast("long").alias("n"), "parts")
     blocks = (
         placed.join(open_, "sign")
