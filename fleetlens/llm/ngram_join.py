@@ -228,27 +228,39 @@ def _sets(size: int):
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
-            for a, b in zip(batch.column(2), batch.column(3)):
+            tree: dict[int, int] = {}
+
+            def top(node: int) -> int:
+                while tree.setdefault(node, node) != node:
+                    tree[node] = node = tree[tree[node]]
+                return node
+
+            out_a, out_b = [], []
+            for i, j, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if top(i) == top(j):
+                    continue  # this batch has linked them already
                 x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 small, large = (x, y) if len(x) <= len(y) else (y, x)
                 if 100 * len(small) < percent * len(large):
-                    ok.append(False)
                     continue
                 at = np.searchsorted(large, small)
                 common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                ok.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "linked"])
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    tree[top(i)] = top(j)
+                    out_a.append(i)
+                    out_b.append(j)
+            yield pa.record_batch([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     return run
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of set keys whose sets link, by exact comparison."""
+    """Of the pairs (a, b) of set keys, links that join the same keys as all whose sets link do, by exact
+    comparison; links inside what a batch has joined already are left out."""
     left = sets.select(F.col("key").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("members").alias("y"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return both.mapInArrow(_similar(percent), "a long, b long, linked boolean").where("linked").select("a", "b")
+    return both.mapInArrow(_similar(percent), "a long, b long")
 
 
 def _close(percent: int):
@@ -330,8 +342,16 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         .select("sign", "lo", "hi", "half", "key", "root", "n", "parts")
     )
     close = blocks.groupBy("sign", "lo", "hi").applyInArrow(_close(percent), "a long, b long").distinct()
-    rest = verified(close, sets, percent)
-    final = components(linked.union(rest))
+    rest = keep(verified(close, sets, percent), "more_links")
+    # the new links join components, so only those are contracted again
+    of = roots.withColumnRenamed("root", "to")
+    joined = rest.join(of.withColumnRenamed("node", "a"), "a", "left").select("b", F.coalesce("to", "a").alias("a"))
+    joined = joined.join(of.withColumnRenamed("node", "b"), "b", "left").select("a", F.coalesce("to", "b").alias("b"))
+    upper = components(joined.distinct()).withColumnRenamed("root", "top")
+    lower = roots.union(upper.select("node", F.col("node"))).dropDuplicates(["node"])
+    final = lower.join(upper.withColumnRenamed("node", "root"), "root", "left").select(
+        "node", F.coalesce("top", "root").alias("root")
+    )
 
     classes = owners.join(final.withColumnRenamed("node", "key"), "key", "left").select(
         "doc_id", "n", "key", F.coalesce("root", "key").alias("root")
