@@ -135,7 +135,7 @@ def by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]
     return order, np.searchsorted(where[order], np.arange(buckets + 1))
 
 
-def _request(block: int, kind: str, hashes: np.ndarray, values: np.ndarray, buckets: int) -> pa.RecordBatch:
+def _request(block: int, hashes: np.ndarray, values: np.ndarray, buckets: int) -> pa.RecordBatch:
     order, bounds = by_bucket(hashes, buckets)
     full = np.flatnonzero(np.diff(bounds))
     ends = np.append(bounds[full], bounds[-1])
@@ -162,7 +162,7 @@ def _word_requests(buckets: int):
             for i in range(len(batch)):
                 block = Block.of(batch, i)
                 n = np.bincount(block.ids[block.learned], minlength=len(block.words))
-                yield _request(block.number, "word", block.words, n.astype(np.int64), buckets)
+                yield _request(block.number, block.words, n.astype(np.int64), buckets)
 
     return run
 
@@ -175,7 +175,7 @@ def _pair_requests(buckets: int):
                 first, second, place = block.pairs()
                 n = np.bincount(place[block.learned], minlength=len(first))
                 hashes = pair_hash(block.history_words()[first], block.words[second])
-                yield _request(block.number, "pair", hashes, n.astype(np.int64), buckets)
+                yield _request(block.number, hashes, n.astype(np.int64), buckets)
 
     return run
 
@@ -306,11 +306,11 @@ def _history_requests(buckets: int, unigrams: Unigrams, scale: np.ndarray):
         own = kept & told.speaks
         n = len(block.words) + 1
         used = scale[np.minimum(told.pair_totals[own], K + 1)] * told.pair_totals[own]
-        mass = np.bincount(first[own], used, n)
-        lower = np.bincount(first[own], unigrams.probability(told.counts[second[own]]), n)
+        mass = np.bincount(first[own], used, n).astype(np.float64)
+        lower = np.bincount(first[own], unigrams.probability(told.counts[second[own]]), n).astype(np.float64)
         asked = np.flatnonzero(np.bincount(first[kept], minlength=n))
         batch = _request(
-            block.number, "history", block.history_words()[asked], np.stack([mass[asked], lower[asked]], 1), buckets
+            block.number, block.history_words()[asked], np.stack([mass[asked], lower[asked]], 1), buckets
         )
         return pa.Table.from_batches([batch])
 
@@ -324,6 +324,7 @@ def _add_histories(table: pa.Table) -> pa.Table:
     lengths = pa.compute.list_value_length(table["keys"]).to_numpy()
     known, place = np.unique(keys, return_inverse=True)
     sums = np.stack([np.bincount(place, mass, len(known)), np.bincount(place, lower, len(known))], 1)
+    sums = sums.astype(np.float64)
     bounds = np.concatenate([[0], np.cumsum(lengths)])
     bits = sums.view(np.int64)
     return pa.concat_tables(
