@@ -4,10 +4,12 @@ A classifier learned from a labelled table gives every document a posterior over
 per document are then fitted so that the expected domain token totals, the sum of rate x tokens x
 posterior, match targets, by distributed projected-gradient least squares from r = 1:
 
-    minimise 1/2 |A r - t|^2 over r >= 0,   A[d, i] = tokens_i * posterior_i[d] / all tokens
+    minimise 1/2 (A r - t)' G^-1 (A r - t) over r >= 0,   A[d, i] = tokens_i * posterior_i[d] / all tokens
 
-The gradient is scaled by tokens (a metric in which the projection is still a clip at 0), so a rate moves
-by the posterior alone, whatever the document's length. Only the residual, one number a domain, travels
+with G the Gram matrix of the domains, sum of tokens_i * posterior_i posterior_i' / all tokens: overlapping
+or small domains are weighted so that one step solves the problem where no rate is clipped. The gradient is
+scaled by tokens (a metric in which the projection is still a clip at 0), so a rate moves by the posterior
+alone, whatever the document's length. Only the residual, one number a domain, travels
 to the driver in each round; a document's rate follows from its posterior and the residuals so far, so no
 state is rewritten and a lost executor costs nothing but its task.
 
@@ -85,7 +87,8 @@ def fit_rates(members: DataFrame, target: np.ndarray) -> tuple[list[np.ndarray],
     if not sums["all"]:
         return [], 0.0, np.zeros(width)
     gram = np.array([sums[f"g{i}_{j}"] for i, j in pairs]).reshape(width, width) / sums["all"]
-    size, steps = 1 / np.linalg.eigvalsh(gram).max(), []
+    weight = np.linalg.pinv(gram + 1e-9 * np.eye(width), hermitian=True)
+    size, steps = 1.0, []
     while True:
         rows = (
             members.select("n_tokens", "posteriors")
@@ -99,7 +102,7 @@ def fit_rates(members: DataFrame, target: np.ndarray) -> tuple[list[np.ndarray],
         if len(steps) >= ROUNDS or np.abs(reached - target).max() <= TOLERANCE:
             return steps, size, reached
         # rounded, so that the order of a sum does not reach the results
-        steps.append(np.round(np.array([r.ahead for r in rows]) / sums["all"] - target, 9))
+        steps.append(np.round(weight @ (np.array([r.ahead for r in rows]) / sums["all"] - target), 9))
 
 
 def _rated(steps: list[np.ndarray], size: float, width: int, names: list[str], place: int):
