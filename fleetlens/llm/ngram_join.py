@@ -9,10 +9,11 @@ to a signature. An empty partition is signed only by a set with more than SPARE
 that agree on empty partitions alone both have that many, so nothing is lost, while no signature is
 shared by everybody.
 
-Documents with equal sets form a class. Of all classes sharing a signature, each is first compared
-with the smallest; what that links is joined into components. Signatures that still hold several
-components are then searched pair by pair, in blocks of bounded size, after a lower bound on the
-difference (the distance of 64 part sizes) has thrown out what cannot link. All comparisons are exact.
+Documents with equal sets form a class. Each class is first compared with one other: of the smallest
+classes of its shared signatures, the most frequent. What that links is joined into components. Signatures
+that still hold several components are then searched pair by pair, in blocks of bounded size. A lower bound
+on the difference (the distance of 64 part sizes) throws out pairs that cannot link before their sets are
+made; all other comparisons are exact.
 
 Nulls, ties and odd rows: a null or blank text has an empty set and links with nothing; a null doc_id
 is kept as a row of its own; repeated rows are kept, the smallest doc_id names a component; other
@@ -98,9 +99,9 @@ def set_key(shingles: np.ndarray) -> np.uint64:
 
 SIGNED = pa.schema(
     [("bucket", pa.int64()), ("settled", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64())]
-    + [("signs", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
+    + [("parts", pa.binary()), ("signs", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
 )
-FOUND = "doc_id long, n long, key long, sign long, rep long"
+FOUND = "doc_id long, n long, key long, parts binary, sign long, rep long"
 
 
 def _signed_rows(buckets: int, signs: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -130,6 +131,7 @@ def _signed_rows(buckets: int, signs: np.ndarray, keys: np.ndarray) -> Iterator[
                 pa.array(full, pa.int64()),
                 pa.array(np.full(len(full), settled)),
                 *(pa.nulls(len(full), pa.int64()) for _ in range(3)),
+                pa.nulls(len(full), pa.binary()),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(s[by].view(np.int64))),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(k[by].view(np.int64))),
             ],
@@ -141,11 +143,13 @@ def _sign(size: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends, signs, keys, held = bands(percent, 1 << 40), [], [], 0
         for batch in batches:
-            n, own = [], []
+            n, own, parts = [], [], []
             for shingles in shingle_sets(batch.column(1), size):
                 key = set_key(shingles)
                 n.append(len(shingles))
                 own.append(key)
+                counts = np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=PARTS)
+                parts.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
                 signs.append(signatures(shingles, percent, ends))
                 keys.append(np.full(len(signs[-1]), key))
                 held += len(signs[-1])
@@ -160,6 +164,7 @@ def _sign(size: int, percent: int, buckets: int):
                     batch.column(0),
                     pa.array(n, pa.int64()),
                     pa.array(own_keys, pa.int64()),
+                    pa.array(parts, pa.binary()),
                     *(pa.nulls(len(n), pa.list_(pa.int64())) for _ in range(2)),
                 ],
                 schema=SIGNED,
@@ -173,7 +178,7 @@ def _sign(size: int, percent: int, buckets: int):
 def _shared(table: pa.Table) -> pa.Table:
     """Of one bucket: its documents, and the signatures that more than one set has."""
     docs = table.filter(pa.compute.is_null(table["settled"]))
-    parts = [docs.select(["doc_id", "n", "key"])]
+    parts = [docs.select(["doc_id", "n", "key", "parts"])]
     for settled in (False, True):
         rows = table.filter(pa.compute.equal(table["settled"], settled))
         for own in [rows] if not settled else [rows.slice(i, 1) for i in range(len(rows))]:
@@ -194,32 +199,26 @@ def _shared(table: pa.Table) -> pa.Table:
             parts.append(
                 pa.table({"key": keys[more].view(np.int64), "sign": signs[more].view(np.int64), "rep": reps[more].view(np.int64)})
             )
-    return pa.concat_tables(parts, promote_options="default").select(["doc_id", "n", "key", "sign", "rep"]) if len(
-        parts
-    ) > 1 else _padded(parts[0])
-
-
-def _padded(docs: pa.Table) -> pa.Table:
-    none = pa.nulls(len(docs), pa.int64())
-    return docs.append_column("sign", none).append_column("rep", none)
+    empty = pa.table({"sign": pa.array([], pa.int64()), "rep": pa.array([], pa.int64())})
+    return pa.concat_tables([*parts, empty], promote_options="default").select(
+        ["doc_id", "n", "key", "parts", "sign", "rep"]
+    )
 
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for batch in batches:
-            key, members, parts = [], [], []
+            key, members = [], []
             for shingles in shingle_sets(batch.column(0), size):
-                key.append(set_key(shingles))
-                members.append(shingles.tobytes())
-                counts = np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                parts.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+                own = set_key(shingles)
+                if own not in seen:  # rows of one doc_id are here together
+                    seen.add(own)
+                    key.append(own)
+                    members.append(shingles.tobytes())
             yield pa.record_batch(
-                [
-                    pa.array(np.array(key, np.uint64).view(np.int64), pa.int64()),
-                    pa.array(members, pa.binary()),
-                    pa.array(parts, pa.binary()),
-                ],
-                names=["key", "members", "parts"],
+                [pa.array(np.array(key, np.uint64).view(np.int64), pa.int64()), pa.array(members, pa.binary())],
+                names=["key", "members"],
             )
 
     return run
@@ -254,43 +253,76 @@ def _similar(percent: int):
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, info: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """Of the pairs (a, b) of set keys, links that join the same keys as all whose sets link do, by exact
-    comparison; links inside what a batch has joined already are left out."""
+    comparison; links inside what a batch has joined already are left out. The sets are made again from
+    one text of each key."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    needed = keep(info.join(wanted, "key", "left_semi").select("doc_id").distinct(), "needed")
+    texts = rows.join(needed, "doc_id", "left_semi").repartition("doc_id").select("text")
+    sets = keep(texts.mapInArrow(_sets(size), "key long, members binary"), "sets")
     left = sets.select(F.col("key").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("members").alias("y"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return both.mapInArrow(_similar(percent), "a long, b long")
+    return keep(both.mapInArrow(_similar(percent), "a long, b long"), "links")
+
+
+def _distance(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """A lower bound on the number of elements that two sets do not share."""
+    both = [np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16) for c in (x, y)]
+    return np.abs(both[0] - both[1]).sum(1)
+
+
+def _within(percent: int):
+    """Pairs (a, b, n, parts of either) that the bound lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
+            most = (100 - percent) * (na + nb) // (100 + percent)
+            ok = _distance(batch.column(4), batch.column(5)) <= most
+            yield pa.record_batch([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
+
+    return run
 
 
 def _close(percent: int):
-    """Pairs of one block that lie in different components and that the lower bound lets through."""
-
-    def run(table: pa.Table) -> pa.Table:
-        keys = table["key"].to_numpy()
-        order = np.argsort(keys)
-        keys = keys[order]
-        roots, sizes = table["root"].to_numpy()[order], table["n"].to_numpy()[order]
-        half, lo, hi = table["half"].to_numpy()[order], table["lo"][0].as_py(), table["hi"][0].as_py()
-        parts = np.frombuffer(b"".join(table["parts"].to_pylist()), np.uint8).reshape(-1, PARTS)[order].astype(np.int16)
-        out_a, out_b = [], []
-        for i in range(len(keys) - 1):
-            rest = slice(i + 1, None)
-            most = (100 - percent) * (sizes[i] + sizes[rest]) // (100 + percent)
-            wanted = roots[rest] != roots[i]
-            if lo != hi:
-                wanted &= half[rest] != half[i]
-            wanted &= np.abs(sizes[rest] - sizes[i]) <= most
-            at = np.flatnonzero(wanted)
-            if len(at):
-                far = np.abs(parts[rest][at] - parts[i]).sum(1)
-                at = at[far <= most[at]]
-                out_a.append(np.full(len(at), keys[i]))
-                out_b.append(keys[rest][at])
+    """Pairs of one block that lie in different components and that the bound lets through; rows come
+    sorted by block, and all blocks of a batch are compared at once, neighbour by neighbour."""
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        sign, lo, hi, half, key, root, n = (rows[c].to_numpy() for c in ("sign", "lo", "hi", "half", "key", "root", "n"))
+        parts = np.frombuffer(b"".join(rows["parts"].to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16)
+        at, out_a, out_b = np.arange(len(key)), [], []
+        for step in range(1, len(key)):
+            at = at[at + step < len(key)]
+            to = at + step
+            same = (sign[at] == sign[to]) & (lo[at] == lo[to]) & (hi[at] == hi[to])
+            at, to = at[same], to[same]
+            if not len(at):
+                break
+            most = (100 - percent) * (n[at] + n[to]) // (100 + percent)
+            ok = (root[at] != root[to]) & (np.abs(n[at] - n[to]) <= most) & ((lo[at] == hi[at]) | (half[at] != half[to]))
+            i, j = at[ok], to[ok]
+            near = np.abs(parts[i] - parts[j]).sum(1) <= most[ok]
+            out_a.append(np.minimum(key[i[near]], key[j[near]]))
+            out_b.append(np.maximum(key[i[near]], key[j[near]]))
         none = np.empty(0, np.int64)
-        return pa.table(
-            {"a": np.concatenate(out_a) if out_a else none, "b": np.concatenate(out_b) if out_b else none}
-        )
+        found = [np.concatenate(x) if x else none for x in (out_a, out_b)]
+        return pa.record_batch([pa.array(x) for x in found], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            block = np.stack([held[c].to_numpy() for c in ("sign", "lo", "hi")])
+            cuts = np.flatnonzero((block[:, 1:] != block[:, :-1]).any(0))
+            if len(cuts):  # the last block may go on in the next batch
+                yield pairs(held.slice(0, cuts[-1] + 1))
+                held = held.slice(cuts[-1] + 1)
+        if held is not None and len(held):
+            yield pairs(held)
 
     return run
 
@@ -302,21 +334,24 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = rows.mapInArrow(
         _sign(size, percent, buckets),
-        "bucket long, settled boolean, doc_id long, n long, key long, signs array<long>, keys array<long>",
+        "bucket long, settled boolean, doc_id long, n long, key long, parts binary, signs array<long>, keys array<long>",
     )
     found = keep(signed.groupBy("bucket").applyInArrow(_shared, FOUND), "signed")
     owners = found.where("sign is null").select("doc_id", "n", "key")
     shared = found.where("sign is not null").select("key", "sign", "rep")
 
-    # one document of each class that shares a signature, with its set
-    needed = owners.join(shared.select("key").distinct(), "key", "left_semi").where("doc_id is not null")
-    needed = keep(needed.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "needed")
-    texts = rows.join(needed.select("doc_id"), "doc_id", "left_semi").select("text")
-    sets = texts.mapInArrow(_sets(size), "key long, members binary, parts binary")
-    sets = keep(sets.dropDuplicates(["key"]), "sets")
-
-    first = shared.groupBy("key").agg(F.min("rep").alias("rep")).where("rep <> key")
-    linked = keep(verified(first.select(F.col("rep").alias("a"), F.col("key").alias("b")), sets, percent), "links")
+    # one document of each class that shares a signature
+    info = found.where("sign is null and doc_id is not null").join(shared.select("key").distinct(), "key", "left_semi")
+    info = keep(info.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parts").alias("parts")), "info")
+
+    # each class with the smallest class of most of its signatures
+    votes = shared.where("rep <> key").groupBy("key", "rep").agg(F.count("*").alias("votes"))
+    first = votes.groupBy("key").agg(F.max_by("rep", F.struct("votes", "rep")).alias("rep"))
+    sides = [info.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "parts"))) for x in "ab"]
+    first = first.join(sides[0], F.col("rep") == F.col("key_a")).join(sides[1], F.col("key") == F.col("key_b"))
+    first = first.select("key_a", "key_b", "n_a", "n_b", "parts_a", "parts_b")
+    first = keep(first.mapInArrow(_within(percent), "a long, b long"), "first")
+    linked = verified(first, info, rows, size, percent)
     roots = keep(components(linked), "roots")
 
     # signatures that still hold several components
@@ -331,18 +366,20 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     # near copies share many signatures: of those with the same sets, one is searched
     open_ = open_.where("low < high").groupBy("low", "high", "members", "print").agg(F.min("sign").alias("sign"))
     open_ = open_.select("sign", F.ceil(F.col("members") / BLOCK).alias("blocks"))
-    sizes = sets.select("key", (F.length("members") / 8).cast("long").alias("n"), "parts")
+    block = ["sign", "lo", "hi"]
     blocks = (
         placed.join(open_, "sign")
         .withColumn("half", F.pmod(F.xxhash64("key"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumn("lo", F.least("half", "other"))
         .withColumn("hi", F.greatest("half", "other"))
-        .join(sizes, "key")
-        .select("sign", "lo", "hi", "half", "key", "root", "n", "parts")
+        .join(info, "key")
+        .select(*block, "half", "key", "root", "n", "parts")
+        .repartition(*block)
+        .sortWithinPartitions(*block, "key")
     )
-    close = blocks.groupBy("sign", "lo", "hi").applyInArrow(_close(percent), "a long, b long").distinct()
-    rest = keep(verified(close, sets, percent), "more_links")
+    close = keep(blocks.mapInArrow(_close(percent), "a long, b long").distinct(), "close")
+    rest = verified(close, info, rows, size, percent)
     # the new links join components, so only those are contracted again
     of = roots.withColumnRenamed("root", "to")
     joined = rest.join(of.withColumnRenamed("node", "a"), "a", "left").select("b", F.coalesce("to", "a").alias("a"))
