@@ -2,12 +2,12 @@
 
 Sets whose sizes lie in the same or a neighbouring band (bands grow by 1/threshold) are the only ones
 that can link, and then differ in at most ``k`` elements, where k depends on the band alone. The
-element domain is cut by hash into ``k + 1 + SPARE`` partitions: two such sets agree on at least
-``1 + SPARE`` whole partitions. The enumerated subsets of partitions are the single ones (k2 = 0 in
-PartEnum's two levels, the choice with the fewest signatures), and each partition's content is hashed
-to a signature. An empty partition is signed only by a set with more than SPARE of them: any two sets
-that agree on empty partitions alone both have that many, so nothing is lost, while no signature is
-shared by everybody.
+element domain is cut by hash into n partitions, a few more than k + 1: two such sets agree on at least
+n - k whole partitions. The enumerated subsets of partitions are the single ones (k2 = 0 in PartEnum's two
+levels, the choice with the fewest signatures), and each partition's content is hashed to a signature. A
+set signs its empty partitions only where they are as many as the partitions on which it and a partner of
+its size are sure to agree: two sets that agree on empty partitions alone both have that many, so nothing
+is lost, while no signature is shared by everybody.
 
 Documents with equal sets form a class. Each class is first compared with one other: of the smallest
 classes of its shared signatures, the most frequent. What that links is joined into components. Signatures
@@ -34,7 +34,7 @@ from fleetlens.llm.links import components
 from fleetlens.llm.store import keep
 
 SHINGLE, PERCENT = 3, 90
-SPARE = 2
+SPARE = 3
 PARTS = 64
 #: Signatures that a task gathers before it hands them on, and members of a block of pairs.
 FLUSH, BLOCK = 1 << 20, 1024
@@ -75,19 +75,22 @@ def signatures(shingles: np.ndarray, percent: int, ends: np.ndarray) -> np.ndarr
     """PartEnum signatures of one set for its band and the next one."""
     if not len(shingles):
         return np.empty(0, np.uint64)
-    band = int(np.searchsorted(ends, len(shingles)))
+    size = len(shingles)
+    band = int(np.searchsorted(ends, size))
     mixed = tx.mix(shingles + np.uint64(0x51))
     out = []
     for b in (band, band + 1):
-        k = 2 * (100 - percent) * int(ends[b]) // (100 + percent)
-        n = k + 1 + SPARE
+        largest = int(ends[b])
+        n = 2 * (100 - percent) * largest // (100 + percent) + 1 + SPARE + largest // 64
+        # what this set and any partner here may differ in
+        own = (100 - percent) * (size + min(100 * size // percent, largest)) // (100 + percent)
         cuts = np.array([(i << 64) // n for i in range(n)], np.uint64)
         begins = np.searchsorted(shingles, cuts)
-        filled = np.diff(np.append(begins, len(shingles))) > 0
+        filled = np.diff(np.append(begins, size)) > 0
         places = np.arange(n, dtype=np.uint64)
         content = np.zeros(n, np.uint64)
         content[filled] = np.add.reduceat(mixed, begins[filled])
-        if n - filled.sum() <= SPARE:
+        if n - filled.sum() < n - own:
             places, content = places[filled], content[filled]
         out.append(tx.mix(tx.mix(content) + places * np.uint64(0x9E37) + np.uint64(b) * np.uint64(0x79B97F4A7C15)))
     return np.concatenate(out)
