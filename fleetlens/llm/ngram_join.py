@@ -12,8 +12,8 @@ is lost, while no signature is shared by everybody.
 Documents with equal sets form a class. Each class is first compared with one other: of the smallest
 classes of its shared signatures, the most frequent. What that links is joined into components. Signatures
 that still hold several components are then searched pair by pair, in blocks of bounded size. A lower bound
-on the difference (the distance of 64 part sizes) throws out pairs that cannot link before their sets are
-made; all other comparisons are exact.
+on the difference (the distance of 64 part sizes), and the number of signatures that two linked sets are sure
+to share, throw out pairs that cannot link before their sets are made; all other comparisons are exact.
 
 Nulls, ties and odd rows: a null or blank text has an empty set and links with nothing; a null doc_id
 is kept as a row of its own; repeated rows are kept, the smallest doc_id names a component; other
@@ -71,17 +71,22 @@ def bands(percent: int, upto: int) -> np.ndarray:
     return np.array(ends)
 
 
-def signatures(shingles: np.ndarray, percent: int, ends: np.ndarray) -> np.ndarray:
-    """PartEnum signatures of one set for its band and the next one."""
+def partitions(largest, percent: int):
+    """Number of partitions of the domain for sets of up to ``largest`` elements."""
+    return 2 * (100 - percent) * largest // (100 + percent) + 1 + SPARE + largest // 64
+
+
+def signatures(shingles: np.ndarray, percent: int, ends: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """PartEnum signatures of one set for its band and the next one, and its empty partitions in each."""
     if not len(shingles):
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), [0, 0]
     size = len(shingles)
     band = int(np.searchsorted(ends, size))
     mixed = tx.mix(shingles + np.uint64(0x51))
-    out = []
+    out, empty = [], []
     for b in (band, band + 1):
         largest = int(ends[b])
-        n = 2 * (100 - percent) * largest // (100 + percent) + 1 + SPARE + largest // 64
+        n = partitions(largest, percent)
         # what this set and any partner here may differ in
         own = (100 - percent) * (size + min(100 * size // percent, largest)) // (100 + percent)
         cuts = np.array([(i << 64) // n for i in range(n)], np.uint64)
@@ -90,10 +95,11 @@ def signatures(shingles: np.ndarray, percent: int, ends: np.ndarray) -> np.ndarr
         places = np.arange(n, dtype=np.uint64)
         content = np.zeros(n, np.uint64)
         content[filled] = np.add.reduceat(mixed, begins[filled])
-        if n - filled.sum() < n - own:
+        empty.append(n - int(filled.sum()))
+        if empty[-1] < n - own:
             places, content = places[filled], content[filled]
         out.append(tx.mix(tx.mix(content) + places * np.uint64(0x9E37) + np.uint64(b) * np.uint64(0x79B97F4A7C15)))
-    return np.concatenate(out)
+    return np.concatenate(out), empty
 
 
 def set_key(shingles: np.ndarray) -> np.uint64:
@@ -152,8 +158,9 @@ def _sign(size: int, percent: int, buckets: int):
                 n.append(len(shingles))
                 own.append(key)
                 counts = np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                parts.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
-                signs.append(signatures(shingles, percent, ends))
+                own_signs, empty = signatures(shingles, percent, ends)
+                parts.append(np.minimum(counts, 255).astype(np.uint8).tobytes() + np.array(empty, "<i4").tobytes())
+                signs.append(own_signs)
                 keys.append(np.full(len(signs[-1]), key))
                 held += len(signs[-1])
                 if held >= FLUSH:
@@ -270,10 +277,15 @@ def verified(pairs: DataFrame, info: DataFrame, rows: DataFrame, size: int, perc
     return keep(both.mapInArrow(_similar(percent), "a long, b long"), "links")
 
 
+def _parts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Part sizes, and empty partitions for the own and the next band."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS + 8)
+    return raw[:, :PARTS].astype(np.int16), np.ascontiguousarray(raw[:, PARTS:]).view("<i4")
+
+
 def _distance(x: pa.Array, y: pa.Array) -> np.ndarray:
     """A lower bound on the number of elements that two sets do not share."""
-    both = [np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16) for c in (x, y)]
-    return np.abs(both[0] - both[1]).sum(1)
+    return np.abs(_parts(x)[0] - _parts(y)[0]).sum(1)
 
 
 def _within(percent: int):
@@ -290,13 +302,16 @@ def _within(percent: int):
 
 
 def _close(percent: int):
-    """Pairs of one block that lie in different components and that the bound lets through; rows come
-    sorted by block, and all blocks of a batch are compared at once, neighbour by neighbour."""
+    """Pairs of one block that lie in different components and that the bound lets through, with the number
+    of signatures that hold them and the number that two linked sets are sure to share; rows come sorted
+    by block, and all blocks of a batch are compared at once, neighbour by neighbour."""
+    ends = bands(percent, 1 << 40)
 
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         sign, lo, hi, half, key, root, n = (rows[c].to_numpy() for c in ("sign", "lo", "hi", "half", "key", "root", "n"))
-        parts = np.frombuffer(b"".join(rows["parts"].to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16)
-        at, out_a, out_b = np.arange(len(key)), [], []
+        weight, (parts, empty) = rows["weight"].to_numpy(), _parts(rows["parts"])
+        band = np.searchsorted(ends, n)
+        at, out = np.arange(len(key)), []
         for step in range(1, len(key)):
             at = at[at + step < len(key)]
             to = at + step
@@ -305,14 +320,17 @@ def _close(percent: int):
             if not len(at):
                 break
             most = (100 - percent) * (n[at] + n[to]) // (100 + percent)
-            ok = (root[at] != root[to]) & (np.abs(n[at] - n[to]) <= most) & ((lo[at] == hi[at]) | (half[at] != half[to]))
+            ok = (root[at] != root[to]) & (np.abs(band[at] - band[to]) <= 1) & (np.abs(n[at] - n[to]) <= most) & ((lo[at] == hi[at]) | (half[at] != half[to]))
             i, j = at[ok], to[ok]
             near = np.abs(parts[i] - parts[j]).sum(1) <= most[ok]
-            out_a.append(np.minimum(key[i[near]], key[j[near]]))
-            out_b.append(np.maximum(key[i[near]], key[j[near]]))
+            i, j = i[near], j[near]
+            top = np.maximum(band[i], band[j])
+            free = np.minimum(empty[i, np.minimum(top - band[i], 1)], empty[j, np.minimum(top - band[j], 1)])
+            need = partitions(ends[top], percent) - (100 - percent) * (n[i] + n[j]) // (100 + percent) - free
+            out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j]), weight[i], need))
         none = np.empty(0, np.int64)
-        found = [np.concatenate(x) if x else none for x in (out_a, out_b)]
-        return pa.record_batch([pa.array(x) for x in found], names=["a", "b"])
+        found = [np.concatenate(x).astype(np.int64) for x in zip(*out)] if out else [none] * 4
+        return pa.record_batch([pa.array(x) for x in found], names=["a", "b", "weight", "need"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -367,8 +385,10 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         F.bit_xor(F.xxhash64("key")).alias("print"),
     )
     # near copies share many signatures: of those with the same sets, one is searched
-    open_ = open_.where("low < high").groupBy("low", "high", "members", "print").agg(F.min("sign").alias("sign"))
-    open_ = open_.select("sign", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    open_ = open_.where("low < high").groupBy("low", "high", "members", "print").agg(
+        F.min("sign").alias("sign"), F.count("*").alias("weight")
+    )
+    open_ = open_.select("sign", "weight", F.ceil(F.col("members") / BLOCK).alias("blocks"))
     block = ["sign", "lo", "hi"]
     blocks = (
         placed.join(open_, "sign")
@@ -377,11 +397,13 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         .withColumn("lo", F.least("half", "other"))
         .withColumn("hi", F.greatest("half", "other"))
         .join(info, "key")
-        .select(*block, "half", "key", "root", "n", "parts")
+        .select(*block, "half", "key", "root", "n", "parts", "weight")
         .repartition(*block)
         .sortWithinPartitions(*block, "key")
     )
-    close = keep(blocks.mapInArrow(_close(percent), "a long, b long").distinct(), "close")
+    close = blocks.mapInArrow(_close(percent), "a long, b long, weight long, need long")
+    close = close.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("need").alias("need"))
+    close = keep(close.where("weight >= need").select("a", "b"), "close")
     rest = verified(close, info, rows, size, percent)
     # the new links join components, so only those are contracted again
     of = roots.withColumnRenamed("root", "to")
