@@ -106,27 +106,32 @@ def user_permissions(users: DataFrame, roles: DataFrame, user: str = "user_id",
     )
 
 
-def access_audit(log: DataFrame, roles: DataFrame, held: str = "roles", required: str = "required") -> DataFrame:
+def access_audit(
+    log: DataFrame, roles: dict[str, list[str]] | None = None, held: str = "roles", required: str = "required"
+) -> DataFrame:
     """Add ``has_any`` and ``has_all`` of the required permissions to each request.
 
-    A request is judged by its own role list, so the decision is made once per
-    distinct (roles, required) pair and joined back.
+    A request is judged by its own role list against a map literal of the configured roles, so the log is
+    not shuffled. No roles (or NULL) grant nothing; without a required list both flags are false.
     """
-    pairs = log.select(held, required).distinct()
-    one = lambda c: F.explode_outer(c)
-    granted = (
-        pairs.select(held, required, one(F.col(held)).alias("role"))
-        .join(roles, "role", "left")
-        .groupBy(held, required)
-        .agg(F.collect_set("permission").alias("granted"))
+    none = F.array().cast("array<string>")
+    pairs = [
+        x
+        for role, permissions in (roles or ROLE_PERMISSIONS).items()
+        for x in (F.lit(role), F.array(*map(F.lit, permissions)).cast("array<string>"))
+    ]
+    granted = F.flatten(
+        F.transform(
+            F.coalesce(F.col(held), none), lambda role: F.coalesce(F.try_element_at(F.create_map(*pairs), role), none)
+        )
     )
-    judged = granted.select(
-        held,
-        required,
-        F.arrays_overlap("granted", required).alias("has_any"),
-        (F.size(F.array_except(required, "granted")) == 0).alias("has_all"),
+    return log.withColumns(
+        {
+            "has_any": F.coalesce(F.arrays_overlap(granted, required), F.lit(False)),
+            "has_all": F.coalesce(F.size(F.array_except(required, granted)) == 0, F.lit(False))
+            & F.col(required).isNotNull(),
+        }
     )
-    return log.join(judged, [held, required], "left")
 
 
 def granted_requests(log: DataFrame, permissions: DataFrame, user: str = "user_id", needs: str = "permission") -> DataFrame:

@@ -132,7 +132,7 @@ SELECT id, user_id, n.roles, n.required, coalesce(list_has_any(granted, n.requir
 FROM need n JOIN judged j ON j.roles = n.roles AND j.required = n.required""",
 )
 def _(spark, sf):
-    return registry.access_audit(_requests_with_needs(spark, sf), registry.role_table(spark))
+    return registry.access_audit(_requests_with_needs(spark, sf))
 
 
 def _needed(spark, sf):

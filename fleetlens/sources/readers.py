@@ -34,11 +34,11 @@ def read_metrics_stream(
     """Raw stream entries, one map of strings per row, in bounded batches.
 
     Files hold one JSON object per line. With ``kafka`` the options go to the
-    Kafka source and the entry is the JSON of the record's value.
+    Kafka source as they are (name ``maxOffsetsPerTrigger`` there to bound a
+    batch) and the entry is the JSON of the record's value.
     """
     if kafka:
-        options = {"maxOffsetsPerTrigger": str(files_per_trigger), **kafka}
-        raw = spark.readStream.format("kafka").options(**options).load()
+        raw = spark.readStream.format("kafka").options(**kafka).load()
         return raw.select(F.from_json(F.col("value").cast("string"), schemas.STREAM_ENTRY).alias("entry"))
     lines = (
         spark.readStream.format("text")
@@ -83,11 +83,20 @@ def normalise_requests(df: DataFrame, received_at: datetime | Column, request: s
     pick = lambda names: F.coalesce(*[F.col(request)[n] for n in names if n in fields])
     out = df.select(
         F.coalesce(F.col(request)["node_id"], F.lit(DEFAULT_NODE)).alias("node_id"),
-        F.coalesce(F.col(request)["timestamp"].cast("timestamp"), received.cast("timestamp")).alias("timestamp"),
+        F.when(F.col(request)["timestamp"].isNull(), received.cast("timestamp"))
+        .otherwise(F.col(request)["timestamp"].try_cast("timestamp"))
+        .alias("timestamp"),
         *[pick(INGEST_ALIASES[n]).cast("double").alias(n) for n in METRIC_VALUES[:-1]],
         F.coalesce(pick(INGEST_ALIASES["disk_usage"]), F.lit(DEFAULT_DISK)).cast("double").alias("disk_usage"),
     )
-    return out.dropna(subset=METRIC_VALUES)
+    return out.dropna(subset=["timestamp", *METRIC_VALUES])
+
+
+def refused_requests(df: DataFrame, request: str = "request") -> DataFrame:
+    """The requests that ``normalise_requests`` keeps out: no usable value for a metric, or a time that
+    does not parse."""
+    fields = set(df.schema[request].dataType.fieldNames())
+    return df.where(~_complete_metric(F.col(request), fields))
 
 
 def parse_json_requests(df: DataFrame, column: str, received_at: datetime | Column) -> DataFrame:
@@ -98,15 +107,26 @@ def parse_json_requests(df: DataFrame, column: str, received_at: datetime | Colu
 def explode_bulk(
     df: DataFrame, column: str, received_at: datetime | Column
 ) -> tuple[DataFrame, DataFrame]:
-    """Bulk request bodies to metric rows; bodies of a wrong size are rejected whole."""
+    """Bulk request bodies to metric rows; a body of a wrong size, or with any metric that would be
+    refused on its own, is rejected whole."""
     if isinstance(df.schema[column].dataType, T.StringType):
         body = F.from_json(column, schemas.BULK_REQUEST)["metrics"]
     else:
         body = F.col(column)["metrics"]
     sized = df.withColumn("_metrics", body)
     fits = F.coalesce(F.size("_metrics").between(BULK_MIN, BULK_MAX), F.lit(False))
-    rows = sized.filter(fits).select(F.explode("_metrics").alias("request"))
-    return normalise_requests(rows, received_at), sized.filter(~fits).drop("_metrics")
+    fields = set(sized.schema["_metrics"].dataType.elementType.fieldNames())
+    good = F.coalesce(F.forall("_metrics", lambda m: _complete_metric(m, fields)), F.lit(False))
+    rows = sized.filter(fits & good).select(F.explode("_metrics").alias("request"))
+    return normalise_requests(rows, received_at), sized.filter(~(fits & good)).drop("_metrics")
+
+
+def _complete_metric(metric: Column, fields: set[str]) -> Column:
+    ok = metric["timestamp"].isNull() | metric["timestamp"].try_cast("timestamp").isNotNull()
+    for name in METRIC_VALUES[:-1]:
+        given = [metric[n] for n in INGEST_ALIASES[name] if n in fields]
+        ok = ok & (F.coalesce(*given).isNotNull() if given else F.lit(False))
+    return F.coalesce(ok, F.lit(False))
 
 
 def encode_entries(metrics: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -237,3 +237,23 @@ def test_checkpoint_dir_comes_from_the_session():
     assert session.checkpoint_dir(_Stub("local[2]"))
     with pytest.raises(ValueError):
         session.checkpoint_dir(_Stub("yarn"))
+
+
+def test_bulk_with_one_bad_metric_is_refused_whole(spark):
+    good = '{"node_id":"a","cpu":1,"memory":2,"network_in":1,"network_out":1}'
+    bodies = [
+        (1, '{"metrics":[%s]}' % good),
+        (2, '{"metrics":[%s,{"node_id":"b","memory":2}]}' % good),
+        (3, '{"metrics":[%s]}' % good.replace('"cpu":1', '"cpu":1,"timestamp":"garbage"')),
+    ]
+    df = spark.createDataFrame(bodies, "id int, body string")
+    rows, refused = readers.explode_bulk(df, "body", T0)
+    whole = {r.id for r in refused.collect()}
+    assert {2, 3} <= whole and rows.count() == 3 - len(whole)
+
+
+def test_access_audit_without_roles(spark):
+    log = spark.createDataFrame([(1, None, ["x"]), (2, [], ["x"]), (3, [None], [])], "id int, roles array<string>, required array<string>")
+    out = registry.access_audit(log)
+    assert [(r.has_any, r.has_all) for r in out.orderBy("id").collect()] == [(False, False), (False, False), (False, True)]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
