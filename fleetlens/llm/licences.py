@@ -88,9 +88,18 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, dice: float = D
     sizes = sorted({r[3] for r in rows})
     known = spark.createDataFrame(rows, "licence string, gram string, times long, bag long")
     low, high = dice / (2 - dice), (2 - dice) / dice
-    in_bounds = F.lit(False)
+    ranges: list[list[float]] = []
     for size in sizes:
-        in_bounds = in_bounds | F.col("n").between(size * low - 1e-9, size * high + 1e-9)
+        if ranges and size * low <= ranges[-1][1]:
+            ranges[-1][1] = size * high
+        else:
+            ranges.append([size * low, size * high])
+    in_bounds = F.lit(False)
+    for least, most in ranges:
+        in_bounds = in_bounds | F.col("n").between(least - 1e-9, most + 1e-9)
+
+    def once(value):  # a generated column is made once, not again in each expression that uses it
+        return F.explode(F.array(value))
 
     def parts(kind: str, separator: str) -> DataFrame:
         cut = docs.select(
@@ -100,11 +109,11 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, dice: float = D
         )
         if kind == "paragraph":  # one of a single line is that line
             cut = cut.where(F.instr(F.trim("raw"), "\n") > 0)
-        return cut.select("doc_id", "row", F.lit(kind).alias("part"), "place", _normal(F.col("raw")).alias("plain"))
+        return cut.select("doc_id", "row", F.lit(kind).alias("part"), "place", once(_normal(F.col("raw"))).alias("plain"))
 
     passages = parts("line", "\n").union(parts("paragraph", "\n[ \\t\\r]*\n"))
     passages = passages.withColumn("n", F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))))
-    words = passages.where(in_bounds).withColumn("words", F.split("plain", " "))
+    words = passages.where(in_bounds).select("doc_id", "row", "part", "place", "n", once(F.split("plain", " ")).alias("words"))
     grams = words.select(
         "doc_id",
         "row",
