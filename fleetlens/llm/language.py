@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlens.llm import text as tx
+from fleetlens.llm.store import bound_batches
 
 BUCKETS = 1 << 14
 SIZES = (2, 3, 4)
@@ -124,6 +125,7 @@ class LanguageModel:
 
 def train(rows: DataFrame) -> LanguageModel | None:
     """Learn from all rows with a language (columns text, lang)."""
+    bound_batches(rows.sparkSession)
     known = rows.where("lang is not null").select(F.col("text").cast("string"), F.col("lang").cast("string"))
     counts = (
         known.mapInArrow(_count, "lang string, bucket long, n long")
@@ -187,6 +189,7 @@ def _predict(model: LanguageModel | None, place: int):
 
 def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """The documents with lang_pred, score and ambiguous."""
+    bound_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score", "ambiguous").withColumn("text", F.col("text").cast("string"))
     schema = T.StructType(
         [

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm import text as tx
 from fleetlens.llm.links import components
-from fleetlens.llm.store import keep
+from fleetlens.llm.store import bound_batches, keep
 
 SHINGLE, PERCENT = 3, 90
 SPARE = 3
@@ -351,6 +351,7 @@ def _close(percent: int):
 def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
+    bound_batches(spark)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = rows.mapInArrow(

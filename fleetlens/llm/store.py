@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a batch that goes to Python, whatever the length of its texts (a longer text is a batch by itself).
+BATCH_BYTES = 4 << 20
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -25,6 +28,13 @@ def shared_folder(spark: SparkSession) -> str:
     return known
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Batches of the session hold at most ``BATCH_BYTES``: a task keeps several copies of each, in the
+    executor's native memory and in Python's. Frames are run after an operator has returned, so the setting
+    stays; it changes no result."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/fleetlens-{uuid.uuid4().hex}/{name}"
 

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from fleetlens.llm import text as tx
 from fleetlens.llm.language import remainder
-from fleetlens.llm.store import keep
+from fleetlens.llm.store import bound_batches, keep
 
 BUCKETS, WIDTH = 1 << 14, 16
 SAMPLE, EPOCHS, BATCH, RATE = 6000, 12, 64, 0.02
@@ -105,6 +105,7 @@ def sample_labelled(docs: DataFrame, labelled: DataFrame, most: int = SAMPLE) ->
 
 def fit(rows: DataFrame, classes: list[str] | None = None, epochs: int = EPOCHS) -> SubwordModel:
     """Fit on rows (text, label); the caller bounds their number."""
+    bound_batches(rows.sparkSession)
     data = rows.mapInArrow(_sparse, "label string, places binary, values binary").toArrow()
     labels = data["label"].to_pylist()
     names = sorted(set(labels)) if classes is None else list(classes)
@@ -168,6 +169,7 @@ def _apply(model: SubwordModel, place: int):
 
 def classify(docs: DataFrame, model: SubwordModel) -> DataFrame:
     """The documents with posteriors (in the order of ``model.classes``) and n_tokens."""
+    bound_batches(docs.sparkSession)
     docs = docs.drop("posteriors", "n_tokens").withColumn("text", F.col("text").cast("string"))
     schema = T.StructType(
         [
