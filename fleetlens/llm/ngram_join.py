@@ -36,8 +36,8 @@ from fleetlens.llm.store import bound_batches, keep
 SHINGLE, PERCENT = 3, 90
 SPARE = 3
 PARTS = 64
-#: Signatures that a task gathers before it hands them on, and members of a block of pairs.
-FLUSH, BLOCK = 1 << 20, 1024
+#: Signatures, or pairs, that a task gathers before it hands them on, and members of a block of pairs.
+FLUSH, BLOCK = 1 << 18, 1024
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -307,11 +307,15 @@ def _close(percent: int):
     by block, and all blocks of a batch are compared at once, neighbour by neighbour."""
     ends = bands(percent, 1 << 40)
 
-    def pairs(rows: pa.Table) -> pa.RecordBatch:
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        columns = [np.concatenate(x).astype(np.int64) for x in zip(*found)]
+        return pa.record_batch([pa.array(x) for x in columns], names=["a", "b", "weight", "need"])
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         sign, lo, hi, half, key, root, n = (rows[c].to_numpy() for c in ("sign", "lo", "hi", "half", "key", "root", "n"))
         weight, (parts, empty) = rows["weight"].to_numpy(), _parts(rows["parts"])
         band = np.searchsorted(ends, n)
-        at, out = np.arange(len(key)), []
+        at, out, held = np.arange(len(key)), [], 0
         for step in range(1, len(key)):
             at = at[at + step < len(key)]
             to = at + step
@@ -328,9 +332,12 @@ def _close(percent: int):
             free = np.minimum(empty[i, np.minimum(top - band[i], 1)], empty[j, np.minimum(top - band[j], 1)])
             need = partitions(ends[top], percent) - (100 - percent) * (n[i] + n[j]) // (100 + percent) - free
             out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j]), weight[i], need))
-        none = np.empty(0, np.int64)
-        found = [np.concatenate(x).astype(np.int64) for x in zip(*out)] if out else [none] * 4
-        return pa.record_batch([pa.array(x) for x in found], names=["a", "b", "weight", "need"])
+            held += len(i)
+            if held >= FLUSH:
+                yield batch_of(out)
+                out, held = [], 0
+        if out:
+            yield batch_of(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -340,10 +347,10 @@ def _close(percent: int):
             block = np.stack([held[c].to_numpy() for c in ("sign", "lo", "hi")])
             cuts = np.flatnonzero((block[:, 1:] != block[:, :-1]).any(0))
             if len(cuts):  # the last block may go on in the next batch
-                yield pairs(held.slice(0, cuts[-1] + 1))
+                yield from pairs(held.slice(0, cuts[-1] + 1))
                 held = held.slice(cuts[-1] + 1)
         if held is not None and len(held):
-            yield pairs(held)
+            yield from pairs(held)
 
     return run
 
