@@ -77,6 +77,19 @@ def template_bigrams(templates: dict[str, str]) -> list[tuple[str, str, int, int
     return rows
 
 
+def _known(spark: SparkSession, rows: list[tuple[str, str, int, int]]) -> DataFrame:
+    """The template table as literal rows: the optimizer knows its true size, so passages need no shuffle
+    to meet it as long as it lies below Spark's broadcast threshold."""
+    if not rows:
+        return spark.createDataFrame([], "licence string, gram string, times long, bag long")
+
+    def quoted(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    values = ", ".join(f"({quoted(name)}, {quoted(gram)}, {times}L, {bag}L)" for name, gram, times, bag in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS known(licence, gram, times, bag)")
+
+
 def _normal(text):
     return F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9]+", " "))
 
@@ -86,7 +99,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, dice: float = D
     spark: SparkSession = docs.sparkSession
     rows = template_bigrams(templates)
     sizes = sorted({r[3] for r in rows})
-    known = spark.createDataFrame(rows, "licence string, gram string, times long, bag long")
+    known = _known(spark, rows)
     low, high = dice / (2 - dice), (2 - dice) / dice
     ranges: list[list[float]] = []
     for size in sizes:
