@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.functions.skew import ordered_rank
+
 ROOT_NAME = "trace_root"
-CHUNK_SPANS = 1000
+SLOT_SECONDS = 60.0
 
 
 def trace_id_from_headers(headers: str) -> Column:
@@ -54,39 +56,33 @@ def trace_rollup(spans: DataFrame, as_of: float) -> DataFrame:
 
 
 def export_traces(
-    spans: DataFrame, as_of: float, service: str, environment: str, chunk: int = CHUNK_SPANS
+    spans: DataFrame, as_of: float, service: str, environment: str, slot_s: float = SLOT_SECONDS
 ) -> DataFrame:
-    """Traces with their spans nested.
+    """Traces with their spans: one row per span, beside the roll-up of its trace.
 
-    A trace of up to ``chunk`` spans is one row. A larger one continues over
-    rows ``part`` 0..n-1 with about ``chunk`` spans each, so no task ever holds
-    a whole oversized trace.
+    ``position`` counts the spans of a trace from 1 by (start_time, span_id). It is ranked inside slots
+    of ``slot_s`` seconds, so that a trace of any size has the same shape and no task holds a whole one.
     """
-    rollup = trace_rollup(spans, as_of)
-    sizes = spans.groupBy("trace_id").agg(F.count("*").alias("_n"))
-    heads = rollup.join(sizes, "trace_id").withColumn("parts", F.ceil(F.col("_n") / chunk)).drop("_n")
-    columns = [c for c in spans.columns if c != "trace_id"]
-    nested = F.struct(F.col("start_time"), "span_id", *[c for c in columns if c not in ("start_time", "span_id")], "duration_ms")
-    rows = (
-        with_duration(spans, as_of)
-        .select("trace_id", F.col("span_id").alias("_sid"), nested.alias("_span"))
-        .join(heads.select("trace_id", "parts"), "trace_id")
-        .withColumn("part", F.pmod(F.xxhash64("_sid"), F.col("parts")))
+    heads = trace_rollup(spans, as_of).select(
+        "trace_id",
+        F.col("start_time").alias("trace_start_time"),
+        F.col("duration_ms").alias("trace_duration_ms"),
+        "span_count",
     )
-    lists = rows.groupBy("trace_id", "part").agg(F.collect_list("_span").alias("spans"))
-    return (
-        lists.join(heads, "trace_id")
-        .select(
-            "trace_id",
-            F.lit(service).alias("service"),
-            F.lit(environment).alias("environment"),
-            "start_time",
-            "duration_ms",
-            "span_count",
-            "part",
-            "parts",
-            "spans",
-        )
+    slot = F.coalesce(F.floor(F.col("start_time") / slot_s), F.lit(-1).cast("long"))
+    slotted = with_duration(spans, as_of).withColumn("_slot", slot)
+    ranked = ordered_rank(slotted, ["trace_id"], "_slot", [F.col("start_time"), F.col("span_id")], "position")
+    columns = [c for c in spans.columns if c != "trace_id"]
+    return ranked.join(heads, "trace_id").select(
+        "trace_id",
+        F.lit(service).alias("service"),
+        F.lit(environment).alias("environment"),
+        "trace_start_time",
+        "trace_duration_ms",
+        "span_count",
+        "position",
+        *columns,
+        "duration_ms",
     )
 
 

@@ -49,16 +49,21 @@ def _(spark, sf):
 
 @query(
     "trace_export",
-    f"""WITH {t.SPANS}, {ROLLUP} SELECT trace_id, 'api' AS service, 'production' AS environment,
-  round(any_value(r.start_time), 6) AS start_time, round(any_value(r.duration_ms), 3) AS duration_ms,
-  any_value(span_count) AS span_count, 0::BIGINT AS part, 1::BIGINT AS parts,
-  list_sort(list(span_id)) AS span_ids FROM spans s JOIN rollup r USING (trace_id) GROUP BY trace_id""",
+    f"""WITH {t.SPANS}, {ROLLUP}, kept AS (
+  SELECT CAST(event_id AS VARCHAR) AS span_id, props FROM events)
+SELECT trace_id, 'api' AS service, 'production' AS environment, round(r.start_time, 6) AS trace_start_time,
+  round(r.duration_ms, 3) AS trace_duration_ms, span_count,
+  row_number() OVER (PARTITION BY trace_id ORDER BY s.start_time, s.span_id) AS position,
+  name, s.span_id, parent_span_id, round(s.start_time, 6) AS start_time, round(end_time, 6) AS end_time,
+  json_extract_string(props, '$.k') AS attribute_k, status, error,
+  round({DUR.replace("start_time", "s.start_time")}, 3) AS duration_ms
+FROM spans s JOIN rollup r USING (trace_id) JOIN kept USING (span_id)""",
 )
 def _(spark, sf):
     out = traces.export_traces(telemetry.spans(spark, sf), _now(spark, sf), "api", "production")
-    ids = F.array_sort(F.transform("spans", lambda s: s["span_id"])).alias("span_ids")
-    flat = out.select(*[c for c in out.columns if c != "spans"], ids)
-    return rounded(flat.withColumn("duration_ms", F.round("duration_ms", 3)))
+    times = {name: F.round(name, 3) for name in ("duration_ms", "trace_duration_ms")}
+    flat = out.withColumn("attribute_k", F.col("attributes")["k"]).drop("attributes")
+    return rounded(flat.withColumns(times).withColumn("position", F.col("position").cast("long")))
 
 
 @query("spans_of_trace", f"WITH {t.SPANS} SELECT {SPAN_COLS} FROM spans WHERE trace_id = '7'")

@@ -75,14 +75,18 @@ def test_headers(spark):
     assert got[:3] == ["abc", "t1", "c1"] and len(got[3]) == 36
 
 
-def test_large_trace_is_split_and_whole(spark):
+def test_traces_of_all_sizes_have_one_shape(spark):
     rows = [("s", "t", str(i), None if i == 0 else "0", float(i), float(i + 1), "OK", None) for i in range(5000)]
+    rows += [("s", "u", str(i), None if i == 0 else "0", 7.0, 8.0, "OK", None) for i in range(3)]
     spans = spark.createDataFrame(
         rows, "name string, trace_id string, span_id string, parent_span_id string, start_time double, end_time double, status string, error string"
     )
-    out = traces.export_traces(spans, 1e4, "api", "test", chunk=500).collect()
-    assert len(out) == 10 and {r["parts"] for r in out} == {10}
-    assert sum(len(r["spans"]) for r in out) == 5000 and out[0]["span_count"] == 5000
+    out = traces.export_traces(spans, 1e4, "api", "test").orderBy("trace_id", "position").collect()
+    large, small = [r for r in out if r["trace_id"] == "t"], [r for r in out if r["trace_id"] == "u"]
+    assert [r["position"] for r in large] == list(range(1, 5001))
+    assert [r["span_id"] for r in large] == [str(i) for i in range(5000)]
+    assert [(r["position"], r["span_id"]) for r in small] == [(1, "0"), (2, "1"), (3, "2")]
+    assert {r["span_count"] for r in large} == {5000} and {r["span_count"] for r in small} == {3}
 
 
 def test_roles(spark):
