@@ -19,15 +19,22 @@ def mean_path(n: np.ndarray | float) -> np.ndarray:
 
 
 def grow_forest(data: np.ndarray, trees: int, tree_rows: int, seed: int) -> dict:
-    """Flat heaps of ``trees`` trees: feature (-1 marks a leaf), cut, path length."""
+    """Trees over ``tree_rows`` rows each, drawn from ``data``."""
     rng = np.random.default_rng(seed)
     size = min(tree_rows, len(data))
+    drawn = np.concatenate([rng.choice(len(data), size, replace=False) for _ in range(trees)])
+    return grow_trees(data[drawn], np.repeat(np.arange(trees), size), trees, seed)
+
+
+def grow_trees(points: np.ndarray, tree: np.ndarray, trees: int, seed: int) -> dict:
+    """Flat heaps of ``trees`` trees over their drawn points: feature (-1 marks a leaf), cut, path length."""
+    rng = np.random.default_rng(seed)
+    size = int(np.bincount(tree).max())
     levels = int(np.ceil(np.log2(max(size, 2))))
     cells = 2 ** (levels + 1) - 1
-    points = np.concatenate([data[rng.choice(len(data), size, replace=False)] for _ in range(trees)])
     feature = np.full(trees * cells, -1, dtype="int32")
     cut, depth = np.zeros(trees * cells), np.zeros(trees * cells)
-    at = np.repeat(np.arange(trees) * cells, size)
+    at = tree * cells
     for level in range(levels + 1):
         order = np.argsort(at, kind="stable")
         points, at = points[order], at[order]
@@ -49,8 +56,8 @@ def grow_forest(data: np.ndarray, trees: int, tree_rows: int, seed: int) -> dict
         if len(at) == 0:
             break
         right = points[np.arange(len(at)), chosen[member]] > value[member]
-        tree = at // cells
-        at = tree * cells + 2 * (at - tree * cells) + 1 + right
+        heap = at // cells * cells
+        at = heap + 2 * (at - heap) + 1 + right
     return {
         "feature": feature.tolist(),
         "cut": cut.tolist(),

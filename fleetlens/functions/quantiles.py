@@ -22,6 +22,7 @@ def exact_percentiles(
     2. One aggregate counts the rows below each bracket.
     3. Only rows inside a bracket, about ``2 n / accuracy`` of them, are
        counted per distinct value and ranked, which gives the exact answer.
+       A bracket that does not hold its rank is an error, never a wrong answer.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(
         F.col("_v").isNotNull() & ~F.isnan("_v")
@@ -112,9 +113,14 @@ def _rank_inside(joined: DataFrame, keys: list[str], probs: dict[str, float]) ->
         F.min(F.when(F.col("_end") > lower, F.col("_v"))).alias("_a"),
         F.min(F.when(F.col("_end") > upper, F.col("_v"))).alias("_z"),
         F.first("_rank").alias("_rank"),
+        F.min(F.col("_end") - F.col("_c")).alias("_below"),
+        F.max("_end").alias("_upto"),
     )
     share = F.col("_rank") - F.floor("_rank")
-    result = at.withColumn("_q", F.col("_a") + (F.col("_z") - F.col("_a")) * share)
+    held = (F.col("_below") <= lower) & (F.col("_upto") > upper)
+    exact = F.col("_a") + (F.col("_z") - F.col("_a")) * share
+    missed = F.raise_error(F.lit("the bracket of a percentile does not hold its rank")).cast("double")
+    result = at.withColumn("_q", F.when(held, exact).otherwise(missed))
     columns = [F.max(F.when(F.col("_name") == name, F.col("_q"))).alias(name) for name in probs]
     return result.groupBy(*keys).agg(*columns)
 

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import instant, resolve_as_of, since
-from fleetlens.functions.forest import grow_forest, score_rows
+from fleetlens.functions.forest import grow_trees, score_rows
 from fleetlens.functions.present import exact_round, fixed
 from fleetlens.functions.quantiles import exact_percentiles
+from fleetlens.functions.skew import newest_per_key
 from fleetlens.operators.reads import latest_per_node, lookback
 from fleetlens.params import RULE_TEXT, Thresholds
 from fleetlens.session import cut_lineage
@@ -109,15 +110,16 @@ def alerts_from_anomalies(anomalies: DataFrame) -> DataFrame:
 # Per-node isolation forest
 # ---------------------------------------------------------------------------
 #
-# A tree looks at no more than TREE_ROWS rows, so a forest needs a bounded,
-# uniformly drawn pool of a node's rows and not the node's whole group. Fitting
-# is one small task per node; scoring and the contamination cut-off run over
-# all rows, split into (node, slice) groups of bounded size.
+# A tree looks at no more than TREE_ROWS rows: those of its node with the lowest
+# hash of (row, tree), whatever the node's size. So a forest needs TREES times
+# that many rows and not the node's whole group. Fitting is one small task per
+# node; scoring and the contamination cut-off run over all rows, split into
+# (node, slice) groups of bounded size.
 
 
 def _fit_node(key: tuple, pool: pd.DataFrame) -> pd.DataFrame:
-    data = pool[FEATURES].to_numpy("float32")
-    model = grow_forest(data, TREES, TREE_ROWS, SEED)
+    pool = pool.sort_values(["_tree", "_rank", "_draw"])
+    model = grow_trees(pool[FEATURES].to_numpy("float32"), pool["_tree"].to_numpy("int64"), TREES, SEED)
     return pd.DataFrame({"node_id": [key[0]], **{name: [value] for name, value in model.items()}})
 
 
@@ -154,21 +156,26 @@ def detect_outliers(
     as_of = resolve_as_of(metrics, "timestamp", as_of)
     keep = ["node_id", "timestamp", *(["id"] if "id" in metrics.columns else []), *FEATURES]
     window = lookback(metrics, "timestamp", window_minutes, as_of).select(*keep)
-    draw = F.abs(F.xxhash64(*[F.col(c) for c in keep], F.lit(SEED)))
+    draw = F.xxhash64(*[F.col(c) for c in keep], F.lit(SEED))
     counts = window.groupBy("node_id").agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") >= min_rows)
     gated = window.join(counts, "node_id").withColumn("_draw", draw)
     slices = F.greatest(F.ceil(F.col("n_rows") / slice_rows), F.lit(1))
     sliced = gated.withColumn("_slice", F.pmod(F.col("_draw"), slices))
 
-    # A uniform pool: every row whose draw falls below pool / n of the range,
-    # with slack, so the pool is bounded for a hot node and whole for others.
-    pool_rows = TREES * TREE_ROWS
-    share = F.least(F.lit(1.0), F.lit(float(pool_rows)) / F.col("n_rows"))
-    pool = gated.filter(F.col("_draw") <= share * F.lit(float(2**63 - 1)))
+    # The TREE_ROWS lowest hashes of a tree lie within the lowest 2 * TREE_ROWS / n of the range
+    # (short of a chance near 1e-35), so only about as many rows per tree reach the ranking.
+    share = F.least(F.lit(1.0), F.lit(2.0 * TREE_ROWS) / F.col("n_rows"))
+    bound = (share * 2 - 1) * F.lit(float(2**63))
+    ranks = F.transform(
+        F.sequence(F.lit(0), F.lit(TREES - 1)),
+        lambda tree: F.struct(tree.alias("_tree"), F.xxhash64(F.col("_draw"), tree).alias("_rank")),
+    )
+    lowest = F.filter(ranks, lambda r: r["_rank"].cast("double") <= bound)
+    drawn = gated.select("node_id", *FEATURES, "_draw", F.inline(lowest))
+    pool = newest_per_key(drawn, ["node_id", "_tree"], [F.col("_rank"), F.col("_draw")], TREE_ROWS)
     tasks = int(metrics.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     forests = (
-        pool.select("node_id", *FEATURES)
-        .repartition(tasks, "node_id")  # a given count is not coalesced: the work is CPU, not bytes
+        pool.repartition(tasks, "node_id")  # a given count is not coalesced: the work is CPU, not bytes
         .groupBy("node_id")
         .applyInPandas(_fit_node, FOREST_SCHEMA)
     )
