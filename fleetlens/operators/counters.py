@@ -336,8 +336,8 @@ def against_earlier(points: DataFrame, keys: Keys, value: str, offset_s: int, fa
 
 
 def instant_values(samples: DataFrame, keys: Keys, time: str = "ts") -> DataFrame:
-    """Newest value of each series."""
-    return newest_per_key(samples, keys, [F.col(time).desc()]).select(*keys, time, "value")
+    """Newest value of each series; of samples with the same time, the largest."""
+    return newest_per_key(samples, keys, [F.col(time).desc(), F.col("value").desc()]).select(*keys, time, "value")
 
 
 def state_name(value: Column) -> Column:

@@ -125,13 +125,14 @@ def filter_severity(alerts: DataFrame, tab: str = "all") -> DataFrame:
 def scale_transitions(
     events: DataFrame, start: datetime | None = None, end: datetime | None = None, limit: int = 20
 ) -> DataFrame:
-    """Decisions that changed the replica count, oldest first."""
+    """Decisions that changed the replica count, oldest first, then by node."""
     rows = events.filter((F.col("action") != "no_change") & (F.col("prev_replicas") != F.col("new_replicas")))
     if start is not None:
         rows = rows.filter(F.col("triggered_at") >= instant(events, "triggered_at", start))
     if end is not None:
         rows = rows.filter(F.col("triggered_at") <= instant(events, "triggered_at", end))
-    return rows.orderBy("triggered_at").limit(limit)
+    ties = [c for c in ("node_id", "prev_replicas", "new_replicas", "reason") if c in events.columns]
+    return rows.orderBy("triggered_at", *ties).limit(limit)
 
 
 def count_by_prefix(metrics: DataFrame, prefix: str) -> DataFrame:

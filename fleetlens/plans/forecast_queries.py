@@ -142,34 +142,40 @@ def _(spark, sf):
 
 @query(
     "model_choice",
-    f"""WITH {t.METRICS}, counts AS (SELECT node_id, id % 3 AS shard, count(DISTINCT time_bucket(INTERVAL '6 hours', "timestamp")) AS n
-  FROM metrics WHERE cpu_usage > 97 GROUP BY ALL)
-SELECT node_id, shard, n, CASE WHEN n >= 2016 THEN 'prophet_lstm' WHEN n >= 8 THEN 'arima_fallback'
+    f"""WITH {t.METRICS}, counts AS (
+  SELECT node_id, width_s, count(DISTINCT epoch_us("timestamp") // (width_s::BIGINT * 1000000)) AS n
+  FROM metrics, (VALUES (300), (21600), (2592000)) w(width_s) GROUP BY ALL)
+SELECT node_id, width_s, n, CASE WHEN n >= 2016 THEN 'prophet_lstm' WHEN n >= 8 THEN 'arima_fallback'
   WHEN n >= 1 THEN 'ema_fallback' ELSE 'insufficient_data' END AS model_name FROM counts""",
 )
 def _(spark, sf):
-    m = telemetry.metrics(spark, sf).filter(F.col("cpu_usage") > 97).withColumn("shard", F.col("id") % 3)
-    buckets = m.select("node_id", "shard", F.window("timestamp", "6 hours").alias("_w")).distinct()
-    counts = buckets.groupBy("node_id", "shard").agg(F.count("*").alias("n"))
-    return forecast.choose_model(counts, ["node_id", "shard"])
+    """The model that each node's history allows at three bucket widths."""
+    widths = F.explode(F.array(F.lit(300), F.lit(21_600), F.lit(2_592_000))).alias("width_s")
+    buckets = telemetry.metrics(spark, sf).select("node_id", F.unix_seconds(F.col("timestamp").cast("timestamp")).alias("_s"), widths)
+    buckets = buckets.select("node_id", "width_s", F.floor(F.col("_s") / F.col("width_s")).alias("_b")).distinct()
+    counts = buckets.groupBy("node_id", "width_s").agg(F.count("*").alias("n"))
+    return forecast.choose_model(counts, ["node_id", "width_s"])
 
 
 @query(
     "models_due_for_training",
-    f"""WITH {t.METRICS}, counts AS (SELECT node_id, count(DISTINCT time_bucket(INTERVAL '5 minutes', "timestamp")) * 2 AS n
-  FROM metrics GROUP BY 1), reg AS (
-  SELECT node_id, min("timestamp") + INTERVAL 710 HOUR + id_shift * INTERVAL 1 HOUR AS trained_at FROM
-    (SELECT node_id, "timestamp", CAST(right(node_id, 1) AS INT) * 2 AS id_shift FROM metrics WHERE node_id <> 'node-6')
-  GROUP BY node_id, id_shift)
+    f"""WITH {t.METRICS}, cut AS (SELECT node_id, "timestamp", time_bucket(INTERVAL '5 minutes', "timestamp") AS b FROM metrics),
+counts AS (
+  SELECT node_id, count(DISTINCT b) AS n FROM cut GROUP BY 1
+  UNION ALL SELECT 'fleet', count(DISTINCT b) FROM cut), reg AS (
+  SELECT node_id, min("timestamp") + INTERVAL 710 HOUR + CAST(right(node_id, 1) AS INT) * 2 * INTERVAL 1 HOUR AS trained_at
+  FROM cut GROUP BY node_id)
 SELECT c.node_id, n, trained_at, (trained_at IS NULL OR epoch_us({t.AS_OF}) - epoch_us(trained_at) >= 21600000000)
   AND n >= 2016 AS retrain FROM counts c LEFT JOIN reg r ON r.node_id = c.node_id""",
 )
 def _(spark, sf):
+    """Every node's series and the fleet's, which has no fitted model yet."""
     m = telemetry.metrics(spark, sf)
     buckets = m.select("node_id", F.window("timestamp", "5 minutes").alias("_w")).distinct()
-    counts = buckets.groupBy("node_id").agg((F.count("*") * 2).alias("n"))
+    fleet = buckets.select("_w").distinct().agg(F.lit("fleet").alias("node_id"), F.count("*").alias("n"))
+    counts = buckets.groupBy("node_id").agg(F.count("*").alias("n")).unionByName(fleet)
     shift = F.expr("make_dt_interval(0, 710 + CAST(right(node_id, 1) AS INT) * 2)")
-    registry = m.filter(F.col("node_id") != "node-6").groupBy("node_id").agg(F.min("timestamp").alias("_first"))
+    registry = m.groupBy("node_id").agg(F.min("timestamp").alias("_first"))
     registry = registry.select("node_id", (F.col("_first") + shift).alias("trained_at"))
     return forecast.needs_training(counts, registry, ["node_id"], t.as_of(spark, sf))
 

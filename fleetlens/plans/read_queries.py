@@ -113,13 +113,12 @@ def _(spark, sf):
     "scale_transitions",
     f"""WITH RECURSIVE {t.SCALING} SELECT node_id, triggered_at, action, prev_replicas, new_replicas, reason
 FROM scaling_events WHERE action <> 'no_change' AND prev_replicas <> new_replicas
-  AND triggered_at >= {t.AS_OF} - INTERVAL 10 DAY AND triggered_at <= {t.AS_OF} - INTERVAL 2 DAY AND node_id = 'node-2'
-ORDER BY triggered_at LIMIT 20""",
+  AND triggered_at >= {t.AS_OF} - INTERVAL 10 DAY AND triggered_at <= {t.AS_OF} - INTERVAL 2 DAY
+ORDER BY triggered_at, node_id, prev_replicas, new_replicas, reason LIMIT 20""",
 )
 def _(spark, sf):
     now = t.as_of(spark, sf)
-    events = t.scaling_events(spark, sf).filter(F.col("node_id") == "node-2")
-    return reads.scale_transitions(events, now - timedelta(days=10), now - timedelta(days=2))
+    return reads.scale_transitions(t.scaling_events(spark, sf), now - timedelta(days=10), now - timedelta(days=2))
 
 
 @query("node_prefix_count", f"WITH {t.METRICS} SELECT count(*) AS rows FROM metrics WHERE node_id LIKE 'node-1%'")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import instant
 from fleetlens.functions.present import rounded
+from fleetlens.functions.quantiles import exact_percentiles
+from fleetlens.functions.skew import side_by_side
 from fleetlens.operators import summaries
 from fleetlens.plans import tables as t
 from fleetlens.plans.catalog import query
@@ -219,13 +221,17 @@ def _load_stats(spark, sf):
     cells = [
         F.count("*").alias("Request Count"),
         F.count_if(F.col("status") == "500").alias("Failure Count"),
-        F.avg("duration_s").alias("Average Response Time"),
-        F.max("duration_s").alias("95%"),
-        F.max("duration_s").alias("99%"),
+        F.avg("ms").alias("Average Response Time"),
         (F.count("*") / 600.0).alias("Requests/s"),
     ]
-    each = r.groupBy(F.col("method").alias("Type"), path.alias("Name")).agg(*cells)
-    total = r.agg(*cells).select(F.lit(None).cast("string").alias("Type"), F.lit("Aggregated").alias("Name"), "*")
+    timed = r.select(
+        F.col("method").alias("Type"), path.alias("Name"), "status", (F.col("duration_s") * 1000).alias("ms")
+    )
+    tails = {"95%": 0.95, "99%": 0.99}
+    named = ["Type", "Name"]
+    each = timed.groupBy(*named).agg(*cells).join(exact_percentiles(timed, named, "ms", tails), named)
+    total = side_by_side(timed.agg(*cells), exact_percentiles(timed, [], "ms", tails))
+    total = total.select(F.lit(None).cast("string").alias("Type"), F.lit("Aggregated").alias("Name"), "*")
     return each.unionByName(total)
 
 
@@ -249,7 +255,8 @@ STATS_SQL = t.REQUESTS + """, named AS (SELECT method AS "Type", CASE WHEN metho
 @query(
     "load_test_summary",
     f"""WITH {STATS_SQL} SELECT count(*) AS total_requests, count(*) FILTER (status = '500') AS failures,
-  round(avg(duration_s), 6) AS avg_ms, round(max(duration_s), 6) AS p95_ms, round(max(duration_s), 6) AS p99_ms,
+  round(avg(duration_s * 1000), 6) AS avg_ms, round(quantile_cont(duration_s * 1000, 0.95), 6) AS p95_ms,
+  round(quantile_cont(duration_s * 1000, 0.99), 6) AS p99_ms,
   round(count(*) / 600.0, 6) AS sustained_rps,
   (count(*) FILTER ("Name" = '/api/metrics/bulk') * 20)::BIGINT AS estimated_metrics,
   (SELECT round(max(n) / 3600.0, 6) FROM (SELECT count(*) AS n FROM events GROUP BY time_bucket(INTERVAL '1 hour', ts))) AS peak_rps,
@@ -263,11 +270,12 @@ def _(spark, sf):
 @query(
     "load_test_endpoints",
     f"""WITH {STATS_SQL} SELECT "Type" AS method, "Name" AS endpoint, count(*) AS requests,
-  count(*) FILTER (status = '500') AS failures, max(duration_s) AS p95_ms, max(duration_s) AS p99_ms
+  count(*) FILTER (status = '500') AS failures, round(quantile_cont(duration_s * 1000, 0.95), 6) AS p95_ms,
+  round(quantile_cont(duration_s * 1000, 0.99), 6) AS p99_ms
 FROM named GROUP BY ALL""",
 )
 def _(spark, sf):
-    return summaries.load_test_endpoints(_load_stats(spark, sf))
+    return rounded(summaries.load_test_endpoints(_load_stats(spark, sf)))
 
 
 @query(
