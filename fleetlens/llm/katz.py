@@ -1,12 +1,13 @@
 """Language-model scoring by Katz backoff over word bigrams with Good-Turing discounts.
 
-    P(w | h) = d(c) c(h w) / c(h)      if c(h w) >= 2          (d from the counts of counts, 1 above K)
+    P(w | h) = d(c) c(h w) / c(h)      if c(h w) >= least      (d from the counts of counts, 1 above K)
              = alpha(h) P(w)           otherwise
     P(w)     = d(c) c(w) / N           if w was seen, else the mass left over, for the one unknown word
 
 alpha(h) is exact: the mass that the kept bigrams of h leave, over the unigram mass of all words outside
-them, so P(. | h) adds up to 1 over the vocabulary and the unknown word. Bigrams seen once count as
-unseen, at every size of the corpus, as in Katz's own experiments.
+them, so P(. | h) adds up to 1 over the vocabulary and the unknown word. The query keeps every bigram that
+was seen (least = 1); ``build`` alone takes those seen once as unseen, as in Katz's own experiments, unless
+it is told otherwise.
 
 The texts are cut into blocks, stored in a table bucketed by block. What a block needs from the corpus it
 asks for: its distinct words (and later word pairs) go, packed by bucket, to the task that adds up the
@@ -293,9 +294,14 @@ def _history_counts(block: Block, counts: np.ndarray, texts: int) -> np.ndarray:
     return np.append(counts, texts).astype(np.float64)
 
 
+def _asked(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Histories of a block's pairs that the corpus may hold; their kept bigrams may all stand in other blocks."""
+    return np.flatnonzero((np.bincount(first, minlength=len(counts) + 1) > 0) & np.append(counts > 0, True))
+
+
 def _history_requests(buckets: int, unigrams: Unigrams, scale: np.ndarray):
-    """Of one block: the histories that stand before a kept bigram here, with the discounted counts and
-    unigram mass of those bigrams that this block speaks for."""
+    """Of one block: the histories that stand here, with the discounted counts and unigram mass of those
+    kept bigrams that this block speaks for."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         block = Block.of(left, 0)
@@ -308,7 +314,7 @@ def _history_requests(buckets: int, unigrams: Unigrams, scale: np.ndarray):
         used = scale[np.minimum(told.pair_totals[own], K + 1)] * told.pair_totals[own]
         mass = np.bincount(first[own], used, n).astype(np.float64)
         lower = np.bincount(first[own], unigrams.probability(told.counts[second[own]]), n).astype(np.float64)
-        asked = np.flatnonzero(np.bincount(first[kept], minlength=n))
+        asked = _asked(first, told.counts)
         batch = _request(
             block.number, block.history_words()[asked], np.stack([mass[asked], lower[asked]], 1), buckets
         )
@@ -371,7 +377,7 @@ def _scores(buckets: int, unigrams: Unigrams, scale: np.ndarray, texts: int):
         told = _replies(block, right, buckets, hashes)
         n = len(block.words) + 1
         kept = told.pair_totals > 0
-        asked = np.flatnonzero(np.bincount(first[kept], minlength=n))
+        asked = _asked(first, told.counts)
         mass, lower = np.zeros(n), np.zeros(n)
         if len(asked):
             order, _ = by_bucket(block.history_words()[asked], buckets)
@@ -435,8 +441,9 @@ class KatzModel:
         return self.blocks.groupBy("block").cogroup(told.groupBy("to")).applyInArrow(run, SCORES)
 
 
-def build(docs: DataFrame, learn, block_tokens: int = BLOCK_TOKENS) -> KatzModel:
-    """Count, discount and normalise; ``learn`` is a column that marks the rows to learn from."""
+def build(docs: DataFrame, learn, block_tokens: int = BLOCK_TOKENS, least: int = 2) -> KatzModel:
+    """Count, discount and normalise; ``learn`` is a column that marks the rows to learn from, ``least`` the
+    count from which a bigram is kept."""
     spark = docs.sparkSession
     shared_folder(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -456,7 +463,7 @@ def build(docs: DataFrame, learn, block_tokens: int = BLOCK_TOKENS) -> KatzModel
     words = totals(_word_requests(buckets), 1, "words")
     *sizes, tokens = _sizes(words)
     unigrams = Unigrams.of(np.array(sizes), int(tokens))
-    pairs = totals(_pair_requests(buckets), 2, "pairs")
+    pairs = totals(_pair_requests(buckets), least, "pairs")
     scale = discounts(_sizes(pairs)[:-1])
     texts = rows.where("learn").count()
     model = KatzModel(blocks, words, pairs, pairs, unigrams, scale, texts, buckets)
@@ -473,6 +480,6 @@ def build(docs: DataFrame, learn, block_tokens: int = BLOCK_TOKENS) -> KatzModel
 
 
 def katz_query(docs: DataFrame) -> DataFrame:
-    model = build(docs, remainder("doc_id", 5) != 1)
+    model = build(docs, remainder("doc_id", 5) != 1, least=1)
     held_out = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False)).alias("held_out")
     return model.scores().select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")

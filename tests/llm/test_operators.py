@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -362,6 +363,43 @@ def test_katz_against_a_plain_model(spark):
     assert {r.score for r in katz.build(docs, F.lit(False)).scores().collect()} == {0.0}
 
 
+def test_katz_query_keeps_bigrams_seen_once(spark):
+    rng = random.Random(5)
+    word = lambda: f"w{min(int(rng.paretovariate(1.1)), 400)}"
+    rows = [(i, " ".join(word() for _ in range(rng.randrange(1, 60)))) for i in range(120)]
+    rows += [(501, "never seen"), (None, "w1 w2 never")]
+    got = {r.doc_id: r for r in katz.katz_query(docs_of(spark, rows)).collect()}
+    tokens = {i: [*re.findall(r"[^\x20\x09-\x0D]+", fold(t)), "</s>"] for i, t in rows}
+    held_out = [i for i in tokens if i is not None and zlib.crc32(str(i).encode()) % 5 == 1]
+    known = [i for i in tokens if i is not None and i not in held_out]
+    uni = Counter(w for i in known for w in tokens[i])
+    bi = Counter(p for i in known for p in zip(["<s>", *tokens[i]], tokens[i]))
+    history = Counter(h for i in known for h in ["<s>", *tokens[i]][:-1])
+    sizes = lambda counts: np.array([sum(c == r for c in counts.values()) for r in range(1, 7)] + [0])
+    level, scale = katz.Unigrams.of(sizes(uni), sum(uni.values())), katz.discounts(sizes(bi))
+    assert 0 < scale[1] < 1
+    p1 = lambda w: float(level.probability(np.array([uni[w]]))[0])
+    kept = defaultdict(dict)
+    for (h, w), c in bi.items():
+        kept[h][w] = scale[min(c, 6)] * c
+
+    def chance(h, w):
+        own = kept.get(h, {})
+        whole = history[h] if history[h] - sum(own.values()) > 1e-9 * history[h] else history[h] + 1
+        if w in own:
+            return own[w] / whole
+        return (1 - sum(own.values()) / whole) / (1 - sum(map(p1, own))) * p1(w) if own else p1(w)
+
+    once = 0
+    for i, own in tokens.items():
+        pairs = list(zip(["<s>", *own], own))
+        once += sum(bi[p] == 1 for p in pairs) if i in held_out else 0
+        assert got[i].score == pytest.approx(sum(math.log10(chance(*p)) for p in pairs), abs=1e-7)
+    assert once > 10
+    for h in ["<s>", *list(uni)[:20]]:
+        assert sum(chance(h, w) for w in [*uni, "unknown"]) == pytest.approx(1, abs=1e-9)
+
+
 # ---- pipeline
 
 
