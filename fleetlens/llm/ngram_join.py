@@ -150,7 +150,7 @@ def _signed_rows(buckets: int, signs: np.ndarray, keys: np.ndarray) -> Iterator[
 
 def _sign(size: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends, signs, keys, held = bands(percent, 1 << 40), [], [], 0
+        ends, signs, keys, held, at = bands(percent, 1 << 40), [], [], 0, 0
         for batch in batches:
             n, own, parts = [], [], []
             for shingles in shingle_sets(batch.column(1), size):
@@ -167,9 +167,13 @@ def _sign(size: int, percent: int, buckets: int):
                     yield from _signed_rows(buckets, np.concatenate(signs), np.concatenate(keys))
                     signs, keys, held = [], [], 0
             own_keys = np.array(own, np.uint64).view(np.int64)
+            # documents need no meeting, so equal texts and equal ids are dealt out by their place too
+            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            spread = tx.mix(tx.mix(ids) + np.arange(at, at + len(n), dtype=np.uint64))
+            at += len(n)
             yield pa.record_batch(
                 [
-                    pa.array((np.array(own, np.uint64) % np.uint64(buckets)).astype(np.int64), pa.int64()),
+                    pa.array((spread % np.uint64(buckets)).astype(np.int64), pa.int64()),
                     pa.nulls(len(n), pa.bool_()),
                     batch.column(0),
                     pa.array(n, pa.int64()),

@@ -139,6 +139,14 @@ def test_ngram_join_odd_rows(spark):
     assert ngram_join.ngram_join(docs_of(spark, ODD).limit(0)).count() == 0
 
 
+def test_ngram_join_deals_equal_texts_over_all_buckets():
+    for ids, texts in (([7] * 3200, ["a b c d e"] * 3200), ([None] * 3200, [None] * 3200), (range(3200), [""] * 3200)):
+        batch = pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+        out = pa.Table.from_batches(ngram_join._sign(3, 90, 32)(iter([batch.slice(0, 1000), batch.slice(1000)])))
+        rows = out.filter(pa.compute.is_null(out["settled"]))
+        assert len(rows) == 3200 and max(Counter(rows["bucket"].to_pylist()).values()) < 200
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
