@@ -5,9 +5,9 @@ Parquet in the shared folder and reads it back for the next stage. All stages bu
 columns of their input; the last adds n_tokens, domain, rate and copies.
 
 Nulls, ties and odd rows: a document without letters (a null or empty text among them) is rejected by the
-first stage; rows with a null doc_id are judged by their text, and neither the duplicate stage nor the
-contamination stage, which name documents by id, rejects them; repeated rows of one doc_id are one document
-and stay or go together; an empty table stays empty.
+first stage; the duplicate stage and the contamination stage number the rows and judge each by its own text,
+whether its doc_id is null, repeated or unique; of a group of duplicates the row with the smallest doc_id
+stays (nulls last, then the smallest row number); an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -23,10 +23,20 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Documents whose doc_id is not in ``rejected``."""
-    gone = keep(rejected.where("doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), "rejected")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a unique row number, stored so that every pass reads the same numbers."""
+    return keep(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def _by_row(numbered: DataFrame) -> DataFrame:
+    """The texts, named by their row numbers."""
+    return numbered.select(F.col("_row").alias("doc_id"), "text")
+
+
+def _without(numbered: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows whose number is not in ``rejected``."""
+    gone = keep(rejected.select(F.col("_row").alias("_gone")), "rejected")
+    return numbered.join(gone, F.col("_row") == F.col("_gone"), "left_anti").drop("_row")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +52,22 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2 with five words and a similarity of 0.8: the smallest doc_id of a group stays."""
-    found = ngram_join.ngram_join(docs, size=5, percent=80)
-    return _without(docs, found.where("component_id < doc_id"))
+    """Operator 2 with five words and a similarity of 0.8: the row with the smallest doc_id of a group stays."""
+    numbered = _numbered(docs)
+    found = ngram_join.ngram_join(_by_row(numbered), size=5, percent=80).where("n_shingles > 0")
+    placed = found.select(F.col("doc_id").alias("_row"), "component_id")
+    placed = keep(placed.join(numbered.select("_row", "doc_id"), "_row"), "placed")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    stay = placed.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first._row").alias("_row"))
+    return _without(numbered, placed.join(stay, "_row", "left_anti"))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: rejects documents that hold benchmark passages."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontaminate.decontaminate(docs, items).where("contaminated"))
+    numbered = _numbered(docs)
+    found = decontaminate.decontaminate(_by_row(numbered), items).where("contaminated")
+    return _without(numbered, found.select(F.col("doc_id").alias("_row")))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -430,3 +430,21 @@ def test_pipeline_stages_keep_what_they_should(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_pipeline_judges_rows_with_null_and_repeated_ids(spark):
+    words = [f"v{i}" for i in range(100)]
+    link = [*words[:92], *(f"x{i}" for i in range(8))]
+    far = [*(f"y{i}" for i in range(8)), *link[8:]]
+    other, copied = (" ".join(f"{c}{i}" for i in range(30)) for c in "pq")
+    rows = [(4, " ".join(far)), (None, " ".join(link)), (3, " ".join(words)), (None, copied), (None, copied)]
+    rows += [(8, copied + " q30"), (8, other), (9, other), (9, other), (10, ""), (10, "")]
+    got = corpus_pipeline.one_of_each_group(spark, docs_of(spark, rows), SF).collect()
+    want = [(3, " ".join(words)), (8, copied + " q30"), (8, other), (10, ""), (10, "")]
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(want)
+    nameless = corpus_pipeline.one_of_each_group(spark, docs_of(spark, [(None, copied)] * 3), SF).collect()
+    assert [(r.doc_id, r.text) for r in nameless] == [(None, copied)]
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").limit(1).collect()
+    bad = items[0].text
+    got = corpus_pipeline.uncontaminated(spark, docs_of(spark, [(None, bad), (7, bad), (7, other), (None, other)]), SF)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(7, other), (None, other)]))
