@@ -17,7 +17,9 @@ from fleetlens.llm import (
     mixing,
     near_vectors,
     ngram_join,
+    spelling,
     subword,
+    token_alignment,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,3 +153,55 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_katz_scores")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.katz_query(table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents"))[0]
+
+
+SPELLING_SQL = rf"""
+WITH RECURSIVE bits(b, c, k) AS (
+  SELECT b, b, 0 FROM range(256) t(b)
+  UNION ALL
+  SELECT b, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+run AS (
+  SELECT doc_id, unnest(regexp_extract_all({FOLD}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents),
+seen AS (SELECT doc_id, r, count(*) AS n FROM run GROUP BY ALL),
+hashed AS (
+  SELECT r, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+             string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r, ''),
+             lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+                       ELSE [195, CAST(unicode(c) AS BIGINT) - 64] END))),
+           lambda h, x: xor(h >> 8, t[CAST(xor(h, x) & 255 AS INTEGER) + 1])), 4294967295) AS h
+  FROM seen, crc),
+made AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, CAST(h % length(r) AS INTEGER)) || substr(r, CAST(h % length(r) AS INTEGER) + 2)
+              ELSE r END AS word, n FROM hashed),
+w AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+gap AS MATERIALIZED (
+  SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS g
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM w)),
+pair AS (
+  SELECT a.word AS x, b.word AS y FROM gap a JOIN gap b ON a.p = b.p AND a.g = b.g AND a.word <> b.word
+  UNION SELECT gap.word, w.word FROM gap JOIN w ON gap.g = w.word
+  UNION SELECT w.word, gap.word FROM gap JOIN w ON gap.g = w.word),
+near AS MATERIALIZED (
+  SELECT x, count(*) AS n_near, max(w.n) AS most,
+         min(struct_pack(less := -w.n, code := encode(y), word := y)).word AS best
+  FROM pair JOIN w ON w.word = y GROUP BY x),
+step AS MATERIALIZED (SELECT x AS word, best AS form, most AS form_n FROM near JOIN w ON w.word = x WHERE most >= 2 * n),
+walk(word, root) AS (
+  SELECT word, form FROM step UNION ALL SELECT walk.word, form FROM walk JOIN step ON walk.root = step.word),
+ends AS (SELECT word, root FROM walk WHERE root NOT IN (SELECT word FROM step))
+SELECT w.word, form, coalesce(root, w.word) AS root, n, coalesce(n_near, 0) AS n_near, form_n
+FROM w LEFT JOIN near ON near.x = w.word LEFT JOIN step ON step.word = w.word LEFT JOIN ends ON ends.word = w.word
+"""
+
+
+@query("op13_spelling_variants", SPELLING_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
