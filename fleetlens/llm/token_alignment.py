@@ -188,10 +188,10 @@ def align(pair: Pair, ids_a: list[list[int]], ids_b: list[list[int]]) -> Aligned
 def _encoded(files: Tokenizers):
     """Rows of one task: documents with their packed links, the pairs of each chunk, the vector of exact groups."""
 
-    def rows(kind: int, n: int, **columns) -> pa.RecordBatch:
-        made = {"kind": pa.array(np.full(n, kind, np.int8))} | columns
+    def rows(kind: int, size: int, **columns) -> pa.RecordBatch:
+        made = {"kind": pa.array(np.full(size, kind, np.int8))} | columns
         return pa.record_batch(
-            [made[f.name].cast(f.type) if f.name in made else pa.nulls(n, f.type) for f in _SCHEMA], schema=_SCHEMA
+            [made[f.name].cast(f.type) if f.name in made else pa.nulls(size, f.type) for f in _SCHEMA], schema=_SCHEMA
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
