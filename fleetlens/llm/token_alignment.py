@@ -303,14 +303,14 @@ def align_tokens(docs: DataFrame, files: Tokenizers = Tokenizers()) -> tuple[Dat
     exact_n, exact_best = np.zeros(pair.size_a, np.int64), np.zeros(pair.size_a, bool)
     ids = vector["pair"].to_numpy(np.int64) // pair.size_b
     exact_n[ids], exact_best[ids] = vector["total"], vector["best"]
-    asked = encoded.where(F.col("kind") == PAIR).select("chunk", "pair")
-    totals = asked.join(counts, "pair").select("chunk", "pair", "total", "best")
+    asked = encoded.where(F.col("kind") == PAIR).select(F.col("chunk").alias("of"), "pair")
+    totals = asked.join(counts, "pair").select("of", "pair", "total", "best")
     held = encoded.where(F.col("kind") == DOC).select(
         "chunk", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "exact", "pairs"
     )
     scored = (
         held.groupBy("chunk")
-        .cogroup(totals.groupBy("chunk"))
+        .cogroup(totals.groupBy("of"))
         .applyInArrow(
             _scored(pair.size_a, pair.size_b, exact_n, exact_best),
             "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
