@@ -17,6 +17,7 @@ from fleetlens.llm import (
     mixing,
     near_vectors,
     ngram_join,
+    repeats,
     spelling,
     subword,
     token_alignment,
@@ -155,6 +156,44 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.katz_query(table(spark, sf_dir, "documents"))
 
 
+REPEATS_SQL = """
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS MATERIALIZED (
+  SELECT doc_id, i, substr(h, 2 * i - 1, 100) AS g
+  FROM (SELECT doc_id, h, unnest(range(1, length(h) // 2 - 48)) AS i FROM d WHERE length(h) >= 100)),
+low AS (SELECT g, min(doc_id) AS least FROM win GROUP BY g),
+hit AS (SELECT doc_id, i FROM win JOIN low USING (g) WHERE least < doc_id),
+mark AS (
+  SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS lead FROM hit),
+run AS (
+  SELECT doc_id, min(i) AS s, max(i) + 49 AS e
+  FROM (SELECT *, sum(lead) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM mark) GROUP BY doc_id, k),
+cut AS (
+  SELECT doc_id, s, e, substr(h, 2 * e + 1, 2 * (coalesce(lead(s) OVER (PARTITION BY doc_id ORDER BY s), length(h) // 2 + 1) - e - 1)) AS rest
+  FROM run JOIN d USING (doc_id)),
+gone AS (
+  SELECT doc_id, min(s) AS s, count(*) AS n_spans, sum(e - s + 1) AS n_removed, string_agg(rest, '' ORDER BY s) AS rest
+  FROM cut GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans > 0 THEN substr(h, 1, 2 * (s - 1)) || rest ELSE h END)) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+
+@query("op11_repeats", REPEATS_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op12_token_alignment")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_tokens(table(spark, sf_dir, "documents"))[0]
