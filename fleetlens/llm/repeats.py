@@ -1,9 +1,10 @@
 """Repeated strings of ``length`` bytes between documents, found by suffix arrays over shards.
 
 Every string of ``length`` bytes contains 16-byte grams; the smallest hash among them is a function of the
-string, so equal strings share it wherever they stand. Texts are cut into pieces (runs of positions with one
-such hash) and dealt to buckets by it: all equal strings meet in one bucket. There pieces that are byte for byte
-the same are counted once, as they are in each task before the shuffle. The pieces that share a hash without
+string, so equal strings share it wherever they stand. Texts are packed into chunks and cut into pieces (runs of
+positions with one such hash). The hashes of each chunk are counted first; only pieces whose hash also occurs
+elsewhere are dealt, by their hash, to buckets, where all equal strings meet. There pieces that are byte for byte
+the same are counted once, as they are in each chunk before the shuffle. The pieces that share a hash without
 being the same form shards of at most ``SHARD`` bytes. Each shard gets a suffix array by Larsson-Sadakane
 refinement (ranks of 8 bytes, doubled, only groups that are still tied), common prefixes by Kasai's rule, and
 so its runs of equal strings with the smallest document of each; the sorted strings of the shards are merged by
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +30,14 @@ from fleetlens.llm.store import bound_batches, keep
 from fleetlens.llm.text import mix, utf8
 
 LENGTH, GRAM = 50, 16
-#: Bytes of text cut into pieces at once, of a shard, and of text in the pieces of a bucket.
-FLUSH, SHARD, BUCKET = 8 << 20, 4 << 20, 6 << 20
+#: Bytes of text in a chunk (one longer text is a chunk by itself), of a shard, and of all texts for each bucket.
+CHUNK, SHARD, BUCKET = 4 << 20, 4 << 20, 4 << 20
+#: Bytes of a hash that are sent to be counted.
+TAG = 5
 LAST = np.iinfo(np.int64).max
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-MARKS = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("start", pa.int64()), ("count", pa.int64())])
-PIECES = pa.schema([*((f.name, f.type) for f in MARKS), ("bucket", pa.int64()), ("pieces", pa.binary())])
+CHUNKS = "chunk long, ids array<long>, sizes array<long>, texts binary"
+PIECES = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("pieces", pa.binary()), ("marks", pa.binary())])
 _CODEC = "zstd"
 
 
@@ -170,154 +174,242 @@ def merge(shards: list[Shard]) -> None:
             shard.least = tables[0][1][np.searchsorted(tables[0][0], shard.strings)]
 
 
-# ---- pieces
+# ---- chunks
 
 
-def smallest_grams(raw: np.ndarray, length: int) -> np.ndarray:
-    """Of each place, the smallest hash of the grams within the string of ``length`` bytes from there on."""
-    word = eight(raw)
-    tail = np.concatenate([word[8:], np.zeros(min(8, len(word)), np.uint64)])[: len(word)]
-    best, have, want = mix(mix(word * _A) + tail * _B), 1, length - GRAM + 1
-    while have < want:
-        step = min(have, want - have)
-        best[:-step] = np.minimum(best[:-step], best[step:])
-        have += step
-    return best
+def _packed(parts: list[np.ndarray | bytes]) -> bytes:
+    plain = b"".join(p if isinstance(p, bytes) else p.tobytes() for p in parts)
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, _CODEC, asbytes=True)
 
 
-def _marks(rows: list[tuple[int, int, int, int]]) -> list[pa.Array]:
-    columns = np.array(rows, np.int64).reshape(-1, 4).T
-    return [pa.array(np.ascontiguousarray(c)) for c in columns]
+def _plain(blob: bytes) -> bytes:
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), _CODEC, asbytes=True)
 
 
-def _cut(length: int, buckets: int):
-    """Texts to pieces for the buckets, and marks of what a smaller document of the same task shows."""
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of texts as chunks, in the order of their ids."""
+    first, seq, rows, held = TaskContext.get().partitionId() << 32, 0, [], 0
 
-    def flush(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(rows)
-        table = table.sort_by([("id", "ascending"), ("mark", "ascending")])
-        ids, marks = table["id"].to_numpy(), table["mark"].to_numpy()
+    def chunk() -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows).sort_by("doc_id")  # nulls last
         raw, bounds = utf8(table["text"])
-        whole = raw.tobytes()
-        found, seen, alive = [], {}, []
-        for k, (s, e) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
+        ids, sizes = table["doc_id"].to_pylist(), np.diff(bounds).tolist()
+        kind = pa.list_(pa.int64())
+        return pa.record_batch(
+            [pa.array([first + seq]), pa.array([ids], kind), pa.array([sizes], kind), pa.array([_packed([raw])], pa.binary())],
+            names=["chunk", "ids", "sizes", "texts"],
+        )
+
+    for batch in batches:
+        rows.append(batch)
+        held += batch.nbytes
+        if held >= CHUNK:
+            yield chunk()
+            seq, rows, held = seq + 1, [], 0
+    if rows:
+        yield chunk()
+
+
+class Pieces:
+    """The pieces of a chunk that are no copy of a smaller document's, and marks (doc, start, count) for the rest."""
+
+    def __init__(self, ids: list[int | None], sizes: list[int], texts: bytes, length: int) -> None:
+        self.ids = np.array([LAST if i is None else i for i in ids], np.int64)
+        self.whole = _plain(texts)
+        raw = np.frombuffer(self.whole, np.uint8)
+        self.bounds = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]).astype(np.int64)
+        self.marks: list[tuple[int, int, int]] = []
+        seen, alive = {}, []
+        for k, (s, e) in enumerate(zip(self.bounds.tolist(), self.bounds[1:].tolist())):
             if e - s < length:
                 continue
-            first = seen.setdefault(whole[s:e], k)
-            if first == k:
+            first = seen.setdefault(self.whole[s:e], k)
+            if self.ids[first] < self.ids[k]:
+                self.marks.append((k, 0, e - s - length + 1))
+            else:
                 alive.append(k)
-            elif ids[first] < ids[k]:  # a copy of a smaller document; a repeated row needs no marks of its own
-                found.append((ids[k], marks[k], 0, e - s - length + 1))
-        del seen
-        if alive:
-            alive = np.array(alive)
-            begins, ends = bounds[alive], bounds[alive + 1]
-            best = smallest_grams(raw, length)
-            sizes = ends - begins - length + 1
-            starts = np.concatenate([[0], np.cumsum(sizes)])
-            doc = np.repeat(np.arange(len(alive)), sizes)
-            place = np.arange(starts[-1]) - starts[doc] + begins[doc]
-            value = best[place]
-            lead = np.ones(len(place), bool)
-            lead[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-            lead = np.flatnonzero(lead)
-            count = np.diff(np.append(lead, len(place)))
-            doc, place, value = doc[lead], place[lead], value[lead]
-            pieces, keep_piece = {}, np.ones(len(lead), bool)
-            for k, (d, s, c) in enumerate(zip(doc.tolist(), place.tolist(), count.tolist())):
-                d = alive[d]
-                first = pieces.setdefault(whole[s : s + c + length - 1], ids[d])
-                if first < ids[d]:
-                    keep_piece[k] = False
-                    found.append((ids[d], marks[d], s - bounds[d], c))
-            del pieces
-            bucket = (value % np.uint64(buckets)).astype(np.int64)
-            tag = (value // np.uint64(buckets)).astype(np.uint32)
-            picked = np.flatnonzero(keep_piece)
-            picked = picked[np.argsort(bucket[picked], kind="stable")]
-            edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[picked]) != 0, [True]]))
-            offset = place - begins[doc]
-            numbers, blobs = [], []
-            for s, e in zip(edges, edges[1:]):
-                own = picked[s:e]
-                docs, at = np.unique(doc[own], return_inverse=True)
-                text = b"".join(whole[p : p + c + length - 1] for p, c in zip(place[own].tolist(), count[own].tolist()))
-                head = np.array([len(own), len(docs)], "<i8").tobytes()
-                parts = [head, ids[alive[docs]].astype("<i8").tobytes(), marks[alive[docs]].astype("<i8").tobytes()]
-                parts += [np.diff(at, prepend=0).astype("<i4").tobytes(), offset[own].astype("<i8").tobytes()]
-                parts += [count[own].astype("<i8").tobytes(), tag[own].astype("<u4").tobytes(), text]
-                plain = b"".join(parts)
-                numbers.append(bucket[own[0]])
-                blobs.append(len(plain).to_bytes(8, "little") + pa.compress(plain, _CODEC, asbytes=True))
-            none = pa.nulls(len(numbers), pa.int64())
-            yield pa.record_batch([none] * 4 + [pa.array(np.array(numbers, np.int64)), pa.array(blobs, pa.binary())], schema=PIECES)
-        if found:
-            yield pa.record_batch(
-                [*_marks(found), pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.binary())], schema=PIECES
-            )
+        alive = np.array(alive, np.int64)
+        begins = self.bounds[alive]
+        counts = self.bounds[alive + 1] - begins - length + 1
+        starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        doc = np.repeat(np.arange(len(alive)), counts)
+        place = np.arange(starts[-1]) - starts[doc] + begins[doc]
+        value = smallest_grams(raw, length)[place] if len(place) else np.empty(0, np.uint64)
+        lead = np.ones(len(place), bool)
+        lead[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
+        lead = np.flatnonzero(lead)
+        self.count = np.diff(np.append(lead, len(place)))
+        self.doc, self.place, self.value = alive[doc[lead]], place[lead], value[lead]
+
+    def drop_copies(self, length: int) -> np.ndarray:
+        """Places in the lists of the pieces that no smaller document of the chunk has; the others are marked."""
+        first, stay = {}, np.ones(len(self.doc), bool)
+        ids = self.ids[self.doc].tolist()
+        for k, (s, c) in enumerate(zip(self.place.tolist(), self.count.tolist())):
+            if first.setdefault(self.whole[s : s + c + length - 1], ids[k]) < ids[k]:
+                stay[k] = False
+                d = int(self.doc[k])
+                self.marks.append((d, s - int(self.bounds[d]), c))
+        return np.flatnonzero(stay)
+
+
+def _tags(value: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each hash, and the bytes of it that are sent."""
+    return (value % np.uint64(buckets)).astype(np.int64), (value // np.uint64(buckets)) & np.uint64((1 << 8 * TAG) - 1)
+
+
+def _narrow(tags: np.ndarray) -> bytes:
+    return np.ascontiguousarray(tags.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TAG]).tobytes()
+
+
+def _wide(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // TAG, 8), np.uint8)
+    out[:, :TAG] = np.frombuffer(blob, np.uint8).reshape(-1, TAG)
+    return out.view("<u8").ravel()
+
+
+def _edges(ordered: np.ndarray) -> Iterator[tuple[int, int]]:
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]])) if len(ordered) else []
+    return zip(at, at[1:])
+
+
+def _hashes(length: int, buckets: int):
+    """(bucket, chunk, tags): the hashes of a chunk, and whether two of its pieces share them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
         for batch in batches:
-            rows.append(batch)
-            held += batch.nbytes
-            if held >= FLUSH:
-                yield from flush(rows)
-                rows, held = [], 0
-        if held:
-            yield from flush(rows)
+            for chunk, ids, sizes, texts in zip(*(c.to_pylist() for c in batch.columns)):
+                made = Pieces(ids, sizes, texts, length)
+                value, times = np.unique(made.value, return_counts=True)
+                bucket, tag = _tags(value, buckets)
+                order = np.argsort(bucket, kind="stable")
+                bucket, tag, times = bucket[order], tag[order], times[order]
+                numbers, tags, twice = [], [], []
+                for s, e in _edges(bucket):
+                    numbers.append(int(bucket[s]))
+                    tags.append(_narrow(tag[s:e]))
+                    twice.append(_narrow(tag[s:e][times[s:e] > 1]))
+                n = len(numbers)
+                yield pa.record_batch(
+                    [pa.array(numbers, pa.int64()), pa.array([chunk] * n, pa.int64()), pa.array(tags, pa.binary()), pa.array(twice, pa.binary())],
+                    names=["bucket", "chunk", "tags", "twice"],
+                )
+
+    return run
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """Of one bucket: for each chunk the tags that another chunk, or another piece of it, has too."""
+    tags = [_wide(t.as_py()) for t in table["tags"]]
+    value, times = np.unique(np.concatenate([np.unique(t) for t in tags]), return_counts=True)
+    several = value[times > 1]
+    chunk, out = [], []
+    for number, own, twice in zip(table["chunk"].to_pylist(), tags, table["twice"]):
+        asked = np.union1d(own[np.isin(own, several)], _wide(twice.as_py()))
+        if len(asked):
+            chunk.append(number)
+            out.append(_narrow(asked))
+    bucket = table["bucket"][0].as_py()
+    return pa.table(
+        {
+            "of": pa.array(chunk, pa.int64()),
+            "bucket": pa.array([bucket] * len(chunk), pa.int64()),
+            "asked": pa.array(out, pa.binary()),
+        }
+    )
+
+
+def _dealt(length: int, buckets: int):
+    """Of one chunk: the pieces whose tags are asked for, dealt to buckets, and marks found in the chunk itself."""
+
+    def run(table: pa.Table, asked: pa.Table) -> pa.Table:
+        ids, sizes, texts = (table[c][0].as_py() for c in ("ids", "sizes", "texts"))
+        chunk = table["chunk"][0].as_py()
+        made = Pieces(ids, sizes, texts, length)
+        bucket, tag = _tags(made.value, buckets)
+        order = np.argsort(bucket, kind="stable")
+        wanted = np.zeros(len(order), bool)
+        edges = {int(bucket[order[s]]): (s, e) for s, e in _edges(bucket[order])}
+        for number, tags in zip(asked["bucket"].to_pylist(), asked["asked"]):
+            s, e = edges[number]
+            wanted[order[s:e]] = np.isin(tag[order[s:e]], _wide(tags.as_py()))
+        for name in ("doc", "place", "value", "count"):
+            setattr(made, name, getattr(made, name)[wanted])
+        bucket, tag = bucket[wanted], tag[wanted]
+        picked = made.drop_copies(length)
+        picked = picked[np.argsort(bucket[picked], kind="stable")]
+        offset = made.place - made.bounds[made.doc]
+        numbers, blobs = [], []
+        for s, e in _edges(bucket[picked]):
+            own = picked[s:e]
+            text = b"".join(
+                made.whole[p : p + c + length - 1] for p, c in zip(made.place[own].tolist(), made.count[own].tolist())
+            )
+            parts = [np.array([len(own)]), made.ids[made.doc[own]], made.doc[own], offset[own], made.count[own]]
+            numbers.append(int(bucket[own[0]]))
+            blobs.append(_packed([p.astype("<i8") for p in parts] + [tag[own].astype("<u8"), text]))
+        marks = [None] * len(numbers)
+        if made.marks:
+            numbers.append(chunk % buckets)
+            blobs.append(None)
+            marks.append(_packed([np.array(made.marks, "<i8")]))
+        columns = [numbers, [chunk] * len(numbers), blobs, marks]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, PIECES)], schema=PIECES)
 
     return run
 
 
-def _opened(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
-    plain = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), _CODEC, asbytes=True)
-    n, docs = np.frombuffer(plain, "<i8", 2)
-    at = 16
-    out = []
-    for kind, size in (("<i8", docs), ("<i8", docs), ("<i4", n), ("<i8", n), ("<i8", n), ("<u4", n)):
-        out.append(np.frombuffer(plain, kind, int(size), at))
-        at += out[-1].nbytes
-    ids, marks, step, offset, count, tag = out
-    doc = np.cumsum(step)
-    return ids[doc], marks[doc], offset, count, tag, plain[at:]
+def smallest_grams(raw: np.ndarray, length: int) -> np.ndarray:
+    """Of each place, the smallest hash of the grams within the string of ``length`` bytes from there on."""
+    word = eight(raw)
+    tail = np.concatenate([word[8:], np.zeros(min(8, len(word)), np.uint64)])[: len(word)]
+    best, have, want = mix(mix(word * _A) + tail * _B), 1, length - GRAM + 1
+    while have < want and have < len(best):
+        step = min(have, want - have)
+        best[:-step] = np.minimum(best[:-step], best[step:])
+        have += step
+    return best
+
+
+# ---- buckets
+
+
+def _opened(blob: bytes) -> tuple[np.ndarray, ...]:
+    plain = _plain(blob)
+    n = int(np.frombuffer(plain, "<i8", 1)[0])
+    numbers = np.frombuffer(plain, "<i8", 5 * n, 8).reshape(5, n)
+    return (*numbers, plain[8 + 40 * n :])
 
 
 def _found(length: int):
-    """Of one bucket: marks of the strings that a smaller document has."""
+    """Of one bucket: (chunk, marks) of the strings that a smaller document has."""
 
     def run(table: pa.Table) -> pa.Table:
+        passed = table.filter(pa.compute.is_valid(table["marks"])).select(["chunk", "marks"])
+        table = table.filter(pa.compute.is_valid(table["pieces"]))
+        if not table.num_rows:
+            return passed
         opened = [_opened(b.as_py()) for b in table["pieces"]]
-        ids, marks, offset, count, tag = (np.concatenate([o[k] for o in opened]) for k in range(5))
+        ids, doc, offset, count, tag = (np.concatenate([o[k] for o in opened]) for k in range(5))
+        chunk = np.repeat(table["chunk"].to_numpy(), [len(o[0]) for o in opened])
         whole = b"".join(o[5] for o in opened)
         del opened
         begins = np.concatenate([[0], np.cumsum(count + length - 1)])
-        # a hash that only one piece has settles that piece
-        order = np.argsort(tag, kind="stable")
-        ranked = tag[order]
-        alone = np.ones(len(tag), bool)
-        alone[1:] &= ranked[1:] != ranked[:-1]
-        alone[:-1] &= ranked[:-1] != ranked[1:]
-        shared = np.sort(order[~alone])
-        shared = shared[np.argsort(ids[shared], kind="stable")]
         first, holders, kinds, found = {}, [], {}, []
-        for k in shared.tolist():
-            text = whole[begins[k] : begins[k + 1]]
-            own = first.setdefault(text, len(holders))
+        for k in np.argsort(ids, kind="stable").tolist():
+            own = first.setdefault(whole[begins[k] : begins[k + 1]], len(holders))
             if own == len(holders):
                 holders.append([k])
                 kinds.setdefault(int(tag[k]), []).append(own)
             elif ids[holders[own][0]] < ids[k]:
-                found.append((ids[k], marks[k], offset[k], count[k]))
+                found.append((k, 0, count[k]))
             else:
                 holders[own].append(k)
         texts = list(first)
         del first
         # of pieces with one hash, only different ones are left to compare
-        open_ones = [own for same in kinds.values() if len(same) > 1 for own in same]
-        shards, members, held = [], [], 0
-        groups, at = [], 0
-        for own in open_ones:
+        members, groups, held = [], [], 0
+        for own in (own for same in kinds.values() if len(same) > 1 for own in same):
             if held + len(texts[own]) > SHARD and groups:
                 members.append(groups)
                 groups, held = [], 0
@@ -325,78 +417,97 @@ def _found(length: int):
             held += len(texts[own])
         if groups:
             members.append(groups)
+        shards = []
         for groups in members:
             least = np.array([ids[holders[own][0]] for own in groups], np.int64)
             shards.append(Shard([texts[own] for own in groups], least, length))
         merge(shards)
         for shard, groups in zip(shards, members):
             for piece, start, n in shard.removed():
-                for k in holders[groups[piece]]:
-                    found.append((ids[k], marks[k], offset[k] + start, n))
-        return pa.table(_marks(found), schema=MARKS)
+                found += [(k, start, n) for k in holders[groups[piece]]]
+        found = np.array(found, np.int64).reshape(-1, 3)
+        k = found[:, 0]
+        rows = np.stack([doc[k], offset[k] + found[:, 1], found[:, 2]], 1)
+        order = np.lexsort((rows[:, 1], rows[:, 0], chunk[k]))
+        numbers, marks = [], []
+        for s, e in _edges(chunk[k][order]):
+            numbers.append(int(chunk[k[order[s]]]))
+            marks.append(_packed([rows[order[s:e]].astype("<i8")]))
+        mine = pa.table({"chunk": pa.array(numbers, pa.int64()), "marks": pa.array(marks, pa.binary())})
+        return pa.concat_tables([passed, mine])
 
     return run
 
 
 def _removed(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, bounds = utf8(batch.column("text"))
-            runs = batch.column("runs")
-            sizes, spans, kept = np.diff(bounds), [], []
-            for k in range(batch.num_rows):
-                text = raw[bounds[k] : bounds[k + 1]]
-                own = runs[k]
-                if not own.is_valid:
-                    spans.append([])
-                    kept.append(text.tobytes())
-                    continue
-                values = own.values
-                start = values.field("start").to_numpy()
-                stop = start + values.field("count").to_numpy() + length - 1
-                order = np.argsort(start, kind="stable")
-                start, stop = start[order], np.maximum.accumulate(stop[order])
-                lead = np.flatnonzero(np.concatenate([[True], start[1:] > stop[:-1]]))
-                start, stop = start[lead], stop[np.append(lead[1:], len(stop)) - 1]
-                spans.append([{"start": int(s), "stop": int(e)} for s, e in zip(start, stop)])
-                edge = np.concatenate([[0], np.stack([start, stop], 1).ravel(), [len(text)]])
-                kept.append(b"".join(text[s:e].tobytes() for s, e in zip(edge[::2], edge[1::2])))
-            spans = pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), spans, pa.array(kept, pa.binary())],
-                names=["doc_id", "n_bytes", "spans", "kept"],
-            )
+    """Of one chunk: every document with the runs of bytes that are removed and the bytes that stay."""
+
+    def run(table: pa.Table, marked: pa.Table) -> pa.Table:
+        ids, sizes, texts = (table[c][0].as_py() for c in ("ids", "sizes", "texts"))
+        whole = _plain(texts)
+        bounds = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64))]).astype(np.int64)
+        marks = [np.frombuffer(_plain(m.as_py()), "<i8").reshape(-1, 3) for m in marked["marks"]]
+        marks = np.concatenate([*marks, np.empty((0, 3), np.int64)])
+        start = bounds[marks[:, 0]] + marks[:, 1]
+        stop = start + marks[:, 2] + length - 1
+        order = np.argsort(start, kind="stable")
+        start, stop, doc = start[order], stop[order], marks[order, 0]
+        stop = np.maximum.accumulate(stop) if len(stop) else stop  # marks don't leave their document
+        lead = np.ones(len(start), bool)
+        lead[1:] = (start[1:] > stop[:-1]) | (doc[1:] != doc[:-1])
+        lead = np.flatnonzero(lead)
+        if len(lead):
+            start, stop, doc = start[lead], stop[np.append(lead[1:], len(stop)) - 1], doc[lead]
+        at = np.searchsorted(doc, np.arange(len(ids) + 1))
+        spans, kept = [], []
+        for k, (s, e) in enumerate(zip(at, at[1:])):
+            runs = list(zip(start[s:e].tolist(), stop[s:e].tolist()))
+            edges = [int(bounds[k]), *(x for run in runs for x in run), int(bounds[k + 1])]
+            spans.append([{"start": a - edges[0], "stop": b - edges[0]} for a, b in runs])
+            kept.append(b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2])))
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        return pa.table(
+            {
+                "doc_id": pa.array(ids, pa.int64()),
+                "n_bytes": pa.array(sizes, pa.int64()),
+                "spans": pa.array(spans, kind),
+                "kept": pa.array(kept, pa.binary()),
+            }
+        )
 
     return run
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """As ``keep``, and the shuffle files that only the table needed go with its job."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return keep(df, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row of ``docs`` (doc_id, text): the runs of bytes removed, and the
     bytes that stay (they may end inside a character)."""
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     bound_batches(docs.sparkSession)
-    texts = docs.select(
-        F.col("doc_id").cast("long"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
-    own = F.coalesce("doc_id", F.lit(int(LAST))).alias("id")
-    named = texts.select("doc_id", own, F.xxhash64("text").alias("mark"), "text")
-    total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    # a piece has about 18 positions and their 49 bytes more
-    buckets = max(1, math.ceil(total * 4 / BUCKET))
-    cut = keep(
-        named.select("id", "mark", "text").mapInArrow(
-            _cut(length, buckets), "id long, mark long, start long, count long, bucket long, pieces binary"
-        ),
-        "pieces",
-        "none",
-    )
-    made = "id long, mark long, start long, count long"
-    met = cut.where("bucket is not null").groupBy("bucket").applyInArrow(_found(length), made)
-    both = cut.where("bucket is null").select("id", "mark", "start", "count").union(met)
-    runs = both.groupBy("id", "mark").agg(F.collect_set(F.struct("start", "count")).alias("runs"))
-    joined = named.join(keep(runs, "runs"), ["id", "mark"], "left").select("doc_id", "text", "runs")
-    return joined.mapInArrow(
-        _removed(length), "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary"
+    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    chunks = _kept(texts.mapInArrow(_chunked, CHUNKS), "chunks")
+    total = chunks.select(F.aggregate("sizes", F.lit(0).cast("long"), lambda n, s: n + s).alias("n"))
+    total = total.agg(F.sum("n")).first()[0] or 0
+    buckets = max(1, math.ceil(total / BUCKET))
+    hashes = chunks.mapInArrow(_hashes(length, buckets), "bucket long, chunk long, tags binary, twice binary")
+    asked = _kept(hashes.groupBy("bucket").applyInArrow(_shared, "of long, bucket long, asked binary"), "asked")
+    pieces = (
+        chunks.groupBy("chunk")
+        .cogroup(asked.groupBy("of"))
+        .applyInArrow(_dealt(length, buckets), "bucket long, chunk long, pieces binary, marks binary")
     )
+    found = _kept(pieces.groupBy("bucket").applyInArrow(_found(length), "chunk long, marks binary"), "marks")
+    made = "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary"
+    found = found.select(F.col("chunk").alias("of"), "marks")
+    return chunks.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(_removed(length), made)

@@ -7,7 +7,6 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,4 +275,3 @@ def test_variants_of_no_words(spark):
 
 def test_the_queries_are_registered():
     assert {"op11_repeats", "op12_token_alignment", "op13_spelling_variants"} <= set(queries.QUERIES)
-    assert pa.types.is_int64(repeats.MARKS.field("id").type)
