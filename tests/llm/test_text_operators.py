@@ -203,6 +203,17 @@ def test_alignment_of_no_rows_and_a_long_text(spark, pair):
     assert row.n_links == row.n_a + row.n_b - row.n_groups and row.n_a > 100_000
 
 
+def test_both_encoders_of_the_file_agree(pair):
+    rng = random.Random(3)
+    letters = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f" a{x}b {x} {x}{x}1{x}.{x}\n{x}  {x}'s{x}" for x in letters[:12_000] + rng.sample(letters, 8_000)]
+    pool = rng.sample(letters, 300) + list(" \n\t'abcs1.,\u3000\u00a0\u200b\r") * 8
+    texts += ["".join(rng.choice(pool) for _ in range(rng.randrange(40))) for _ in range(5_000)]
+    assert pair.fast_a
+    slow = [x.ids for x in pair.a.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [pair.fast_a(t) for t in texts] == slow
+
+
 def test_identity_map_joins_equal_bytes(pair):
     known = np.flatnonzero(pair.identity >= 0)
     assert len(known) > 1000
