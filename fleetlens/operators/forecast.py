@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from pyspark.sql import functions as F
 from fleetlens.functions.arma import forecast_mean
 from fleetlens.functions.clock import epoch, instant
 from fleetlens.functions.present import exact_round, fixed
-from fleetlens.functions.skew import newest_per_key
 from fleetlens.operators.reads import lookback
 from fleetlens.operators.summaries import resample_mean
 from fleetlens.params import (
@@ -49,11 +49,119 @@ def load_series(
     return resample_mean(lookback(metrics, "timestamp", minutes, as_of), "timestamp", "requests_per_sec", keys, width, agg)
 
 
-def _ordered_values(series: DataFrame, keys: list[str]) -> DataFrame:
-    pairs = F.array_sort(F.collect_list(F.struct("ds", "y")))
-    return series.groupBy(*keys).agg(pairs.alias("_p")).select(
-        *keys, F.transform("_p", lambda p: p["y"]).alias("values"), F.element_at("_p", -1)["ds"].alias("last_ds")
-    ).filter(F.size("values") > 0)
+# --- one row per series ----------------------------------------------------------
+
+
+def _ranked(series: DataFrame, keys: list[str]) -> DataFrame:
+    """Buckets with their rank from the newest, the series' size, first time and newest value."""
+    whole = Window.partitionBy(*keys)
+    newest = whole.orderBy(F.col("ds").desc_nulls_last())
+    return series.select(*keys, "ds", "y").withColumns(
+        {
+            "_rank": F.row_number().over(newest),
+            "_n": F.count("ds").over(whole),
+            "_t0": F.min("ds").over(whole),
+            "_last": F.first("y").over(newest),
+        }
+    )
+
+
+def _ema_terms(alpha: float = EMA_ALPHA) -> dict[str, Column]:
+    """Terms whose sums over a series are its exponential average and the sum of its first half.
+
+    The average is closed: the newest value weighs alpha, each older one (1 - alpha) times the one after it, and
+    the oldest keeps the whole rest.
+    """
+    age = F.col("_rank") - 1
+    weight = F.when(F.col("_rank") == F.col("_n"), 1.0).otherwise(alpha) * F.pow(F.lit(1 - alpha), age)
+    half = F.floor(F.col("_n") / 2)
+    return {"_ema": F.col("y") * weight, "_head": F.when(F.col("_n") - F.col("_rank") < half, F.col("y"))}
+
+
+def _ema_value(n: Column, ema: Column, head: Column, steps: int) -> Column:
+    """Average plus trend, where the trend is its lift over the first half's mean.
+
+    A single value has no first half; its forecast is zero.
+    """
+    half = F.floor(n / 2)
+    trend = (ema - F.try_divide(head, half)) / F.nullif(half, F.lit(0))
+    return F.when(half > 0, F.greatest(F.lit(0.0), ema + trend * steps)).otherwise(0.0)
+
+
+def _spread_of(n: Column, total: Column, squares: Column) -> Column:
+    """Sample standard deviation from sums (of values near zero)."""
+    return F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), squares - total * total / n) / (n - 1)))
+
+
+def series_facts(series: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One row per series with all that a forecast needs, from one pass over its buckets.
+
+    Buckets are first summed per (weekday, day slot) cell: counts and sums of t, t*t, y, y*y and t*y are enough
+    for the line, the factors and the residual spread, so what follows works on at most 2016 cells a series
+    whatever the length of the history. A factor is the sum of values over the sum of the line (times the daily
+    factor) in its cells. Series too short for the seasonal model keep their values as an ordered array.
+    """
+    keys = keys or []
+    t = (epoch("ds") - epoch("_t0")) / 86400
+    y, recent = F.col("y"), F.col("_rank") <= DAY_BUCKETS
+    moved = F.when(recent, y - F.col("_last"))  # so that a flat stretch has no spread at all
+    short = (F.col("_n") >= ARIMA_MIN_BUCKETS) & (F.col("_n") < FULL_HISTORY_BUCKETS)
+    ranked = _ranked(series, keys)
+    cells = ranked.withColumns({**_slots(ranked, "ds"), "_t": t, **_ema_terms()}).groupBy(*keys, "_slot", "_dow").agg(
+        F.first("_n").alias("n"),
+        F.min("_t0").alias("first_ds"),
+        F.max("ds").alias("last_ds"),
+        F.count("ds").alias("c"),
+        F.sum("_t").alias("st"),
+        F.sum(F.col("_t") * F.col("_t")).alias("stt"),
+        F.sum("y").alias("sy"),
+        F.sum(y * y).alias("syy"),
+        F.sum(F.col("_t") * y).alias("sty"),
+        F.sum(F.when(F.col("_rank") == 1, y)).alias("current"),
+        F.sum(F.when(F.col("_rank") == 2, y)).alias("previous"),
+        F.count(moved).alias("rc"),
+        F.sum(moved).alias("rs"),
+        F.sum(moved * moved).alias("rss"),
+        F.sum("_ema").alias("ema"),
+        F.sum("_head").alias("head"),
+        F.collect_list(F.when(short, F.struct("ds", "y"))).alias("short"),
+    )
+    whole = Window.partitionBy(*keys)
+    total = lambda name: F.sum(name).over(whole)
+    n, x, xx, v, xv = total("c"), total("st"), total("stt"), total("sy"), total("sty")
+    line = cells.withColumn("slope", F.try_divide(n * xv - x * v, n * xx - x * x))
+    line = line.withColumn("level", (v - F.col("slope") * x) / F.nullif(n, F.lit(0)))
+    line = line.withColumn("trend", F.col("level") * F.col("c") + F.col("slope") * F.col("st"))
+    factor = lambda part, base: F.coalesce(
+        F.try_divide(F.sum("sy").over(part), F.sum(base).over(part)), F.lit(1.0)
+    )
+    line = line.withColumn("daily", factor(Window.partitionBy(*keys, "_slot"), F.col("trend")))
+    line = line.withColumn("weekly", factor(Window.partitionBy(*keys, "_dow"), F.col("trend") * F.col("daily")))
+    f, a, b = F.col("daily") * F.col("weekly"), F.col("level"), F.col("slope")
+    squares = (
+        F.col("syy")
+        - 2 * f * (a * F.col("sy") + b * F.col("sty"))
+        + f * f * (a * a * F.col("c") + 2 * a * b * F.col("st") + b * b * F.col("stt"))
+    )
+    facts = line.withColumns({"rest": F.col("sy") - f * F.col("trend"), "rest2": squares}).groupBy(*keys).agg(
+        F.max("n").alias("n"),
+        F.max("last_ds").alias("last_ds"),
+        F.min("first_ds").alias("first_ds"),
+        F.max("slope").alias("slope"),
+        F.max("level").alias("level"),
+        _spread_of(F.sum("c"), F.sum("rest"), F.sum("rest2")).alias("sigma"),
+        F.sum("current").alias("current_value"),
+        F.sum("previous").alias("previous_value"),
+        F.coalesce(_spread_of(F.sum("rc"), F.sum("rs"), F.sum("rss")), F.lit(0.0)).alias("recent_std"),
+        F.map_from_entries(F.collect_set(F.when(F.col("c") > 0, F.struct("_slot", "daily")))).alias("daily"),
+        F.map_from_entries(F.collect_set(F.when(F.col("c") > 0, F.struct("_dow", "weekly")))).alias("weekly"),
+        F.sum("ema").alias("ema"),
+        F.sum("head").alias("head"),
+        F.flatten(F.collect_list("short")).alias("short"),
+    )
+    days = (epoch("last_ds") - epoch("first_ds")) / 86400
+    values = F.transform(F.array_sort("short"), lambda p: p["y"])
+    return facts.withColumns({"training_days": days, "values": values}).drop("short")
 
 
 # --- exponential average --------------------------------------------------------
@@ -65,23 +173,22 @@ def ema_of(values: Column, alpha: float = EMA_ALPHA) -> Column:
 
 
 def ema_forecast_of(values: Column, steps: int, alpha: float = EMA_ALPHA) -> Column:
-    """Average plus trend, where the trend is its lift over the first half's mean.
-
-    A single value has no first half; its forecast is zero.
-    """
+    """The exponential forecast of a short array of values."""
     half = F.floor(F.size(values) / 2).cast("int")
     head = F.aggregate(F.slice(values, F.lit(1), half), F.lit(0.0), lambda acc, x: acc + x)
-    ema = ema_of(values, alpha)
-    trend = (ema - head / half) / half
-    return F.when(half > 0, F.greatest(F.lit(0.0), ema + trend * steps)).otherwise(0.0)
+    return _ema_value(F.size(values), ema_of(values, alpha), head, steps)
 
 
 def ema_forecast(series: DataFrame, keys: list[str] | None = None, steps: int = HORIZON_MINUTES) -> DataFrame:
+    """Exponential average plus trend of each series, from sums over its ranked buckets."""
     keys = keys or []
-    return _ordered_values(series, keys).select(
+    sums = _ranked(series, keys).withColumns(_ema_terms()).groupBy(*keys).agg(
+        F.count("ds").cast("int").alias("n"), F.sum("_ema").alias("_ema"), F.sum("_head").alias("_head")
+    )
+    return sums.where("n > 0").select(
         *keys,
-        F.size("values").alias("n"),
-        ema_forecast_of(F.col("values"), steps).alias("predicted"),
+        "n",
+        _ema_value(F.col("n"), F.col("_ema"), F.col("_head"), steps).alias("predicted"),
         F.lit(EMA_CONFIDENCE).alias("confidence"),
     )
 
@@ -98,7 +205,28 @@ def rolling_ema_forecast(
 
 # --- autoregressive forecast ------------------------------------------------------
 
-ARIMA_FIELDS = "n int, predicted double, confidence double, fitted boolean"
+def _arima_fit(steps: int):
+    """Mean and 80 % interval width of a series given as an array; null where the model does not fit."""
+
+    @F.pandas_udf("mean double, width double")
+    def fit(values: pd.Series) -> pd.DataFrame:
+        found = [None if v is None or len(v) < ARIMA_MIN_BUCKETS else forecast_mean(np.asarray(v, float), steps) for v in values]
+        return pd.DataFrame([f or (None, None) for f in found], columns=["mean", "width"]).astype("float64")
+
+    return fit
+
+
+def _arima_columns(fit: Column, ema: Column) -> dict[str, Column]:
+    """Forecast, confidence and whether the fit was used, with the exponential forecast where it was not."""
+    mean, width = fit["mean"], fit["width"]
+    predicted = F.greatest(F.lit(0.0), mean)
+    confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - width / (predicted + 1e-9) * 0.1))
+    ok = mean.isNotNull() & ~F.isnan(mean) & width.isNotNull() & ~F.isnan(width)
+    return {
+        "predicted": F.when(ok, predicted).otherwise(ema),
+        "confidence": F.when(ok, confidence).otherwise(EMA_CONFIDENCE),
+        "fitted": ok,
+    }
 
 
 def arima_forecast(series: DataFrame, keys: list[str], steps: int = HORIZON_MINUTES) -> DataFrame:
@@ -107,31 +235,16 @@ def arima_forecast(series: DataFrame, keys: list[str], steps: int = HORIZON_MINU
     The fit is a two-stage regression on one bucketed series (its rows are
     bounded by history / bucket width); series are spread over tasks.
     """
-    kinds = ", ".join(f"`{k}` {series.schema[k].dataType.simpleString()}" for k in keys)
-
-    def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values("ds")["y"].to_numpy("float64")
-        found = forecast_mean(y, steps) if len(y) >= ARIMA_MIN_BUCKETS else None
-        mean, width = found or (None, None)
-        row = dict(zip(keys, key)) | {"n": len(y), "mean": mean, "width": width}
-        return pd.DataFrame([row]).astype({"mean": "float64", "width": "float64"})
-
-    fitted = series.select(*keys, "ds", "y").groupBy(*keys).applyInPandas(
-        fit, f"{kinds}, n int, mean double, width double"
-    )
-    predicted = F.greatest(F.lit(0.0), F.col("mean"))
-    confidence = F.greatest(
-        F.lit(0.0), F.least(F.lit(1.0), 1 - F.col("width") / (predicted + 1e-9) * 0.1)
-    )
-    ok = F.col("mean").isNotNull() & ~F.isnan("mean") & F.col("width").isNotNull() & ~F.isnan("width")
-    ema = ema_forecast(series, keys, steps).select(*keys, F.col("predicted").alias("_ema"))
-    return fitted.join(ema, keys).select(
-        *keys,
-        "n",
-        F.when(ok, predicted).otherwise(F.col("_ema")).alias("predicted"),
-        F.when(ok, confidence).otherwise(EMA_CONFIDENCE).alias("confidence"),
-        ok.alias("fitted"),
+    ranked = _ranked(series, keys).withColumns(_ema_terms())
+    lists = ranked.groupBy(*keys).agg(
+        F.count("ds").cast("int").alias("n"),
+        F.transform(F.array_sort(F.collect_list(F.struct("ds", "y"))), lambda p: p["y"]).alias("_v"),
+        F.sum("_ema").alias("_ema"),
+        F.sum("_head").alias("_head"),
     )
+    fitted = lists.withColumn("_fit", _arima_fit(steps)("_v"))
+    ema = _ema_value(F.col("n"), F.col("_ema"), F.col("_head"), steps)
+    return fitted.withColumns(_arima_columns(F.col("_fit"), ema)).select(*keys, "n", "predicted", "confidence", "fitted")
 
 
 # --- seasonal-trend forecast --------------------------------------------------------
@@ -147,78 +260,50 @@ def _slots(df: DataFrame, time: str) -> dict[str, Column]:
 
 def fit_seasonal(
     series: DataFrame, keys: list[str] | None = None, min_buckets: int = FULL_HISTORY_BUCKETS
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Linear trend and multiplicative day-slot and weekday factors.
+) -> DataFrame:
+    """Linear trend and multiplicative day-slot and weekday factors: one row per series with enough history."""
+    return series_facts(series, keys).filter(F.col("n") >= min_buckets)
 
-    Returns (line, daily, weekly): per series the line with residual spread and
-    recent values; per series and slot, and per series and weekday, a factor.
-    """
-    keys = keys or []
-    t = epoch("ds") / 86400
-    base = series.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.min(t).alias("t0"),
-        F.max("ds").alias("last_ds"),
-        (F.max(t) - F.min(t)).alias("training_days"),
-        F.regr_slope("y", t).alias("slope"),
-        F.regr_intercept("y", t).alias("intercept"),
-    )
-    base = base.filter(F.col("n") >= min_buckets)
-    trend = F.col("intercept") + F.col("slope") * t
-    rows = _with(series, base, keys).withColumns(_slots(series, "ds")).withColumn("_trend", trend)
-    ratio = F.try_divide(F.col("y"), F.nullif(F.col("_trend"), F.lit(0.0)))
-    daily = rows.groupBy(*keys, "_slot").agg(F.coalesce(F.avg(ratio), F.lit(1.0)).alias("daily"))
-    with_daily = rows.join(daily, [*keys, "_slot"])
-    weekly = with_daily.groupBy(*keys, "_dow").agg(
-        F.coalesce(F.avg(ratio / F.nullif(F.col("daily"), F.lit(0.0))), F.lit(1.0)).alias("weekly")
+
+def _ahead(model: DataFrame, keys: list[str], steps: Column) -> DataFrame:
+    """Forecast of the given 5-minute steps after each model's newest bucket, with a 95 % interval."""
+    future = model.withColumn("_step", F.explode(steps)).withColumn(
+        "target", F.col("last_ds") + F.make_dt_interval(mins=F.col("_step") * 5)
     )
-    fitted = with_daily.join(weekly, [*keys, "_dow"])
-    residual = F.col("y") - F.col("_trend") * F.col("daily") * F.col("weekly")
-    spread = fitted.groupBy(*keys).agg(F.stddev_samp(residual).alias("sigma"))
-    recent = newest_per_key(series, keys, [F.col("ds").desc()], DAY_BUCKETS)
-    newest = recent.groupBy(*keys).agg(
-        F.max_by("y", "ds").alias("current_value"),
-        F.sort_array(F.collect_list(F.struct("ds", "y")), False)[1]["y"].alias("previous_value"),
-        F.coalesce(F.stddev_samp("y"), F.lit(0.0)).alias("recent_std"),
+    future = future.withColumns(_slots(future, "target"))
+    trend = F.col("level") + F.col("slope") * ((epoch("target") - epoch("first_ds")) / 86400)
+    factor = lambda name, at: F.coalesce(F.try_element_at(F.col(name), F.col(at)), F.lit(1.0))
+    future = future.withColumn("trend", trend)
+    value = F.col("trend") * factor("daily", "_slot") * factor("weekly", "_dow")
+    margin = F.coalesce("sigma", F.lit(0.0)) * Z95
+    return future.withColumns(
+        {
+            "time_offset_minutes": F.col("_step") * 5,
+            "predicted_value": value,
+            "lower_bound": value - margin,
+            "upper_bound": value + margin,
+        }
     )
-    line = _with(_with(base, spread, keys), newest, keys)
-    return line, daily, weekly
-
-
-def _with(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Join per-series facts; without keys both sides share one constant key."""
-    if keys:
-        return left.join(right, keys)
-    return left.withColumn("_k", F.lit(0)).join(right.withColumn("_k", F.lit(0)), "_k").drop("_k")
 
 
 def seasonal_forecast(
-    series: DataFrame,
+    series: DataFrame | None,
     keys: list[str] | None = None,
     horizon_minutes: int = HORIZON_MINUTES,
     min_buckets: int = FULL_HISTORY_BUCKETS,
-    model: tuple[DataFrame, DataFrame, DataFrame] | None = None,
+    model: DataFrame | None = None,
 ) -> DataFrame:
     """Forecast of every 5-minute step up to the horizon, with a 95 % interval."""
     keys = keys or []
-    line, daily, weekly = model or fit_seasonal(series, keys, min_buckets)
-    steps = F.sequence(F.lit(1), F.lit(horizon_minutes // 5))
-    future = line.withColumn("step", F.explode(steps)).withColumn(
-        "target", F.col("last_ds") + F.make_dt_interval(mins=F.col("step") * 5)
-    )
-    future = future.withColumns(_slots(future, "target"))
-    future = future.join(daily, [*keys, "_slot"], "left").join(weekly, [*keys, "_dow"], "left")
-    trend = F.col("intercept") + F.col("slope") * (epoch("target") / 86400)
-    value = trend * F.coalesce("daily", F.lit(1.0)) * F.coalesce("weekly", F.lit(1.0))
-    margin = F.coalesce("sigma", F.lit(0.0)) * Z95
-    return future.select(
+    model = model if model is not None else fit_seasonal(series, keys, min_buckets)
+    return _ahead(model, keys, F.sequence(F.lit(1), F.lit(horizon_minutes // 5))).select(
         *keys,
-        (F.col("step") * 5).alias("time_offset_minutes"),
+        "time_offset_minutes",
         "target",
-        value.alias("predicted_value"),
-        (value - margin).alias("lower_bound"),
-        (value + margin).alias("upper_bound"),
-        trend.alias("trend"),
+        "predicted_value",
+        "lower_bound",
+        "upper_bound",
+        "trend",
         "current_value",
         "previous_value",
         "recent_std",
@@ -301,52 +386,68 @@ def choose_model(counts: DataFrame, keys: list[str], trained: bool = True) -> Da
 
 def predict(
     series: DataFrame,
-    wanted: DataFrame,
+    wanted: DataFrame | None,
     keys: list[str],
     predicted_at: datetime,
     spike_scores: DataFrame | None = None,
     steps: int = HORIZON_MINUTES,
 ) -> DataFrame:
-    """Forecast rows for the series in ``wanted`` from the best available model.
+    """Forecast rows for the series in ``wanted`` (default: all) from the best available model.
 
-    ``spike_scores`` (keys, spike_probability) replaces the interval-based
-    probability of the seasonal model when a trained classifier is there.
+    All branches read one row of facts per series, so the buckets are read and shuffled once. ``spike_scores``
+    (keys, spike_probability) replaces the interval-based probability of the seasonal model when a trained
+    classifier is there; a series without a score keeps the interval's.
     """
-    counts = wanted.join(series.groupBy(*keys).agg(F.count("*").alias("n")), keys, "left")
-    chosen = choose_model(counts.withColumn("n", F.coalesce("n", F.lit(0))), keys).select(*keys, "model_name")
-    only = lambda name: series.join(
-        chosen.filter(F.col("model_name") == name).select(*keys), keys, "left_semi"
-    )
-    card = next_10_minutes(only(MODEL_SEASONAL), keys)
-    probability = F.col("spike_probability")
+    rows = series.select(*keys, "ds", "y")
+    if wanted is not None:  # a wanted series without a bucket is one row without a time
+        mark = wanted.select(*keys).distinct().select(*keys, F.lit(True).alias("_wanted"))
+        rows = rows.withColumn("_wanted", F.lit(None).cast("boolean")).unionByName(mark, allowMissingColumns=True)
+        named = Window.partitionBy(*keys)
+        rows = rows.withColumn("_wanted", F.max("_wanted").over(named)).where("_wanted").drop("_wanted")
+    facts = choose_model(series_facts(rows, keys), keys)
     if spike_scores is not None:
-        card = card.join(spike_scores.select(*keys, F.col("spike_probability").alias("_s")), keys, "left")
-        probability = F.coalesce("_s", "spike_probability")
-    null = F.lit(None).cast("double")
-    seasonal = card.select(
-        *keys, F.col("predicted_value").alias("p"), "confidence",
-        "lower_bound", "upper_bound", exact_round(probability, 3).alias("spike_probability"),
-    )
-    flat = lambda df, p, c: df.select(
-        *keys, p.alias("p"), c.alias("confidence"), p.alias("lower_bound"), p.alias("upper_bound"),
-        F.lit(0.0).alias("spike_probability"),
+        scores = spike_scores.select(*keys, F.col("spike_probability").alias("_score"))
+        facts = facts.join(scores, keys, "left")
+    else:
+        facts = facts.withColumn("_score", F.lit(None).cast("double"))
+    is_model = lambda name: F.col("model_name") == name
+    ahead = _ahead(facts, keys, F.array(F.lit(HORIZON_MINUTES // 5)))
+    ema = _ema_value(F.col("n"), F.col("ema"), F.col("head"), steps)
+    ahead = ahead.withColumn("_flat", ema)
+    ahead = ahead.withColumn("_fit", _arima_fit(steps)(F.when(is_model(MODEL_ARIMA), F.col("values"))))
+    arima = _arima_columns(F.col("_fit"), F.col("_flat"))
+    value, low, high = F.col("predicted_value"), F.col("lower_bound"), F.col("upper_bound")
+    # per model: forecast, bounds, confidence and spike probability, before any rounding
+    none = F.lit(0.0)
+    raw = ahead.select(
+        *keys,
+        "model_name",
+        F.when(is_model(MODEL_SEASONAL), F.array(value, low, high))
+        .when(is_model(MODEL_ARIMA), F.array_repeat(arima["predicted"], 3))
+        .when(is_model(MODEL_EMA), F.array_repeat(F.col("_flat"), 3))
+        .otherwise(F.array_repeat(none, 3))
+        .alias("_v"),
+        F.when(is_model(MODEL_SEASONAL), interval_confidence(low, high, F.col("recent_std")))
+        .when(is_model(MODEL_ARIMA), arima["confidence"])
+        .when(is_model(MODEL_EMA), EMA_CONFIDENCE)
+        .otherwise(none)
+        .alias("_c"),
+        F.when(is_model(MODEL_SEASONAL), spike_probability(high, F.col("current_value"))).otherwise(none).alias("_s"),
+        F.when(is_model(MODEL_SEASONAL), F.col("_score")).alias("_score"),
     )
-    arima = arima_forecast(only(MODEL_ARIMA), keys, steps)
-    ema = ema_forecast(only(MODEL_EMA), keys, steps)
-    parts = seasonal.unionByName(
-        flat(arima, exact_round("predicted", 2), exact_round("confidence", 3))
-    ).unionByName(flat(ema, exact_round("predicted", 2), F.col("confidence")))
-    zero = F.lit(0.0)
-    return chosen.join(parts, keys, "left").select(
+    rounded = F.transform("_v", lambda x: exact_round(x, 2))
+    sure = F.when(is_model(MODEL_ARIMA), exact_round("_c", 3)).otherwise(exact_round("_c", 2))
+    out = raw.withColumns({"_v": rounded, "_c": sure, "_s": F.coalesce("_score", exact_round("_s", 2))})
+    return out.select(
         *keys,
         F.lit(predicted_at).alias("predicted_at"),
         F.lit(HORIZON_MINUTES).alias("horizon_minutes"),
-        F.coalesce("p", zero).alias("predicted_rps"),
-        null.alias("predicted_cpu"),
-        F.coalesce("confidence", zero).alias("confidence"),
-        F.coalesce("lower_bound", zero).alias("lower_bound"),
-        F.coalesce("upper_bound", zero).alias("upper_bound"),
-        F.coalesce("spike_probability", zero).alias("spike_probability"),
+        F.col("_v")[0].alias("predicted_rps"),
+        F.lit(None).cast("double").alias("predicted_cpu"),
+        F.col("_c").alias("confidence"),
+        F.col("_v")[1].alias("lower_bound"),
+        F.col("_v")[2].alias("upper_bound"),
+        exact_round("_s", 3).alias("spike_probability"),
         "model_name",
     )
 

@@ -60,8 +60,8 @@ SEASONAL = (
   SELECT s.*, intercept + slope * (epoch_us(ds) / 1e6 / 86400) AS trend,
          (epoch_us(ds) // 1000000 % 86400) // 300 AS slot, (epoch_us(ds) // 1000000 // 86400) % 7 AS dow
   FROM series s, base), daily AS (
-  SELECT slot, coalesce(avg(y / nullif(trend, 0)), 1.0) AS daily FROM rows GROUP BY slot), weekly AS (
-  SELECT dow, coalesce(avg(y / nullif(trend, 0) / nullif(daily, 0)), 1.0) AS weekly
+  SELECT slot, coalesce(sum(y) / nullif(sum(trend), 0), 1.0) AS daily FROM rows GROUP BY slot), weekly AS (
+  SELECT dow, coalesce(sum(y) / nullif(sum(trend * daily), 0), 1.0) AS weekly
   FROM rows JOIN daily USING (slot) GROUP BY dow), spread AS (
   SELECT stddev_samp(y - trend * daily * weekly) AS sigma
   FROM rows JOIN daily USING (slot) JOIN weekly USING (dow)), recent AS (
@@ -122,8 +122,7 @@ SELECT 'fleet' AS series, {t.AS_OF} AS predicted_at, 10 AS horizon_minutes, pred
 def _(spark, sf):
     now = t.as_of(spark, sf)
     series = _series(spark, sf).withColumn("series", F.lit("fleet"))
-    wanted = series.select("series").distinct()
-    out = forecast.predict(series, wanted, ["series"], now)
+    out = forecast.predict(series, None, ["series"], now)
     return out.withColumn("predicted_at", F.col("predicted_at").cast("timestamp_ntz"))
 
 
@@ -132,7 +131,7 @@ def _(spark, sf):
     """Every node from the model its history allows."""
     now = t.as_of(spark, sf)
     series = _series(spark, sf, ["node_id"], "30 minutes")
-    return forecast.predict(series, series.select("node_id").distinct(), ["node_id"], now)
+    return forecast.predict(series, None, ["node_id"], now)
 
 
 @query("arima_forecast_by_node")
