@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -14,6 +16,13 @@ from fleetlens.params import DAY_BUCKETS
 
 FLAT = 1e-6
 FEATURES = ["level_shift", "tail_ratio", "max_z", "lag1"]
+#: A table of these rows holds every version of every model; nothing in it is overwritten.
+MODELS = (
+    "model_key string, trained_at timestamp, n_rows bigint, means array<double>, scales array<double>, "
+    "coefficients array<double>, intercept double, losses array<double>"
+)
+#: Weights of the standardised features before any labelled data: a raised, peaked, persistent tail is a spike.
+PRIOR_WEIGHTS, PRIOR_INTERCEPT = [1.5, 1.0, 0.5, 0.5], -1.0
 
 
 def sequences(
@@ -106,6 +115,86 @@ def score_sequences(model: PipelineModel, df: DataFrame, length: int | None = DA
     )
 
 
+# --- models as a table ----------------------------------------------------------------
+
+
+def fit_spike_model(
+    labelled: DataFrame, model_key: str, trained_at: datetime, label: str = "label", max_iter: int = 20
+) -> DataFrame:
+    """One row of the model table: fit on (seq, label), standardisation and weights in plain columns."""
+    model, losses = train_spike_classifier(labelled, label, max_iter)
+    scaler, weights = model.stages[1], model.stages[2]
+    row = (
+        model_key, trained_at, labelled.count(), scaler.mean.toArray().tolist(), scaler.std.toArray().tolist(),
+        weights.coefficients.toArray().tolist(), float(weights.intercept), [float(x) for x in losses],
+    )
+    return labelled.sparkSession.createDataFrame([row], MODELS)
+
+
+def prior_models(features: DataFrame, model_key: Column, trained_at: Column) -> DataFrame:
+    """Model rows without labels: the features' own means and spreads with ``PRIOR_WEIGHTS``."""
+    cells = features.groupBy(model_key.alias("model_key"), trained_at.alias("trained_at")).agg(
+        F.count("*").alias("n_rows"),
+        F.array(*[F.avg(f) for f in FEATURES]).alias("means"),
+        F.array(*[F.coalesce(F.stddev_samp(f), F.lit(0.0)) for f in FEATURES]).alias("scales"),
+    )
+    return cells.withColumns(
+        {
+            "coefficients": F.array(*map(F.lit, PRIOR_WEIGHTS)),
+            "intercept": F.lit(PRIOR_INTERCEPT),
+            "losses": F.array().cast("array<double>"),
+        }
+    )
+
+
+def append_models(models: DataFrame, path: str) -> None:
+    """Add versions to the model table, one folder per day of training."""
+    rows = models.withColumn("trained_on", F.to_date("trained_at"))
+    rows.write.mode("append").partitionBy("trained_on").parquet(path)
+
+
+def models_as_of(models: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """The newest version of each model, or the newest one trained by ``as_of``."""
+    if as_of is not None:
+        models = models.where(F.col("trained_at") <= F.lit(as_of).cast(models.schema["trained_at"].dataType))
+    rest = [c for c in models.columns if c not in ("model_key", "trained_on")]
+    newest = models.groupBy("model_key").agg(F.max_by(F.struct(*rest), "trained_at").alias("_m"))
+    return newest.select("model_key", "_m.*")
+
+
+def score_with_models(df: DataFrame, models: DataFrame, model_key: str) -> DataFrame:
+    """Add ``trained_at`` and ``spike_probability`` to (…, seq) rows from the model of each row's ``model_key``.
+
+    The score is a column expression over the model's own columns, so it needs a join and nothing else; a row
+    without a model has no score. A feature that did not vary in training adds nothing.
+    """
+    x = F.array(*FEATURES)
+    scaled = F.transform(
+        F.arrays_zip(x.alias("x"), F.col("_w.means").alias("m"), F.col("_w.scales").alias("s"), F.col("_w.coefficients").alias("c")),
+        lambda f: F.when(f["s"] > 0, (f["x"] - f["m"]) / f["s"] * f["c"]).otherwise(0.0),
+    )
+    margin = F.col("_w.intercept") + _total(scaled)
+    held = models.select(F.col("model_key").alias(model_key), F.struct("trained_at", "means", "scales", "coefficients", "intercept").alias("_w"))
+    joined = sequence_features(df).join(held, model_key, "left")
+    odds = F.when(F.col("_w").isNotNull(), 1 / (1 + F.exp(-margin)))
+    return joined.select(*df.columns, F.col("_w.trained_at").alias("trained_at"), odds.alias("spike_probability"))
+
+
+def plant_spikes(
+    df: DataFrame, keys: list[str], column: str = "seq", share: int = 40, first: int = 110, last: int = 150
+) -> DataFrame:
+    """Lift the tail of ``share`` percent of the sequences by a factor of 2.5 to 5 and label them.
+
+    Which sequence, from where and by how much is drawn by hashes of its keys, never from its values.
+    """
+    draw = lambda salt, n: F.pmod(F.xxhash64(*keys, F.lit(salt)), F.lit(n))
+    factor = 2.5 + draw("height", 1000) / 400
+    onset = first + draw("onset", last - first)
+    lifted = F.transform(column, lambda x, i: F.when(i >= onset, x * factor).otherwise(x))
+    chosen = draw("chosen", 100) < share
+    return df.withColumns({column: F.when(chosen, lifted).otherwise(F.col(column)), "label": chosen.cast("int")})
+
+
 def classifier_quality(
     scored: DataFrame, probability: str = "spike_probability", label: str = "label", threshold: float = 0.5,
     keys: list[str] | None = None,

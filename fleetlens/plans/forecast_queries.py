@@ -252,37 +252,128 @@ def _(spark, sf):
     return rounded(spikes.sequence_features(_seqs(spark, sf)).drop("seq"))
 
 
+def _day_seqs(spark, sf):
+    """Every node's load shape, day by day."""
+    keys = ["node_id", "day"]
+    daily = telemetry.metrics(spark, sf).withColumn("day", F.to_date("timestamp"))
+    series = daily.groupBy(*keys, F.window("timestamp", "5 minutes").alias("_w")).agg(F.avg("requests_per_sec").alias("y"))
+    return spikes.sequences(series.select(*keys, F.col("_w.start").alias("ds"), "y"), keys)
+
+
 @query("spike_classifier_quality")
 def _(spark, sf):
-    """Train on each user's day-by-day load shape and score the same sequences."""
-    m = telemetry.metrics(spark, sf)
+    """Fit on three quarters of the planted day shapes, judge on the rest; the model goes through its table."""
     keys = ["node_id", "day"]
-    daily = m.withColumn("day", F.to_date("timestamp"))
-    series = daily.groupBy(*keys, F.window("timestamp", "5 minutes").alias("_w")).agg(
-        F.avg("requests_per_sec").alias("y")
-    )
-    series = series.select(*keys, F.col("_w.start").alias("ds"), "y")
-    seqs = spikes.sequences(series, keys)
-    tail = F.slice("seq", 151, 138)
-    lifted = spikes.mean_of(tail) > spikes.mean_of(F.slice("seq", 1, 150)) * 1.2
-    labelled = seqs.withColumn("label", lifted.cast("int"))
-    model, _ = spikes.train_spike_classifier(labelled)
-    return spikes.classifier_quality(spikes.score_sequences(model, labelled))
+    planted = spikes.plant_spikes(_day_seqs(spark, sf), keys)
+    held_out = F.pmod(F.xxhash64(*keys, F.lit("split")), F.lit(4)) == 0
+    model = spikes.fit_spike_model(planted.where(~held_out), "all", t.as_of(spark, sf))
+    scored = spikes.score_with_models(planted.where(held_out).withColumn("model", F.lit("all")), model, "model")
+    return spikes.classifier_quality(scored)
+
+
+def _features_sql(source: str, keys: str) -> str:
+    """Features of edge-padded sequences in ``source`` (keys, v)."""
+    return f"""(SELECT {keys}, list_sum(z[151:288]) / 138 - list_sum(z[1:150]) / 150 AS f1,
+    coalesce((list_sum(seq[151:288]) / 138) / nullif(list_sum(seq[1:150]) / 150, 0), 1.0) AS f2, list_max(z) AS f3,
+    list_sum(list_transform(range(1, 288), lambda i: z[i] * z[i + 1])) / 287 AS f4
+  FROM (SELECT *, list_transform(seq, lambda x: (x - m) / CASE WHEN s < 1e-6 THEN 1.0 ELSE s END) AS z
+    FROM (SELECT *, sqrt(list_sum(list_transform(seq, lambda x: (x - m) * (x - m))) / 288) AS s
+      FROM (SELECT *, list_sum(seq) / 288 AS m
+        FROM (SELECT *, list_concat(list_transform(range(288 - len(v)), lambda i: v[1]), v) AS seq FROM {source})))))"""
+
+
+MODELS_SQL = "count(*) AS n_rows, " + ", ".join(f"avg(f{i}) AS m{i}, coalesce(stddev_samp(f{i}), 0) AS s{i}" for i in range(1, 5))
+MARGIN = f"{spikes.PRIOR_INTERCEPT}::DOUBLE" + "".join(
+    f" + CASE WHEN s{i} > 0 THEN (f{i} - m{i}) / s{i} * {w}::DOUBLE ELSE 0 END"
+    for i, w in enumerate(spikes.PRIOR_WEIGHTS, 1)
+)
+
+
+@query(
+    "spike_scores_by_node",
+    f"""WITH {t.METRICS}, buckets AS (
+  SELECT node_id, CAST("timestamp" AS DATE) AS day, time_bucket(INTERVAL '5 minutes', "timestamp") AS ds, avg(requests_per_sec) AS y
+  FROM metrics GROUP BY ALL), days AS (
+  SELECT node_id, day, list(y ORDER BY ds) AS v FROM buckets GROUP BY ALL), models AS (
+  SELECT node_id, date_trunc('week', day) + INTERVAL 7 DAY AS trained_at, {MODELS_SQL}
+  FROM {_features_sql('days', 'node_id, day')} GROUP BY ALL), newest AS (
+  SELECT * FROM models WHERE trained_at <= {t.AS_OF} QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY trained_at DESC) = 1),
+last_day AS (SELECT * FROM days QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY day DESC) = 1)
+SELECT node_id, day, trained_at, n_rows, round(1 / (1 + exp(-({MARGIN}))), 6) AS spike_probability
+FROM {_features_sql('last_day', 'node_id, day')} JOIN newest USING (node_id)""",
+)
+def _(spark, sf):
+    """Weekly model versions per node; the newest day is scored by the newest version trained by then."""
+    seqs = _day_seqs(spark, sf)
+    week = F.date_trunc("week", "day") + F.expr("INTERVAL 7 DAYS")
+    versions = spikes.prior_models(spikes.sequence_features(seqs), F.col("node_id"), week)
+    newest = spikes.models_as_of(versions, t.as_of(spark, sf))
+    last = seqs.groupBy("node_id").agg(F.max_by(F.struct("day", "seq"), "day").alias("_d")).select("node_id", "_d.*")
+    scored = spikes.score_with_models(last, newest, "node_id")
+    size = newest.select(F.col("model_key").alias("node_id"), "n_rows")
+    out = scored.join(size, "node_id").withColumn("trained_at", F.col("trained_at").cast("timestamp_ntz"))
+    return rounded(out.select("node_id", "day", "trained_at", "n_rows", "spike_probability"))
+
+
+CASCADE_FLEET = SEASONAL.replace("series AS (", "series AS MATERIALIZED (", 1)
+
+
+@query(
+    "forecast_cascade",
+    f"""WITH {CASCADE_FLEET}, buckets AS (
+  SELECT CAST("timestamp" AS DATE) AS day, time_bucket(INTERVAL '5 minutes', "timestamp") AS ds, avg(requests_per_sec) AS y
+  FROM metrics GROUP BY ALL), days AS (SELECT day, list(y ORDER BY ds) AS v FROM buckets GROUP BY day), model AS (
+  SELECT {MODELS_SQL} FROM {_features_sql('days', 'day')}), newest_seq AS (
+  SELECT 1 AS one, list(y ORDER BY ds) AS v FROM recent), score AS (
+  SELECT 1 / (1 + exp(-({MARGIN}))) AS odds FROM {_features_sql('newest_seq', 'one')}, model), card AS (
+  SELECT {CARD} FROM ahead WHERE step = 2), failed AS (
+  SELECT 'errors-' || CAST(user_id AS VARCHAR) AS scope, time_bucket(INTERVAL '5 minutes', ts) AS ds, avg(50 + value * 2.5) AS y
+  FROM events WHERE event_type = 'error' AND ts >= {t.AS_OF} - INTERVAL {HISTORY_MINUTES} MINUTE GROUP BY ALL), lists AS (
+  SELECT scope, list(y ORDER BY ds) AS v FROM failed GROUP BY scope), users AS (
+  SELECT DISTINCT 'errors-' || CAST(user_id AS VARCHAR) AS scope FROM events), low AS (
+  SELECT scope, coalesce(len(v), 0) AS n, round({t.ema_sql('v')}, 2) AS p FROM users LEFT JOIN lists USING (scope))
+SELECT 'fleet' AS scope, 10 AS horizon_minutes, predicted_value AS predicted_rps, confidence, lower_bound, upper_bound,
+  round(odds, 3) AS spike_probability, 'prophet_lstm' AS model_name FROM card, score
+UNION ALL SELECT scope, 10, CASE WHEN n > 0 THEN p ELSE 0.0 END, CASE WHEN n > 0 THEN 0.6 ELSE 0.0 END,
+  CASE WHEN n > 0 THEN p ELSE 0.0 END, CASE WHEN n > 0 THEN p ELSE 0.0 END, 0.0,
+  CASE WHEN n > 0 THEN 'ema_fallback' ELSE 'insufficient_data' END FROM low WHERE n < 8""",
+)
+def _(spark, sf):
+    """The whole cascade: the fleet with the classifier's probability, each user's failed requests below it.
+
+    Rows of the autoregressive model are left to ``forecast_best_model_by_node``; SQL has no counterpart for them.
+    """
+    now = t.as_of(spark, sf)
+    events = telemetry.events(spark, sf)
+    errors = F.concat(F.lit("errors-"), F.col("user_id").cast("string"))
+    scopes = F.array_compact(F.array(F.lit("fleet"), F.when(F.col("event_type") == "error", errors)))
+    load = events.select(F.col("ts").alias("timestamp"), (F.lit(50) + F.col("value") * 2.5).alias("requests_per_sec"), F.explode(scopes).alias("scope"))
+    series = forecast.load_series(load, ["scope"], as_of=now)
+    wanted = events.select(F.explode(F.array(F.lit("fleet"), errors)).alias("scope")).distinct()
+    days = telemetry.metrics(spark, sf).groupBy(F.to_date("timestamp").alias("day"), F.window("timestamp", "5 minutes").alias("_w"))
+    days = days.agg(F.avg("requests_per_sec").alias("y")).select("day", F.col("_w.start").alias("ds"), "y")
+    fleet = spikes.sequence_features(spikes.sequences(days, ["day"]))
+    models = spikes.prior_models(fleet, F.lit("fleet"), F.lit(now))
+    newest = spikes.sequences(series.where("scope = 'fleet'"), ["scope"])
+    scores = spikes.score_with_models(newest, models, "scope")
+    out = forecast.predict(series, wanted, ["scope"], now, spike_scores=scores)
+    return out.where("model_name <> 'arima_fallback'").drop("predicted_at", "predicted_cpu")
 
 
 @query(
     "detector_quality",
-    """WITH c AS (SELECT event_type, count(*) FILTER (least(value / 100, 1.0) > 0.5 AND event_id % 3 = 1) AS tp,
-  count(*) FILTER (least(value / 100, 1.0) > 0.5 AND event_id % 3 <> 1) AS fp,
-  count(*) FILTER (NOT least(value / 100, 1.0) > 0.5 AND event_id % 3 = 1) AS fn,
-  count(*) FILTER (NOT least(value / 100, 1.0) > 0.5 AND event_id % 3 <> 1) AS tn FROM events GROUP BY event_type)
+    f"""WITH {t.METRICS}, c AS (SELECT node_id, count(*) FILTER (s > 0.5 AND failed) AS tp, count(*) FILTER (s > 0.5 AND NOT failed) AS fp,
+  count(*) FILTER (NOT s > 0.5 AND failed) AS fn, count(*) FILTER (NOT s > 0.5 AND NOT failed) AS tn
+  FROM (SELECT node_id, least(value / 100, 1.0) AS s, event_type = 'error' AS failed FROM metrics JOIN events ON id = event_id)
+  GROUP BY node_id)
 SELECT *, round(coalesce(tp / (tp + fp), 0.0), 6) AS "precision", round(coalesce(tp / (tp + fn), 0.0), 6) AS recall,
   round(coalesce(2 * (tp / (tp + fp)) * (tp / (tp + fn)) / (tp / (tp + fp) + tp / (tp + fn)), 0.0), 6) AS f1 FROM c""",
 )
 def _(spark, sf):
+    """How well high values tell the requests that failed, per node."""
     scored = telemetry.events(spark, sf).select(
-        "event_type",
+        F.concat(F.lit("node-"), (F.col("user_id") % 8).cast("string")).alias("node_id"),
         F.least(F.col("value") / 100, F.lit(1.0)).alias("spike_probability"),
-        (F.col("event_id") % 3 == 1).cast("int").alias("label"),
+        (F.col("event_type") == "error").cast("int").alias("label"),
     )
-    return rounded(spikes.classifier_quality(scored, keys=["event_type"]))
+    return rounded(spikes.classifier_quality(scored, keys=["node_id"]))
