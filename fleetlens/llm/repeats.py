@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.store import bound_batches, keep
-from fleetlens.llm.text import mix, utf8
+from fleetlens.llm.text import utf8
 
 LENGTH, GRAM = 50, 16
 #: Bytes of text in a chunk (one longer text is a chunk by itself), of a shard, and of all texts for each bucket.
@@ -35,7 +35,9 @@ CHUNK, SHARD, BUCKET = 4 << 20, 4 << 20, 4 << 20
 #: Bytes of a hash that are sent to be counted.
 TAG = 5
 LAST = np.iinfo(np.int64).max
-_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: Places whose grams are hashed at once.
+BLOCK = 1 << 15
+_A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 CHUNKS = "chunk long, ids array<long>, sizes array<long>, texts binary"
 PIECES = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("pieces", pa.binary()), ("marks", pa.binary())])
 _CODEC = "zstd"
@@ -229,17 +231,18 @@ class Pieces:
             else:
                 alive.append(k)
         alive = np.array(alive, np.int64)
-        begins = self.bounds[alive]
-        counts = self.bounds[alive + 1] - begins - length + 1
-        starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        doc = np.repeat(np.arange(len(alive)), counts)
-        place = np.arange(starts[-1]) - starts[doc] + begins[doc]
-        value = smallest_grams(raw, length)[place] if len(place) else np.empty(0, np.uint64)
-        lead = np.ones(len(place), bool)
-        lead[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-        lead = np.flatnonzero(lead)
-        self.count = np.diff(np.append(lead, len(place)))
-        self.doc, self.place, self.value = alive[doc[lead]], place[lead], value[lead]
+        begins, beyond = self.bounds[alive], self.bounds[alive + 1] - length + 1
+        value = smallest_grams(raw, length) if len(alive) else np.empty(0, np.uint64)
+        edge = np.zeros(len(value) + 1, bool)
+        edge[1:-1] = value[1:] != value[:-1]
+        edge[begins] = True
+        edge[beyond] = True
+        lead = np.flatnonzero(edge)
+        doc = np.searchsorted(begins, lead, side="right") - 1
+        inside = (doc >= 0) & (lead < beyond[doc]) if len(alive) else np.zeros(len(lead), bool)
+        inside[-1:] &= lead[-1:] < len(value)
+        self.count = np.diff(np.append(lead, len(value)))[inside]
+        self.doc, self.place, self.value = alive[doc[inside]], lead[inside], value[lead[inside]]
 
     def drop_copies(self, length: int) -> np.ndarray:
         """Places in the lists of the pieces that no smaller document of the chunk has; the others are marked."""
@@ -301,11 +304,17 @@ def _hashes(length: int, buckets: int):
 def _shared(table: pa.Table) -> pa.Table:
     """Of one bucket: for each chunk the tags that another chunk, or another piece of it, has too."""
     tags = [_wide(t.as_py()) for t in table["tags"]]
-    value, times = np.unique(np.concatenate([np.unique(t) for t in tags]), return_counts=True)
-    several = value[times > 1]
+    value = np.concatenate(tags)
+    order = np.argsort(value, kind="stable")
+    same = value[order][1:] == value[order][:-1]
+    several = np.zeros(len(value), bool)
+    several[order[1:][same]] = True
+    several[order[:-1][same]] = True
+    ends = np.cumsum([len(t) for t in tags])
     chunk, out = [], []
-    for number, own, twice in zip(table["chunk"].to_pylist(), tags, table["twice"]):
-        asked = np.union1d(own[np.isin(own, several)], _wide(twice.as_py()))
+    for number, own, end, twice in zip(table["chunk"].to_pylist(), tags, ends, table["twice"]):
+        asked, twice = own[several[end - len(own) : end]], _wide(twice.as_py())
+        asked = np.union1d(asked, twice) if len(twice) else asked
         if len(asked):
             chunk.append(number)
             out.append(_narrow(asked))
@@ -361,14 +370,29 @@ def _dealt(length: int, buckets: int):
 
 def smallest_grams(raw: np.ndarray, length: int) -> np.ndarray:
     """Of each place, the smallest hash of the grams within the string of ``length`` bytes from there on."""
-    word = eight(raw)
-    tail = np.concatenate([word[8:], np.zeros(min(8, len(word)), np.uint64)])[: len(word)]
-    best, have, want = mix(mix(word * _A) + tail * _B), 1, length - GRAM + 1
-    while have < want and have < len(best):
-        step = min(have, want - have)
-        best[:-step] = np.minimum(best[:-step], best[step:])
-        have += step
-    return best
+    out, want = np.empty(len(raw), np.uint64), length - GRAM + 1
+    for a in range(0, len(raw), BLOCK):  # blocks stay in a core's cache
+        word = eight(raw[a : a + BLOCK + length + 8])
+        tail = np.zeros(len(word), np.uint64)
+        tail[:-8] = word[8:]
+        word *= _A
+        tail *= _B
+        word += tail
+        np.right_shift(word, np.uint64(32), out=tail)
+        word ^= tail
+        word *= _C
+        np.right_shift(word, np.uint64(29), out=tail)
+        word ^= tail
+        have = 1
+        while have < want and have < len(word):
+            step = min(have, want - have)
+            np.minimum(word[:-step], word[step:], out=tail[:-step])
+            tail[-step:] = word[-step:]
+            word, tail = tail, word
+            have += step
+        size = min(BLOCK, len(raw) - a)
+        out[a : a + size] = word[:size]
+    return out
 
 
 # ---- buckets
@@ -394,17 +418,18 @@ def _found(length: int):
         chunk = np.repeat(table["chunk"].to_numpy(), [len(o[0]) for o in opened])
         whole = b"".join(o[5] for o in opened)
         del opened
-        begins = np.concatenate([[0], np.cumsum(count + length - 1)])
-        first, holders, kinds, found = {}, [], {}, []
+        begins = np.concatenate([[0], np.cumsum(count + length - 1)]).tolist()
+        own_id, own_tag = ids.tolist(), tag.tolist()
+        first, heads, gone, again, kinds = {}, [], [], {}, {}
         for k in np.argsort(ids, kind="stable").tolist():
-            own = first.setdefault(whole[begins[k] : begins[k + 1]], len(holders))
-            if own == len(holders):
-                holders.append([k])
-                kinds.setdefault(int(tag[k]), []).append(own)
-            elif ids[holders[own][0]] < ids[k]:
-                found.append((k, 0, count[k]))
+            own = first.setdefault(whole[begins[k] : begins[k + 1]], len(heads))
+            if own == len(heads):
+                heads.append(k)
+                kinds.setdefault(own_tag[k], []).append(own)
+            elif own_id[heads[own]] < own_id[k]:
+                gone.append(k)
             else:
-                holders[own].append(k)
+                again.setdefault(own, []).append(k)
         texts = list(first)
         del first
         # of pieces with one hash, only different ones are left to compare
@@ -419,13 +444,17 @@ def _found(length: int):
             members.append(groups)
         shards = []
         for groups in members:
-            least = np.array([ids[holders[own][0]] for own in groups], np.int64)
+            least = np.array([own_id[heads[own]] for own in groups], np.int64)
             shards.append(Shard([texts[own] for own in groups], least, length))
         merge(shards)
+        found = []
         for shard, groups in zip(shards, members):
             for piece, start, n in shard.removed():
-                found += [(k, start, n) for k in holders[groups[piece]]]
-        found = np.array(found, np.int64).reshape(-1, 3)
+                found += [(k, start, n) for k in (heads[groups[piece]], *again.get(groups[piece], ()))]
+        gone = np.array(gone, np.int64)
+        found = np.concatenate(
+            [np.array(found, np.int64).reshape(-1, 3), np.stack([gone, np.zeros(len(gone), np.int64), count[gone]], 1)]
+        )
         k = found[:, 0]
         rows = np.stack([doc[k], offset[k] + found[:, 1], found[:, 2]], 1)
         order = np.lexsort((rows[:, 1], rows[:, 0], chunk[k]))
