@@ -70,15 +70,16 @@ def target_workers(workers: int, action: float, policy: ScalerPolicy) -> int:
 
 def decision_step(
     state: ScalerState, at: float, utilization: float, upper_rps: float, probability: float, dt: float,
-    policy: ScalerPolicy,
+    policy: ScalerPolicy, workers: int | None = None,
 ) -> tuple:
     """One decision.
 
     Returns (upper_util, pid_part, forecast_part, spike_part, raw_action,
     action, is_emergency, held_back_s, prev_workers, new_workers). A decision
     that comes too soon is held back: it is zero and leaves the loop untouched.
+    ``workers`` are the replicas observed now; without them the last target counts.
     """
-    before = state.workers
+    before = state.workers if workers is None else workers
     upper_util = predicted_utilization(upper_rps, before, policy)
     waited = None if state.decided_at is None else at - state.decided_at
     if waited is not None and waited < policy.min_interval_s:

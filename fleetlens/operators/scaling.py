@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import epoch
-from fleetlens.functions.control import LoopState, ScalerState, control_step, decision_step
-from fleetlens.functions.ordered import ordered_scan
+from fleetlens.functions.control import MIN_DT
 from fleetlens.functions.present import fixed
+from fleetlens.functions.scan import clamped_sum, last_marked, previous, ranked, spaced_times
 from fleetlens.functions.skew import side_by_side
 from fleetlens.operators.reads import latest_prediction
 from fleetlens.operators.summaries import active_workers, average_cpu
 from fleetlens.params import Gains, ScalerPolicy
+from fleetlens.session import cut_lineage
 
 CONTROL_OUTPUTS = {
     "error": "double",
@@ -130,23 +131,52 @@ def event_reason(policy: ScalerPolicy = ScalerPolicy()) -> Column:
 # --- replay -------------------------------------------------------------------
 
 
+def _gain(gains: Gains | dict[str, Gains], name: str) -> Column:
+    """A gain as a column: one value, or by the row's preset."""
+    if isinstance(gains, Gains):
+        return F.lit(float(getattr(gains, name)))
+    pairs = [x for preset, g in gains.items() for x in (F.lit(preset), F.lit(float(getattr(g, name))))]
+    return F.create_map(*pairs)[F.col("preset")]
+
+
+def _loop(rows: DataFrame, keys: list[str], utilization: Column, dt: Column, gains: Gains | dict[str, Gains]) -> DataFrame:
+    """``CONTROL_OUTPUTS`` for rows ranked by ``_rank``: P and D from neighbours, I as a scan of clamped sums."""
+    fine = F.concat(F.lit("utilization outside 0..100: "), utilization.cast("string"))
+    bad = F.when(~utilization.between(0, 100) | utilization.isNull() | F.isnan(utilization), F.raise_error(fine).cast("double"))
+    past = F.concat(F.lit("negative time step: "), dt.cast("string"))
+    wrong = F.when(dt < 0, F.raise_error(past).cast("double"))
+    gain = lambda name: _gain(gains, name)
+    steps = rows.withColumns(
+        {
+            "error": F.coalesce(bad, gain("setpoint") - utilization),
+            "_dt": F.coalesce(wrong, F.greatest(dt.cast("double"), F.lit(MIN_DT))),
+        }
+    )
+    steps = previous(steps, keys, "_rank", "error", "_before")
+    bound = gain("integral_max")
+    steps = clamped_sum(steps, keys, "_rank", F.col("error") * F.col("_dt"), -bound, bound, "integral_error")
+    slope = F.coalesce((F.col("error") - F.col("_before")) / F.col("_dt"), F.lit(0.0))
+    steps = steps.withColumns(
+        {
+            "p_term": gain("kp") * F.col("error"),
+            "i_term": gain("ki") * F.col("integral_error"),
+            "d_term": gain("kd") * slope,
+        }
+    )
+    total = F.col("p_term") + F.col("i_term") + F.col("d_term")
+    action = F.greatest(gain("action_min"), F.least(gain("action_max"), total))
+    return steps.withColumn("action", action).drop("_before", "_dt")
+
+
 def replay_control(
     steps: DataFrame, keys: list[str], order: str, utilization: str, dt: str, gains: Gains = Gains()
 ) -> DataFrame:
     """Run the control loop down each series of utilization steps.
 
-    Aggregate raw samples to time buckets first: the loop is sequential, and a
-    series then has as many steps as buckets, whatever the number of samples.
+    The integral is a scan of clamped sums over chunks of the series, so a long series spreads over many tasks.
     """
-    return ordered_scan(
-        steps,
-        keys,
-        [order],
-        [utilization, dt],
-        LoopState,
-        lambda state, row: control_step(state, row[0], row[1], gains),
-        CONTROL_OUTPUTS,
-    )
+    rows = _loop(ranked(steps, keys, order), keys, F.col(utilization), F.col(dt), gains)
+    return rows.select(*steps.columns, *CONTROL_OUTPUTS)
 
 
 def replay_presets(
@@ -154,16 +184,9 @@ def replay_presets(
 ) -> DataFrame:
     """What-if: the same steps under several gain settings, one series each."""
     names = F.array(*[F.lit(n) for n in presets])
-    fanned = steps.withColumn("preset", F.explode(names))
-    return ordered_scan(
-        fanned,
-        [*keys, "preset"],
-        [order],
-        [utilization, dt, "preset"],
-        LoopState,
-        lambda state, row: control_step(state, row[0], row[1], presets[row[2]]),
-        CONTROL_OUTPUTS,
-    )
+    rows = ranked(steps, keys, order).withColumn("preset", F.explode(names))
+    rows = _loop(rows, [*keys, "preset"], F.col(utilization), F.col(dt), presets)
+    return rows.select(*steps.columns, "preset", *CONTROL_OUTPUTS)
 
 
 def replay_decisions(
@@ -173,23 +196,54 @@ def replay_decisions(
     start_workers: int | None = None,
     dt_s: float = 15.0,
 ) -> DataFrame:
-    """Decision table of a history, with components and simulated replicas.
+    """Decision table of a history, with components, observed and wanted replicas.
 
-    ``steps`` has (keys, triggered_at, utilization, predicted_rps, upper_bound,
-    spike_probability, model_name), one row per step and series.
+    ``steps`` has (keys, triggered_at, utilization, predicted_rps, upper_bound, spike_probability, model_name) and
+    may have ``workers``, the replicas observed at the step (else ``start_workers``), one row per step and series.
+    A step less than the minimum interval after the last decision is held back: it decides nothing and leaves the
+    loop untouched. Which steps those are depends on times alone and is found first; the loop then runs over the
+    decisions.
     """
     first = policy.min_workers if start_workers is None else start_workers
-    timed = steps.withColumn("_at", epoch("triggered_at"))
-    scanned = ordered_scan(
-        timed,
-        keys,
-        ["triggered_at"],
-        ["_at", "utilization", "upper_bound", "spike_probability"],
-        lambda: ScalerState(LoopState(), first),
-        lambda state, r: decision_step(state, r[0], r[1], r[2], r[3], dt_s, policy),
-        DECISION_OUTPUTS,
-    )
-    return scanned.drop("_at")
+    observed = F.col("workers") if "workers" in steps.columns else F.lit(first)
+    timed = ranked(steps.withColumn("_at", epoch("triggered_at")), keys, "triggered_at", "_step")
+    taken = spaced_times(timed, keys, "_at", policy.min_interval_s)
+    lead = timed.groupBy(*keys, "_at").agg(F.min("_step").alias("_step"))
+    if policy.min_interval_s > 0:
+        lead = lead.join(taken, [*keys, "_at"]).select(*keys, "_step", F.lit(True).alias("_taken"))
+        marked = timed.join(lead, [*keys, "_step"], "left").withColumn("_taken", F.coalesce("_taken", F.lit(False)))
+    else:
+        marked = timed.withColumn("_taken", F.lit(True))
+    marked = last_marked(marked, keys, "_step", F.when(F.col("_taken"), F.col("_at")), "_last")
+    marked = marked.withColumns(
+        {"_n": observed.cast("int"), "upper_util": predicted_utilization(F.col("upper_bound"), observed, policy)}
+    )
+    marked = cut_lineage(marked)
+    made = ranked(marked.where("_taken"), keys, "_step")
+    made = _loop(made, keys, F.col("utilization"), F.lit(dt_s), policy.gains)
+    made = made.select(*keys, "_step", F.col("action").alias("_pid"))
+    rows = marked.join(made, [*keys, "_step"], "left")
+    held = ~F.col("_taken")
+    zero = lambda column: F.when(held, 0.0).otherwise(column)
+    emergency = F.col("spike_probability") > policy.spike_threshold
+    rows = rows.withColumns(
+        {
+            "pid_component": zero(F.col("_pid")),
+            "forecast_component": zero(forecast_component(F.col("upper_util"), policy)),
+            "spike_component": zero(spike_component(F.col("spike_probability"), policy)),
+            "is_emergency": F.when(held, False).otherwise(emergency),
+            "held_back_s": F.when(held, F.col("_at") - F.col("_last")),
+        }
+    )
+    raw = combined_action(
+        F.col("pid_component"), F.col("forecast_component"), F.col("spike_component"), F.col("is_emergency"), policy
+    )
+    rows = rows.withColumn("raw_action", zero(raw))
+    rows = rows.withColumn("action", effective_action(F.col("raw_action"), policy))
+    rows = rows.withColumns(
+        {"prev_replicas": F.col("_n"), "new_replicas": target_workers(F.col("_n"), F.col("action"), policy)}
+    )
+    return rows.select(*[c for c in steps.columns if c != "workers"], *DECISION_OUTPUTS)
 
 
 def scaling_events(decisions: DataFrame, policy: ScalerPolicy = ScalerPolicy()) -> DataFrame:

@@ -149,10 +149,10 @@ def _(spark, sf):
 LOOP_INPUTS = f"""{t.METRICS}, inputs AS (SELECT *, upper_bound AS predicted_rps, '' AS model_name,
     row_number() OVER (PARTITION BY node_id ORDER BY triggered_at) AS rn FROM (
   SELECT node_id, time_bucket(INTERVAL '1 hour', "timestamp") AS triggered_at, avg(cpu_usage) AS utilization,
-    avg(requests_per_sec) AS upper_bound, avg(CASE WHEN latency_ms > 800 THEN 1.0::DOUBLE ELSE 0.0 END) AS spike_probability
-  FROM metrics GROUP BY 1, 2)
+    avg(requests_per_sec) AS upper_bound, avg(CASE WHEN latency_ms > 800 THEN 1.0::DOUBLE ELSE 0.0 END) AS spike_probability,
+    count(*)::INT AS workers FROM metrics GROUP BY 1, 2)
   WHERE triggered_at + INTERVAL 1 HOUR <= date_trunc('millisecond', {t.AS_OF}) - INTERVAL 10 MINUTE), ordered AS (
-  SELECT node_id, triggered_at, utilization, spike_probability, predicted_rps, upper_bound, model_name, rn FROM inputs)"""
+  SELECT node_id, triggered_at, utilization, spike_probability, predicted_rps, upper_bound, model_name, workers, rn FROM inputs)"""
 
 
 @query(
@@ -168,9 +168,10 @@ def _(spark, sf):
         F.avg("cpu_usage").alias("utilization"),
         F.avg("requests_per_sec").alias("upper_bound"),
         F.avg((F.col("latency_ms") > 800).cast("double")).alias("spike_probability"),
+        F.count("*").cast("int").alias("workers"),
     )
     steps = steps.select(
-        "node_id", F.col("_w.start").alias("triggered_at"), "utilization", "upper_bound", "spike_probability"
+        "node_id", F.col("_w.start").alias("triggered_at"), "utilization", "upper_bound", "spike_probability", "workers"
     )
     out = _run(spark, stateful.scaling_decisions(steps, ["node_id"]))
     return rounded(out.select("node_id", "triggered_at", "action", "is_emergency", "prev_replicas", "new_replicas"))

@@ -84,13 +84,15 @@ def predictions(spark: SparkSession, sf_dir: str, keys: list[str] | None = None)
 
 
 def control_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly steps per node: utilization, forecast and share of slow requests."""
+    """Hourly steps per node: utilization, forecast, share of slow requests, and the replicas observed (a replica
+    reports once an hour)."""
     m = telemetry.metrics(spark, sf_dir)
     facts = m.groupBy("node_id", F.window("timestamp", "1 hour").alias("_w")).agg(
         F.round(F.avg("cpu_usage"), 4).alias("utilization"),
         F.round(F.avg((F.col("latency_ms") > 800).cast("double")), 4).alias("spike_probability"),
+        F.count("*").alias("workers"),
     )
-    facts = facts.select("node_id", F.col("_w.start").alias("triggered_at"), "utilization", "spike_probability")
+    facts = facts.select("node_id", F.col("_w.start").alias("triggered_at"), "utilization", "spike_probability", "workers")
     ahead = predictions(spark, sf_dir, ["node_id"]).select(
         "node_id", F.col("predicted_at").alias("triggered_at"), "predicted_rps", "upper_bound", "model_name"
     )
@@ -201,10 +203,10 @@ PREDICTIONS = METRICS + ", " + predictions_sql(False)
 
 CONTROL_INPUTS = METRICS + ", " + predictions_sql(True) + """, inputs AS (
   SELECT f.node_id, f.triggered_at, f.utilization, f.spike_probability, p.predicted_rps, p.upper_bound,
-         p.model_name, row_number() OVER (PARTITION BY f.node_id ORDER BY f.triggered_at) AS rn
+         p.model_name, f.workers, row_number() OVER (PARTITION BY f.node_id ORDER BY f.triggered_at) AS rn
   FROM (SELECT node_id, time_bucket(INTERVAL '1 hour', "timestamp") AS triggered_at,
                round(avg(cpu_usage), 4) AS utilization,
-               round(avg(CASE WHEN latency_ms > 800 THEN 1.0 ELSE 0.0 END), 4) AS spike_probability
+               round(avg(CASE WHEN latency_ms > 800 THEN 1.0 ELSE 0.0 END), 4) AS spike_probability, count(*)::INT AS workers
         FROM metrics GROUP BY ALL) f
   JOIN predictions p ON p.node_id = f.node_id AND p.predicted_at = f.triggered_at)"""
 
@@ -231,7 +233,7 @@ def control_sql(kp: str, ki: str, kd: str, low: str, high: str, source: str, key
 
 
 def decisions_sql(min_interval_s: float = 15.0, dt: str = "15.0") -> str:
-    """Recursive replay of the decisions: loop, forecast and spike parts, replicas."""
+    """Recursive replay of the decisions: loop, forecast and spike parts, observed replicas."""
     body = f"""
   SELECT s.*, CASE WHEN held THEN prev_integral
                    ELSE least(100.0, greatest(-100.0, prev_integral + (70.0 - utilization) * {dt})) END AS integral,
@@ -259,16 +261,16 @@ def decisions_sql(min_interval_s: float = 15.0, dt: str = "15.0") -> str:
   FROM ({raw}) r"""
     util = "least(100.0, {n}.upper_bound / ({w} * 300.0) * 100)"
     first = f"""SELECT n.*, CAST(0.0 AS DOUBLE) AS prev_integral, CAST(NULL AS DOUBLE) AS prev_error,
-         CAST(NULL AS TIMESTAMP) AS prev_at, 1 AS prev_replicas, {util.format(n='n', w='1')} AS upper_util,
+         CAST(NULL AS TIMESTAMP) AS prev_at, n.workers AS prev_replicas, {util.format(n='n', w='n.workers')} AS upper_util,
          CAST(NULL AS DOUBLE) AS waited, false AS held
   FROM inputs n WHERE n.rn = 1"""
-    following = f"""SELECT n.*, p.integral, p.error, p.decided_at, p.new_replicas,
-         {util.format(n='n', w='p.new_replicas')},
+    following = f"""SELECT n.*, p.integral, p.error, p.decided_at, n.workers,
+         {util.format(n='n', w='n.workers')},
          (epoch_us(n.triggered_at) - epoch_us(p.decided_at)) / 1e6,
          (epoch_us(n.triggered_at) - epoch_us(p.decided_at)) / 1e6 < {min_interval_s}
   FROM decided p JOIN inputs n ON n.node_id = p.node_id AND n.rn = p.rn + 1"""
     names = (
-        "node_id, triggered_at, utilization, spike_probability, predicted_rps, upper_bound, model_name, rn, "
+        "node_id, triggered_at, utilization, spike_probability, predicted_rps, upper_bound, model_name, workers, rn, "
         "prev_integral, prev_error, prev_at, prev_replicas, upper_util, waited, held"
     )
     nxt = f"SELECT * FROM ({following}) AS q({names})"

@@ -49,13 +49,15 @@ class _Decisions(StatefulProcessor):
         else:
             state = ScalerState(LoopState(kept[0], kept[1]), kept[2], kept[3])
         batch = _ordered(rows, ["triggered_at"])
+        observed = batch["workers"].tolist() if "workers" in batch else [None] * len(batch)
         steps = [
-            decision_step(state, at, u, up, p, self.dt_s, self.policy)
-            for at, u, up, p in zip(
+            decision_step(state, at, u, up, p, self.dt_s, self.policy, n)
+            for at, u, up, p, n in zip(
                 _seconds(batch["triggered_at"]),
                 batch["utilization"].tolist(),
                 batch["upper_bound"].tolist(),
                 batch["spike_probability"].tolist(),
+                observed,
             )
         ]
         self.state.update((state.loop.integral, state.loop.error, state.workers, state.decided_at))
@@ -78,7 +80,10 @@ def scaling_decisions(
     start_workers: int | None = None,
     dt_s: float = 15.0,
 ) -> DataFrame:
-    """Decisions on a stream of control inputs, with the loop as keyed state."""
+    """Decisions on a stream of control inputs, with the loop as keyed state.
+
+    A column ``workers`` holds the replicas observed at each step; without it the last target counts.
+    """
     first = policy.min_workers if start_workers is None else start_workers
     return steps.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=_Decisions(keys, policy, first, dt_s),

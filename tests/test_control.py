@@ -1,6 +1,7 @@
 """Control loop and decisions: fixed cases, plain-Python folds and properties."""
 
 import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -17,6 +18,7 @@ from fleetlens.functions.control import (
     spike_part,
     target_workers,
 )
+from fleetlens.functions import scan
 from fleetlens.operators import scaling, summaries
 from fleetlens.params import GAIN_PRESETS, LIBRARY_POLICY, Gains, ScalerPolicy
 
@@ -161,3 +163,71 @@ def test_column_target_matches_step(spark):
         "t", scaling.target_workers(F.col("n"), F.col("a"))
     )
     assert all(r["t"] == target_workers(r["n"], r["a"], ScalerPolicy()) for r in df.collect())
+
+
+def test_scan_of_one_long_series_equals_the_fold(spark):
+    rng = random.Random(4)
+    rows = [("hot", T0 + timedelta(seconds=7 * i), rng.uniform(0, 100), rng.choice([0.0, 1.0, 15.0])) for i in range(3000)]
+    rows += [("cold", T0, 50.0, 1.0)]
+    out = scaling.replay_control(_steps(spark, rows), ["node_id"], "t", "u", "dt")
+    got = {(r["node_id"], r["t"]): (r["integral_error"], r["d_term"], r["action"]) for r in out.collect()}
+    state = LoopState()
+    for node, t, u, dt in rows[:-1]:
+        _, _, _, d, integral, action = control_step(state, u, dt, Gains())
+        assert got[(node, t)] == pytest.approx((integral, d, action), abs=1e-6)
+    assert got[("cold", T0)][0] == 20.0
+
+
+@pytest.mark.parametrize("chunk,length", [(4, 300), (7, 50), (256, 300), (4, 1)])
+def test_clamped_sum_over_levels_of_chunks(spark, chunk, length):
+    rng = random.Random(chunk)
+    rows = [("a", i + 1, float(rng.randrange(-40, 41))) for i in range(length)] + [("b", 1, 500.0)]
+    df = spark.createDataFrame(rows, "k string, r long, d double")
+    out = scan.clamped_sum(df, ["k"], "r", F.col("d"), F.lit(-50.0), F.lit(60.0), "x", chunk)
+    out = scan.previous(out, ["k"], "r", "d", "p", chunk)
+    got = {(r["k"], r["r"]): (r["x"], r["p"]) for r in out.collect()}
+    x, before = 0.0, None
+    for k, r, d in rows[:-1]:
+        x = min(max(x + d, -50.0), 60.0)
+        assert got[(k, r)] == (x, before)
+        before = d
+    assert got[("b", 1)] == (60.0, None) and len(got) == length + 1
+
+
+@pytest.mark.parametrize("wait", [0.0, 1.0, 90.0, 86_400.0, 200_000.0])
+def test_pointer_jumping_takes_what_a_fold_takes(spark, wait):
+    rng = random.Random(9)
+    rows, at = [], 0.0
+    for _ in range(1500):
+        at += rng.choice([0.0, 0.5, 1.0, 30.0, 45.0, 60.0, 5000.0, 86_400.0])
+        rows.append(("hot", at))
+    rows += [("cold", 3.0), ("cold", 3.5)]
+    df = spark.createDataFrame(rows, "k string, at double")
+    got = sorted((r["k"], r["at"]) for r in scan.spaced_times(df, ["k"], "at", wait).collect())
+    want, last = [], {}
+    for k, at in rows:
+        if wait <= 0 or k not in last or at - last[k] >= wait:
+            last[k] = at
+            want.append((k, at))
+    assert got == sorted(set(want))
+
+
+def test_replay_of_decisions_equals_the_fold(spark):
+    rng, policy = random.Random(2), ScalerPolicy(min_interval_s=100.0)
+    rows, at = [], 0
+    for _ in range(700):
+        at += rng.choice([10, 40, 60, 99, 100, 5000])
+        rows.append((T0 + timedelta(seconds=at), "n", rng.uniform(0, 100), 1.0, rng.uniform(0, 900), rng.random(), "m", rng.randrange(1, 9)))
+    schema = (
+        "triggered_at timestamp, node_id string, utilization double, predicted_rps double, upper_bound double, "
+        "spike_probability double, model_name string, workers int"
+    )
+    out = scaling.replay_decisions(spark.createDataFrame(rows, schema), ["node_id"], policy)
+    got = {r["triggered_at"]: r for r in out.collect()}
+    state = ScalerState(LoopState(), 1)
+    for t, _, u, _, up, p, _, n in rows:
+        want = decision_step(state, t.timestamp(), u, up, p, 15.0, policy, n)
+        row = [got[t][c] for c in scaling.DECISION_OUTPUTS]
+        assert [v is None for v in row] == [v is None for v in want]
+        assert [v for v in row if v is not None] == pytest.approx([v for v in want if v is not None], abs=1e-6)
+    assert any(r["held_back_s"] is not None for r in got.values())
