@@ -2,127 +2,95 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetlens.session import cut_lineage
+
 SKETCH_ACCURACY = 10_000
+#: Bits of the value that one round of the selection looks at, and how many rows of wanted prefixes are broadcast
+#: (more are joined by a shuffle).
+DIGIT, BROADCAST_ROWS = 16, 100_000
 
 
-def exact_percentiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    probs: dict[str, float],
-    accuracy: int = SKETCH_ACCURACY,
-) -> DataFrame:
-    """One row per key with a column per entry of ``probs``.
+def ordered_bits(value: Column) -> Column:
+    """A long in the order of the doubles: sign, exponent and fraction as one number (both zeros are 0).
 
-    1. A bounded sketch per key gives, for each probability, two values that
-       bracket the wanted rank (the sketch error is ``n / accuracy`` ranks).
-    2. One aggregate counts the rows below each bracket.
-    3. Only rows inside a bracket, about ``2 n / accuracy`` of them, are
-       counted per distinct value and ranked, which gives the exact answer.
-       A bracket that does not hold its rank is an error, never a wrong answer.
+    Found by exact arithmetic: scaling by powers of two never rounds.
     """
-    data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
-    )
-    slack = 2.0 / accuracy
-    # Below this size the slack is less than a few ranks: bracket the whole group.
-    whole = F.col("_n") < 2 * accuracy
-    wanted = [
-        F.struct(
-            F.lit(name).alias("name"),
-            F.lit(float(p)).alias("p"),
-        )
-        for name, p in probs.items()
-    ]
-    edges = F.array(
-        *[F.lit(min(1.0, max(0.0, p + side))) for p in probs.values() for side in (-slack, slack)]
-    )
-    sketch = data.groupBy(*keys).agg(
-        F.percentile_approx("_v", edges, accuracy).alias("_edges"),
-        F.count("*").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-    )
-    brackets = (
-        sketch.select(*keys, "_n", "_edges", "_min", "_max", F.posexplode(F.array(*wanted)).alias("_i", "_w"))
-        .select(
-            *keys,
-            "_n",
-            F.col("_w.name").alias("_name"),
-            F.col("_w.p").alias("_p"),
-            F.when(whole | (F.col("_w.p") - slack <= 0), F.col("_min"))
-            .otherwise(F.col("_edges")[F.col("_i") * 2])
-            .alias("_lo"),
-            F.when(whole | (F.col("_w.p") + slack >= 1), F.col("_max"))
-            .otherwise(F.col("_edges")[F.col("_i") * 2 + 1])
-            .alias("_hi"),
-        )
-        .withColumn("_rank", F.col("_p") * (F.col("_n") - 1))
-    )
-    # One row per key holding all its brackets, to be matched with the rows.
-    per_key = brackets.groupBy(*keys).agg(
-        F.collect_list(F.struct("_name", "_rank", "_lo", "_hi")).alias("_brackets")
-    )
-    if keys:
-        joined = data.join(per_key, keys)
-    else:
-        rows = per_key.first()
-        literal = F.array(
-            *[
-                F.struct(
-                    F.lit(b["_name"]).alias("_name"),
-                    F.lit(b["_rank"]).alias("_rank"),
-                    F.lit(b["_lo"]).alias("_lo"),
-                    F.lit(b["_hi"]).alias("_hi"),
-                )
-                for b in (rows["_brackets"] if rows else [])
-            ]
-        )
-        if not rows or not rows["_brackets"]:
-            empty = df.sparkSession.range(1)
-            return empty.select(*[F.lit(None).cast("double").alias(n) for n in probs])
-        joined = data.withColumn("_brackets", literal)
-    return _rank_inside(joined, keys, probs)
+    least, endless = F.lit(2.0**-1022), F.lit(float("inf"))
+    size = F.when(F.abs(value) == endless, 1.0).otherwise(F.abs(value))
+    guess = F.floor(F.log2(F.greatest(size, least)))
+    power = lambda e: F.pow(F.lit(2.0), e.cast("double"))
+    low = F.when(size < power(guess), guess - 1).when(size >= power(guess) * 2, guess + 1).otherwise(guess)
+    exponent = F.greatest(F.least(low, F.lit(1023)), F.lit(-1022))
+    fraction = ((F.greatest(size, least) / power(exponent) - 1) * 2.0**52).cast("long")
+    normal = F.shiftleft((exponent + 1023).cast("long"), 52) + fraction
+    tiny = (F.least(size, least) * 2.0**537 * 2.0**537).cast("long")
+    bits = F.when(size < least, tiny).when(F.abs(value) == endless, F.lit(0x7FF0000000000000)).otherwise(normal)
+    return F.when(value < 0, -bits).otherwise(bits)
 
 
-def _rank_inside(joined: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
-    # below: rows under each bracket; hits: distinct values inside it with counts.
-    tagged = joined.select(*keys, "_v", F.explode("_brackets").alias("_b")).filter(
-        F.col("_v") <= F.col("_b._hi")
-    )
-    marked = tagged.select(
-        *keys,
-        F.col("_b._name").alias("_name"),
-        F.col("_b._rank").alias("_rank"),
-        F.when(F.col("_v") >= F.col("_b._lo"), F.col("_v")).alias("_v"),
-    )
-    counted = marked.groupBy(*keys, "_name", "_rank", "_v").agg(F.count("*").alias("_c"))
-    upto = (
-        Window.partitionBy(*keys, "_name")
-        .orderBy(F.col("_v").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, 0)
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """One row per key with a column per entry of ``probs``; without keys one row, of nulls for no values.
+
+    A radix selection: equal values are counted first; then, 16 bits of the ordered value at a time, counts per
+    prefix tell which prefix holds each wanted rank, and only values with such a prefix go on. After four rounds
+    the prefix is the value. No step sorts or gathers the values of a group; a round's window runs over the at
+    most 65,536 prefixes below one.
+    """
+    data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    values = data.groupBy(*keys, ordered_bits(F.col("_v")).alias("_bits")).agg(
+        F.count("*").alias("_c"), F.first("_v").alias("_v")
     )
-    ranked = counted.withColumn("_end", F.sum("_c").over(upto))
-    inside = ranked.filter(F.col("_v").isNotNull())
-    lower = F.floor("_rank")
-    upper = F.ceil("_rank")
-    at = inside.groupBy(*keys, "_name").agg(
-        F.min(F.when(F.col("_end") > lower, F.col("_v"))).alias("_a"),
-        F.min(F.when(F.col("_end") > upper, F.col("_v"))).alias("_z"),
-        F.first("_rank").alias("_rank"),
-        F.min(F.col("_end") - F.col("_c")).alias("_below"),
-        F.max("_end").alias("_upto"),
+    values = cut_lineage(values)
+    groups = values.select(*keys).distinct().count() if keys else 1
+    few = groups * 2 * len(probs) <= BROADCAST_ROWS
+    names = list(probs)
+    ranks = F.array(*[F.lit(float(p)) for p in probs.values()])
+    wanted = None
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        prefix = F.shiftright("_bits", shift)
+        if wanted is None:
+            cells = values.groupBy(*keys, prefix.alias("_prefix")).agg(F.sum("_c").alias("_c"), F.min("_v").alias("_v"))
+            part = Window.partitionBy(*keys)
+            cells = cells.withColumn("_n", F.sum("_c").over(part))
+            rank = lambda p, n: p * (n - 1)
+            both = F.flatten(
+                F.transform(
+                    ranks,
+                    lambda p, i: F.array(
+                        F.struct((i * 2).alias("at"), F.floor(rank(p, F.col("_n"))).alias("r")),
+                        F.struct((i * 2 + 1).alias("at"), F.ceil(rank(p, F.col("_n"))).alias("r")),
+                    ),
+                )
+            )
+            cells = cells.withColumn("_ranks", both)
+        else:
+            held = wanted.withColumnRenamed("_prefix", "_above").drop("_v")
+            held = F.broadcast(held) if few else held
+            above = F.shiftright("_bits", shift + DIGIT)
+            cells = values.select(*keys, "_c", "_v", prefix.alias("_prefix"), above.alias("_above")).join(
+                held, [*keys, "_above"]
+            )
+            cells = cells.groupBy(*keys, "_above", "_prefix").agg(
+                F.sum("_c").alias("_c"), F.min("_v").alias("_v"), F.first("_n").alias("_n"), F.first("_ranks").alias("_ranks")
+            )
+            part = Window.partitionBy(*keys, "_above")
+        before = F.sum("_c").over(part.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")
+        cells = cells.withColumn("_before", before)
+        inside = F.filter("_ranks", lambda t: (t["r"] >= F.col("_before")) & (t["r"] < F.col("_before") + F.col("_c")))
+        moved = F.transform(inside, lambda t: F.struct(t["at"].alias("at"), (t["r"] - F.col("_before")).alias("r")))
+        wanted = cells.withColumn("_ranks", moved).where(F.size("_ranks") > 0).select(*keys, "_prefix", "_n", "_v", "_ranks")
+    found = wanted.select(*keys, "_n", "_v", F.explode("_ranks.at").alias("_at"))
+    at = lambda i: F.max(F.when(F.col("_at") == i, F.col("_v")))
+    ends = found.groupBy(*keys).agg(
+        F.max("_n").alias("_n"), *[at(2 * i + s).alias(f"_{'az'[s]}{i}") for i in range(len(names)) for s in (0, 1)]
     )
-    share = F.col("_rank") - F.floor("_rank")
-    held = (F.col("_below") <= lower) & (F.col("_upto") > upper)
-    exact = F.col("_a") + (F.col("_z") - F.col("_a")) * share
-    missed = F.raise_error(F.lit("the bracket of a percentile does not hold its rank")).cast("double")
-    result = at.withColumn("_q", F.when(held, exact).otherwise(missed))
-    columns = [F.max(F.when(F.col("_name") == name, F.col("_q"))).alias(name) for name in probs]
-    return result.groupBy(*keys).agg(*columns)
+    share = lambda p: F.lit(float(p)) * (F.col("_n") - 1) - F.floor(F.lit(float(p)) * (F.col("_n") - 1))
+    low, high = lambda i: F.col(f"_a{i}"), lambda i: F.col(f"_z{i}")
+    exact = lambda i, p: F.when(low(i) == high(i), low(i)).otherwise(low(i) + (high(i) - low(i)) * share(p))
+    return ends.select(*keys, *[exact(i, p).alias(name) for i, (name, p) in enumerate(probs.items())])
 
 
 def approximate_percentiles(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.functions import present
-from fleetlens.functions.quantiles import exact_percentiles
+from fleetlens.functions.quantiles import exact_percentiles, ordered_bits
 from fleetlens.functions.skew import ordered_rank, previous_sample
 from fleetlens.operators import counters, summaries
 
@@ -30,12 +30,34 @@ def test_exact_percentiles_by_key_with_a_hot_key(spark):
     rng = np.random.default_rng(3)
     data = {"hot": rng.normal(0, 1, 50_000), "cold": rng.normal(5, 2, 40), "one": np.array([3.0])}
     rows = [(k, float(v)) for k, vs in data.items() for v in vs]
-    out = exact_percentiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", PROBS, accuracy=500)
+    out = exact_percentiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", PROBS)
     for row in out.collect():
         for name, p in PROBS.items():
             assert row[name] == pytest.approx(np.percentile(data[row["k"]], p * 100), rel=1e-12)
 
 
+def test_bits_keep_the_order_of_doubles(spark):
+    rng = np.random.default_rng(8)
+    raw = np.frombuffer(rng.bytes(8 * 4000), "<f8")
+    values = [float(v) for v in raw if np.isfinite(v)]
+    values += [0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1023, 1.0, np.nextafter(1, 2), np.nextafter(1, 0), float("inf")]
+    values += [1.7976931348623157e308, -1.7976931348623157e308, float("-inf"), 4.0, np.nextafter(4, 0), 0.1, 0.2]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    rows = [(r["v"], r["b"]) for r in df.select("v", ordered_bits(F.col("v")).alias("b")).collect()]
+    want = {v: int(np.float64(abs(v)).view(np.int64)) * (-1 if v < 0 else 1) for v, _ in rows}
+    assert all(b == want[v] for v, b in rows)
+
+
+@pytest.mark.parametrize("values", [range(20_000), [7.5] * 5000, [-1.0, 1.0] * 700, [1e-300, 1e300, -1e300, 0.0], [float("inf"), 1.0]])
+def test_percentiles_of_sorted_and_constant_input(spark, values):
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    row = exact_percentiles(df, [], "v", PROBS).first()
+    with np.errstate(invalid="ignore"):
+        for name, p in PROBS.items():
+            want = np.percentile(np.array(values, float), p * 100)
+            assert row[name] == pytest.approx(want, rel=1e-12) or not np.isfinite(want)
+
+
 def test_exact_percentiles_of_nothing(spark):
     row = exact_percentiles(spark.createDataFrame([], "v double"), [], "v", {"p50": 0.5}).first()
     assert row["p50"] is None
