@@ -1,28 +1,33 @@
 """Similarity join of documents by the Jaccard similarity of their word n-gram sets, with PartEnum.
 
 Sets whose sizes lie in the same or a neighbouring band (bands grow by 1/threshold) are the only ones
-that can link, and then differ in at most ``k`` elements, where k depends on the band alone. The
-element domain is cut by hash into n partitions, a few more than k + 1: two such sets agree on at least
-n - k whole partitions. The enumerated subsets of partitions are the single ones (k2 = 0 in PartEnum's two
-levels, the choice with the fewest signatures), and each partition's content is hashed to a signature. A
-set signs its empty partitions only where they are as many as the partitions on which it and a partner of
-its size are sure to agree: two sets that agree on empty partitions alone both have that many, so nothing
-is lost, while no signature is shared by everybody.
-
-Documents with equal sets form a class. Each class is first compared with one other: of the smallest
-classes of its shared signatures, the most frequent. What that links is joined into components. Signatures
-that still hold several components are then searched pair by pair, in blocks of bounded size. A lower bound
-on the difference (the distance of 64 part sizes), and the number of signatures that two linked sets are sure
-to share, throw out pairs that cannot link before their sets are made; all other comparisons are exact.
-
-Nulls, ties and odd rows: a null or blank text has an empty set and links with nothing; a null doc_id
-is kept as a row of its own; repeated rows are kept, the smallest doc_id names a component; other
-columns are ignored; an empty table gives an empty result.
+that can link, and then differ in at most k elements, where k depends on the band alone. The element domain
+is cut by hash in two levels (PartEnum): n1 first-level partitions, so many that two such sets differ in at
+most k2 elements of one of them, each cut into n2 > k2 second-level ones; then n2 - k2 of the second level
+agree, so one signature is made for each subset of that size. The plan of a band is the one whose signatures
+cover the most elements within a bound on their number. A set has no signature for a subset without any of
+its elements, as long as fewer first-level partitions hold such a subset than there are spare ones: then
+enough others agree, so nothing is lost, while no signature is shared by everybody.
+
+Documents with equal sets form a class. Each class is first compared with the smallest classes of its shared
+signatures, one for each (a star for each signature, so pairs grow with the signatures and not with their
+square). What that links is joined into components. Signatures that still hold several components are then
+searched pair by pair across components, in blocks of bounded size. A lower bound on the difference (the
+distance of 64 part sizes) throws out pairs that cannot link before their sets are made; all other comparisons
+are exact.
+
+Nulls, ties and odd rows: a null or blank text has an empty set and links with nothing; a row with a null doc_id
+is compared like any other and takes the smallest doc_id of its component, null if there is none; repeated rows
+are kept, the smallest doc_id names a component; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +39,9 @@ from fleetlens.llm.links import components
 from fleetlens.llm.store import bound_batches, keep
 
 SHINGLE, PERCENT = 3, 90
-SPARE = 3
 PARTS = 64
+#: Signatures that a set may have per band: for each element that two linked sets may differ in, and at least.
+PER_ELEMENT, LEAST = 1.7, 16
 #: Signatures, or pairs, that a task gathers before it hands them on, and members of a block of pairs.
 FLUSH, BLOCK = 1 << 18, 1024
 
@@ -71,35 +77,56 @@ def bands(percent: int, upto: int) -> np.ndarray:
     return np.array(ends)
 
 
-def partitions(largest, percent: int):
-    """Number of partitions of the domain for sets of up to ``largest`` elements."""
-    return 2 * (100 - percent) * largest // (100 + percent) + 1 + SPARE + largest // 64
-
-
-def signatures(shingles: np.ndarray, percent: int, ends: np.ndarray) -> tuple[np.ndarray, list[int]]:
-    """PartEnum signatures of one set for its band and the next one, and its empty partitions in each."""
+class Plan(NamedTuple):
+    """How a band cuts the domain: first and second level, spare first-level partitions, subsets, cuts."""
+
+    first: int
+    second: int
+    spare: int
+    subsets: np.ndarray
+    cuts: np.ndarray
+
+
+@functools.lru_cache(maxsize=512)
+def plan(largest: int, percent: int) -> Plan:
+    """The cut for sets of up to ``largest`` elements whose signatures cover the most elements."""
+    differ = 2 * (100 - percent) * largest // (100 + percent)
+    best = None
+    for k2 in range(min(differ, 4) + 1):
+        for n2 in range(k2 + 1, k2 + 6 if k2 else 2):
+            n1 = differ // (k2 + 1) + 1
+            spare = 0 if n1 == 1 else 1 + n1 // 16
+            signs = (n1 + spare) * comb(n2, k2)
+            cover = (n2 - k2) / ((n1 + spare) * n2)
+            if signs <= max(LEAST, PER_ELEMENT * (differ + 1) + 4) or k2 == 0:
+                best = max(best or (0,), (cover, -signs, n1 + spare, n2, k2, spare))
+    _, _, n1, n2, k2, spare = best
+    cells = n1 * n2
+    cuts = np.array([(i << 64) // cells for i in range(cells)], np.uint64)
+    return Plan(n1, n2, spare, np.array(list(combinations(range(n2), n2 - k2)), np.int64), cuts)
+
+
+def signatures(shingles: np.ndarray, percent: int, ends: np.ndarray) -> np.ndarray:
+    """PartEnum signatures of one set for its band and the next one."""
     if not len(shingles):
-        return np.empty(0, np.uint64), [0, 0]
-    size = len(shingles)
-    band = int(np.searchsorted(ends, size))
+        return np.empty(0, np.uint64)
+    band = int(np.searchsorted(ends, len(shingles)))
     mixed = tx.mix(shingles + np.uint64(0x51))
-    out, empty = [], []
+    out = []
     for b in (band, band + 1):
-        largest = int(ends[b])
-        n = partitions(largest, percent)
-        # what this set and any partner here may differ in
-        own = (100 - percent) * (size + min(100 * size // percent, largest)) // (100 + percent)
-        cuts = np.array([(i << 64) // n for i in range(n)], np.uint64)
-        begins = np.searchsorted(shingles, cuts)
-        filled = np.diff(np.append(begins, size)) > 0
-        places = np.arange(n, dtype=np.uint64)
-        content = np.zeros(n, np.uint64)
+        cut = plan(int(ends[b]), percent)
+        begins = np.searchsorted(shingles, cut.cuts)
+        filled = np.diff(np.append(begins, len(shingles))) > 0
+        content = np.zeros(len(begins), np.uint64)
         content[filled] = np.add.reduceat(mixed, begins[filled])
-        empty.append(n - int(filled.sum()))
-        if empty[-1] < n - own:
-            places, content = places[filled], content[filled]
-        out.append(tx.mix(tx.mix(content) + places * np.uint64(0x9E37) + np.uint64(b) * np.uint64(0x79B97F4A7C15)))
-    return np.concatenate(out), empty
+        content = tx.mix(content + np.uint64(0x9E37)).reshape(cut.first, cut.second)
+        covers = filled.reshape(cut.first, cut.second)[:, cut.subsets].any(2)
+        place = np.arange(cut.first * len(cut.subsets), dtype=np.uint64).reshape(cut.first, -1)
+        signs = content[:, cut.subsets].sum(2, dtype=np.uint64)
+        signs = tx.mix(signs + place * np.uint64(0x9E3779B97F4A7C15) + np.uint64(b) * np.uint64(0x79B97F4A7C15))
+        bare = (~covers).any(1).sum()
+        out.append(signs[covers] if bare <= cut.spare else signs.ravel())
+    return np.concatenate(out)
 
 
 def set_key(shingles: np.ndarray) -> np.uint64:
@@ -107,10 +134,10 @@ def set_key(shingles: np.ndarray) -> np.uint64:
 
 
 SIGNED = pa.schema(
-    [("bucket", pa.int64()), ("settled", pa.bool_()), ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64())]
+    [("bucket", pa.int64()), ("settled", pa.bool_()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("key", pa.int64())]
     + [("parts", pa.binary()), ("signs", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]
 )
-FOUND = "doc_id long, n long, key long, parts binary, sign long, rep long"
+FOUND = "doc_id long, mark long, n long, key long, parts binary, sign long, rep long"
 
 
 def _signed_rows(buckets: int, signs: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -139,7 +166,7 @@ def _signed_rows(buckets: int, signs: np.ndarray, keys: np.ndarray) -> Iterator[
             [
                 pa.array(full, pa.int64()),
                 pa.array(np.full(len(full), settled)),
-                *(pa.nulls(len(full), pa.int64()) for _ in range(3)),
+                *(pa.nulls(len(full), pa.int64()) for _ in range(4)),
                 pa.nulls(len(full), pa.binary()),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(s[by].view(np.int64))),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(k[by].view(np.int64))),
@@ -153,14 +180,13 @@ def _sign(size: int, percent: int, buckets: int):
         ends, signs, keys, held, at = bands(percent, 1 << 40), [], [], 0, 0
         for batch in batches:
             n, own, parts = [], [], []
-            for shingles in shingle_sets(batch.column(1), size):
+            for shingles in shingle_sets(batch.column(2), size):
                 key = set_key(shingles)
                 n.append(len(shingles))
                 own.append(key)
                 counts = np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                own_signs, empty = signatures(shingles, percent, ends)
-                parts.append(np.minimum(counts, 255).astype(np.uint8).tobytes() + np.array(empty, "<i4").tobytes())
-                signs.append(own_signs)
+                parts.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+                signs.append(signatures(shingles, percent, ends))
                 keys.append(np.full(len(signs[-1]), key))
                 held += len(signs[-1])
                 if held >= FLUSH:
@@ -176,6 +202,7 @@ def _sign(size: int, percent: int, buckets: int):
                     pa.array((spread % np.uint64(buckets)).astype(np.int64), pa.int64()),
                     pa.nulls(len(n), pa.bool_()),
                     batch.column(0),
+                    batch.column(1),
                     pa.array(n, pa.int64()),
                     pa.array(own_keys, pa.int64()),
                     pa.array(parts, pa.binary()),
@@ -192,7 +219,7 @@ def _sign(size: int, percent: int, buckets: int):
 def _shared(table: pa.Table) -> pa.Table:
     """Of one bucket: its documents, and the signatures that more than one set has."""
     docs = table.filter(pa.compute.is_null(table["settled"]))
-    parts = [docs.select(["doc_id", "n", "key", "parts"])]
+    parts = [docs.select(["doc_id", "mark", "n", "key", "parts"])]
     for settled in (False, True):
         rows = table.filter(pa.compute.equal(table["settled"], settled))
         for own in [rows] if not settled else [rows.slice(i, 1) for i in range(len(rows))]:
@@ -215,7 +242,7 @@ def _shared(table: pa.Table) -> pa.Table:
             )
     empty = pa.table({"sign": pa.array([], pa.int64()), "rep": pa.array([], pa.int64())})
     return pa.concat_tables([*parts, empty], promote_options="default").select(
-        ["doc_id", "n", "key", "parts", "sign", "rep"]
+        ["doc_id", "mark", "n", "key", "parts", "sign", "rep"]
     )
 
 
@@ -226,7 +253,7 @@ def _sets(size: int):
             key, members = [], []
             for shingles in shingle_sets(batch.column(0), size):
                 own = set_key(shingles)
-                if own not in seen:  # rows of one doc_id are here together
+                if own not in seen:  # rows of one text are here together
                     seen.add(own)
                     key.append(own)
                     members.append(shingles.tobytes())
@@ -272,24 +299,24 @@ def verified(pairs: DataFrame, info: DataFrame, rows: DataFrame, size: int, perc
     comparison; links inside what a batch has joined already are left out. The sets are made again from
     one text of each key."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    needed = keep(info.join(wanted, "key", "left_semi").select("doc_id").distinct(), "needed")
-    texts = rows.join(needed, "doc_id", "left_semi").repartition("doc_id").select("text")
-    sets = keep(texts.mapInArrow(_sets(size), "key long, members binary"), "sets")
+    needed = keep(info.join(wanted, "key", "left_semi").select("doc_id", "mark").distinct(), "needed")
+    same = [F.col("of.mark") == F.col("needed.mark"), F.col("of.doc_id").eqNullSafe(F.col("needed.doc_id"))]
+    texts = rows.alias("of").join(needed.alias("needed"), same, "left_semi").repartition("mark").select("text")
+    sets = keep(texts.mapInArrow(_sets(size), "key long, members binary").dropDuplicates(["key"]), "sets")
     left = sets.select(F.col("key").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("members").alias("y"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
     return keep(both.mapInArrow(_similar(percent), "a long, b long"), "links")
 
 
-def _parts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Part sizes, and empty partitions for the own and the next band."""
-    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS + 8)
-    return raw[:, :PARTS].astype(np.int16), np.ascontiguousarray(raw[:, PARTS:]).view("<i4")
+def _parts(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Part sizes."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16)
 
 
 def _distance(x: pa.Array, y: pa.Array) -> np.ndarray:
     """A lower bound on the number of elements that two sets do not share."""
-    return np.abs(_parts(x)[0] - _parts(y)[0]).sum(1)
+    return np.abs(_parts(x) - _parts(y)).sum(1)
 
 
 def _within(percent: int):
@@ -306,18 +333,18 @@ def _within(percent: int):
 
 
 def _close(percent: int):
-    """Pairs of one block that lie in different components and that the bound lets through, with the number
-    of signatures that hold them and the number that two linked sets are sure to share; rows come sorted
-    by block, and all blocks of a batch are compared at once, neighbour by neighbour."""
+    """Pairs of one block that lie in different components and that the bound lets through; rows come sorted by
+    block, and all blocks of a batch are compared at once, neighbour by neighbour."""
     ends = bands(percent, 1 << 40)
 
     def batch_of(found: list[tuple]) -> pa.RecordBatch:
-        columns = [np.concatenate(x).astype(np.int64) for x in zip(*found)]
-        return pa.record_batch([pa.array(x) for x in columns], names=["a", "b", "weight", "need"])
+        # near copies meet under many signatures: once is enough
+        pairs = np.unique(np.concatenate([np.stack(x) for x in found], 1), axis=1)
+        return pa.record_batch([pa.array(x) for x in pairs], names=["a", "b"])
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         sign, lo, hi, half, key, root, n = (rows[c].to_numpy() for c in ("sign", "lo", "hi", "half", "key", "root", "n"))
-        weight, (parts, empty) = rows["weight"].to_numpy(), _parts(rows["parts"])
+        parts = _parts(rows["parts"])
         band = np.searchsorted(ends, n)
         at, out, held = np.arange(len(key)), [], 0
         for step in range(1, len(key)):
@@ -332,10 +359,7 @@ def _close(percent: int):
             i, j = at[ok], to[ok]
             near = np.abs(parts[i] - parts[j]).sum(1) <= most[ok]
             i, j = i[near], j[near]
-            top = np.maximum(band[i], band[j])
-            free = np.minimum(empty[i, np.minimum(top - band[i], 1)], empty[j, np.minimum(top - band[j], 1)])
-            need = partitions(ends[top], percent) - (100 - percent) * (n[i] + n[j]) // (100 + percent) - free
-            out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j]), weight[i], need))
+            out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j])))
             held += len(i)
             if held >= FLUSH:
                 yield batch_of(out)
@@ -364,27 +388,30 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     spark = docs.sparkSession
     bound_batches(spark)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), text.alias("text"))
     signed = rows.mapInArrow(
         _sign(size, percent, buckets),
-        "bucket long, settled boolean, doc_id long, n long, key long, parts binary, signs array<long>, keys array<long>",
+        "bucket long, settled boolean, doc_id long, mark long, n long, key long, parts binary, signs array<long>, "
+        "keys array<long>",
     )
     found = keep(signed.groupBy("bucket").applyInArrow(_shared, FOUND), "signed")
     owners = found.where("sign is null").select("doc_id", "n", "key")
     shared = found.where("sign is not null").select("key", "sign", "rep")
 
     # one document of each class that shares a signature
-    info = found.where("sign is null and doc_id is not null").join(shared.select("key").distinct(), "key", "left_semi")
-    info = keep(info.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parts").alias("parts")), "info")
+    info = found.where("sign is null").join(shared.select("key").distinct(), "key", "left_semi")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "n", "parts")).alias("one")
+    info = info.groupBy("key").agg(one).select("key", "one.doc_id", "one.mark", "one.n", "one.parts")
+    info = keep(info, "info")
 
-    # each class with the smallest class of most of its signatures
-    votes = shared.where("rep <> key").groupBy("key", "rep").agg(F.count("*").alias("votes"))
-    first = votes.groupBy("key").agg(F.max_by("rep", F.struct("votes", "rep")).alias("rep"))
+    # each class with the smallest class of every signature it shares
+    stars = shared.where("rep <> key").select("key", "rep").distinct()
     sides = [info.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "parts"))) for x in "ab"]
-    first = first.join(sides[0], F.col("rep") == F.col("key_a")).join(sides[1], F.col("key") == F.col("key_b"))
-    first = first.select("key_a", "key_b", "n_a", "n_b", "parts_a", "parts_b")
-    first = keep(first.mapInArrow(_within(percent), "a long, b long"), "first")
-    linked = verified(first, info, rows, size, percent)
+    stars = stars.join(sides[0], F.col("rep") == F.col("key_a")).join(sides[1], F.col("key") == F.col("key_b"))
+    stars = stars.select("key_a", "key_b", "n_a", "n_b", "parts_a", "parts_b")
+    stars = keep(stars.mapInArrow(_within(percent), "a long, b long"), "stars")
+    linked = verified(stars, info, rows, size, percent)
     roots = keep(components(linked), "roots")
 
     # signatures that still hold several components
@@ -397,10 +424,8 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         F.bit_xor(F.xxhash64("key")).alias("print"),
     )
     # near copies share many signatures: of those with the same sets, one is searched
-    open_ = open_.where("low < high").groupBy("low", "high", "members", "print").agg(
-        F.min("sign").alias("sign"), F.count("*").alias("weight")
-    )
-    open_ = open_.select("sign", "weight", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    open_ = open_.where("low < high").groupBy("low", "high", "members", "print").agg(F.min("sign").alias("sign"))
+    open_ = open_.select("sign", F.ceil(F.col("members") / BLOCK).alias("blocks"))
     block = ["sign", "lo", "hi"]
     blocks = (
         placed.join(open_, "sign")
@@ -409,27 +434,27 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         .withColumn("lo", F.least("half", "other"))
         .withColumn("hi", F.greatest("half", "other"))
         .join(info, "key")
-        .select(*block, "half", "key", "root", "n", "parts", "weight")
+        .select(*block, "half", "key", "root", "n", "parts")
         .repartition(*block)
         .sortWithinPartitions(*block, "key")
     )
-    close = blocks.mapInArrow(_close(percent), "a long, b long, weight long, need long")
-    close = close.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.max("need").alias("need"))
-    close = keep(close.where("weight >= need").select("a", "b"), "close")
-    rest = verified(close, info, rows, size, percent)
-    # the new links join components, so only those are contracted again
-    of = roots.withColumnRenamed("root", "to")
-    joined = rest.join(of.withColumnRenamed("node", "a"), "a", "left").select("b", F.coalesce("to", "a").alias("a"))
-    joined = joined.join(of.withColumnRenamed("node", "b"), "b", "left").select("a", F.coalesce("to", "b").alias("b"))
-    upper = components(joined.distinct()).withColumnRenamed("root", "top")
-    lower = roots.union(upper.select("node", F.col("node"))).dropDuplicates(["node"])
-    final = lower.join(upper.withColumnRenamed("node", "root"), "root", "left").select(
-        "node", F.coalesce("top", "root").alias("root")
-    )
+    close = keep(blocks.mapInArrow(_close(percent), "a long, b long").distinct(), "close")
+    final = roots.withColumnRenamed("node", "key")
+    if close.limit(1).count():
+        rest = verified(close, info, rows, size, percent)
+        # the new links join components, so only those are contracted again
+        of = roots.withColumnRenamed("root", "to")
+        joined = rest.join(of.withColumnRenamed("node", "a"), "a", "left").select("b", F.coalesce("to", "a").alias("a"))
+        joined = joined.join(of.withColumnRenamed("node", "b"), "b", "left").select("a", F.coalesce("to", "b").alias("b"))
+        joined = keep(joined.distinct(), "joined")
+        if joined.limit(1).count():
+            upper = keep(components(joined), "upper").withColumnRenamed("root", "top")
+            lower = roots.union(upper.select("node", F.col("node"))).dropDuplicates(["node"])
+            final = lower.join(upper.withColumnRenamed("node", "root"), "root", "left").select(
+                F.col("node").alias("key"), F.coalesce("top", "root").alias("root")
+            )
 
-    classes = owners.join(final.withColumnRenamed("node", "key"), "key", "left").select(
-        "doc_id", "n", "key", F.coalesce("root", "key").alias("root")
-    )
+    classes = owners.join(final, "key", "left").select("doc_id", "n", F.coalesce("root", "key").alias("root"))
     names = classes.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("name"))
     return classes.join(names, "root", "left").select(
         "doc_id",

@@ -139,9 +139,35 @@ def test_ngram_join_odd_rows(spark):
     assert ngram_join.ngram_join(docs_of(spark, ODD).limit(0)).count() == 0
 
 
+def test_ngram_join_links_through_rows_without_an_id(spark):
+    words = [f"w{i}" for i in range(40)]
+    chain = [" ".join(words), " ".join([*words[1:], "x"]), " ".join([*words[2:], "x", "y"])]
+    rows = [(1, chain[0]), (None, chain[1]), (3, chain[2]), (None, "all alone here"), (None, ""), (9, "z")]
+    docs = docs_of(spark, rows).withColumns({"key": F.lit("k"), "mark": F.lit("m"), "n_shingles": F.lit(1)})
+    got = sorted((tuple(r) for r in ngram_join.ngram_join(docs).collect()), key=repr)
+    assert got == sorted([(1, 38, 1), (None, 38, 1), (3, 38, 1), (None, 1, None), (None, 0, None), (9, 1, 9)], key=repr)
+
+
+@pytest.mark.parametrize("percent", [70, 80, 90, 95])
+def test_similar_sets_share_a_signature(percent):
+    rng = np.random.default_rng(percent)
+    ends = ngram_join.bands(percent, 1 << 40)
+    for _ in range(400):
+        n = int(rng.integers(1, 400))
+        common = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        most = 2 * n * (100 - percent) // (percent * 2)
+        extra = int(rng.integers(0, most + 1))
+        left, right = np.split(rng.integers(0, 1 << 63, extra, dtype=np.uint64), [int(rng.integers(0, extra + 1))])
+        a, b = np.unique(np.concatenate([common, left])), np.unique(np.concatenate([common, right]))
+        if 100 * n >= percent * (n + extra):
+            found = [set(ngram_join.signatures(x, percent, ends).tolist()) for x in (a, b)]
+            assert found[0] & found[1]
+
+
 def test_ngram_join_deals_equal_texts_over_all_buckets():
     for ids, texts in (([7] * 3200, ["a b c d e"] * 3200), ([None] * 3200, [None] * 3200), (range(3200), [""] * 3200)):
-        batch = pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+        columns = [pa.array(ids, pa.int64()), pa.array([5] * 3200, pa.int64()), pa.array(texts, pa.string())]
+        batch = pa.record_batch(columns, names=["doc_id", "mark", "text"])
         out = pa.Table.from_batches(ngram_join._sign(3, 90, 32)(iter([batch.slice(0, 1000), batch.slice(1000)])))
         rows = out.filter(pa.compute.is_null(out["settled"]))
         assert len(rows) == 3200 and max(Counter(rows["bucket"].to_pylist()).values()) < 200
