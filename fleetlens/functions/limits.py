@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections import deque
 from dataclasses import dataclass, field
 
+import numpy as np
+
 
 @dataclass
 class Bucket:
@@ -26,6 +28,47 @@ def bucket_step(state: Bucket, at: float, need: float, refill: float, capacity:
     return allowed, int(state.tokens), wait
 
 
+@dataclass
+class LevelTable:
+    """What a run of requests makes of the level at its first one: pieces of [0, capacity], from ``edges`` on, that
+    each end at a fixed level or at the level they began with plus an offset."""
+
+    edges: np.ndarray
+    values: np.ndarray
+    fixed: np.ndarray
+
+    @classmethod
+    def start(cls) -> LevelTable:
+        return cls(np.zeros(1), np.zeros(1), np.zeros(1, bool))
+
+    def split(self, level: float, top: float) -> LevelTable:
+        """The same pieces, cut where they reach ``level``."""
+        ends = np.append(self.edges[1:], np.nextafter(top, np.inf))
+        at = level - self.values
+        cut = ~self.fixed & (at > self.edges) & (at < ends)
+        order = np.argsort(np.concatenate([self.edges, at[cut]]), kind="stable")
+        both = lambda x: np.concatenate([x, x[cut]])[order]
+        return LevelTable(np.concatenate([self.edges, at[cut]])[order], both(self.values), both(self.fixed))
+
+    def levels(self) -> np.ndarray:
+        return np.where(self.fixed, self.values, self.edges + self.values)
+
+    def then(self, gain: float, need: float, capacity: float) -> LevelTable:
+        """Followed by a refill of ``gain`` up to ``capacity`` and a request for ``need``."""
+        out = LevelTable(self.edges, self.values + gain, self.fixed).split(capacity, capacity)
+        full = out.levels() >= capacity
+        out = LevelTable(out.edges, np.where(full, capacity, out.values), out.fixed | full).split(need, capacity)
+        taken = out.levels() >= need
+        out = LevelTable(out.edges, np.where(taken, out.values - need, out.values), out.fixed)
+        same = np.zeros(len(out.edges), bool)
+        same[1:] = (out.fixed[1:] == out.fixed[:-1]) & (out.values[1:] == out.values[:-1])
+        return LevelTable(out.edges[~same], out.values[~same], out.fixed[~same])
+
+    def after(self, level: float) -> float:
+        k = int(np.searchsorted(self.edges, level, side="right")) - 1
+        return float(self.values[k] if self.fixed[k] else level + self.values[k])
+
+
 @dataclass
 class Admitted:
     """Times of the admitted requests that are still inside the window."""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import epoch, epoch_us, floor_time
-from fleetlens.functions.limits import Admitted, Bucket, bucket_step, window_step
+from fleetlens.functions.limits import Admitted, Bucket, LevelTable, bucket_step, window_step
 from fleetlens.functions.ordered import ordered_scan
 from fleetlens.functions.skew import ordered_rank
 from fleetlens.params import ROLE_RATES, UNKNOWN_ROLE_RATE
@@ -14,6 +16,8 @@ from fleetlens.params import ROLE_RATES, UNKNOWN_ROLE_RATE
 CAPACITY = 100.0
 WINDOW_S = 60
 IDLE_TTL_S = 3600
+#: Requests of a stretch that one task decides.
+CHUNK = 4096
 OUTPUTS = {"allowed": "boolean", "remaining": "bigint", "reset_after": "double"}
 
 
@@ -31,8 +35,9 @@ def with_role_rate(log: DataFrame, rates: DataFrame, default: float = UNKNOWN_RO
     )
 
 
-def _segments(log: DataFrame, quiet_s: Column, slot_s: float) -> DataFrame:
-    """Number the stretches of each key that are parted by at least ``quiet_s``.
+def _segments(log: DataFrame, quiet_s: Column, slot_s: float, chunk: int | None = None) -> DataFrame:
+    """Number the stretches of each key that are parted by at least ``quiet_s``, and with ``chunk`` the requests of
+    a stretch (``_rank``, from 0) and its pieces of so many (``_chunk``).
 
     After so long a pause the limiter's state is the same whatever came before,
     so stretches are independent and one key spreads over many tasks. Requests
@@ -41,17 +46,23 @@ def _segments(log: DataFrame, quiet_s: Column, slot_s: float) -> DataFrame:
     us = max(1, int(slot_s * 1_000_000))
     slotted = log.withColumn("_slot", F.floor(epoch_us("ts") / us))
     slots = slotted.groupBy("key", "_slot").agg(
-        F.min(epoch("ts")).alias("_from"), F.max(epoch("ts")).alias("_to"), F.max(quiet_s).alias("_quiet")
+        F.min(epoch("ts")).alias("_from"),
+        F.max(epoch("ts")).alias("_to"),
+        F.max(quiet_s).alias("_quiet"),
+        F.count("*").alias("_n"),
     )
     order = Window.partitionBy("key").orderBy("_slot")
     pause = F.col("_from") - F.lag("_to").over(order)
     fresh = F.when(pause >= F.col("_quiet"), 1).otherwise(0)
-    numbered = slots.withColumn("_fresh", fresh).select(
-        "key",
-        "_slot",
-        F.sum("_fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("_segment"),
-    )
-    return slotted.join(numbered, ["key", "_slot"]).drop("_slot")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = slots.withColumn("_fresh", fresh).withColumn("_segment", F.sum("_fresh").over(so_far))
+    if not chunk:
+        return slotted.join(numbered.select("key", "_slot", "_segment"), ["key", "_slot"]).drop("_slot")
+    inside = Window.partitionBy("key", "_segment").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = numbered.select("key", "_slot", "_segment", F.coalesce(F.sum("_n").over(inside), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("key", "_slot").orderBy("ts", "id"))
+    placed = slotted.join(numbered, ["key", "_slot"]).withColumn("_rank", F.col("_before") + rank - 1)
+    return placed.withColumn("_chunk", F.floor(F.col("_rank") / chunk)).drop("_slot", "_before")
 
 
 def token_bucket(
@@ -59,13 +70,16 @@ def token_bucket(
     capacity: float = CAPACITY,
     rates: dict[str, float] | None = None,
     idle_ttl_s: float | None = None,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """Token-bucket decision of every request.
 
     A key's refill rate is that of its first request; with ``idle_ttl_s`` a
     bucket idle for longer is forgotten, and the next request sets the rate
     anew. A pause that refills the bucket parts a key into independent
-    stretches, which are decided in parallel.
+    stretches, which are decided in parallel; a stretch of more than ``chunk``
+    requests is decided in pieces, each from the level that tables of the pieces
+    before it lead to.
     """
     rate = role_rate("role", rates)
     order = F.struct("ts", "id")
@@ -79,18 +93,72 @@ def token_bucket(
     if idle_ttl_s:
         quiet = F.least(quiet, F.lit(float(idle_ttl_s)))
     slowest = min([*(rates or ROLE_RATES).values(), UNKNOWN_ROLE_RATE])
-    parted = _segments(rated.withColumn("_q", quiet), F.col("_q"), capacity / slowest)
-    timed = parted.withColumn("_at", epoch("ts"))
+    parted = _segments(rated.withColumn("_q", quiet), F.col("_q"), capacity / slowest, chunk)
+    timed = parted.withColumn("_at", epoch("ts")).drop("_q", "_life")
+    # the level at which each piece of a long stretch begins goes ahead of its requests
+    starts = _levels_between(timed, capacity, chunk)
+    blank = lambda column: F.lit(None).cast("double").alias(column)
+    rows = timed.select("*", blank("_level"), blank("_since")).unionByName(starts, allowMissingColumns=True)
+
+    def step(state: Bucket, row: tuple) -> tuple:
+        at, need, refill, level, since = row
+        if level == level and level is not None:
+            state.tokens, state.at = level, since
+            return None, None, None
+        return bucket_step(state, at, need, refill, capacity)
+
     scanned = ordered_scan(
-        timed,
+        rows, ["key", "_segment", "_chunk"], ["ts", "id"], ["_at", "tokens", "refill", "_level", "_since"], Bucket, step, OUTPUTS
+    )
+    kept = scanned.where("_level is null")
+    return kept.drop("_at", "_segment", "_chunk", "_rank", "_level", "_since").withColumnRenamed("refill", "limit")
+
+
+def _levels_between(timed: DataFrame, capacity: float, chunk: int) -> DataFrame:
+    """(key, _segment, _chunk, _level, _since): the tokens left, and when, before each piece but the first.
+
+    Each piece of a long stretch is summed up, on its own, in a table from the level at its first request to the
+    level after its last; only these tables are then passed through in order, one small step a piece.
+    """
+    keys = ["key", "_segment", "_chunk"]
+    sizes = timed.groupBy("key", "_segment").agg(F.max("_rank").alias("_most"))
+    more = sizes.where(F.col("_most") >= chunk).select("key", "_segment", F.floor(F.col("_most") / chunk).alias("_ends"))
+    long = timed.join(more, ["key", "_segment"]).where(F.col("_chunk") < F.col("_ends"))
+
+    def table(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_rank")
+        at, need, refill = pdf["_at"].to_numpy(), pdf["tokens"].to_numpy(float), float(pdf["refill"].iloc[0])
+        held = LevelTable.start()
+        for gain, n in zip(np.maximum(np.diff(at, prepend=at[0]), 0.0) * refill, need):
+            held = held.then(float(gain), float(n), capacity)
+        one = pdf.iloc[[0]][keys].copy()
+        one["_from"], one["_to"], one["refill"] = at[0], at[-1], refill
+        one["_edges"], one["_values"], one["_fixed"] = [held.edges], [held.values], [held.fixed]
+        return one
+
+    kinds = ", ".join(f"`{k}` {long.schema[k].dataType.simpleString()}" for k in keys)
+    tables = long.select(*keys, "_rank", "_at", "tokens", "refill").groupBy(*keys).applyInPandas(
+        table,
+        f"{kinds}, _from double, _to double, refill double, _edges array<double>, _values array<double>, _fixed array<boolean>",
+    )
+
+    def follow(state: Bucket, row: tuple) -> tuple:
+        first, end, refill, edges, values, fixed = row
+        level = capacity if state.tokens is None else min(capacity, state.tokens + max(0.0, first - state.at) * refill)
+        held = LevelTable(np.asarray(edges, float), np.asarray(values, float), np.asarray(fixed, bool))
+        state.tokens, state.at = held.after(level), end
+        return state.tokens, end
+
+    passed = ordered_scan(
+        tables,
         ["key", "_segment"],
-        ["ts", "id"],
-        ["_at", "tokens", "refill"],
+        ["_chunk"],
+        ["_from", "_to", "refill", "_edges", "_values", "_fixed"],
         Bucket,
-        lambda state, r: bucket_step(state, r[0], r[1], r[2], capacity),
-        OUTPUTS,
+        follow,
+        {"_level": "double", "_since": "double"},
     )
-    return scanned.drop("_at", "_segment", "_q", "_life").withColumnRenamed("refill", "limit")
+    return passed.select("key", "_segment", (F.col("_chunk") + 1).alias("_chunk"), "_level", "_since")
 
 
 def sliding_window(

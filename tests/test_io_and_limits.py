@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlens import session
-from fleetlens.functions.limits import Admitted, Bucket, bucket_step, window_step
+from fleetlens.functions.limits import Admitted, Bucket, LevelTable, bucket_step, window_step
 from fleetlens.operators import admission, reads, registry, traces
 from fleetlens.plans.stream_queries import _EventStream
 from fleetlens.sources import readers, telemetry, writers
@@ -50,6 +50,45 @@ def test_parallel_segments_equal_a_plain_fold(spark):
     assert 0 < sum(out.values()) < 3000 and 0 < sum(slide.values()) < 3000
 
 
+@pytest.mark.parametrize("chunk", [7, 64, 5000])
+def test_saturated_bucket_in_pieces_equals_a_plain_fold(spark, chunk):
+    import random
+
+    rnd = random.Random(chunk)
+    rows, t = [], 0.0
+    for i in range(2000):
+        t += rnd.choice([0.0, 0.25, 0.5, 1.0])
+        rows.append((i, T0 + timedelta(seconds=t), "hot" if i % 5 else "cold", "guest", rnd.choice([1, 1, 2, 3, 7])))
+    log = spark.createDataFrame(rows, "id int, ts timestamp, key string, role string, tokens int")
+    out = {r["id"]: r for r in admission.token_bucket(log, 9.0, {"guest": 0.5}, chunk=chunk).collect()}
+    assert len(out) == 2000
+    for key in ("hot", "cold"):
+        b = Bucket()
+        for i, ts, k, _, n in rows:
+            if k == key:
+                at = (ts - datetime(1970, 1, 1)).total_seconds()
+                want = bucket_step(b, at, n, 0.5, 9.0)
+                assert (out[i]["allowed"], out[i]["remaining"], out[i]["reset_after"]) == want
+
+
+def test_level_table_equals_its_steps():
+    import random
+
+    rnd = random.Random(6)
+    for _ in range(60):
+        capacity = rnd.choice([3.0, 10.0])
+        steps = [(rnd.choice([0.0, 0.25, 0.5, 4.0]), float(rnd.randrange(0, 5))) for _ in range(rnd.randrange(1, 40))]
+        held = LevelTable.start()
+        for gain, need in steps:
+            held = held.then(gain, need, capacity)
+        for level in [0.0, capacity, *(rnd.randrange(0, int(capacity * 8)) / 8 for _ in range(20))]:
+            x = level
+            for gain, need in steps:
+                x = min(capacity, x + gain)
+                x = x - need if x >= need else x
+            assert held.after(level) == x
+
+
 def test_fixed_window(spark):
     rows = [(i, T0 + timedelta(seconds=s), "k", "guest", 1) for i, s in enumerate([0, 1, 2, 59, 60, 61])]
     log = spark.createDataFrame(rows, "id int, ts timestamp, key string, role string, tokens int")
