@@ -6,6 +6,7 @@ session's checkpoint folder and are read back from there.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import functions as F
@@ -17,25 +18,7 @@ from fleetlens.plans.catalog import query
 from fleetlens.session import STATE_STORE, checkpoint_dir, ensure_utc
 from fleetlens.sources import telemetry
 from fleetlens.streaming import detect, stateful, windows
-from fleetlens.streaming.ingest import start_ingest, start_table
-
-
-class _EventStream:
-    """``spark.read.parquet`` of the derived tables, answered by a stream."""
-
-    def __init__(self, spark):
-        self._spark = spark
-        self.conf = spark.conf
-        self.read = self
-
-    def schema(self, schema: str):
-        self._schema = schema
-        return self
-
-    def parquet(self, path: str):
-        folder, name = path.rsplit("/", 1)
-        stream = self._spark.readStream.schema(self._schema).option("pathGlobFilter", name).parquet(folder)
-        return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+from fleetlens.streaming.ingest import start_ingest, start_table, write_ingest_batch
 
 
 def _room(spark) -> str:
@@ -52,6 +35,11 @@ def _run(spark, rows):
     return out.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
 
 
+def exact_mean(column: str) -> str:
+    """Mean from an exact decimal sum, which no order of the rows changes."""
+    return f"round(CAST(sum(CAST({column} AS DECIMAL(28, 9))) AS DOUBLE) / count({column}), 6)"
+
+
 @query(
     "stream_load_resampled",
     f"""WITH {t.METRICS} SELECT node_id, time_bucket(INTERVAL '5 minutes', "timestamp") AS ds,
@@ -60,7 +48,7 @@ HAVING time_bucket(INTERVAL '5 minutes', any_value("timestamp")) + INTERVAL 5 MI
   <= date_trunc('millisecond', {t.AS_OF}) - INTERVAL 10 MINUTE""",
 )
 def _(spark, sf):
-    m = telemetry.metrics(_EventStream(spark), sf)
+    m = telemetry.metrics(spark, sf, streaming=True)
     return rounded(_run(spark, windows.tumbling_mean(m, keys=["node_id"])))
 
 
@@ -68,12 +56,12 @@ def _(spark, sf):
     "stream_sliding_summary",
     f"""WITH {t.METRICS}, w AS (SELECT *, unnest(range(epoch_us("timestamp") // 3600000000 * 3600000000 - 5 * 3600000000,
     epoch_us("timestamp") // 3600000000 * 3600000000 + 1, 3600000000)) + 6 * 3600000000 AS e FROM metrics)
-SELECT make_timestamp(e) AS at, round(avg(cpu_usage), 6) AS avg_cpu, round(avg(memory_usage), 6) AS avg_mem,
-  round(avg(latency_ms), 6) AS avg_latency, round(avg(requests_per_sec), 6) AS avg_rps, count(DISTINCT node_id) AS node_count
+SELECT make_timestamp(e) AS at, {exact_mean('cpu_usage')} AS avg_cpu, {exact_mean('memory_usage')} AS avg_mem,
+  {exact_mean('latency_ms')} AS avg_latency, {exact_mean('requests_per_sec')} AS avg_rps, count(DISTINCT node_id) AS node_count
 FROM w GROUP BY e HAVING make_timestamp(e) <= date_trunc('millisecond', {t.AS_OF}) - INTERVAL 10 MINUTE""",
 )
 def _(spark, sf):
-    m = telemetry.metrics(_EventStream(spark), sf)
+    m = telemetry.metrics(spark, sf, streaming=True)
     return rounded(_run(spark, windows.sliding_summary(m, "6 hours", "1 hour")))
 
 
@@ -83,7 +71,7 @@ def _(spark, sf):
   threshold, anomaly_score, description FROM flags""",
 )
 def _(spark, sf):
-    return _run(spark, detect.detect(telemetry.metrics(_EventStream(spark), sf)))
+    return _run(spark, detect.detect(telemetry.metrics(spark, sf, streaming=True)))
 
 
 @query(
@@ -95,7 +83,7 @@ def _(spark, sf):
 def _(spark, sf):
     room = _room(spark)
     detect.start_detector(
-        telemetry.metrics(_EventStream(spark), sf),
+        telemetry.metrics(spark, sf, streaming=True),
         f"{room}/anomalies",
         f"{room}/alerts",
         f"{room}/offsets",
@@ -107,20 +95,95 @@ def _(spark, sf):
     )
 
 
+def _ingested(spark, sf):
+    """Both tables after the stream has ended and its last batch was written a second time."""
+    from fleetlens.plans.registry_queries import damaged_entries
+
+    room = _room(spark)
+    entries = damaged_entries(telemetry.metrics(spark, sf, streaming=True)).select("entry")
+    for running in start_ingest(entries, f"{room}/metrics", f"{room}/rejects", f"{room}/offsets", available_now=True):
+        running.awaitTermination()
+    again = damaged_entries(telemetry.metrics(spark, sf)).select("entry")
+    write_ingest_batch(again, 0, f"{room}/metrics", f"{room}/rejects")
+    return room
+
+
 @query(
     "stream_ingest",
     f"""WITH {t.METRICS} SELECT node_id, "timestamp", cpu_usage, memory_usage, latency_ms, requests_per_sec, disk_usage
 FROM metrics WHERE id % 10 > 1""",
 )
 def _(spark, sf):
-    from fleetlens.plans.registry_queries import damaged_entries
+    out = spark.read.parquet(f"{_ingested(spark, sf)}/metrics").drop("date", "batch")
+    return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
 
+@query(
+    "stream_ingest_rejects",
+    f"""WITH {t.METRICS} SELECT node_id, epoch_us("timestamp")::VARCHAR AS us, id % 10 = 1 AS has_latency,
+  CASE WHEN id % 10 = 1 THEN 'n/a' ELSE round(cpu_usage, 6)::VARCHAR END AS cpu, round(memory_usage, 6) AS memory_usage,
+  CASE WHEN id % 10 = 1 THEN round(latency_ms, 6) END AS latency_ms, round(requests_per_sec, 6) AS requests_per_sec,
+  disk_usage FROM metrics WHERE id % 10 <= 1""",
+)
+def _(spark, sf):
+    """The rejected entries as whole rows, each of their fields read back."""
+    fields = "node_id string, timestamp string, cpu_usage string, memory_usage string, latency_ms string, requests_per_sec string, disk_usage string"
+    rows = spark.read.schema(f"entry struct<{fields.replace(' string', ': string')}>").json(f"{_ingested(spark, sf)}/rejects")
+    e = lambda name: F.col(f"entry.{name}")
+    six = lambda name: F.round(e(name).cast("double"), 6)
+    cpu = F.when(e("cpu_usage").try_cast("double").isNull(), e("cpu_usage")).otherwise(six("cpu_usage").cast("string"))
+    return rows.select(
+        e("node_id").alias("node_id"),
+        F.rint(e("timestamp").cast("decimal(30,6)") * 1_000_000).cast("long").cast("string").alias("us"),
+        e("latency_ms").isNotNull().alias("has_latency"),
+        cpu.alias("cpu"),
+        *[six(n).alias(n) for n in ("memory_usage", "latency_ms", "requests_per_sec", "disk_usage")],
+    )
+
+
+SLICES, LATE_MINUTES = 4, 10
+
+
+def _sliced(spark, sf, late):
+    """The metrics as a stream of ``SLICES`` micro-batches in the order of time: each row whose ``late`` is true
+    comes two slices after its own, and every third row comes twice, once in the next slice."""
     room = _room(spark)
-    entries = damaged_entries(telemetry.metrics(_EventStream(spark), sf)).select("entry")
-    for running in start_ingest(entries, f"{room}/metrics", f"{room}/rejects", f"{room}/offsets", available_now=True):
-        running.awaitTermination()
-    out = spark.read.parquet(f"{room}/metrics").drop("date")
-    return out.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    m = telemetry.metrics(spark, sf)
+    bounds = m.agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high")).first()
+    span = (bounds["high"] - bounds["low"]).total_seconds()
+    from fleetlens.functions.clock import epoch
+
+    start = m.agg(F.min(epoch("timestamp"))).first()[0]
+    own = F.least(F.floor((epoch("timestamp") - start) / span * SLICES), F.lit(SLICES - 1))
+    sent = F.when(late & (own < SLICES - 2), F.array(own + 2)).when(
+        F.col("id") % 3 == 0, F.array(own, F.least(own + 1, F.lit(SLICES - 1)))
+    )
+    rows = m.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    rows = rows.withColumn("_slice", F.explode(sent.otherwise(F.array(own))))
+    for number in range(SLICES):  # files are read in the order in which they were written
+        rows.where(F.col("_slice") == number).drop("_slice").coalesce(1).write.mode("append").parquet(f"{room}/in")
+        time.sleep(0.05)
+    return spark.readStream.schema(rows.drop("_slice").schema).option("maxFilesPerTrigger", 1).parquet(f"{room}/in")
+
+
+OWN_SLICE = f"""span AS (SELECT min(epoch_us("timestamp")) AS low, max(epoch_us("timestamp")) - min(epoch_us("timestamp")) AS wide FROM metrics),
+placed AS (SELECT m.*, least(floor((epoch_us("timestamp") - low) / 1e6 / (wide / 1e6) * {SLICES}), {SLICES - 1}) AS own FROM metrics m, span)"""
+
+
+@query(
+    "stream_late_and_repeated",
+    f"""WITH {t.METRICS}, {OWN_SLICE} SELECT node_id, time_bucket(INTERVAL '5 minutes', "timestamp") AS ds,
+  round(avg(requests_per_sec), 6) AS y, count(*) AS samples FROM placed WHERE NOT (id % 7 = 2 AND own < {SLICES - 2}) GROUP BY 1, 2
+HAVING time_bucket(INTERVAL '5 minutes', any_value("timestamp")) + INTERVAL 5 MINUTE
+  <= date_trunc('millisecond', {t.AS_OF}) - INTERVAL {LATE_MINUTES} MINUTE""",
+)
+def _(spark, sf):
+    """Means over four micro-batches with repeated rows, counted once, and rows too late to count."""
+    late = F.col("id") % 7 == 2
+    # a row may be repeated one slice later, which is within the span of the data
+    rows = _sliced(spark, sf, late).withWatermark("timestamp", f"{LATE_MINUTES} minutes")
+    once = rows.dropDuplicates(["node_id", "timestamp"])
+    return rounded(_run(spark, windows.tumbling_mean(once, keys=["node_id"], delay=None)))
 
 
 @query(
@@ -129,7 +192,7 @@ def _(spark, sf):
   round(CASE WHEN tokens >= 1 THEN 0.0 ELSE (1 - tokens) / refill END, 3) AS reset_after FROM bucket""",
 )
 def _(spark, sf):
-    log = telemetry.requests(_EventStream(spark), sf)
+    log = telemetry.requests(spark, sf, streaming=True)
     _room(spark)
     out = _run(spark, stateful.token_bucket(log, adm.BURST, adm.SLOW_RATES, ttl_s=None))
     return out.select("key", "id", "allowed", "remaining", F.round("reset_after", 3).alias("reset_after"))
@@ -141,7 +204,7 @@ def _(spark, sf):
 FROM sliding""",
 )
 def _(spark, sf):
-    log = telemetry.requests(_EventStream(spark), sf)
+    log = telemetry.requests(spark, sf, streaming=True)
     out = _run(spark, stateful.sliding_window(log, adm.WINDOW, adm.WINDOW_RATES, ttl_s=None))
     return out.select("key", "id", "allowed", "remaining")
 
@@ -162,7 +225,7 @@ SELECT node_id, triggered_at, round(action, 6) AS action, is_emergency, prev_rep
 )
 def _(spark, sf):
     """Decisions on the stream of closed hourly load windows, one loop per node."""
-    m = telemetry.metrics(_EventStream(spark), sf)
+    m = telemetry.metrics(spark, sf, streaming=True)
     hours = m.withWatermark("timestamp", "10 minutes").groupBy("node_id", F.window("timestamp", "1 hour").alias("_w"))
     steps = hours.agg(
         F.avg("cpu_usage").alias("utilization"),
@@ -184,5 +247,5 @@ def _(spark, sf):
 HAVING date_trunc('millisecond', max("timestamp")) + INTERVAL 30 MINUTE <= date_trunc('millisecond', {t.AS_OF}) - INTERVAL 1 MINUTE""",
 )
 def _(spark, sf):
-    m = telemetry.metrics(_EventStream(spark), sf)
+    m = telemetry.metrics(spark, sf, streaming=True)
     return _run(spark, stateful.silent_nodes(m, 1_800))

@@ -61,16 +61,27 @@ def _typed(entry: str) -> dict[str, Column]:
     }
 
 
-def parse_entries(df: DataFrame, entry: str = "entry") -> tuple[DataFrame, DataFrame]:
-    """Split stream entries into typed metric rows and rejected entries."""
+def flag_entries(df: DataFrame, entry: str = "entry") -> DataFrame:
+    """Stream entries with their typed metric row (``_row``) and whether it is whole (``_complete``)."""
     typed = df.withColumn("_row", F.struct(*[c.alias(n) for n, c in _typed(entry).items()]))
     complete = F.col("_row.node_id").isNotNull()
     for name in METRIC_COLUMNS[1:]:
         complete = complete & F.col(f"_row.{name}").isNotNull()
-    complete = F.coalesce(complete, F.lit(False))
-    good = typed.filter(complete).select("_row.*")
-    rejects = typed.filter(~complete).drop("_row")
-    return good, rejects
+    return typed.withColumn("_complete", F.coalesce(complete, F.lit(False)))
+
+
+def good_entries(flagged: DataFrame) -> DataFrame:
+    return flagged.filter("_complete").select("_row.*")
+
+
+def rejected_entries(flagged: DataFrame) -> DataFrame:
+    return flagged.filter("not _complete").drop("_row", "_complete")
+
+
+def parse_entries(df: DataFrame, entry: str = "entry") -> tuple[DataFrame, DataFrame]:
+    """Split stream entries into typed metric rows and rejected entries."""
+    flagged = flag_entries(df, entry)
+    return good_entries(flagged), rejected_entries(flagged)
 
 
 def normalise_requests(df: DataFrame, received_at: datetime | Column, request: str = "request") -> DataFrame:
@@ -104,6 +115,17 @@ def parse_json_requests(df: DataFrame, column: str, received_at: datetime | Colu
     return normalise_requests(parsed, received_at)
 
 
+def split_json_requests(df: DataFrame, column: str, received_at: datetime | Column) -> tuple[DataFrame, DataFrame]:
+    """Metric rows of single JSON requests, and the refused requests with the reason: a body that is no JSON
+    object, or one that lacks a usable value."""
+    broken = F.coalesce(F.schema_of_variant(F.try_parse_json(column)).startswith("OBJECT"), F.lit(False))
+    parsed = df.withColumns({"_object": broken, "request": F.from_json(column, schemas.INGEST_REQUEST)})
+    refused = refused_requests(parsed).withColumn(
+        "reason", F.when(F.col("_object"), "missing or unreadable value").otherwise("not a JSON object")
+    )
+    return normalise_requests(parsed.where("_object"), received_at), refused.drop("_object", "request")
+
+
 def explode_bulk(
     df: DataFrame, column: str, received_at: datetime | Column
 ) -> tuple[DataFrame, DataFrame]:

@@ -18,13 +18,17 @@ EVENTS = (
 ROLE_ORDER = ["admin", "operator", "viewer", "service", "guest"]
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """The events, or the stream of their file (whose times are instants)."""
     ensure_utc(spark)
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    if not streaming:
+        return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    files = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return files.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+def metrics(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    e = events(spark, sf_dir, streaming)
     value = F.col("value")
     return e.select(
         F.col("event_id").alias("id"),
@@ -38,8 +42,8 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
+def requests(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    e = events(spark, sf_dir, streaming)
     kind = F.col("event_type")
     roles = F.array(*[F.lit(r) for r in ROLE_ORDER])
     return e.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlens.sources.readers import parse_entries
+from fleetlens.sources.readers import flag_entries, good_entries, parse_entries, rejected_entries
 
 
 def _trigger(writer, available_now: bool, interval: str):
@@ -18,6 +18,26 @@ def deduplicate(metrics: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return metrics.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["node_id", "timestamp"])
 
 
+def write_ingest_batch(entries: DataFrame, batch_id: int, table_path: str, rejects_path: str) -> None:
+    """One micro-batch into both tables, parsed once.
+
+    The batch id is a partition of each table and a batch overwrites its own partitions, so a replayed batch
+    leaves both tables as they were.
+    """
+    flagged = flag_entries(entries).persist()
+    try:
+        good = good_entries(flagged).withColumns({"date": F.to_date("timestamp"), "batch": F.lit(batch_id)})
+        bad = rejected_entries(flagged).withColumn("batch", F.lit(batch_id))
+        for rows, path, parts, kind in (
+            (good, table_path, ["date", "batch"], "parquet"),
+            (bad, rejects_path, ["batch"], "json"),
+        ):
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+            writer.format(kind).save(path)
+    finally:
+        flagged.unpersist()
+
+
 def start_ingest(
     entries: DataFrame,
     table_path: str,
@@ -27,15 +47,19 @@ def start_ingest(
     available_now: bool = False,
     interval: str = "2 seconds",
 ) -> list[StreamingQuery]:
-    """Two exactly-once file sinks: metric rows by date, and rejected entries.
+    """Metric rows by date and rejected entries from one read of the source.
 
-    Offsets live in the checkpoint, so a lost executor or driver replays a
-    batch without losing or doubling rows. Late rows are stored like any other.
+    Offsets live in the checkpoint and each batch writes its own partitions, so a lost executor or driver replays
+    a batch without losing or doubling rows. Late rows are stored like any other. With ``dedup_delay`` repeated
+    rows are dropped first, which needs state: then the rejects are a query of their own.
     """
+    if not dedup_delay:
+        both = entries.writeStream.option("checkpointLocation", f"{checkpoint}/entries").foreachBatch(
+            lambda batch, number: write_ingest_batch(batch, number, table_path, rejects_path)
+        )
+        return [_trigger(both, available_now, interval).start()]
     good, rejects = parse_entries(entries)
-    if dedup_delay:
-        good = deduplicate(good, dedup_delay)
-    dated = good.withColumn("date", F.to_date("timestamp"))
+    dated = deduplicate(good, dedup_delay).withColumn("date", F.to_date("timestamp"))
     table = (
         dated.writeStream.format("parquet")
         .outputMode("append")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from fleetlens import session
 from fleetlens.functions.limits import Admitted, Bucket, LevelTable, bucket_step, window_step
 from fleetlens.operators import admission, reads, registry, traces
-from fleetlens.plans.stream_queries import _EventStream
 from fleetlens.sources import readers, telemetry, writers
 from fleetlens.streaming import detect, stateful
 from fleetlens.streaming.ingest import start_ingest
@@ -223,6 +222,55 @@ def test_ingest_stream_resumes_without_loss_or_doubles(spark, tmp_path):
     assert spark.read.json(args[1]).count() >= 1
 
 
+def test_a_replayed_ingest_batch_changes_neither_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from fleetlens.plans.registry_queries import damaged_entries
+    from fleetlens.streaming.ingest import write_ingest_batch
+
+    entries = damaged_entries(telemetry.metrics(spark, SF)).select("entry")
+    paths = str(tmp_path / "t"), str(tmp_path / "r")
+    state = lambda: (
+        sorted(map(str, spark.read.parquet(paths[0]).collect())), sorted(map(str, spark.read.json(paths[1]).collect()))
+    )
+    write_ingest_batch(entries, 0, *paths)
+    write_ingest_batch(entries.limit(300), 1, *paths)
+    before = state()
+    write_ingest_batch(entries, 0, *paths)
+    assert state() == before and spark.read.parquet(paths[0]).select("batch").distinct().count() == 2
+    whole = spark.read.parquet(paths[0]).where(F.col("batch") == 0).count() + spark.read.json(paths[1]).where("batch = 0").count()
+    assert whole == entries.count()
+
+
+def test_refused_requests_have_a_reason(spark):
+    good = '{"node_id": "n", "cpu": 1, "memory": 2, "latency": 3, "rps": 4}'
+    bodies = [good, "{bad", "", None, "[1]", "7", '{"cpu": 1}', good.replace("}", ', "timestamp": "junk"}')]
+    df = spark.createDataFrame(list(enumerate(bodies)), "id int, body string")
+    rows, refused = readers.split_json_requests(df, "body", T0)
+    assert [r["cpu_usage"] for r in rows.collect()] == [1.0]
+    got = {r["id"]: r["reason"] for r in refused.collect()}
+    assert got == dict.fromkeys([1, 2, 3, 4, 5], "not a JSON object") | dict.fromkeys([6, 7], "missing or unreadable value")
+
+
+def test_sliding_summary_counts_ten_thousand_nodes(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from fleetlens.streaming import windows
+
+    rows = spark.range(30_000).select(
+        F.concat(F.lit("n"), (F.col("id") % 10_000).cast("string")).alias("node_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 50).alias("timestamp"),
+        *[F.lit(1.0).alias(c) for c in ("cpu_usage", "memory_usage", "latency_ms", "requests_per_sec")],
+    )
+    end = rows.limit(1).withColumn("timestamp", F.timestamp_seconds(F.lit(1_700_009_000)))
+    rows.union(end).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    out = windows.sliding_summary(stream, "1 hour", "1 hour")
+    q = out.writeStream.format("memory").queryName("wide").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert max(r["node_count"] for r in spark.table("wide").collect()) == 10_000
+
+
 def test_stream_dedup_drops_repeats(spark, tmp_path):
     m = telemetry.metrics(spark, SF).limit(50)
     source = str(tmp_path / "in")
@@ -236,7 +284,7 @@ def test_stream_dedup_drops_repeats(spark, tmp_path):
 
 
 def test_detector_replay_keeps_rows_once(spark, tmp_path):
-    m = telemetry.metrics(_EventStream(spark), SF)
+    m = telemetry.metrics(spark, SF, streaming=True)
     paths = [str(tmp_path / p) for p in ("a", "b", "c")]
     for _ in range(2):
         detect.start_detector(m, *paths, available_now=True).awaitTermination()
