@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from fleetlens.functions.present import exact_round, rounded
+from fleetlens.functions.present import rounded
 from fleetlens.plans import admission_queries as adm
 from fleetlens.plans import tables as t
 from fleetlens.plans.catalog import query
@@ -36,9 +36,9 @@ def _run(spark, rows):
 
 
 def exact_mean(column: str) -> str:
-    """Mean from an exact decimal sum, which no order of the rows changes, rounded on its exact value."""
-    mean = f"CAST(sum(CAST({column} AS DECIMAL(28, 9))) AS DOUBLE) / count({column})"
-    return f"CAST(round(CAST({mean} AS DECIMAL(30, 15)), 6) AS DOUBLE)"
+    """Mean from an exact decimal sum, which no order of the rows changes; to ten digits, where means of values with
+    three decimals are no ties."""
+    return f"round(CAST(sum(CAST({column} AS DECIMAL(28, 9))) AS DOUBLE) / count({column}), 10)"
 
 
 @query(
@@ -63,9 +63,7 @@ FROM w GROUP BY e HAVING make_timestamp(e) <= date_trunc('millisecond', {t.AS_OF
 )
 def _(spark, sf):
     m = telemetry.metrics(spark, sf, streaming=True)
-    out = _run(spark, windows.sliding_summary(m, "6 hours", "1 hour"))
-    means = ["avg_cpu", "avg_mem", "avg_latency", "avg_rps"]
-    return out.withColumns({c: exact_round(c, 6) for c in means})
+    return rounded(_run(spark, windows.sliding_summary(m, "6 hours", "1 hour")), 10)
 
 
 @query(
