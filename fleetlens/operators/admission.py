@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -93,7 +95,9 @@ def token_bucket(
     if idle_ttl_s:
         quiet = F.least(quiet, F.lit(float(idle_ttl_s)))
     slowest = min([*(rates or ROLE_RATES).values(), UNKNOWN_ROLE_RATE])
-    parted = _segments(rated.withColumn("_q", quiet), F.col("_q"), capacity / slowest, chunk)
+    # a pause that forgets the bucket must lie between two slots, or it would go unseen
+    slot_s = min(capacity / slowest, idle_ttl_s or math.inf)
+    parted = _segments(rated.withColumn("_q", quiet), F.col("_q"), slot_s, chunk)
     timed = parted.withColumn("_at", epoch("ts")).drop("_q", "_life")
     # the level at which each piece of a long stretch begins goes ahead of its requests
     starts = _levels_between(timed, capacity, chunk)

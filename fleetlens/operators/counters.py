@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import epoch, epoch_us, floor_time, instant
 from fleetlens.functions.skew import newest_per_key, previous_sample
-from fleetlens.params import APDEX_SATISFIED, APDEX_TOLERABLE, CIRCUIT_STATES
+from fleetlens.params import APDEX_SATISFIED, APDEX_TOLERABLE, CIRCUIT_STATES, HOLD_RULES
 
 Keys = list[str]
 CHUNK_S = 6 * 3600
@@ -324,6 +324,13 @@ def hold_alerts(
     return spells.filter(held >= hold_s).withColumns({"firing_at": firing, "held_seconds": held})
 
 
+def alert_rule(points: DataFrame, keys: Keys, rule: str, value: str, step_s: float, time: str = "t") -> DataFrame:
+    """Spells of one of the production rules: ``value`` above the rule's threshold for the rule's hold time."""
+    threshold, hold_s = HOLD_RULES[rule]
+    spells = hold_alerts(points, keys, F.col(value) > threshold, hold_s, step_s, time)
+    return spells.select(F.lit(rule).alias("rule"), *keys, "active_since", "active_until", "firing_at", "held_seconds")
+
+
 def against_earlier(points: DataFrame, keys: Keys, value: str, offset_s: int, factor: float) -> DataFrame:
     """Compare each point with the one ``offset_s`` before it."""
     shifted = points.select(

@@ -13,6 +13,7 @@ def load_catalog():
         read_queries,
         registry_queries,
         scaling_queries,
+        stored_queries,
         stream_queries,
         summary_queries,
         trace_queries,
