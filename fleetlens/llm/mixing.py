@@ -21,6 +21,7 @@ gives an empty result. A target whose domain no document can reach leaves a resi
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,7 +100,10 @@ def fit_rates(members: DataFrame, target: np.ndarray) -> tuple[list[np.ndarray],
             .collect()
         )
         reached = np.array([r.rate for r in rows]) / sums["all"]
-        if len(steps) >= ROUNDS or np.abs(reached - target).max() <= TOLERANCE:
+        short = np.abs(reached - target).max()
+        if len(steps) >= ROUNDS and short > TOLERANCE:
+            warnings.warn(f"after {ROUNDS} rounds the shares are {reached.round(4)}, {short:.4f} from the target", stacklevel=2)
+        if len(steps) >= ROUNDS or short <= TOLERANCE:
             return steps, size, reached
         # rounded, so that the order of a sum does not reach the results
         steps.append(np.round(weight @ (np.array([r.ahead for r in rows]) / sums["all"] - target), 9))

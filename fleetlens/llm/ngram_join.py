@@ -9,10 +9,11 @@ cover the most elements within a bound on their number. A set has no signature f
 its elements, as long as fewer first-level partitions hold such a subset than there are spare ones: then
 enough others agree, so nothing is lost, while no signature is shared by everybody.
 
-Documents with equal sets form a class. Each class is first compared with the smallest classes of its shared
-signatures, one for each (a star for each signature, so pairs grow with the signatures and not with their
-square). What that links is joined into components. Signatures that still hold several components are then
-searched pair by pair across components, in blocks of bounded size. A lower bound on the difference (the
+Documents with equal sets form a class. Each class is first compared with one other: of the smallest classes
+of its shared signatures, the most frequent. What that links is joined into components; then each class is
+compared with one smallest class of every other component that it shares a signature with (a star for each
+signature, so pairs grow with the signatures and not with their square). Signatures that still hold several
+components are searched pair by pair across components, in blocks of bounded size. A lower bound on the difference (the
 distance of 64 part sizes) throws out pairs that cannot link before their sets are made; all other comparisons
 are exact.
 
@@ -383,6 +384,25 @@ def _close(percent: int):
     return run
 
 
+def contracted(roots: DataFrame | None, links: DataFrame | None) -> DataFrame | None:
+    """(node, root) of the components of ``roots`` joined by ``links`` (a, b); only what the links touch is contracted
+    again."""
+    if links is None:
+        return roots
+    if roots is None:
+        return keep(components(links), "roots")
+    of = roots.withColumnRenamed("root", "to")
+    joined = links.join(of.withColumnRenamed("node", "a"), "a", "left").select("b", F.coalesce("to", "a").alias("a"))
+    joined = joined.join(of.withColumnRenamed("node", "b"), "b", "left").select("a", F.coalesce("to", "b").alias("b"))
+    joined = keep(joined.where("a <> b").distinct(), "joined")
+    if not joined.limit(1).count():
+        return roots
+    upper = keep(components(joined), "upper").withColumnRenamed("root", "top")
+    lower = roots.union(upper.select("node", F.col("node"))).dropDuplicates(["node"])
+    moved = lower.join(upper.withColumnRenamed("node", "root"), "root", "left")
+    return keep(moved.select("node", F.coalesce("top", "root").alias("root")), "roots")
+
+
 def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -405,14 +425,30 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     info = info.groupBy("key").agg(one).select("key", "one.doc_id", "one.mark", "one.n", "one.parts")
     info = keep(info, "info")
 
-    # each class with the smallest class of every signature it shares
-    stars = shared.where("rep <> key").select("key", "rep").distinct()
     sides = [info.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "parts"))) for x in "ab"]
-    stars = stars.join(sides[0], F.col("rep") == F.col("key_a")).join(sides[1], F.col("key") == F.col("key_b"))
-    stars = stars.select("key_a", "key_b", "n_a", "n_b", "parts_a", "parts_b")
-    stars = keep(stars.mapInArrow(_within(percent), "a long, b long"), "stars")
-    linked = verified(stars, info, rows, size, percent)
-    roots = keep(components(linked), "roots")
+
+    def linked(stars: DataFrame, name: str) -> DataFrame | None:
+        """Links of the pairs (key, rep) that the bound lets through, or None if it lets none."""
+        pairs = stars.join(sides[0], F.col("rep") == F.col("key_a")).join(sides[1], F.col("key") == F.col("key_b"))
+        pairs = pairs.select("key_a", "key_b", "n_a", "n_b", "parts_a", "parts_b")
+        pairs = keep(pairs.mapInArrow(_within(percent), "a long, b long"), name)
+        return verified(pairs, info, rows, size, percent) if pairs.limit(1).count() else None
+
+    # each class with the smallest class of most of its signatures
+    votes = keep(shared.where("rep <> key").groupBy("key", "rep").agg(F.count("*").alias("votes")), "votes")
+    best = F.max_by("rep", F.struct("votes", "rep")).alias("rep")
+    roots = contracted(None, linked(votes.groupBy("key").agg(best), "first"))
+    # then with one of every other component
+    if roots is not None:
+        of = roots.select(F.col("node").alias("key"), F.col("root").alias("own"))
+        to = roots.select(F.col("node").alias("rep"), F.col("root").alias("other"))
+        apart = votes.join(of, "key", "left").join(to, "rep", "left").withColumns(
+            {"own": F.coalesce("own", "key"), "other": F.coalesce("other", "rep")}
+        )
+        stars = apart.where("own <> other").groupBy("key", "other").agg(best)
+        roots = contracted(roots, linked(stars, "stars"))
+    else:
+        roots = shared.select(F.col("key").alias("node"), F.col("key").alias("root")).limit(0)
 
     # signatures that still hold several components
     placed = shared.select("key", "sign").distinct().join(roots.withColumnRenamed("node", "key"), "key", "left")
@@ -439,21 +475,10 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         .sortWithinPartitions(*block, "key")
     )
     close = keep(blocks.mapInArrow(_close(percent), "a long, b long").distinct(), "close")
-    final = roots.withColumnRenamed("node", "key")
     if close.limit(1).count():
-        rest = verified(close, info, rows, size, percent)
-        # the new links join components, so only those are contracted again
-        of = roots.withColumnRenamed("root", "to")
-        joined = rest.join(of.withColumnRenamed("node", "a"), "a", "left").select("b", F.coalesce("to", "a").alias("a"))
-        joined = joined.join(of.withColumnRenamed("node", "b"), "b", "left").select("a", F.coalesce("to", "b").alias("b"))
-        joined = keep(joined.distinct(), "joined")
-        if joined.limit(1).count():
-            upper = keep(components(joined), "upper").withColumnRenamed("root", "top")
-            lower = roots.union(upper.select("node", F.col("node"))).dropDuplicates(["node"])
-            final = lower.join(upper.withColumnRenamed("node", "root"), "root", "left").select(
-                F.col("node").alias("key"), F.coalesce("top", "root").alias("root")
-            )
+        roots = contracted(roots, verified(close, info, rows, size, percent))
 
+    final = roots.withColumnRenamed("node", "key")
     classes = owners.join(final, "key", "left").select("doc_id", "n", F.coalesce("root", "key").alias("root"))
     names = classes.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("name"))
     return classes.join(names, "root", "left").select(

@@ -94,13 +94,15 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sample_labelled(docs: DataFrame, labelled: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """(text, label) of at most ``most`` labelled rows (doc_id, label) by the hash of their id."""
+    """(text, label) of at most ``most`` labelled rows (doc_id, label) by the hash of their id, however often an id is repeated."""
     chosen = labelled.where("doc_id is not null and label is not null")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
     chosen = keep(chosen.select(F.col("doc_id").cast("long"), F.col("label").cast("string")), "chosen")
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(chosen, "doc_id").select(
-        "text", "label"
-    )
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = texts.join(chosen, "doc_id")
+    # an id may name many rows, so the bound is put on the rows too
+    by = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("label"), F.xxhash64("text")]
+    return found.orderBy(*by).limit(most).select("text", "label")
 
 
 def fit(rows: DataFrame, classes: list[str] | None = None, epochs: int = EPOCHS) -> SubwordModel:

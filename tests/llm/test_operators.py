@@ -474,3 +474,33 @@ def test_pipeline_judges_rows_with_null_and_repeated_ids(spark):
     bad = items[0].text
     got = corpus_pipeline.uncontaminated(spark, docs_of(spark, [(None, bad), (7, bad), (7, other), (None, other)]), SF)
     assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(7, other), (None, other)]))
+
+
+CLASHES = ["score", "n_tokens", "posteriors", "lang_pred", "predicted", "ambiguous", "_row", "_gone", "_doc", "domain", "rate", "copies"]
+CLASHES += ["component_id", "n_shingles", "contaminated", "key", "mark", "label", "a.b"]
+
+
+def test_pipeline_stages_keep_columns_of_any_name_and_long_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    long = docs_of(spark, [(5001, " ".join(f"word{i % 977} and{i}" for i in range(120_000)))])  # over two megabytes
+    docs = docs.unionByName(long.withColumn("lang", F.lit("en")))
+    for c in CLASHES:
+        docs = docs.withColumn(c, F.concat(F.lit("mine "), F.col("doc_id").cast("string")))
+    given = {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        last = name == corpus_pipeline.STAGES[-1][0]
+        names = [f"{c}_input" if last and c in corpus_pipeline.ADDED else c for c in docs.columns]
+        assert out.columns == names + corpus_pipeline.ADDED * last
+        rows = out.collect()
+        assert len(rows) >= 20
+        for r in rows:
+            assert tuple(r)[: len(names)] == tuple(given[r.doc_id])
+    assert 5001 in {r.doc_id for r in rows}
+
+
+def test_labelled_rows_are_bounded_however_often_an_id_is_repeated(spark):
+    docs = docs_of(spark, [(7, f"text {i}") for i in range(500)] + [(8, "b")])
+    labels = spark.createDataFrame([(7, "0"), (8, "1")], "doc_id long, label string")
+    assert subword.sample_labelled(docs, labels, 100).count() == 100
+    assert subword.sample_labelled(docs, labels, 1000).count() == 501
