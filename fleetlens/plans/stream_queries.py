@@ -6,7 +6,7 @@ session's checkpoint folder and are read back from there.
 
 from __future__ import annotations
 
-import time
+import time as time_module
 import uuid
 
 from pyspark.sql import functions as F
@@ -142,7 +142,7 @@ def _(spark, sf):
     )
 
 
-SLICES, LATE_MINUTES = 4, 10
+SLICES, LATE_MINUTES, TTL_S = 4, 10, 43_200
 
 
 def _sliced(spark, sf, late):
@@ -163,7 +163,7 @@ def _sliced(spark, sf, late):
     rows = rows.withColumn("_slice", F.explode(sent.otherwise(F.array(own))))
     for number in range(SLICES):  # files are read in the order in which they were written
         rows.where(F.col("_slice") == number).drop("_slice").coalesce(1).write.mode("append").parquet(f"{room}/in")
-        time.sleep(0.05)
+        time_module.sleep(0.05)
     return spark.readStream.schema(rows.drop("_slice").schema).option("maxFilesPerTrigger", 1).parquet(f"{room}/in")
 
 
@@ -210,6 +210,76 @@ def _(spark, sf):
     return out.select("key", "id", "allowed", "remaining")
 
 
+UNORDERED_S = 86_400
+
+
+def _out_of_order(spark, rows, time, key="id"):
+    """``rows`` as a stream of ``SLICES`` micro-batches in which each row is up to a day late."""
+    from fleetlens.functions.clock import epoch
+
+    room = _room(spark)
+    low, high = rows.agg(F.min(epoch(time)), F.max(epoch(time))).first()
+    late = F.pmod(F.xxhash64(key), F.lit(UNORDERED_S))
+    place = F.floor((epoch(time) + late - low) / ((high - low + UNORDERED_S) or 1) * SLICES)
+    placed = rows.withColumn(time, F.col(time).cast("timestamp")).withColumn("_slice", place)
+    for number in range(SLICES):
+        placed.where(F.col("_slice") == number).drop("_slice").coalesce(1).write.mode("append").parquet(f"{room}/in")
+        time_module.sleep(0.05)
+    return spark.readStream.schema(placed.drop("_slice").schema).option("maxFilesPerTrigger", 1).parquet(f"{room}/in")
+
+
+PASSED = f"CAST(ceil(epoch_us(ts) / 1000) AS BIGINT) <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - {UNORDERED_S}000"
+ORDERED_BUCKET_SQL = f"""log AS (SELECT *, epoch_us(ts) / 1e6 AS at_s, endpoint = 'signup' AND id % 20 = 3 AS wipe,
+  row_number() OVER (PARTITION BY key ORDER BY ts, id) AS rn FROM requests),
+firsts AS (SELECT key, {adm.RATE_SQL} AS refill FROM log WHERE rn = 1), bucket AS (
+  SELECT l.key, l.id, l.ts, l.rn, l.at_s, refill, CASE WHEN NOT wipe THEN true END AS allowed,
+    CASE WHEN NOT wipe THEN {adm.BURST}::DOUBLE - 1 END AS tokens FROM log l JOIN firsts USING (key) WHERE rn = 1
+  UNION ALL
+  SELECT key, id, ts, rn, at_s, refill, CASE WHEN NOT wipe THEN level >= 1 END,
+    CASE WHEN wipe THEN NULL WHEN level >= 1 THEN level - 1 ELSE level END FROM (
+    SELECT n.key, n.id, n.ts, n.rn, n.at_s, n.wipe, b.refill, CASE WHEN b.tokens IS NULL OR n.at_s - b.at_s >= {TTL_S} THEN {adm.BURST}::DOUBLE
+      ELSE least({adm.BURST}::DOUBLE, b.tokens + (n.at_s - b.at_s) * b.refill) END AS level
+    FROM bucket b JOIN log n ON n.key = b.key AND n.rn = b.rn + 1))"""
+
+
+@query(
+    "stream_token_bucket_in_order",
+    f"""WITH RECURSIVE {t.REQUESTS}, {ORDERED_BUCKET_SQL} SELECT key, id, allowed, CAST(trunc(tokens) AS BIGINT) AS remaining
+FROM bucket WHERE {PASSED}""",
+)
+def _(spark, sf):
+    """Requests that come up to a day late over four micro-batches, with resets and an idle limit."""
+    log = telemetry.requests(spark, sf)
+    log = log.withColumn("reset", (F.col("endpoint") == "signup") & (F.col("id") % 20 == 3))
+    stream = _out_of_order(spark, log, "ts")
+    out = _run(spark, stateful.token_bucket(stream, adm.BURST, adm.SLOW_RATES, ttl_s=TTL_S, delay=f"{UNORDERED_S} seconds"))
+    return out.select("key", "id", "allowed", "remaining")
+
+
+@query(
+    "stream_sliding_window_in_order",
+    f"""WITH RECURSIVE {t.REQUESTS}, {adm.SLIDING_SQL.replace("SELECT key, id, role, rn, at_s, lim, true", "SELECT key, id, ts, role, rn, at_s, lim, true").replace("SELECT key, id, role, rn, at_s, lim, len", "SELECT key, id, ts, role, rn, at_s, lim, len").replace("SELECT n.key, n.id, n.role", "SELECT n.key, n.id, n.ts, n.role")}
+SELECT key, id, allowed, greatest(0, lim - len(held))::BIGINT AS remaining FROM sliding WHERE {PASSED}""",
+)
+def _(spark, sf):
+    stream = _out_of_order(spark, telemetry.requests(spark, sf), "ts")
+    out = _run(spark, stateful.sliding_window(stream, adm.WINDOW, adm.WINDOW_RATES, delay=f"{UNORDERED_S} seconds"))
+    return out.select("key", "id", "allowed", "remaining")
+
+
+@query(
+    "stream_decisions_in_order",
+    f"""WITH RECURSIVE {t.DECISIONS} SELECT node_id, triggered_at, round(action, 6) AS action, is_emergency, prev_replicas, new_replicas
+FROM decided WHERE epoch_us(triggered_at) <= (SELECT epoch_us(max(triggered_at)) FROM inputs) - {UNORDERED_S}000000""",
+)
+def _(spark, sf):
+    """The replay's hourly steps as a stream that is up to a day out of order."""
+    steps = t.control_inputs(spark, sf).withColumn("workers", F.col("workers").cast("int"))
+    stream = _out_of_order(spark, steps, "triggered_at", "triggered_at")
+    out = _run(spark, stateful.scaling_decisions(stream, ["node_id"], delay=f"{UNORDERED_S} seconds"))
+    return rounded(out.select("node_id", "triggered_at", "action", "is_emergency", "prev_replicas", "new_replicas"))
+
+
 LOOP_INPUTS = f"""{t.METRICS}, inputs AS (SELECT *, upper_bound AS predicted_rps, '' AS model_name,
     row_number() OVER (PARTITION BY node_id ORDER BY triggered_at) AS rn FROM (
   SELECT node_id, time_bucket(INTERVAL '1 hour', "timestamp") AS triggered_at, avg(cpu_usage) AS utilization,

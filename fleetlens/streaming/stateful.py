@@ -1,8 +1,12 @@
 """Keyed state over streams: capacity decisions, admission and node silence.
 
 Each processor keeps one small record per key and applies the same step
-function as the batch replay. A micro-batch is bounded by the source's limit
-per trigger; the rows of a key inside it are put in time order first.
+function as the batch replay. Without a watermark delay the rows of a key are
+put in time order inside a micro-batch, which the source's limit per trigger
+bounds. With a delay they wait in keyed map state, by time, and event-time
+timers release them in order once the watermark has passed: any arrival order
+within the delay gives the results of the batch form, and no more than the due
+rows' times are held in memory.
 """
 
 from __future__ import annotations
@@ -33,6 +37,159 @@ def _seconds(times: pd.Series) -> list[float]:
     return [t / 1e6 for t in times.astype("datetime64[us]").astype("int64")]
 
 
+RELEASE_ROWS = 2000
+
+
+class _Released(StatefulProcessor):
+    """Rows wait by (microseconds, tie) and are handed to ``step`` in that order when the watermark passes them."""
+
+    def __init__(self, columns: list[str], schema: str, time: str, tie: str | None, outputs: dict[str, str]):
+        self.columns, self.schema, self.outputs = columns, schema, outputs
+        self.time, self.tie = columns.index(time), columns.index(tie) if tie else None
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "at long, tie long", self.schema)
+        self.open(handle)
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        """Make the state of the step."""
+
+    def load(self) -> Any:
+        """The state before the first due row."""
+
+    def save(self, state: Any) -> None:
+        """Keep the state after the last due row."""
+
+    def step(self, state: Any, at: float, row: dict[str, Any]) -> tuple:
+        """Outputs of one row; changes ``state``."""
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        soonest = None
+        for batch in rows:
+            at = batch.iloc[:, self.time].astype("datetime64[us]").astype("int64").tolist()
+            for us, row in zip(at, batch.astype(object).itertuples(index=False, name=None)):
+                kept = tuple(v.to_pydatetime() if isinstance(v, pd.Timestamp) else None if pd.isna(v) else v for v in row)
+                self.waiting.updateValue((us, 0 if self.tie is None else int(row[self.tie])), kept)
+                soonest = us if soonest is None else min(soonest, us)
+        if soonest is not None:
+            self.handle.registerTimer(-(-soonest // 1000))
+        return iter([])
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        due, later = [], None
+        for place in self.waiting.keys():
+            if place[0] <= passed:
+                due.append(tuple(place))
+            else:
+                later = place[0] if later is None else min(later, place[0])
+        if later is not None:
+            self.handle.registerTimer(-(-later // 1000))
+        if not due:
+            return
+        state, out = self.load(), []
+        for place in sorted(due):
+            row = tuple(self.waiting.getValue(place))
+            self.waiting.removeKey(place)
+            out.append((*row, *self.step(state, place[0] / 1e6, dict(zip(self.columns, row)))))
+            if len(out) == RELEASE_ROWS:
+                yield self.frame(out)
+                out = []
+        self.save(state)
+        if out:
+            yield self.frame(out)
+
+    def frame(self, rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=[*self.columns, *self.outputs], dtype=object)
+
+    def close(self) -> None:
+        pass
+
+
+def _release(rows: DataFrame, keys: list[str], time: str, delay: str, outputs: dict[str, str], make: Any) -> DataFrame:
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.withWatermark(time, delay).groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=make(rows.columns, schema),
+        outputStructType=_with_outputs(rows, outputs),
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+
+
+class _OrderedDecisions(_Released):
+    def __init__(self, columns: list[str], schema: str, policy: ScalerPolicy, start_workers: int, dt_s: float):
+        super().__init__(columns, schema, "triggered_at", None, DECISION_OUTPUTS)
+        self.policy, self.start, self.dt_s = policy, start_workers, dt_s
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("loop", "integral double, error double, workers int, decided_at double")
+
+    def load(self) -> ScalerState:
+        kept = self.state.get()
+        return ScalerState(LoopState(kept[0], kept[1]), kept[2], kept[3]) if kept else ScalerState(LoopState(), self.start)
+
+    def save(self, state: ScalerState) -> None:
+        self.state.update((state.loop.integral, state.loop.error, state.workers, state.decided_at))
+
+    def step(self, state: ScalerState, at: float, row: dict[str, Any]) -> tuple:
+        given = row["utilization"], row["upper_bound"], row["spike_probability"]
+        return decision_step(state, at, *given, self.dt_s, self.policy, row.get("workers"))
+
+
+class _OrderedBucket(_Released):
+    """With ``ttl_s`` a bucket that is idle for so long, in event time, is forgotten."""
+
+    def __init__(self, columns: list[str], schema: str, capacity: float, ttl_s: float | None):
+        super().__init__(columns, schema, "ts", "id", ADMISSION)
+        self.capacity, self.ttl_s = capacity, ttl_s
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("bucket", "tokens double, at double, refill double")
+
+    def load(self) -> dict[str, Any]:
+        kept = self.state.get()
+        return {"bucket": Bucket(kept[0], kept[1]) if kept else Bucket(), "refill": kept[2] if kept else None}
+
+    def save(self, state: dict[str, Any]) -> None:
+        bucket = state["bucket"]
+        if state["refill"] is None:
+            self.state.clear()
+        else:
+            self.state.update((bucket.tokens, bucket.at, state["refill"]))
+
+    def step(self, state: dict[str, Any], at: float, row: dict[str, Any]) -> tuple:
+        bucket = state["bucket"]
+        if row["reset"] or (self.ttl_s and bucket.tokens is not None and at - bucket.at >= self.ttl_s):
+            state["bucket"], state["refill"] = bucket, _ = Bucket(), None
+        if row["reset"]:
+            return None, None, None
+        if state["refill"] is None:
+            state["refill"] = row["rate"]
+        return bucket_step(bucket, at, row["tokens"], state["refill"], self.capacity)
+
+
+class _OrderedWindow(_Released):
+    def __init__(self, columns: list[str], schema: str, window_s: float):
+        super().__init__(columns, schema, "ts", "id", ADMISSION)
+        self.window_s = window_s
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getListState("admitted", "at double")
+
+    def load(self) -> Admitted:
+        return Admitted(deque(r[0] for r in self.state.get()))
+
+    def save(self, state: Admitted) -> None:
+        if state.times:
+            self.state.put([(t,) for t in state.times])
+        else:
+            self.state.clear()
+
+    def step(self, state: Admitted, at: float, row: dict[str, Any]) -> tuple:
+        return window_step(state, at, row["limit"], self.window_s)
+
+
 class _Decisions(StatefulProcessor):
     def __init__(self, keys: list[str], policy: ScalerPolicy, start_workers: int, dt_s: float):
         self.keys, self.policy, self.start, self.dt_s = keys, policy, start_workers, dt_s
@@ -79,12 +236,17 @@ def scaling_decisions(
     policy: ScalerPolicy = ScalerPolicy(),
     start_workers: int | None = None,
     dt_s: float = 15.0,
+    delay: str | None = None,
 ) -> DataFrame:
     """Decisions on a stream of control inputs, with the loop as keyed state.
 
-    A column ``workers`` holds the replicas observed at each step; without it the last target counts.
+    A column ``workers`` holds the replicas observed at each step; without it the last target counts. With ``delay``
+    steps may arrive in any order within it, one per time.
     """
     first = policy.min_workers if start_workers is None else start_workers
+    if delay:
+        make = lambda columns, schema: _OrderedDecisions(columns, schema, policy, first, dt_s)
+        return _release(steps, keys, "triggered_at", delay, DECISION_OUTPUTS, make)
     return steps.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=_Decisions(keys, policy, first, dt_s),
         outputStructType=_with_outputs(steps, DECISION_OUTPUTS),
@@ -134,15 +296,20 @@ def token_bucket(
     capacity: float = CAPACITY,
     rates: dict[str, float] | None = None,
     ttl_s: float | None = IDLE_TTL_S,
+    delay: str | None = None,
 ) -> DataFrame:
     """Token-bucket admission of a request stream ``(id, ts, key, role, tokens)``.
 
     A row with ``reset`` set clears its key. A key that is idle for ``ttl_s`` of
     processing time is forgotten; expiry keeps the query running, so a run that
-    is to end at the end of its input passes ``ttl_s=None``.
+    is to end at the end of its input passes ``ttl_s=None``. With ``delay``
+    requests may arrive in any order within it, and ``ttl_s`` counts event time.
     """
     reset = F.col("reset") if "reset" in log.columns else F.lit(False)
     rows = log.withColumns({"rate": role_rate("role", rates), "reset": reset})
+    if delay:
+        make = lambda columns, schema: _OrderedBucket(columns, schema, capacity, ttl_s)
+        return _release(rows, ["key"], "ts", delay, ADMISSION, make)
     return rows.groupBy("key").transformWithStateInPandas(
         statefulProcessor=_TokenBucket(capacity, ttl_s),
         outputStructType=_with_outputs(rows, ADMISSION),
@@ -182,9 +349,14 @@ def sliding_window(
     window_s: int = WINDOW_S,
     rates: dict[str, float] | None = None,
     ttl_s: float | None = IDLE_TTL_S,
+    delay: str | None = None,
 ) -> DataFrame:
-    """Sliding-window admission; a key's state is its admitted times, at most ``limit``."""
+    """Sliding-window admission; a key's state is its admitted times, at most ``limit``. With ``delay`` requests may
+    arrive in any order within it."""
     rows = log.withColumn("limit", F.floor(role_rate("role", rates) * window_s).cast("bigint"))
+    if delay:
+        make = lambda columns, schema: _OrderedWindow(columns, schema, window_s)
+        return _release(rows, ["key"], "ts", delay, ADMISSION, make)
     return rows.groupBy("key").transformWithStateInPandas(
         statefulProcessor=_SlidingWindow(window_s, ttl_s),
         outputStructType=_with_outputs(rows, ADMISSION),
