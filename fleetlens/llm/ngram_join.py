@@ -14,7 +14,7 @@ of its shared signatures, the most frequent. What that links is joined into comp
 compared with one smallest class of every other component that it shares a signature with (a star for each
 signature, so pairs grow with the signatures and not with their square). Signatures that still hold several
 components are searched pair by pair across components, in blocks of bounded size. A lower bound on the difference (the
-distance of 64 part sizes) throws out pairs that cannot link before their sets are made; all other comparisons
+distance of part sizes, about eight elements a part) throws out pairs that cannot link before their sets are made; all other comparisons
 are exact.
 
 Nulls, ties and odd rows: a null or blank text has an empty set and links with nothing; a row with a null doc_id
@@ -40,11 +40,14 @@ from fleetlens.llm.links import components
 from fleetlens.llm.store import bound_batches, keep
 
 SHINGLE, PERCENT = 3, 90
-PARTS = 64
+#: Parts of a set whose sizes are compared: one for eight elements, within these limits, a power of two.
+LEAST_PARTS, MOST_PARTS = 64, 1024
 #: Signatures that a set may have per band: for each element that two linked sets may differ in, and at least.
 PER_ELEMENT, LEAST = 1.7, 16
 #: Signatures, or pairs, that a task gathers before it hands them on, and members of a block of pairs.
 FLUSH, BLOCK = 1 << 18, 1024
+#: Pairs whose parts are compared at once.
+CLOSE = 1 << 12
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -130,6 +133,13 @@ def signatures(shingles: np.ndarray, percent: int, ends: np.ndarray) -> np.ndarr
     return np.concatenate(out)
 
 
+def part_sizes(shingles: np.ndarray) -> bytes:
+    """Sizes of the parts that the leading bits of the elements cut a set into, one byte each."""
+    bits = min(max((len(shingles) // 8).bit_length(), LEAST_PARTS.bit_length() - 1), MOST_PARTS.bit_length() - 1)
+    counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def set_key(shingles: np.ndarray) -> np.uint64:
     return tx.mix(np.sum(tx.mix(shingles + np.uint64(0x7)), dtype=np.uint64)[None] + np.uint64(len(shingles)))[0]
 
@@ -185,8 +195,7 @@ def _sign(size: int, percent: int, buckets: int):
                 key = set_key(shingles)
                 n.append(len(shingles))
                 own.append(key)
-                counts = np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                parts.append(np.minimum(counts, 255).astype(np.uint8).tobytes())
+                parts.append(part_sizes(shingles))
                 signs.append(signatures(shingles, percent, ends))
                 keys.append(np.full(len(signs[-1]), key))
                 held += len(signs[-1])
@@ -300,24 +309,37 @@ def verified(pairs: DataFrame, info: DataFrame, rows: DataFrame, size: int, perc
     comparison; links inside what a batch has joined already are left out. The sets are made again from
     one text of each key."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    needed = keep(info.join(wanted, "key", "left_semi").select("doc_id", "mark").distinct(), "needed")
+    needed = keep(info.join(wanted, "key", "left_semi").select("doc_id", "mark").distinct(), "needed", tidy=True)
     same = [F.col("of.mark") == F.col("needed.mark"), F.col("of.doc_id").eqNullSafe(F.col("needed.doc_id"))]
     texts = rows.alias("of").join(needed.alias("needed"), same, "left_semi").repartition("mark").select("text")
-    sets = keep(texts.mapInArrow(_sets(size), "key long, members binary").dropDuplicates(["key"]), "sets")
+    sets = keep(texts.mapInArrow(_sets(size), "key long, members binary"), "sets", tidy=True)
     left = sets.select(F.col("key").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("members").alias("y"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return keep(both.mapInArrow(_similar(percent), "a long, b long"), "links")
+    return keep(both.mapInArrow(_similar(percent), "a long, b long"), "links", tidy=True)
 
 
-def _parts(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Part sizes."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16)
+def _folded(rows: list[bytes], width: int) -> np.ndarray:
+    """Part sizes of each set, added up to ``width`` parts."""
+    out = np.empty((len(rows), width), np.int16)
+    sizes = np.array([len(r) for r in rows])
+    for size in np.unique(sizes):
+        own = np.flatnonzero(sizes == size)
+        flat = np.frombuffer(b"".join(rows[i] for i in own), np.uint8)
+        out[own] = flat.reshape(len(own), width, size // width).sum(2)
+    return out
 
 
 def _distance(x: pa.Array, y: pa.Array) -> np.ndarray:
     """A lower bound on the number of elements that two sets do not share."""
-    return np.abs(_parts(x) - _parts(y)).sum(1)
+    x, y = x.to_pylist(), y.to_pylist()
+    widths = np.array([min(len(a), len(b)) for a, b in zip(x, y)], np.int64)
+    out = np.empty(len(x), np.int64)
+    for width in np.unique(widths):
+        for own in np.array_split(np.flatnonzero(widths == width), max(1, (widths == width).sum() * width // FLUSH)):
+            left, right = _folded([x[i] for i in own], width), _folded([y[i] for i in own], width)
+            out[own] = np.abs(left - right).sum(1)
+    return out
 
 
 def _within(percent: int):
@@ -344,27 +366,43 @@ def _close(percent: int):
         return pa.record_batch([pa.array(x) for x in pairs], names=["a", "b"])
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        sign, lo, hi, half, key, root, n = (rows[c].to_numpy() for c in ("sign", "lo", "hi", "half", "key", "root", "n"))
-        parts = _parts(rows["parts"])
-        band = np.searchsorted(ends, n)
-        at, out, held = np.arange(len(key)), [], 0
-        for step in range(1, len(key)):
-            at = at[at + step < len(key)]
-            to = at + step
-            same = (sign[at] == sign[to]) & (lo[at] == lo[to]) & (hi[at] == hi[to])
-            at, to = at[same], to[same]
-            if not len(at):
-                break
-            most = (100 - percent) * (n[at] + n[to]) // (100 + percent)
-            ok = (root[at] != root[to]) & (np.abs(band[at] - band[to]) <= 1) & (np.abs(n[at] - n[to]) <= most) & ((lo[at] == hi[at]) | (half[at] != half[to]))
-            i, j = at[ok], to[ok]
-            near = np.abs(parts[i] - parts[j]).sum(1) <= most[ok]
-            i, j = i[near], j[near]
-            out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j])))
-            held += len(i)
-            if held >= FLUSH:
-                yield batch_of(out)
-                out, held = [], 0
+        names = ("sign", "lo", "hi", "half", "key", "root", "n")
+        columns = np.stack([rows[c].to_numpy() for c in names])
+        sizes = rows["parts"].to_pylist()
+        # the sets of a block are alike in size, so they are compared by the parts of the smallest
+        change = (columns[:3, 1:] != columns[:3, :-1]).any(0)
+        block = np.concatenate([[0], np.cumsum(change)])
+        least = np.minimum.reduceat(np.array([len(p) for p in sizes]), np.flatnonzero(np.append(True, change)))[block]
+        out, held = [], 0
+        for width in np.unique(least):
+            own = np.flatnonzero(least == width)
+            sign, lo, hi, half, key, root, n = columns[:, own]
+            parts = _folded([sizes[i] for i in own], int(width))
+            band = np.searchsorted(ends, n)
+            at = np.arange(len(key))
+            for step in range(1, len(key)):
+                at = at[at + step < len(key)]
+                to = at + step
+                same = (sign[at] == sign[to]) & (lo[at] == lo[to]) & (hi[at] == hi[to])
+                at, to = at[same], to[same]
+                if not len(at):
+                    break
+                most = (100 - percent) * (n[at] + n[to]) // (100 + percent)
+                ok = (root[at] != root[to]) & (np.abs(band[at] - band[to]) <= 1) & (np.abs(n[at] - n[to]) <= most)
+                ok &= (lo[at] == hi[at]) | (half[at] != half[to])
+                i, j, most = at[ok], to[ok], most[ok]
+                near = np.concatenate(
+                    [
+                        np.abs(parts[i[c : c + CLOSE]] - parts[j[c : c + CLOSE]]).sum(1) <= most[c : c + CLOSE]
+                        for c in range(0, max(1, len(i)), CLOSE)
+                    ]
+                )
+                i, j = i[near], j[near]
+                out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j])))
+                held += len(i)
+                if held >= FLUSH:
+                    yield batch_of(out)
+                    out, held = [], 0
         if out:
             yield batch_of(out)
 
@@ -390,17 +428,17 @@ def contracted(roots: DataFrame | None, links: DataFrame | None) -> DataFrame |
     if links is None:
         return roots
     if roots is None:
-        return keep(components(links), "roots")
+        return keep(components(links), "roots", tidy=True)
     of = roots.withColumnRenamed("root", "to")
     joined = links.join(of.withColumnRenamed("node", "a"), "a", "left").select("b", F.coalesce("to", "a").alias("a"))
     joined = joined.join(of.withColumnRenamed("node", "b"), "b", "left").select("a", F.coalesce("to", "b").alias("b"))
-    joined = keep(joined.where("a <> b").distinct(), "joined")
+    joined = keep(joined.where("a <> b").distinct(), "joined", tidy=True)
     if not joined.limit(1).count():
         return roots
-    upper = keep(components(joined), "upper").withColumnRenamed("root", "top")
+    upper = keep(components(joined), "upper", tidy=True).withColumnRenamed("root", "top")
     lower = roots.union(upper.select("node", F.col("node"))).dropDuplicates(["node"])
     moved = lower.join(upper.withColumnRenamed("node", "root"), "root", "left")
-    return keep(moved.select("node", F.coalesce("top", "root").alias("root")), "roots")
+    return keep(moved.select("node", F.coalesce("top", "root").alias("root")), "roots", tidy=True)
 
 
 def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -415,7 +453,7 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         "bucket long, settled boolean, doc_id long, mark long, n long, key long, parts binary, signs array<long>, "
         "keys array<long>",
     )
-    found = keep(signed.groupBy("bucket").applyInArrow(_shared, FOUND), "signed")
+    found = keep(signed.groupBy("bucket").applyInArrow(_shared, FOUND), "signed", tidy=True)
     owners = found.where("sign is null").select("doc_id", "n", "key")
     shared = found.where("sign is not null").select("key", "sign", "rep")
 
@@ -423,7 +461,7 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     info = found.where("sign is null").join(shared.select("key").distinct(), "key", "left_semi")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "n", "parts")).alias("one")
     info = info.groupBy("key").agg(one).select("key", "one.doc_id", "one.mark", "one.n", "one.parts")
-    info = keep(info, "info")
+    info = keep(info, "info", tidy=True)
 
     sides = [info.select(*(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "parts"))) for x in "ab"]
 
@@ -431,11 +469,11 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         """Links of the pairs (key, rep) that the bound lets through, or None if it lets none."""
         pairs = stars.join(sides[0], F.col("rep") == F.col("key_a")).join(sides[1], F.col("key") == F.col("key_b"))
         pairs = pairs.select("key_a", "key_b", "n_a", "n_b", "parts_a", "parts_b")
-        pairs = keep(pairs.mapInArrow(_within(percent), "a long, b long"), name)
+        pairs = keep(pairs.mapInArrow(_within(percent), "a long, b long"), name, tidy=True)
         return verified(pairs, info, rows, size, percent) if pairs.limit(1).count() else None
 
     # each class with the smallest class of most of its signatures
-    votes = keep(shared.where("rep <> key").groupBy("key", "rep").agg(F.count("*").alias("votes")), "votes")
+    votes = keep(shared.where("rep <> key").groupBy("key", "rep").agg(F.count("*").alias("votes")), "votes", tidy=True)
     best = F.max_by("rep", F.struct("votes", "rep")).alias("rep")
     roots = contracted(None, linked(votes.groupBy("key").agg(best), "first"))
     # then with one of every other component
@@ -452,7 +490,7 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
 
     # signatures that still hold several components
     placed = shared.select("key", "sign").distinct().join(roots.withColumnRenamed("node", "key"), "key", "left")
-    placed = keep(placed.select("key", "sign", F.coalesce("root", "key").alias("root")), "placed")
+    placed = keep(placed.select("key", "sign", F.coalesce("root", "key").alias("root")), "placed", tidy=True)
     open_ = placed.groupBy("sign").agg(
         F.min("root").alias("low"),
         F.max("root").alias("high"),
@@ -474,7 +512,7 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         .repartition(*block)
         .sortWithinPartitions(*block, "key")
     )
-    close = keep(blocks.mapInArrow(_close(percent), "a long, b long").distinct(), "close")
+    close = keep(blocks.mapInArrow(_close(percent), "a long, b long").distinct(), "close", tidy=True)
     if close.limit(1).count():
         roots = contracted(roots, verified(close, info, rows, size, percent))
 

@@ -507,17 +507,6 @@ def _removed(length: int):
     return run
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """As ``keep``, and the shuffle files that only the table needed go with its job."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, None)
-    conf.set(key, "true")
-    try:
-        return keep(df, name)
-    finally:
-        conf.unset(key) if before is None else conf.set(key, before)
-
-
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row of ``docs`` (doc_id, text): the runs of bytes removed, and the
     bytes that stay (they may end inside a character)."""
@@ -525,18 +514,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"length must be at least {GRAM}")
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    chunks = _kept(texts.mapInArrow(_chunked, CHUNKS), "chunks")
+    chunks = keep(texts.mapInArrow(_chunked, CHUNKS), "chunks", tidy=True)
     total = chunks.select(F.aggregate("sizes", F.lit(0).cast("long"), lambda n, s: n + s).alias("n"))
     total = total.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET))
     hashes = chunks.mapInArrow(_hashes(length, buckets), "bucket long, chunk long, tags binary, twice binary")
-    asked = _kept(hashes.groupBy("bucket").applyInArrow(_shared, "of long, bucket long, asked binary"), "asked")
+    asked = keep(hashes.groupBy("bucket").applyInArrow(_shared, "of long, bucket long, asked binary"), "asked", tidy=True)
     pieces = (
         chunks.groupBy("chunk")
         .cogroup(asked.groupBy("of"))
         .applyInArrow(_dealt(length, buckets), "bucket long, chunk long, pieces binary, marks binary")
     )
-    found = _kept(pieces.groupBy("bucket").applyInArrow(_found(length), "chunk long, marks binary"), "marks")
+    found = keep(pieces.groupBy("bucket").applyInArrow(_found(length), "chunk long, marks binary"), "marks", tidy=True)
     made = "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary"
     found = found.select(F.col("chunk").alias("of"), "marks")
     return chunks.groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(_removed(length), made)

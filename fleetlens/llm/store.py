@@ -39,10 +39,22 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/fleetlens-{uuid.uuid4().hex}/{name}"
 
 
-def keep(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+#: With this, the shuffle files of a query go when it has ended.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def keep(df: DataFrame, name: str, codec: str = "zstd", tidy: bool = False) -> DataFrame:
     """Write a table and read it back: cuts the lineage, survives lost executors, and gives the
-    optimizer its true size (so a join broadcasts it only below Spark's own threshold)."""
+    optimizer its true size (so a join broadcasts it only below Spark's own threshold). With ``tidy``
+    the shuffle files that only the table needed go with its job."""
     spark = df.sparkSession
     path = table_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    before = spark.conf.get(TIDY, None)
+    if tidy:
+        spark.conf.set(TIDY, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        if tidy:
+            spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
