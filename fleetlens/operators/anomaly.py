@@ -47,6 +47,15 @@ def _decimals(value: float) -> str:
     return repr(float(value))
 
 
+def rule_scores(thresholds: Thresholds = Thresholds()) -> list[Column]:
+    """Per limit the score of a row that exceeds it, else null."""
+    scores = []
+    for name, limit in thresholds.as_dict().items():
+        value, bound = F.col(RULE_COLUMNS[name]), F.lit(float(limit))
+        scores.append(F.when(value > bound, exact_round(rule_score(value, bound), 3)))
+    return scores
+
+
 def flag_rules(metrics: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
     """One row per exceeded limit of each metric row (stateless, stream-safe)."""
     limits = thresholds.as_dict()
@@ -110,11 +119,31 @@ def alerts_from_anomalies(anomalies: DataFrame) -> DataFrame:
 # Per-node isolation forest
 # ---------------------------------------------------------------------------
 #
-# A tree looks at no more than TREE_ROWS rows: those of its node with the lowest
-# hash of (row, tree), whatever the node's size. So a forest needs TREES times
-# that many rows and not the node's whole group. Fitting is one small task per
-# node; scoring and the contamination cut-off run over all rows, split into
-# (node, slice) groups of bounded size.
+# A tree looks at no more than TREE_ROWS rows of its node, drawn by hashes of the
+# row. A row of a node with n rows offers itself to about TREES * 2 * TREE_ROWS / n
+# trees, which its hash names (to all trees in a node of at most 2 * TREE_ROWS
+# rows); a tree takes, of the rows offered, those with the lowest hash of (row,
+# tree). Samples of parts of a node merge into the sample of the whole. Fitting is
+# one small task per node; scoring and the contamination cut-off run over all
+# rows, split into (node, slice) groups of bounded size.
+
+
+def draw_samples(rows: DataFrame) -> DataFrame:
+    """(node_id, FEATURES, _draw, _tree, _rank): the rows that each tree looks at.
+
+    ``rows`` has (node_id, FEATURES, n_rows, _draw), where ``_draw`` is a hash of the row.
+    """
+    offers = F.lit(float(TREES)) * F.least(F.lit(1.0), F.lit(2.0 * TREE_ROWS) / F.col("n_rows"))
+    chance = F.pmod(F.col("_draw"), F.lit(1_000_003)) / 1_000_003
+    count = F.floor(offers + chance).cast("int")
+    every = F.sequence(F.lit(0), F.lit(TREES - 1))
+    named = F.transform(
+        F.sequence(F.lit(1), count), lambda j: F.pmod(F.xxhash64("_draw", j), F.lit(TREES)).cast("int")
+    )
+    trees = F.when(F.col("n_rows") <= 2 * TREE_ROWS, every).when(count > 0, F.array_distinct(named))
+    offered = rows.select("node_id", *FEATURES, "_draw", F.explode(trees).alias("_tree"))
+    offered = offered.withColumn("_rank", F.xxhash64("_tree", "_draw"))
+    return newest_per_key(offered, ["node_id", "_tree"], [F.col("_rank"), F.col("_draw")], TREE_ROWS)
 
 
 def _fit_node(key: tuple, pool: pd.DataFrame) -> pd.DataFrame:
@@ -162,17 +191,7 @@ def detect_outliers(
     slices = F.greatest(F.ceil(F.col("n_rows") / slice_rows), F.lit(1))
     sliced = gated.withColumn("_slice", F.pmod(F.col("_draw"), slices))
 
-    # The TREE_ROWS lowest hashes of a tree lie within the lowest 2 * TREE_ROWS / n of the range
-    # (short of a chance near 1e-35), so only about as many rows per tree reach the ranking.
-    share = F.least(F.lit(1.0), F.lit(2.0 * TREE_ROWS) / F.col("n_rows"))
-    bound = (share * 2 - 1) * F.lit(float(2**63))
-    ranks = F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)),
-        lambda tree: F.struct(tree.alias("_tree"), F.xxhash64(F.col("_draw"), tree).alias("_rank")),
-    )
-    lowest = F.filter(ranks, lambda r: r["_rank"].cast("double") <= bound)
-    drawn = gated.select("node_id", *FEATURES, "_draw", F.inline(lowest))
-    pool = newest_per_key(drawn, ["node_id", "_tree"], [F.col("_rank"), F.col("_draw")], TREE_ROWS)
+    pool = draw_samples(gated)
     tasks = int(metrics.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     forests = (
         pool.repartition(tasks, "node_id")  # a given count is not coalesced: the work is CPU, not bytes

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.clock import instant, since
 from fleetlens.params import RETENTION_DAYS, ROLE_DESCRIPTIONS, ROLE_PERMISSIONS
+from fleetlens.session import cut_lineage
 
 TIME_COLUMNS = {
     "metrics": "timestamp",
@@ -58,6 +59,55 @@ def retained(table: DataFrame, name: str, as_of: datetime, days: dict[str, int]
     return table.filter(fresh | ~F.col("resolved")) if name == "alerts" else table.filter(fresh)
 
 
+def _date_folders(spark: SparkSession, path: str) -> dict[str, object]:
+    """Folder of each date of a date-partitioned table, by listing the table's folder alone."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in files.listStatus(root) if f.isDirectory() and f.getPath().getName().startswith("date=")]
+    return {p.getName()[5:]: p for p in found}
+
+
+def apply_retention(
+    spark: SparkSession, path: str, name: str, as_of: datetime, days: dict[str, int] | None = None
+) -> DataFrame:
+    """Drop what a table's retention no longer keeps; returns (date, action, removed, kept) of the dates it touched.
+
+    The table is partitioned by ``date``. Dates before the limit are dropped as whole folders, found by listing, and
+    only the limit's own date is rewritten; later dates keep their files. Where open alerts must be kept, a date
+    that still holds some is rewritten instead of dropped. Rows of dropped folders are counted by their footers. A
+    run that is cut off can be run again: it does the rest.
+    """
+    limit = as_of - timedelta(days=(days or RETENTION_DAYS)[name])
+    folders = _date_folders(spark, path)
+    old = sorted(d for d in folders if d < limit.date().isoformat())
+    edge = [d for d in folders if d == limit.date().isoformat()]
+    table = spark.read.parquet(path)
+    of = lambda dates: table.where(F.col("date").cast("string").isin(dates))
+    counts = {str(r["date"]): r["n"] for r in of(old).groupBy("date").agg(F.count("*").alias("n")).collect()} if old else {}
+    opened = set()
+    if name == "alerts" and old:
+        opened = {str(r["date"]) for r in of(old).where(~F.col("resolved")).select("date").distinct().collect()}
+    report = [(d, "dropped", counts.get(d, 0), 0) for d in old if d not in opened]
+    redo = sorted([*opened, *edge])
+    if redo:
+        some = of(redo)
+        fresh = since(some, TIME_COLUMNS[name], as_of, days=(days or RETENTION_DAYS)[name])
+        keep = fresh | ~F.col("resolved") if name == "alerts" else fresh
+        sizes = some.groupBy("date").agg(F.count_if(keep).alias("kept"), F.count_if(~keep).alias("removed")).collect()
+        changed = [str(r["date"]) for r in sizes if r["removed"]]
+        report += [(str(r["date"]), "rewritten", r["removed"], r["kept"]) for r in sizes if r["removed"]]
+        if changed:
+            left = cut_lineage(some.where(F.col("date").cast("string").isin(changed)).where(keep))
+            left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+        old += [str(r["date"]) for r in sizes if r["removed"] and not r["kept"]]
+    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for d in old:
+        if d not in opened:
+            files.delete(folders[d], True)
+    spark.catalog.refreshByPath(path)
+    return spark.createDataFrame(report, "date string, action string, removed long, kept long")
+
+
 def retention_report(tables: dict[str, DataFrame], as_of: datetime, days: dict[str, int] | None = None) -> DataFrame:
     """Rows kept and removed per table."""
     limits = days or RETENTION_DAYS

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.present import rounded
-from fleetlens.operators.anomaly import flag_rules
+from fleetlens.operators.anomaly import rule_scores
 from fleetlens.plans.catalog import query
 from fleetlens.plans.tables import FLAGS
 from fleetlens.sources import telemetry
@@ -26,19 +29,16 @@ SELECT l.node_id, l.bucket, samples, round(avg_cpu, 6) AS avg_cpu, round(avg_mem
 FROM load l LEFT JOIN raised r ON l.node_id = r.node_id AND l.bucket = r.bucket""",
 )
 def node_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One scan and one shuffle: flags are counted inside the bucket aggregate."""
-    m = telemetry.metrics(spark, sf_dir)
-    flagged = flag_rules(m).select(
-        "node_id", "timestamp", F.lit(1).alias("anomalies"), F.col("anomaly_score").alias("worst_score")
-    )
-    rows = m.withColumn("samples", F.lit(1)).unionByName(flagged, allowMissingColumns=True)
-    out = rows.groupBy("node_id", F.window("timestamp", "5 minutes").alias("_w")).agg(
-        F.count("samples").alias("samples"),
+    """One scan and one shuffle: exceeded limits are counted inside the bucket aggregate."""
+    scores = rule_scores()
+    hits = reduce(add, [F.count(score) for score in scores])
+    out = telemetry.metrics(spark, sf_dir).groupBy("node_id", F.window("timestamp", "5 minutes").alias("_w")).agg(
+        F.count("*").alias("samples"),
         F.avg("cpu_usage").alias("avg_cpu"),
         F.avg("memory_usage").alias("avg_mem"),
         F.avg("latency_ms").alias("avg_latency"),
         F.avg("requests_per_sec").alias("avg_rps"),
-        F.count("anomalies").alias("anomalies"),
-        F.coalesce(F.max("worst_score"), F.lit(0.0)).alias("worst_score"),
+        hits.alias("anomalies"),
+        F.coalesce(F.max(F.greatest(*scores)), F.lit(0.0)).alias("worst_score"),
     )
     return rounded(out.select("node_id", F.col("_w.start").alias("bucket"), *out.columns[2:]))

@@ -123,6 +123,37 @@ def _(spark, sf):
     return refused.select("id", "reason")
 
 
+KEPT_DAYS = {"metrics": 10, "alerts": 5}
+
+
+@query(
+    "retention_applied",
+    f"""WITH {t.ALERTS}, cut AS (
+  SELECT 'metrics' AS table_name, CAST("timestamp" AS DATE) AS d, "timestamp" >= {t.AS_OF} - INTERVAL 10 DAY AS keep,
+    CAST({t.AS_OF} - INTERVAL 10 DAY AS DATE) AS edge FROM metrics
+  UNION ALL SELECT 'alerts', CAST(raised_at AS DATE), raised_at >= {t.AS_OF} - INTERVAL 5 DAY OR NOT resolved,
+    CAST({t.AS_OF} - INTERVAL 5 DAY AS DATE) FROM alerts), per AS (
+  SELECT table_name, d, edge, count(*) FILTER (NOT keep) AS removed, count(*) FILTER (keep) AS kept FROM cut GROUP BY ALL)
+SELECT table_name, strftime(d, '%Y-%m-%d') AS date, CASE WHEN d < edge AND kept = 0 THEN 'dropped' ELSE 'rewritten' END AS action,
+  removed, kept, (SELECT count(*) FROM cut c WHERE c.table_name = per.table_name AND keep) AS rows_left
+FROM per WHERE removed > 0""",
+)
+def _(spark, sf):
+    """Retention carried out on stored tables; open alerts of old dates stay."""
+    from fleetlens.operators.registry import apply_retention
+
+    now, room, out = t.as_of(spark, sf), _room(spark), None
+    alerts = t.alerts(spark, sf, now).withColumn("date", F.to_date("raised_at"))
+    writers.write_metrics(telemetry.metrics(spark, sf), f"{room}/metrics")
+    alerts.write.partitionBy("date").parquet(f"{room}/alerts")
+    for name in ("metrics", "alerts"):
+        done = apply_retention(spark, f"{room}/{name}", name, now, KEPT_DAYS)
+        left = spark.read.parquet(f"{room}/{name}").count()
+        rows = done.select(F.lit(name).alias("table_name"), "date", "action", "removed", "kept", F.lit(left).alias("rows_left"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 TTL_S = 43_200
 
 

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 
 from fleetlens.functions.arma import forecast_mean
 from fleetlens.functions.forest import grow_forest, score_rows
@@ -148,6 +149,50 @@ def test_outliers_planted_and_share(spark):
     assert all(0.01 <= r["anomaly_score"] <= 1 for r in out)
 
 
+def test_drawn_samples_equal_a_plain_draw(spark):
+    def spark_hash(*values):
+        seed = 42
+        for v in values:
+            width = 4 if isinstance(v, np.int32) else 8
+            seed = xxhash.xxh64_intdigest(int(v).to_bytes(width, "little", signed=True), seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    rng = np.random.default_rng(2)
+    rows = [("small", i, 300) for i in range(300)] + [("mid", i, 700) for i in range(700)] + [("large", i, 9000) for i in range(9000)]
+    frame = spark.createDataFrame([(k, float(rng.random()), 0.0, 0.0, 0.0, n, int(rng.integers(-(1 << 62), 1 << 62))) for k, _, n in rows],
+        "node_id string, cpu_usage double, memory_usage double, latency_ms double, requests_per_sec double, n_rows long, _draw long")
+    got = {}
+    for r in anomaly.draw_samples(frame).collect():
+        got.setdefault((r["node_id"], r["_tree"]), set()).add(r["_draw"])
+    want = {}
+    for r in frame.collect():
+        offers = 100 * min(1.0, 512 / r["n_rows"])
+        if r["n_rows"] <= 512:
+            trees = set(range(100))
+        else:
+            count = int(offers + r["_draw"] % 1_000_003 / 1_000_003)
+            trees = {spark_hash(np.int64(r["_draw"]), np.int32(j)) % 100 for j in range(1, count + 1)}
+        for t in trees:
+            want.setdefault((r["node_id"], t), []).append((spark_hash(np.int32(t), np.int64(r["_draw"])), r["_draw"]))
+    assert {k: {d for _, d in sorted(v)[:256]} for k, v in want.items()} == got
+    assert len(got) == 300 and min(len(v) for v in got.values()) == 256
+
+
+def test_cut_off_and_flags_equal_a_plain_forest(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(400):
+        cpu, mem, lat, rps = rng.normal([40, 50, 100, 200], [3, 3, 8, 10]).tolist()
+        rows.append((i, "a", T0 + timedelta(seconds=5 * i), cpu, mem, lat, rps, 40.0))
+    schema = "id int, node_id string, timestamp timestamp, cpu_usage double, memory_usage double, latency_ms double, requests_per_sec double, disk_usage double"
+    out = {r["id"]: r["anomaly_score"] for r in anomaly.detect_outliers(spark.createDataFrame(rows, schema), recent_minutes=60).collect()}
+    data = np.array([r[3:7] for r in rows], "float32")
+    scores = score_rows(data, grow_forest(data, 100, 256, 7))
+    clear = np.argsort(scores)[:8]  # another draw of the forest agrees on the clear ones
+    assert set(clear.tolist()) & set(out) and 0.03 * 400 <= len(out) <= 0.06 * 400
+    assert np.mean([scores[i] for i in out]) < np.percentile(scores, 12)
+
+
 def test_rule_scores(spark):
     rows = [("n", T0, 100.0, 100.0, 1000.0), ("m", T0, 85.0, 90.0, 500.0)]
     df = spark.createDataFrame(rows, "node_id string, timestamp timestamp, cpu_usage double, memory_usage double, latency_ms double")
