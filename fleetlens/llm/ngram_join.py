@@ -14,7 +14,7 @@ of its shared signatures, the most frequent. What that links is joined into comp
 compared with one smallest class of every other component that it shares a signature with (a star for each
 signature, so pairs grow with the signatures and not with their square). Signatures that still hold several
 components are searched pair by pair across components, in blocks of bounded size. A lower bound on the difference (the
-distance of part sizes, about eight elements a part) throws out pairs that cannot link before their sets are made; all other comparisons
+distance of part sizes, one or two elements a part) throws out pairs that cannot link before their sets are made; all other comparisons
 are exact.
 
 Nulls, ties and odd rows: a null or blank text has an empty set and links with nothing; a row with a null doc_id
@@ -40,8 +40,9 @@ from fleetlens.llm.links import components
 from fleetlens.llm.store import bound_batches, keep
 
 SHINGLE, PERCENT = 3, 90
-#: Parts of a set whose sizes are compared: one for eight elements, within these limits, a power of two.
-LEAST_PARTS, MOST_PARTS = 64, 1024
+#: Parts of a set whose sizes (3 at most, in two bits) are compared: one for one or two elements, within these
+#: limits, a power of two.
+LEAST_PARTS, MOST_PARTS, MOST_SIZE = 64, 4096, 3
 #: Signatures that a set may have per band: for each element that two linked sets may differ in, and at least.
 PER_ELEMENT, LEAST = 1.7, 16
 #: Signatures, or pairs, that a task gathers before it hands them on, and members of a block of pairs.
@@ -134,10 +135,11 @@ def signatures(shingles: np.ndarray, percent: int, ends: np.ndarray) -> np.ndarr
 
 
 def part_sizes(shingles: np.ndarray) -> bytes:
-    """Sizes of the parts that the leading bits of the elements cut a set into, one byte each."""
-    bits = min(max((len(shingles) // 8).bit_length(), LEAST_PARTS.bit_length() - 1), MOST_PARTS.bit_length() - 1)
+    """Sizes of the parts that the leading bits of the elements cut a set into, four to a byte."""
+    bits = min(max((len(shingles) // 2).bit_length(), LEAST_PARTS.bit_length() - 1), MOST_PARTS.bit_length() - 1)
     counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    four = np.minimum(counts, MOST_SIZE).astype(np.uint8).reshape(-1, 4)
+    return (four << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8).tobytes()
 
 
 def set_key(shingles: np.ndarray) -> np.uint64:
@@ -320,25 +322,26 @@ def verified(pairs: DataFrame, info: DataFrame, rows: DataFrame, size: int, perc
 
 
 def _folded(rows: list[bytes], width: int) -> np.ndarray:
-    """Part sizes of each set, added up to ``width`` parts."""
-    out = np.empty((len(rows), width), np.int16)
+    """Part sizes of each set for ``width`` parts (sizes beyond the most count as the most)."""
+    out = np.empty((len(rows), width), np.int8)
     sizes = np.array([len(r) for r in rows])
     for size in np.unique(sizes):
         own = np.flatnonzero(sizes == size)
         flat = np.frombuffer(b"".join(rows[i] for i in own), np.uint8)
-        out[own] = flat.reshape(len(own), width, size // width).sum(2)
+        each = (flat[:, None] >> np.array([0, 2, 4, 6], np.uint8)) & np.uint8(3)
+        out[own] = np.minimum(each.reshape(len(own), width, size * 4 // width).sum(2), MOST_SIZE)
     return out
 
 
 def _distance(x: pa.Array, y: pa.Array) -> np.ndarray:
     """A lower bound on the number of elements that two sets do not share."""
     x, y = x.to_pylist(), y.to_pylist()
-    widths = np.array([min(len(a), len(b)) for a, b in zip(x, y)], np.int64)
+    widths = np.array([4 * min(len(a), len(b)) for a, b in zip(x, y)], np.int64)
     out = np.empty(len(x), np.int64)
     for width in np.unique(widths):
         for own in np.array_split(np.flatnonzero(widths == width), max(1, (widths == width).sum() * width // FLUSH)):
             left, right = _folded([x[i] for i in own], width), _folded([y[i] for i in own], width)
-            out[own] = np.abs(left - right).sum(1)
+            out[own] = np.abs(left - right).sum(1, dtype=np.int64)
     return out
 
 
@@ -372,7 +375,7 @@ def _close(percent: int):
         # the sets of a block are alike in size, so they are compared by the parts of the smallest
         change = (columns[:3, 1:] != columns[:3, :-1]).any(0)
         block = np.concatenate([[0], np.cumsum(change)])
-        least = np.minimum.reduceat(np.array([len(p) for p in sizes]), np.flatnonzero(np.append(True, change)))[block]
+        least = np.minimum.reduceat(np.array([4 * len(p) for p in sizes]), np.flatnonzero(np.append(True, change)))[block]
         out, held = [], 0
         for width in np.unique(least):
             own = np.flatnonzero(least == width)
@@ -393,7 +396,7 @@ def _close(percent: int):
                 i, j, most = at[ok], to[ok], most[ok]
                 near = np.concatenate(
                     [
-                        np.abs(parts[i[c : c + CLOSE]] - parts[j[c : c + CLOSE]]).sum(1) <= most[c : c + CLOSE]
+                        np.abs(parts[i[c : c + CLOSE]] - parts[j[c : c + CLOSE]]).sum(1, dtype=np.int64) <= most[c : c + CLOSE]
                         for c in range(0, max(1, len(i)), CLOSE)
                     ]
                 )

@@ -106,10 +106,39 @@ def sample_labelled(docs: DataFrame, labelled: DataFrame, most: int = SAMPLE) ->
 
 
 def fit(rows: DataFrame, classes: list[str] | None = None, epochs: int = EPOCHS) -> SubwordModel:
-    """Fit on rows (text, label); the caller bounds their number."""
+    """Fit on rows (text, label), whose number the caller bounds, in one task; only the model comes to the driver."""
     bound_batches(rows.sparkSession)
-    data = rows.mapInArrow(_sparse, "label string, places binary, values binary").toArrow()
-    labels = data["label"].to_pylist()
+    sparse = rows.mapInArrow(_sparse, "label string, places binary, values binary").repartition(1)
+    made = "classes array<string>, vectors binary, layer binary, bias binary"
+    found = sparse.mapInArrow(_fitted(classes, epochs), made).collect()
+    if not found:
+        return _train([], [], [], classes, epochs)
+    names, width = list(found[0].classes), max(1, len(found[0].classes))
+    flat = lambda raw, *shape: np.frombuffer(raw, np.float32).reshape(shape)
+    return SubwordModel(
+        names, flat(found[0].vectors, BUCKETS, WIDTH), flat(found[0].layer, WIDTH, width), flat(found[0].bias, width)
+    )
+
+
+def _fitted(classes: list[str] | None, epochs: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, places, values = [], [], []
+        for batch in batches:
+            labels += batch.column(0).to_pylist()
+            places += batch.column(1).to_pylist()
+            values += batch.column(2).to_pylist()
+        if not labels:
+            return
+        model = _train(labels, places, values, classes, epochs)
+        arrays = [pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in (model.vectors, model.layer, model.bias)]
+        yield pa.record_batch(
+            [pa.array([model.classes], pa.list_(pa.string())), *arrays], names=["classes", "vectors", "layer", "bias"]
+        )
+
+    return run
+
+
+def _train(labels: list, places: list, values: list, classes: list[str] | None, epochs: int) -> SubwordModel:
     names = sorted(set(labels)) if classes is None else list(classes)
     rng = np.random.default_rng(5)
     vectors = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
@@ -118,7 +147,6 @@ def fit(rows: DataFrame, classes: list[str] | None = None, epochs: int = EPOCHS)
     if not labels or len(names) < 2:
         return SubwordModel(names, vectors, layer * 0, bias)
     # rows come in any order: sort by content, then shuffle with a fixed seed, so that fits repeat
-    places, values = data["places"].to_pylist(), data["values"].to_pylist()
     order = np.array(sorted(range(len(labels)), key=lambda i: (labels[i], places[i], values[i])))
     target = np.array([names.index(x) for x in labels])
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (vectors, layer, bias)]
