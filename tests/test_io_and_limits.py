@@ -348,3 +348,33 @@ def test_access_audit_without_roles(spark):
     out = registry.access_audit(log)
     assert [(r.has_any, r.has_all) for r in out.orderBy("id").collect()] == [(False, False), (False, False), (False, True)]
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_retention_drops_folders_and_rewrites_one_date(spark, tmp_path):
+    rows = [(f"n{h % 3}", T0 + timedelta(hours=h), *[1.0 * h] * 5) for h in range(24 * 12)]
+    columns = ["node_id string", "timestamp timestamp", *(f"{c} double" for c in ("cpu_usage", "memory_usage", "latency_ms", "requests_per_sec", "disk_usage"))]
+    df, path = spark.createDataFrame(rows, ", ".join(columns)), tmp_path / "metrics"
+    writers.write_metrics(df, str(path))
+    files = lambda: {p.relative_to(path): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    before, now = files(), T0 + timedelta(days=11, hours=18)
+    done = {r["date"]: r for r in registry.apply_retention(spark, str(path), "metrics", now, {"metrics": 5}).collect()}
+    limit = now - timedelta(days=5)
+    left = spark.read.parquet(str(path)).collect()
+    assert {r["timestamp"] for r in left} == {r[1] for r in rows if r[1] >= limit}
+    assert sum(r["removed"] for r in done.values()) == len(rows) - len(left)
+    edge = limit.date().isoformat()
+    assert done[edge]["action"] == "rewritten" and {r["action"] for d, r in done.items() if d != edge} == {"dropped"}
+    later = {k: v for k, v in before.items() if str(k.parent)[5:] > edge}
+    assert later and later.items() <= files().items()
+    assert registry.apply_retention(spark, str(path), "metrics", now, {"metrics": 5}).count() == 0
+
+
+def test_retention_keeps_open_alerts_of_old_dates(spark, tmp_path):
+    rows = [(i, T0 + timedelta(days=i % 6), i % 4 != 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, raised_at timestamp, resolved boolean")
+    path = str(tmp_path / "alerts")
+    df.withColumn("date", F.to_date("raised_at")).write.partitionBy("date").parquet(path)
+    now = T0 + timedelta(days=6)
+    registry.apply_retention(spark, path, "alerts", now, {"alerts": 2})
+    got = {r["id"] for r in spark.read.parquet(path).collect()}
+    assert got == {i for i, at, resolved in rows if at >= now - timedelta(days=2) or not resolved}
