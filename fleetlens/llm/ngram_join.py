@@ -363,12 +363,10 @@ def _close(percent: int):
     block, and all blocks of a batch are compared at once, neighbour by neighbour."""
     ends = bands(percent, 1 << 40)
 
-    def batch_of(found: list[tuple]) -> pa.RecordBatch:
-        # near copies meet under many signatures: once is enough
-        pairs = np.unique(np.concatenate([np.stack(x) for x in found], 1), axis=1)
-        return pa.record_batch([pa.array(x) for x in pairs], names=["a", "b"])
+    def batch_of(found: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(x) for x in found], names=["a", "b"])
 
-    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    def pairs(rows: pa.Table) -> Iterator[np.ndarray]:
         names = ("sign", "lo", "hi", "half", "key", "root", "n")
         columns = np.stack([rows[c].to_numpy() for c in names])
         sizes = rows["parts"].to_pylist()
@@ -376,7 +374,6 @@ def _close(percent: int):
         change = (columns[:3, 1:] != columns[:3, :-1]).any(0)
         block = np.concatenate([[0], np.cumsum(change)])
         least = np.minimum.reduceat(np.array([4 * len(p) for p in sizes]), np.flatnonzero(np.append(True, change)))[block]
-        out, held = [], 0
         for width in np.unique(least):
             own = np.flatnonzero(least == width)
             sign, lo, hi, half, key, root, n = columns[:, own]
@@ -401,15 +398,24 @@ def _close(percent: int):
                     ]
                 )
                 i, j = i[near], j[near]
-                out.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j])))
-                held += len(i)
-                if held >= FLUSH:
-                    yield batch_of(out)
-                    out, held = [], 0
-        if out:
-            yield batch_of(out)
+                yield np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # near copies meet under many signatures: a task hands a pair on once, as far as it can hold them
+        out, size = [], 0
+        for found in blocks(batches):
+            out.append(found)
+            size += found.shape[1]
+            if size >= FLUSH:
+                once = np.unique(np.concatenate(out, axis=1), axis=1)
+                out, size = [once], once.shape[1]
+                if size >= FLUSH // 2:
+                    yield batch_of(once)
+                    out, size = [], 0
+        if size:
+            yield batch_of(np.unique(np.concatenate(out, axis=1), axis=1))
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         held = None
         for batch in batches:
             rows = pa.Table.from_batches([batch])
@@ -502,7 +508,8 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     )
     # near copies share many signatures: of those with the same sets, one is searched
     open_ = open_.where("low < high").groupBy("low", "high", "members", "print").agg(F.min("sign").alias("sign"))
-    open_ = open_.select("sign", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    # signatures of the same near copies go to the same task, where a pair is handed on once
+    open_ = open_.select("sign", "low", F.ceil(F.col("members") / BLOCK).alias("blocks"))
     block = ["sign", "lo", "hi"]
     blocks = (
         placed.join(open_, "sign")
@@ -511,8 +518,8 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         .withColumn("lo", F.least("half", "other"))
         .withColumn("hi", F.greatest("half", "other"))
         .join(info, "key")
-        .select(*block, "half", "key", "root", "n", "parts")
-        .repartition(*block)
+        .select(*block, "half", "key", "root", "n", "parts", "low")
+        .repartition("low", "lo", "hi")
         .sortWithinPartitions(*block, "key")
     )
     close = keep(blocks.mapInArrow(_close(percent), "a long, b long").distinct(), "close", tidy=True)
