@@ -1,12 +1,13 @@
 """Keyed state over streams: capacity decisions, admission and node silence.
 
 Each processor keeps one small record per key and applies the same step
-function as the batch replay. Without a watermark delay the rows of a key are
-put in time order inside a micro-batch, which the source's limit per trigger
-bounds. With a delay they wait in keyed map state, by time, and event-time
-timers release them in order once the watermark has passed: any arrival order
-within the delay gives the results of the batch form, and no more than the due
-rows' times are held in memory.
+function as the batch replay. Keys are dealt to parts by a hash; a part is one
+group of the stream and holds the records of its keys in map state. Without a
+watermark delay the rows of a part are put in time order inside a micro-batch,
+which the source's limit per trigger bounds. With a delay they wait in state as
+chunks, by time, and event-time timers release them in order once the watermark
+has passed: any arrival order within the delay gives the results of the batch
+form, and chunks whose time has come are merged a few at a time.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from collections.abc import Iterator
 from datetime import datetime, timezone
 from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -33,161 +36,234 @@ def _ordered(batches: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return pd.concat(frames, ignore_index=True).sort_values(by, kind="stable", ignore_index=True)
 
 
+def _named(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Batches under their own column names, some of which Spark replaces."""
+    return (batch.set_axis(columns, axis=1) for batch in batches)
+
+
+def _micros(times: pd.Series) -> np.ndarray:
+    return times.astype("datetime64[us]").astype("int64").to_numpy()
+
+
 def _seconds(times: pd.Series) -> list[float]:
-    return [t / 1e6 for t in times.astype("datetime64[us]").astype("int64")]
+    return (_micros(times) / 1e6).tolist()
 
 
-RELEASE_ROWS = 2000
+#: A part holds many keys, so that a call into Python, a frame and a timer serve them all. The number of parts bounds
+#: the rows in one frame, not the number of keys; a checkpoint keeps the number it was begun with.
+PARTS = 1024
+PART_COLUMNS = ["_key", "_part"]
 
 
-class _Released(StatefulProcessor):
-    """Rows wait by (microseconds, tie) and are handed to ``step`` in that order when the watermark passes them."""
+def _parted(rows: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts))
+    return rows.withColumns({"_key": F.to_json(F.struct(*keys)), "_part": part})
 
-    def __init__(self, columns: list[str], schema: str, time: str, tie: str | None, outputs: dict[str, str]):
-        self.columns, self.schema, self.outputs = columns, schema, outputs
-        self.time, self.tie = columns.index(time), columns.index(tie) if tie else None
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getMapState("waiting", "at long, tie long", self.schema)
-        self.open(handle)
+# --- rules: one small record per key, changed by each row ------------------------------
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        """Make the state of the step."""
 
-    def load(self) -> Any:
-        """The state before the first due row."""
+class _Loop:
+    record, outputs = "integral double, error double, workers int, decided_at double", DECISION_OUTPUTS
 
-    def save(self, state: Any) -> None:
-        """Keep the state after the last due row."""
+    def __init__(self, columns: list[str], policy: ScalerPolicy, start_workers: int, dt_s: float):
+        self.policy, self.start, self.dt_s = policy, start_workers, dt_s
+        self.inputs = ["utilization", "upper_bound", "spike_probability", *(["workers"] if "workers" in columns else [])]
 
-    def step(self, state: Any, at: float, row: dict[str, Any]) -> tuple:
-        """Outputs of one row; changes ``state``."""
+    def load(self, kept: Any) -> ScalerState:
+        return ScalerState(LoopState(kept[0], kept[1]), kept[2], kept[3]) if kept else ScalerState(LoopState(), self.start)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        soonest = None
-        for batch in rows:
-            at = batch.iloc[:, self.time].astype("datetime64[us]").astype("int64").tolist()
-            for us, row in zip(at, batch.astype(object).itertuples(index=False, name=None)):
-                kept = tuple(v.to_pydatetime() if isinstance(v, pd.Timestamp) else None if pd.isna(v) else v for v in row)
-                self.waiting.updateValue((us, 0 if self.tie is None else int(row[self.tie])), kept)
-                soonest = us if soonest is None else min(soonest, us)
-        if soonest is not None:
-            self.handle.registerTimer(-(-soonest // 1000))
-        return iter([])
+    def save(self, state: ScalerState) -> tuple | None:
+        return state.loop.integral, state.loop.error, state.workers, state.decided_at
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        due, later = [], None
-        for place in self.waiting.keys():
-            if place[0] <= passed:
-                due.append(tuple(place))
-            else:
-                later = place[0] if later is None else min(later, place[0])
-        if later is not None:
-            self.handle.registerTimer(-(-later // 1000))
-        if not due:
-            return
-        state, out = self.load(), []
-        for place in sorted(due):
-            row = tuple(self.waiting.getValue(place))
-            self.waiting.removeKey(place)
-            out.append((*row, *self.step(state, place[0] / 1e6, dict(zip(self.columns, row)))))
-            if len(out) == RELEASE_ROWS:
-                yield self.frame(out)
-                out = []
-        self.save(state)
-        if out:
-            yield self.frame(out)
+    def step(self, state: ScalerState, at: float, used: float, upper: float, spike: float, workers: Any = None) -> tuple:
+        return decision_step(state, at, used, upper, spike, self.dt_s, self.policy, workers)
 
-    def frame(self, rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=[*self.columns, *self.outputs], dtype=object)
 
-    def close(self) -> None:
-        pass
+ADMISSION = {"allowed": "boolean", "remaining": "bigint", "reset_after": "double"}
 
 
-def _release(rows: DataFrame, keys: list[str], time: str, delay: str, outputs: dict[str, str], make: Any) -> DataFrame:
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.withWatermark(time, delay).groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=make(rows.columns, schema),
-        outputStructType=_with_outputs(rows, outputs),
-        outputMode="Append",
-        timeMode="EventTime",
-    )
+class _BucketRule:
+    """With ``idle_s`` a bucket that is idle for so long, in event time, is forgotten."""
 
+    record, outputs, inputs = "tokens double, at double, refill double", ADMISSION, ["tokens", "rate", "reset"]
 
-class _OrderedDecisions(_Released):
-    def __init__(self, columns: list[str], schema: str, policy: ScalerPolicy, start_workers: int, dt_s: float):
-        super().__init__(columns, schema, "triggered_at", None, DECISION_OUTPUTS)
-        self.policy, self.start, self.dt_s = policy, start_workers, dt_s
+    def __init__(self, capacity: float, idle_s: float | None = None):
+        self.capacity, self.idle_s = capacity, idle_s
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("loop", "integral double, error double, workers int, decided_at double")
+    def load(self, kept: Any) -> list:
+        return [Bucket(kept[0], kept[1]), kept[2]] if kept else [Bucket(), None]
 
-    def load(self) -> ScalerState:
-        kept = self.state.get()
-        return ScalerState(LoopState(kept[0], kept[1]), kept[2], kept[3]) if kept else ScalerState(LoopState(), self.start)
+    def save(self, state: list) -> tuple | None:
+        return None if state[1] is None else (state[0].tokens, state[0].at, state[1])
 
-    def save(self, state: ScalerState) -> None:
-        self.state.update((state.loop.integral, state.loop.error, state.workers, state.decided_at))
+    def step(self, state: list, at: float, need: float, rate: float, reset: bool) -> tuple:
+        bucket = state[0]
+        if reset or (self.idle_s and bucket.tokens is not None and at - bucket.at >= self.idle_s):
+            bucket, _ = state[:] = Bucket(), None
+        if reset:
+            return None, None, None
+        if state[1] is None:
+            state[1] = rate
+        return bucket_step(bucket, at, need, state[1], self.capacity)
 
-    def step(self, state: ScalerState, at: float, row: dict[str, Any]) -> tuple:
-        given = row["utilization"], row["upper_bound"], row["spike_probability"]
-        return decision_step(state, at, *given, self.dt_s, self.policy, row.get("workers"))
 
+class _WindowRule:
+    record, outputs, inputs = "times array<double>", ADMISSION, ["limit"]
 
-class _OrderedBucket(_Released):
-    """With ``ttl_s`` a bucket that is idle for so long, in event time, is forgotten."""
+    def __init__(self, window_s: float):
+        self.window_s = window_s
 
-    def __init__(self, columns: list[str], schema: str, capacity: float, ttl_s: float | None):
-        super().__init__(columns, schema, "ts", "id", ADMISSION)
-        self.capacity, self.ttl_s = capacity, ttl_s
+    def load(self, kept: Any) -> Admitted:
+        return Admitted(deque(kept[0] if kept else ()))
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("bucket", "tokens double, at double, refill double")
+    def save(self, state: Admitted) -> tuple | None:
+        return (list(state.times),) if state.times else None
 
-    def load(self) -> dict[str, Any]:
-        kept = self.state.get()
-        return {"bucket": Bucket(kept[0], kept[1]) if kept else Bucket(), "refill": kept[2] if kept else None}
+    def step(self, state: Admitted, at: float, limit: int) -> tuple:
+        return window_step(state, at, limit, self.window_s)
 
-    def save(self, state: dict[str, Any]) -> None:
-        bucket = state["bucket"]
-        if state["refill"] is None:
-            self.state.clear()
-        else:
-            self.state.update((bucket.tokens, bucket.at, state["refill"]))
 
-    def step(self, state: dict[str, Any], at: float, row: dict[str, Any]) -> tuple:
-        bucket = state["bucket"]
-        if row["reset"] or (self.ttl_s and bucket.tokens is not None and at - bucket.at >= self.ttl_s):
-            state["bucket"], state["refill"] = bucket, _ = Bucket(), None
-        if row["reset"]:
-            return None, None, None
-        if state["refill"] is None:
-            state["refill"] = row["rate"]
-        return bucket_step(bucket, at, row["tokens"], state["refill"], self.capacity)
+# --- processors of a part ----------------------------------------------------------------
 
 
-class _OrderedWindow(_Released):
-    def __init__(self, columns: list[str], schema: str, window_s: float):
-        super().__init__(columns, schema, "ts", "id", ADMISSION)
-        self.window_s = window_s
+class _AtOnce(StatefulProcessor):
+    """The rows of a micro-batch, in time order, change the records of their keys."""
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getListState("admitted", "at double")
+    def __init__(self, columns: list[str], rule: Any, time: str, tie: str | None, ttl_s: float | None = None):
+        self.columns, self.rule, self.time, self.ttl_s = [*columns, *PART_COLUMNS], rule, time, ttl_s
+        self.order = [time, tie] if tie else [time]
 
-    def load(self) -> Admitted:
-        return Admitted(deque(r[0] for r in self.state.get()))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        ttl = int(self.ttl_s * 1000) if self.ttl_s else None
+        self.records = handle.getMapState("records", "key string", self.rule.record, ttl)
 
-    def save(self, state: Admitted) -> None:
-        if state.times:
-            self.state.put([(t,) for t in state.times])
-        else:
-            self.state.clear()
+    def judged(self, rows: pd.DataFrame, states: dict[str, Any]) -> pd.DataFrame:
+        """``rows`` in order, with the outputs of the rule; ``states`` holds the keys met so far."""
+        results = []
+        given = [rows[c].tolist() for c in self.rule.inputs]
+        for key, at, *values in zip(rows["_key"].tolist(), _seconds(rows[self.time]), *given):
+            if key not in states:
+                states[key] = self.rule.load(self.records.getValue((key,)))
+            results.append(self.rule.step(states[key], at, *values))
+        out = pd.DataFrame(results, columns=list(self.rule.outputs), dtype=object)
+        kept = rows.drop(columns=[c for c in (*PART_COLUMNS, "_turn") if c in rows]).reset_index(drop=True)
+        return pd.concat([kept, out], axis=1)
+
+    def keep(self, states: dict[str, Any]) -> None:
+        for key, state in states.items():
+            record = self.rule.save(state)
+            if record is not None:
+                self.records.updateValue((key,), record)
+            elif self.records.containsKey((key,)):
+                self.records.removeKey((key,))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        states: dict[str, Any] = {}
+        out = self.judged(_ordered(_named(rows, self.columns), self.order), states)
+        self.keep(states)
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+CHUNK_ROWS = 5_000
+RELEASE_ROWS = 20_000
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(pa.py_buffer(bytes(data))).read_pandas()
 
-    def step(self, state: Admitted, at: float, row: dict[str, Any]) -> tuple:
-        return window_step(state, at, row["limit"], self.window_s)
+
+class _Released(_AtOnce):
+    """Rows wait in chunks that are sorted by time, and are judged in order when the watermark has passed them.
+
+    A row of the same key, time and tie as one that still waits replaces it.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "first long, number long", "rows binary")
+        self.number = handle.getValueState("number", "next long")
+
+    def wait(self, frames: Iterator[pd.DataFrame]) -> int | None:
+        """Store rows by chunks; returns the first time among them."""
+        kept, firsts = self.number.get(), []
+        number = kept[0] if kept else 0
+        for rows in frames:
+            if "_turn" not in rows:
+                rows = rows.assign(_turn=number)
+            rows = rows.sort_values(self.time, kind="stable")
+            at = _micros(rows[self.time])
+            for start in range(0, len(rows), CHUNK_ROWS):
+                place = int(at[start]), number
+                self.waiting.updateValue(place, (_packed(rows.iloc[start : start + CHUNK_ROWS]),))
+                firsts.append(place[0])
+                number += 1
+        self.number.update((number,))
+        return min(firsts, default=None)
+
+    def wake(self, soonest: int | None) -> None:
+        if soonest is not None:
+            self.handle.registerTimer(-(-soonest // 1000))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        self.wake(self.wait(_named(rows, self.columns)))
+        return iter([])
+
+    def parted(self, frames: list[pd.DataFrame], end: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """Rows before ``end``, in order and once each, and the others."""
+        rows = pd.concat(frames, ignore_index=True).sort_values([*self.order, "_turn"], kind="stable", ignore_index=True)
+        due = _micros(rows[self.time]) < end
+        return rows[due].drop_duplicates(["_key", *self.order], keep="last"), rows[~due]
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        places = sorted(tuple(p) for p in self.waiting.keys())
+        due = [p for p in places if p[0] <= passed]
+        later = [p[0] for p in places if p[0] > passed]
+        states: dict[str, Any] = {}
+        frames, held, most = [], 0, RELEASE_ROWS
+        for place in due:
+            if held >= most:  # what is before the next chunk needs no other
+                ready, rest = self.parted(frames, place[0])
+                if len(ready):
+                    yield self.judged(ready, states)
+                frames, held = [rest], len(rest)
+                most = max(RELEASE_ROWS, 2 * held)
+            frames.append(_unpacked(self.waiting.getValue(place)[0]))
+            held += len(frames[-1])
+            self.waiting.removeKey(place)
+        if frames:
+            ready, rest = self.parted(frames, passed + 1)
+            if len(rest):
+                later.append(self.wait([rest]))
+            if len(ready):
+                yield self.judged(ready, states)
+            self.keep(states)
+        self.wake(min(later, default=None))
+
+    def close(self) -> None:
+        pass
+
+
+def _by_part(rows: DataFrame, keys: list[str], parts: int, processor: _AtOnce, mode: str) -> DataFrame:
+    return _parted(rows, keys, parts).groupBy("_part").transformWithStateInPandas(
+        statefulProcessor=processor,
+        outputStructType=_with_outputs(rows, processor.rule.outputs),
+        outputMode="Append",
+        timeMode=mode,
+    )
 
 
 class _Decisions(StatefulProcessor):
@@ -245,8 +321,9 @@ def scaling_decisions(
     """
     first = policy.min_workers if start_workers is None else start_workers
     if delay:
-        make = lambda columns, schema: _OrderedDecisions(columns, schema, policy, first, dt_s)
-        return _release(steps, keys, "triggered_at", delay, DECISION_OUTPUTS, make)
+        late = steps.withWatermark("triggered_at", delay)
+        rule = _Loop(steps.columns, policy, first, dt_s)
+        return _by_part(late, keys, PARTS, _Released(steps.columns, rule, "triggered_at", None), "EventTime")
     return steps.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=_Decisions(keys, policy, first, dt_s),
         outputStructType=_with_outputs(steps, DECISION_OUTPUTS),
@@ -255,48 +332,13 @@ def scaling_decisions(
     )
 
 
-ADMISSION = {"allowed": "boolean", "remaining": "bigint", "reset_after": "double"}
-
-
-class _TokenBucket(StatefulProcessor):
-    def __init__(self, capacity: float, ttl_s: float | None):
-        self.capacity, self.ttl_s = capacity, ttl_s
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        ttl = int(self.ttl_s * 1000) if self.ttl_s else None
-        self.state = handle.getValueState("bucket", "tokens double, at double, refill double", ttl)
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        kept = self.state.get()
-        bucket, refill = (Bucket(kept[0], kept[1]), kept[2]) if kept else (Bucket(), None)
-        batch = _ordered(rows, ["ts", "id"])
-        results = []
-        for at, need, rate, reset in zip(
-            _seconds(batch["ts"]), batch["tokens"].tolist(), batch["rate"].tolist(), batch["reset"].tolist()
-        ):
-            if reset:
-                bucket, refill = Bucket(), None
-                results.append((None, None, None))
-                continue
-            refill = rate if refill is None else refill
-            results.append(bucket_step(bucket, at, need, refill, self.capacity))
-        if refill is None:
-            self.state.clear()
-        else:
-            self.state.update((bucket.tokens, bucket.at, refill))
-        out = pd.DataFrame(results, columns=list(ADMISSION), dtype=object)
-        yield pd.concat([batch, out], axis=1)
-
-    def close(self) -> None:
-        pass
-
-
 def token_bucket(
     log: DataFrame,
     capacity: float = CAPACITY,
     rates: dict[str, float] | None = None,
     ttl_s: float | None = IDLE_TTL_S,
     delay: str | None = None,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Token-bucket admission of a request stream ``(id, ts, key, role, tokens)``.
 
@@ -308,40 +350,10 @@ def token_bucket(
     reset = F.col("reset") if "reset" in log.columns else F.lit(False)
     rows = log.withColumns({"rate": role_rate("role", rates), "reset": reset})
     if delay:
-        make = lambda columns, schema: _OrderedBucket(columns, schema, capacity, ttl_s)
-        return _release(rows, ["key"], "ts", delay, ADMISSION, make)
-    return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_TokenBucket(capacity, ttl_s),
-        outputStructType=_with_outputs(rows, ADMISSION),
-        outputMode="Append",
-        timeMode="ProcessingTime" if ttl_s else "None",
-    )
-
-
-class _SlidingWindow(StatefulProcessor):
-    def __init__(self, window_s: float, ttl_s: float | None):
-        self.window_s, self.ttl_s = window_s, ttl_s
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        ttl = int(self.ttl_s * 1000) if self.ttl_s else None
-        self.state = handle.getListState("admitted", "at double", ttl)
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        held = Admitted(deque(r[0] for r in self.state.get()))
-        batch = _ordered(rows, ["ts", "id"])
-        results = [
-            window_step(held, at, limit, self.window_s)
-            for at, limit in zip(_seconds(batch["ts"]), batch["limit"].tolist())
-        ]
-        if held.times:
-            self.state.put([(t,) for t in held.times])
-        else:
-            self.state.clear()
-        out = pd.DataFrame(results, columns=list(ADMISSION), dtype=object)
-        yield pd.concat([batch, out], axis=1)
-
-    def close(self) -> None:
-        pass
+        held = _Released(rows.columns, _BucketRule(capacity, ttl_s), "ts", "id")
+        return _by_part(rows.withWatermark("ts", delay), ["key"], parts, held, "EventTime")
+    at_once = _AtOnce(rows.columns, _BucketRule(capacity), "ts", "id", ttl_s)
+    return _by_part(rows, ["key"], parts, at_once, "ProcessingTime" if ttl_s else "None")
 
 
 def sliding_window(
@@ -350,19 +362,17 @@ def sliding_window(
     rates: dict[str, float] | None = None,
     ttl_s: float | None = IDLE_TTL_S,
     delay: str | None = None,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Sliding-window admission; a key's state is its admitted times, at most ``limit``. With ``delay`` requests may
     arrive in any order within it."""
     rows = log.withColumn("limit", F.floor(role_rate("role", rates) * window_s).cast("bigint"))
+    rule = _WindowRule(window_s)
     if delay:
-        make = lambda columns, schema: _OrderedWindow(columns, schema, window_s)
-        return _release(rows, ["key"], "ts", delay, ADMISSION, make)
-    return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_SlidingWindow(window_s, ttl_s),
-        outputStructType=_with_outputs(rows, ADMISSION),
-        outputMode="Append",
-        timeMode="ProcessingTime" if ttl_s else "None",
-    )
+        held = _Released(rows.columns, rule, "ts", "id")
+        return _by_part(rows.withWatermark("ts", delay), ["key"], parts, held, "EventTime")
+    at_once = _AtOnce(rows.columns, rule, "ts", "id", ttl_s)
+    return _by_part(rows, ["key"], parts, at_once, "ProcessingTime" if ttl_s else "None")
 
 
 class _Silence(StatefulProcessor):
