@@ -27,8 +27,9 @@ def _room(spark) -> str:
     return f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
-def _run(spark, rows):
-    room = _room(spark)
+def _run(spark, rows, room=None):
+    """Run the stream to the end of its input and read the table of its ``room`` (default: a new one)."""
+    room = room or _room(spark)
     start_table(rows, f"{room}/table", f"{room}/offsets", available_now=True).awaitTermination()
     out = spark.read.parquet(f"{room}/table")
     times = [f.name for f in out.schema.fields if f.dataType.typeName() == "timestamp"]
@@ -213,8 +214,11 @@ def _(spark, sf):
 UNORDERED_S = 86_400
 
 
-def _out_of_order(spark, rows, time, key="id"):
-    """``rows`` as a stream of ``SLICES`` micro-batches in which each row is up to a day late."""
+def _out_of_order(spark, rows, time, judge, key="id"):
+    """``judge`` over ``SLICES`` micro-batches in which each row is up to a day late.
+
+    A slice is written by many tasks and read as one micro-batch; the query goes on from its checkpoint.
+    """
     from fleetlens.functions.clock import epoch
 
     room = _room(spark)
@@ -223,9 +227,10 @@ def _out_of_order(spark, rows, time, key="id"):
     place = F.floor((epoch(time) + late - low) / ((high - low + UNORDERED_S) or 1) * SLICES)
     placed = rows.withColumn(time, F.col(time).cast("timestamp")).withColumn("_slice", place)
     for number in range(SLICES):
-        placed.where(F.col("_slice") == number).drop("_slice").coalesce(1).write.mode("append").parquet(f"{room}/in")
-        time_module.sleep(0.05)
-    return spark.readStream.schema(placed.drop("_slice").schema).option("maxFilesPerTrigger", 1).parquet(f"{room}/in")
+        placed.where(F.col("_slice") == number).drop("_slice").write.mode("append").parquet(f"{room}/in")
+        stream = spark.readStream.schema(placed.drop("_slice").schema).parquet(f"{room}/in")
+        out = _run(spark, judge(stream), room)
+    return out
 
 
 PASSED = f"CAST(ceil(epoch_us(ts) / 1000) AS BIGINT) <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - {UNORDERED_S}000"
@@ -251,8 +256,9 @@ def _(spark, sf):
     """Requests that come up to a day late over four micro-batches, with resets and an idle limit."""
     log = telemetry.requests(spark, sf)
     log = log.withColumn("reset", (F.col("endpoint") == "signup") & (F.col("id") % 20 == 3))
-    stream = _out_of_order(spark, log, "ts")
-    out = _run(spark, stateful.token_bucket(stream, adm.BURST, adm.SLOW_RATES, ttl_s=TTL_S, delay=f"{UNORDERED_S} seconds"))
+    delay = f"{UNORDERED_S} seconds"
+    judge = lambda stream: stateful.token_bucket(stream, adm.BURST, adm.SLOW_RATES, ttl_s=TTL_S, delay=delay)
+    out = _out_of_order(spark, log, "ts", judge)
     return out.select("key", "id", "allowed", "remaining")
 
 
@@ -262,8 +268,9 @@ def _(spark, sf):
 SELECT key, id, allowed, greatest(0, lim - len(held))::BIGINT AS remaining FROM sliding WHERE {PASSED}""",
 )
 def _(spark, sf):
-    stream = _out_of_order(spark, telemetry.requests(spark, sf), "ts")
-    out = _run(spark, stateful.sliding_window(stream, adm.WINDOW, adm.WINDOW_RATES, delay=f"{UNORDERED_S} seconds"))
+    delay = f"{UNORDERED_S} seconds"
+    judge = lambda stream: stateful.sliding_window(stream, adm.WINDOW, adm.WINDOW_RATES, delay=delay)
+    out = _out_of_order(spark, telemetry.requests(spark, sf), "ts", judge)
     return out.select("key", "id", "allowed", "remaining")
 
 
@@ -275,8 +282,9 @@ FROM decided WHERE epoch_us(triggered_at) <= (SELECT epoch_us(max(triggered_at))
 def _(spark, sf):
     """The replay's hourly steps as a stream that is up to a day out of order."""
     steps = t.control_inputs(spark, sf).withColumn("workers", F.col("workers").cast("int"))
-    stream = _out_of_order(spark, steps, "triggered_at", "triggered_at")
-    out = _run(spark, stateful.scaling_decisions(stream, ["node_id"], delay=f"{UNORDERED_S} seconds"))
+    delay = f"{UNORDERED_S} seconds"
+    judge = lambda stream: stateful.scaling_decisions(stream, ["node_id"], delay=delay)
+    out = _out_of_order(spark, steps, "triggered_at", judge, "triggered_at")
     return rounded(out.select("node_id", "triggered_at", "action", "is_emergency", "prev_replicas", "new_replicas"))
 
 
