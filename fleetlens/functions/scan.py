@@ -8,6 +8,7 @@ same scan over chunks, and every row then takes its chunk's carry. One hot serie
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,8 +48,10 @@ def _then(first: Column, second: Column) -> Column:
     )
 
 
-def _prefix(df: DataFrame, keys: list[str], rank: str, longest: int, chunk: int) -> DataFrame:
-    """Replace ``_f`` by the product of all functions of the series up to each row."""
+def _prefix(
+    df: DataFrame, keys: list[str], rank: str, longest: int, chunk: int, then: Callable[[Column, Column], Column]
+) -> DataFrame:
+    """Replace ``_f`` by the product (by ``then``) of all functions of the series up to each row."""
     if longest <= 1:
         return df
     fine = [*keys, "_chunk"]
@@ -57,15 +60,15 @@ def _prefix(df: DataFrame, keys: list[str], rank: str, longest: int, chunk: int)
     for k in range(math.ceil(math.log2(min(longest, chunk)))):
         back = F.lag("_f", 2**k).over(w)
         rows = rows.withColumn("_back", back)
-        rows = rows.withColumn("_f", F.when(F.col("_back").isNull(), F.col("_f")).otherwise(_then(F.col("_back"), F.col("_f"))))
+        rows = rows.withColumn("_f", F.when(F.col("_back").isNull(), F.col("_f")).otherwise(then(F.col("_back"), F.col("_f"))))
     rows = rows.drop("_back")
     if longest <= chunk:
         return rows.drop("_chunk")
     ends = rows.where(F.col(rank) % chunk == 0).select(*keys, (F.col("_chunk") + 1).alias("_place"), "_f")
-    ends = _prefix(ends, keys, "_place", longest // chunk, chunk)
+    ends = _prefix(ends, keys, "_place", longest // chunk, chunk, then)
     carried = ends.select(*keys, F.col("_place").alias("_chunk"), F.col("_f").alias("_carry"))
     joined = rows.join(carried, fine, "left")
-    whole = F.when(F.col("_carry").isNull(), F.col("_f")).otherwise(_then(F.col("_carry"), F.col("_f")))
+    whole = F.when(F.col("_carry").isNull(), F.col("_f")).otherwise(then(F.col("_carry"), F.col("_f")))
     return joined.withColumn("_f", whole).drop("_carry", "_chunk")
 
 
@@ -79,10 +82,21 @@ def clamped_sum(
     """
     longest = df.agg(F.max(rank)).first()[0] or 0
     start = F.struct(delta.alias("a"), low.alias("low"), high.alias("high"))
-    rows = _prefix(df.withColumn("_f", start), keys, rank, longest, chunk)
+    rows = _prefix(df.withColumn("_f", start), keys, rank, longest, chunk, _then)
     return rows.withColumn(name, _clip(F.col("_f.a"), F.col("_f.low"), F.col("_f.high"))).drop("_f")
 
 
+def carried_state(
+    df: DataFrame, keys: list[str], rank: str, moves: Column, low: int, first: int, name: str, chunk: int = CHUNK
+) -> DataFrame:
+    """The state after each row of a machine that starts in ``first``; ``moves`` lists what the row makes of each
+    state from ``low`` on. Moves compose to moves, so the state is a prefix product as well."""
+    longest = df.agg(F.max(rank)).first()[0] or 0
+    then = lambda a, b: F.transform(a, lambda state: F.element_at(b, state - low + 1))
+    rows = _prefix(df.withColumn("_f", moves), keys, rank, longest, chunk, then)
+    return rows.withColumn(name, F.element_at("_f", first - low + 1)).drop("_f")
+
+
 def previous(df: DataFrame, keys: list[str], rank: str, value: str, name: str, chunk: int = CHUNK) -> DataFrame:
     """The value of the preceding row (by rank); chunks hand theirs on by an equality join."""
     fine = [*keys, "_chunk"]

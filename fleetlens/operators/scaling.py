@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.clock import epoch
 from fleetlens.functions.control import MIN_DT
 from fleetlens.functions.present import fixed
-from fleetlens.functions.scan import clamped_sum, last_marked, previous, ranked, spaced_times
+from fleetlens.functions.scan import carried_state, clamped_sum, last_marked, previous, ranked, spaced_times
 from fleetlens.functions.skew import side_by_side
 from fleetlens.operators.reads import latest_prediction
 from fleetlens.operators.summaries import active_workers, average_cpu
@@ -196,16 +196,17 @@ def replay_decisions(
     start_workers: int | None = None,
     dt_s: float = 15.0,
 ) -> DataFrame:
-    """Decision table of a history, with components, observed and wanted replicas.
+    """Decision table of a history, with components and replicas before and after each step.
 
-    ``steps`` has (keys, triggered_at, utilization, predicted_rps, upper_bound, spike_probability, model_name) and
-    may have ``workers``, the replicas observed at the step (else ``start_workers``), one row per step and series.
+    ``steps`` has (keys, triggered_at, utilization, predicted_rps, upper_bound, spike_probability, model_name), one
+    row per step and series, and may have ``workers``, the replicas observed at the step. Without it a step finds the
+    target of the one before it, the first ``start_workers``; a target depends on the replicas it finds, so the moves
+    of each step between the possible counts are composed down the series.
     A step less than the minimum interval after the last decision is held back: it decides nothing and leaves the
     loop untouched. Which steps those are depends on times alone and is found first; the loop then runs over the
     decisions.
     """
     first = policy.min_workers if start_workers is None else start_workers
-    observed = F.col("workers") if "workers" in steps.columns else F.lit(first)
     timed = ranked(steps.withColumn("_at", epoch("triggered_at")), keys, "triggered_at", "_step")
     taken = spaced_times(timed, keys, "_at", policy.min_interval_s)
     lead = timed.groupBy(*keys, "_at").agg(F.min("_step").alias("_step"))
@@ -215,9 +216,6 @@ def replay_decisions(
     else:
         marked = timed.withColumn("_taken", F.lit(True))
     marked = last_marked(marked, keys, "_step", F.when(F.col("_taken"), F.col("_at")), "_last")
-    marked = marked.withColumns(
-        {"_n": observed.cast("int"), "upper_util": predicted_utilization(F.col("upper_bound"), observed, policy)}
-    )
     marked = cut_lineage(marked)
     made = ranked(marked.where("_taken"), keys, "_step")
     made = _loop(made, keys, F.col("utilization"), F.lit(dt_s), policy.gains)
@@ -226,6 +224,23 @@ def replay_decisions(
     held = ~F.col("_taken")
     zero = lambda column: F.when(held, 0.0).otherwise(column)
     emergency = F.col("spike_probability") > policy.spike_threshold
+    if "workers" in steps.columns:
+        rows = rows.withColumn("_n", F.col("workers").cast("int"))
+    else:
+        low, high = min(first, policy.min_workers), max(first, policy.max_workers)
+        spike = spike_component(F.col("spike_probability"), policy)
+
+        def target(n: Column) -> Column:
+            ahead = forecast_component(predicted_utilization(F.col("upper_bound"), n, policy), policy)
+            raw = combined_action(F.col("_pid"), ahead, spike, emergency, policy)
+            return target_workers(n, zero(effective_action(raw, policy)), policy)
+
+        moves = F.transform(F.sequence(F.lit(low), F.lit(high)), target)
+        rows = cut_lineage(rows.withColumn("_moves", moves))
+        rows = carried_state(rows, keys, "_step", F.col("_moves"), low, first, "_after").drop("_moves")
+        rows = previous(rows, keys, "_step", "_after", "_n").withColumn("_n", F.coalesce("_n", F.lit(first)))
+        rows = cut_lineage(rows)
+    rows = rows.withColumn("upper_util", predicted_utilization(F.col("upper_bound"), F.col("_n"), policy))
     rows = rows.withColumns(
         {
             "pid_component": zero(F.col("_pid")),

@@ -130,7 +130,7 @@ def _(spark, sf):
 
 @query(
     "decision_replay_held_back",
-    f"WITH RECURSIVE {t.CONTROL_INPUTS}, {t.decisions_sql(9000.0)} SELECT {DECISION_COLS} FROM decided",
+    f"WITH RECURSIVE {t.CARRIED_INPUTS}, {t.decisions_sql(9000.0)} SELECT {DECISION_COLS} FROM decided",
 )
 def _(spark, sf):
     return rounded(t.decisions(spark, sf, SLOW_POLICY), 9)
@@ -138,7 +138,7 @@ def _(spark, sf):
 
 @query(
     "scaling_events_with_reasons",
-    f"""WITH RECURSIVE {t.CONTROL_INPUTS}, {t.decisions_sql(9000.0)}, {t.scaling_events_sql(9000.0)}
+    f"""WITH RECURSIVE {t.CARRIED_INPUTS}, {t.decisions_sql(9000.0)}, {t.scaling_events_sql(9000.0)}
 SELECT node_id, triggered_at, action, prev_replicas, new_replicas, reason FROM scaling_events""",
 )
 def _(spark, sf):

@@ -41,14 +41,14 @@ def _(spark, sf):
 
 @query(
     "scaling_events_stored",
-    f"""WITH RECURSIVE {t.SCALING} SELECT node_id, triggered_at, action, prev_replicas, new_replicas, reason FROM scaling_events
+    f"""WITH RECURSIVE {t.OBSERVED_SCALING} SELECT node_id, triggered_at, action, prev_replicas, new_replicas, reason FROM scaling_events
 UNION ALL SELECT NULL, {t.AS_OF}, 'manual_scale', (SELECT count(*) FILTER (status = 'active')::INT FROM (
   WITH {t.WORKERS} SELECT * FROM workers)), 3, 'manual request by operator-2'""",
 )
 def _(spark, sf):
     """Decisions and one manual request, appended to the same table."""
     path, now = _room(spark), t.as_of(spark, sf)
-    events = t.scaling_events(spark, sf)
+    events = t.scaling_events(spark, sf, observed=True)
     writers.write_scaling_events(events, path)
     manual = writers.manual_scale_event(t.workers(spark, sf, now), 3, "operator-2", now)
     manual = manual.withColumn("triggered_at", F.col("triggered_at").cast(events.schema["triggered_at"].dataType))

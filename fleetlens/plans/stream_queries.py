@@ -276,7 +276,7 @@ def _(spark, sf):
 
 @query(
     "stream_decisions_in_order",
-    f"""WITH RECURSIVE {t.DECISIONS} SELECT node_id, triggered_at, round(action, 6) AS action, is_emergency, prev_replicas, new_replicas
+    f"""WITH RECURSIVE {t.OBSERVED_DECISIONS} SELECT node_id, triggered_at, round(action, 6) AS action, is_emergency, prev_replicas, new_replicas
 FROM decided WHERE epoch_us(triggered_at) <= (SELECT epoch_us(max(triggered_at)) FROM inputs) - {UNORDERED_S}000000""",
 )
 def _(spark, sf):
@@ -299,7 +299,7 @@ LOOP_INPUTS = f"""{t.METRICS}, inputs AS (SELECT *, upper_bound AS predicted_rps
 
 @query(
     "stream_scaling_decisions",
-    f"""WITH RECURSIVE {LOOP_INPUTS}, {t.decisions_sql().replace("FROM inputs", "FROM ordered").replace("JOIN inputs", "JOIN ordered")}
+    f"""WITH RECURSIVE {LOOP_INPUTS}, {t.decisions_sql(observed=True).replace("FROM inputs", "FROM ordered").replace("JOIN inputs", "JOIN ordered")}
 SELECT node_id, triggered_at, round(action, 6) AS action, is_emergency, prev_replicas, new_replicas FROM decided""",
 )
 def _(spark, sf):

@@ -231,3 +231,27 @@ def test_replay_of_decisions_equals_the_fold(spark):
         assert [v is None for v in row] == [v is None for v in want]
         assert [v for v in row if v is not None] == pytest.approx([v for v in want if v is not None], abs=1e-6)
     assert any(r["held_back_s"] is not None for r in got.values())
+
+
+@pytest.mark.parametrize("start,most", [(None, 8), (3, 8), (12, 20)])
+def test_replay_without_observed_replicas_carries_the_last_target(spark, start, most):
+    rng, policy = random.Random(6), ScalerPolicy(min_interval_s=100.0, max_workers=most)
+    rows, at = [], 0
+    for _ in range(700):
+        at += rng.choice([10, 40, 99, 100, 5000])
+        load = rng.choice([(rng.uniform(60, 80), 0.1), (rng.uniform(69.4, 70.6), 0.1), (70.0, 0.7)])
+        rows.append((T0 + timedelta(seconds=at), "n", load[0], 1.0, rng.uniform(0, 6000), load[1], "m"))
+    schema = (
+        "triggered_at timestamp, node_id string, utilization double, predicted_rps double, upper_bound double, "
+        "spike_probability double, model_name string"
+    )
+    out = scaling.replay_decisions(spark.createDataFrame(rows, schema), ["node_id"], policy, start)
+    got = {r["triggered_at"]: r for r in out.collect()}
+    state, seen = ScalerState(LoopState(), start or policy.min_workers), set()
+    for t, _, u, _, up, p, _ in rows:
+        want = decision_step(state, t.timestamp(), u, up, p, 15.0, policy)
+        row = [got[t][c] for c in scaling.DECISION_OUTPUTS]
+        assert [v is None for v in row] == [v is None for v in want]
+        assert [v for v in row if v is not None] == pytest.approx([v for v in want if v is not None], abs=1e-6)
+        seen.add(want[-1])
+    assert len(seen) > 4
