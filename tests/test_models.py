@@ -199,3 +199,27 @@ def test_rule_scores(spark):
     got = {r["metric_name"]: r["anomaly_score"] for r in anomaly.flag_rules(df).collect()}
     assert got == {"cpu": 0.676, "memory": 0.611, "latency": 1.0}
     assert math.isclose(0.5 + 15 / 85, 0.676, abs_tol=1e-3)
+
+
+def test_seasonal_factors_are_means_of_ratios(spark):
+    """Early spikes in one day slot weigh as much as late ones, though the trend grows."""
+    i = np.arange(4032)
+    rng = np.random.default_rng(8)
+    y = (50 + 0.2 * i) * (1 + 0.3 * np.sin(2 * np.pi * i / 288)) + rng.normal(0, 3, len(i))
+    y[(i % 288 == 1) & (i < 1000)] *= 4
+    days = (i * 300 + T0.timestamp()) / 86400
+    slope, level = np.polyfit(days - days[0], y, 1)
+    trend = level + slope * (days - days[0])
+    slot, dow = i % 288, (i // 288) % 7
+    daily = np.array([(y / trend)[slot == s].mean() for s in range(288)])
+    weekly = np.array([(y / trend / daily[slot])[dow == d].mean() for d in range(7)])
+    at = len(i) + 1  # ten minutes ahead
+    want = (level + slope * at * 300 / 86400) * daily[at % 288] * weekly[(at // 288) % 7]
+    frame = _frame(spark, y)
+    for out in (forecast.seasonal_forecast(frame, ["k"], 10), forecast.seasonal_forecast(frame, ["k"], 10, factors="mean")):
+        got = out.where("time_offset_minutes = 10").first()["predicted_value"]
+        assert got == pytest.approx(want, rel=1e-9)
+    row = forecast.predict(frame, None, ["k"], T0).first()
+    assert row["predicted_rps"] == pytest.approx(want, abs=0.006)
+    sums = forecast.seasonal_forecast(frame, ["k"], 10, factors="sum").where("time_offset_minutes = 10").first()
+    assert abs(sums["predicted_value"] - want) > 1
