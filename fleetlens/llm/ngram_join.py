@@ -13,9 +13,11 @@ Documents with equal sets form a class. Each class is first compared with one ot
 of its shared signatures, the most frequent. What that links is joined into components; then each class is
 compared with one smallest class of every other component that it shares a signature with (a star for each
 signature, so pairs grow with the signatures and not with their square). Signatures that still hold several
-components are searched pair by pair across components, in blocks of bounded size. A lower bound on the difference (the
-distance of part sizes, one or two elements a part) throws out pairs that cannot link before their sets are made; all other comparisons
-are exact.
+components are searched pair by pair across components, in blocks of bounded size, and twice: first each component
+is compared by the nearest pair that it has with any other, so pairs grow with the components; then what still lies
+apart is compared whole. A lower bound on the difference (the distance of odd sketches, that is of the parities of
+the elements in two to four cells for each element) throws out pairs that cannot link before their sets are made; all
+other comparisons are exact.
 
 Nulls, ties and odd rows: a null or blank text has an empty set and links with nothing; a row with a null doc_id
 is compared like any other and takes the smallest doc_id of its component, null if there is none; repeated rows
@@ -40,14 +42,15 @@ from fleetlens.llm.links import components
 from fleetlens.llm.store import bound_batches, keep
 
 SHINGLE, PERCENT = 3, 90
-#: Parts of a set whose sizes (3 at most, in two bits) are compared: one for one or two elements, within these
-#: limits, a power of two.
-LEAST_PARTS, MOST_PARTS, MOST_SIZE = 64, 4096, 3
+#: Cells of a set's sketch, a bit each: two to four for an element, within these limits, a power of two.
+LEAST_CELLS, MOST_CELLS = 1024, 8192
 #: Signatures that a set may have per band: for each element that two linked sets may differ in, and at least.
 PER_ELEMENT, LEAST = 1.7, 16
 #: Signatures, or pairs, that a task gathers before it hands them on, and members of a block of pairs.
 FLUSH, BLOCK = 1 << 18, 1024
-#: Pairs whose parts are compared at once.
+#: Rows of the blocks of one group of near copies that go to the same task.
+SHARE = 1 << 12
+#: Pairs whose sketches are compared at once.
 CLOSE = 1 << 12
 
 
@@ -134,12 +137,12 @@ def signatures(shingles: np.ndarray, percent: int, ends: np.ndarray) -> np.ndarr
     return np.concatenate(out)
 
 
-def part_sizes(shingles: np.ndarray) -> bytes:
-    """Sizes of the parts that the leading bits of the elements cut a set into, four to a byte."""
-    bits = min(max((len(shingles) // 2).bit_length(), LEAST_PARTS.bit_length() - 1), MOST_PARTS.bit_length() - 1)
-    counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    four = np.minimum(counts, MOST_SIZE).astype(np.uint8).reshape(-1, 4)
-    return (four << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8).tobytes()
+def sketch(shingles: np.ndarray) -> bytes:
+    """Odd sketch: whether an odd number of elements lie in each cell, which their trailing bits name, a bit a cell."""
+    bits = min(max((2 * len(shingles)).bit_length(), LEAST_CELLS.bit_length() - 1), MOST_CELLS.bit_length() - 1)
+    cell = (shingles & np.uint64((1 << bits) - 1)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=1 << bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").tobytes()
 
 
 def set_key(shingles: np.ndarray) -> np.uint64:
@@ -197,7 +200,7 @@ def _sign(size: int, percent: int, buckets: int):
                 key = set_key(shingles)
                 n.append(len(shingles))
                 own.append(key)
-                parts.append(part_sizes(shingles))
+                parts.append(sketch(shingles))
                 signs.append(signatures(shingles, percent, ends))
                 keys.append(np.full(len(signs[-1]), key))
                 held += len(signs[-1])
@@ -322,31 +325,33 @@ def verified(pairs: DataFrame, info: DataFrame, rows: DataFrame, size: int, perc
 
 
 def _folded(rows: list[bytes], width: int) -> np.ndarray:
-    """Part sizes of each set for ``width`` parts (sizes beyond the most count as the most)."""
-    out = np.empty((len(rows), width), np.int8)
+    """The sketch of each set for ``width`` bytes of cells, as words of 64."""
+    out = np.empty((len(rows), width // 8), np.uint64)
     sizes = np.array([len(r) for r in rows])
     for size in np.unique(sizes):
         own = np.flatnonzero(sizes == size)
-        flat = np.frombuffer(b"".join(rows[i] for i in own), np.uint8)
-        each = (flat[:, None] >> np.array([0, 2, 4, 6], np.uint8)) & np.uint8(3)
-        out[own] = np.minimum(each.reshape(len(own), width, size * 4 // width).sum(2), MOST_SIZE)
+        flat = np.frombuffer(b"".join(rows[i] for i in own), np.uint64)
+        out[own] = np.bitwise_xor.reduce(flat.reshape(len(own), size // width, width // 8), axis=1)
     return out
 
 
+def _apart(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(left ^ right).sum(1, dtype=np.int64)
+
+
 def _distance(x: pa.Array, y: pa.Array) -> np.ndarray:
     """A lower bound on the number of elements that two sets do not share."""
     x, y = x.to_pylist(), y.to_pylist()
-    widths = np.array([4 * min(len(a), len(b)) for a, b in zip(x, y)], np.int64)
+    widths = np.array([min(len(a), len(b)) for a, b in zip(x, y)], np.int64)
     out = np.empty(len(x), np.int64)
     for width in np.unique(widths):
         for own in np.array_split(np.flatnonzero(widths == width), max(1, (widths == width).sum() * width // FLUSH)):
-            left, right = _folded([x[i] for i in own], width), _folded([y[i] for i in own], width)
-            out[own] = np.abs(left - right).sum(1, dtype=np.int64)
+            out[own] = _apart(_folded([x[i] for i in own], width), _folded([y[i] for i in own], width))
     return out
 
 
 def _within(percent: int):
-    """Pairs (a, b, n, parts of either) that the bound lets through."""
+    """Pairs (a, b, n, sketch of either) that the bound lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,22 +363,44 @@ def _within(percent: int):
     return run
 
 
-def _close(percent: int):
-    """Pairs of one block that lie in different components and that the bound lets through; rows come sorted by
-    block, and all blocks of a batch are compared at once, neighbour by neighbour."""
+def _nearest(found: np.ndarray) -> np.ndarray:
+    """Of the pairs (a, b, root of either, distance) the nearest of each component."""
+    a, b, _, _, apart = both = np.concatenate([found, found[[0, 1, 3, 2, 4]]], axis=1)
+    order = np.lexsort((b, a, apart, both[2]))
+    lead = np.ones(len(order), bool)
+    lead[1:] = both[2][order[1:]] != both[2][order[:-1]]
+    return found[:, np.unique(order[lead] % found.shape[1])]
+
+
+CLOSEST = "a long, b long, root_a long, root_b long, apart long"
+
+
+def _close(percent: int, nearest: bool):
+    """Pairs (as in CLOSEST) of one block that lie in different components and that the bound lets through, or of
+    these the nearest of each component; rows come sorted by block, and all blocks of a batch are compared at once,
+    neighbour by neighbour."""
     ends = bands(percent, 1 << 40)
 
     def batch_of(found: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(x) for x in found], names=["a", "b"])
+        return pa.record_batch([pa.array(x) for x in found], names=["a", "b", "root_a", "root_b", "apart"])
+
+    def once(found: list[np.ndarray]) -> np.ndarray:
+        every = np.concatenate(found, axis=1)
+        if nearest and every.shape[1]:
+            return _nearest(every)
+        order = np.lexsort(every[1::-1])
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (every[:2, order[1:]] != every[:2, order[:-1]]).any(0)
+        return every[:, order[fresh]]
 
     def pairs(rows: pa.Table) -> Iterator[np.ndarray]:
         names = ("sign", "lo", "hi", "half", "key", "root", "n")
         columns = np.stack([rows[c].to_numpy() for c in names])
         sizes = rows["parts"].to_pylist()
-        # the sets of a block are alike in size, so they are compared by the parts of the smallest
+        # the sets of a block are alike in size, so they are compared by the cells of the smallest
         change = (columns[:3, 1:] != columns[:3, :-1]).any(0)
         block = np.concatenate([[0], np.cumsum(change)])
-        least = np.minimum.reduceat(np.array([4 * len(p) for p in sizes]), np.flatnonzero(np.append(True, change)))[block]
+        least = np.minimum.reduceat(np.array([len(p) for p in sizes]), np.flatnonzero(np.append(True, change)))[block]
         for width in np.unique(least):
             own = np.flatnonzero(least == width)
             sign, lo, hi, half, key, root, n = columns[:, own]
@@ -391,14 +418,13 @@ def _close(percent: int):
                 ok = (root[at] != root[to]) & (np.abs(band[at] - band[to]) <= 1) & (np.abs(n[at] - n[to]) <= most)
                 ok &= (lo[at] == hi[at]) | (half[at] != half[to])
                 i, j, most = at[ok], to[ok], most[ok]
-                near = np.concatenate(
-                    [
-                        np.abs(parts[i[c : c + CLOSE]] - parts[j[c : c + CLOSE]]).sum(1, dtype=np.int64) <= most[c : c + CLOSE]
-                        for c in range(0, max(1, len(i)), CLOSE)
-                    ]
+                apart = np.concatenate(
+                    [_apart(parts[i[c : c + CLOSE]], parts[j[c : c + CLOSE]]) for c in range(0, max(1, len(i)), CLOSE)]
                 )
-                i, j = i[near], j[near]
-                yield np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])])
+                near = apart <= most
+                i, j, apart = i[near], j[near], apart[near]
+                i, j = np.where(key[i] < key[j], [i, j], [j, i])
+                yield np.stack([key[i], key[j], root[i], root[j], apart])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # near copies meet under many signatures: a task hands a pair on once, as far as it can hold them
@@ -407,13 +433,13 @@ def _close(percent: int):
             out.append(found)
             size += found.shape[1]
             if size >= FLUSH:
-                once = np.unique(np.concatenate(out, axis=1), axis=1)
-                out, size = [once], once.shape[1]
+                out = [once(out)]
+                size = out[0].shape[1]
                 if size >= FLUSH // 2:
-                    yield batch_of(once)
+                    yield batch_of(out[0])
                     out, size = [], 0
         if size:
-            yield batch_of(np.unique(np.concatenate(out, axis=1), axis=1))
+            yield batch_of(once(out))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         held = None
@@ -450,6 +476,39 @@ def contracted(roots: DataFrame | None, links: DataFrame | None) -> DataFrame |
     return keep(moved.select("node", F.coalesce("top", "root").alias("root")), "roots", tidy=True)
 
 
+def _blocks(members: DataFrame, roots: DataFrame, info: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``members`` (key, sign) the signatures that hold several components, and their classes in blocks of two
+    halves of bounded size, sorted."""
+    placed = members.join(roots.withColumnRenamed("node", "key"), "key", "left")
+    placed = keep(placed.select("key", "sign", F.coalesce("root", "key").alias("root")), "placed", tidy=True)
+    open_ = placed.groupBy("sign").agg(
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.count("*").alias("members"),
+        F.bit_xor(F.xxhash64("key")).alias("print"),
+    )
+    # near copies share many signatures: of those with the same sets, one is searched
+    open_ = open_.where("low < high").groupBy("low", "high", "members", "print").agg(F.min("sign").alias("sign"))
+    open_ = open_.select("sign", "low", "members", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    open_ = keep(open_, "open", tidy=True)
+    # signatures of the same near copies share tasks, where a pair is handed on once, but no task holds a large group
+    held = open_.groupBy("low").agg(F.ceil(F.sum(F.col("members") * F.col("blocks")) / SHARE).alias("shares"))
+    open_ = open_.join(held, "low").withColumn("share", F.pmod(F.xxhash64("sign"), F.col("shares")))
+    block = ["sign", "lo", "hi"]
+    blocks = (
+        placed.join(open_.select("sign", "low", "blocks", "share"), "sign")
+        .withColumn("half", F.pmod(F.xxhash64("key"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn("lo", F.least("half", "other"))
+        .withColumn("hi", F.greatest("half", "other"))
+        .join(info, "key")
+        .select(*block, "half", "key", "root", "n", "parts", "low", "share")
+        .repartition("low", "share", "lo", "hi")
+        .sortWithinPartitions(*block, "key")
+    )
+    return placed.join(open_, "sign", "left_semi").select("key", "sign"), blocks
+
+
 def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -497,33 +556,19 @@ def ngram_join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     else:
         roots = shared.select(F.col("key").alias("node"), F.col("key").alias("root")).limit(0)
 
-    # signatures that still hold several components
-    placed = shared.select("key", "sign").distinct().join(roots.withColumnRenamed("node", "key"), "key", "left")
-    placed = keep(placed.select("key", "sign", F.coalesce("root", "key").alias("root")), "placed", tidy=True)
-    open_ = placed.groupBy("sign").agg(
-        F.min("root").alias("low"),
-        F.max("root").alias("high"),
-        F.count("*").alias("members"),
-        F.bit_xor(F.xxhash64("key")).alias("print"),
-    )
-    # near copies share many signatures: of those with the same sets, one is searched
-    open_ = open_.where("low < high").groupBy("low", "high", "members", "print").agg(F.min("sign").alias("sign"))
-    # signatures of the same near copies go to the same task, where a pair is handed on once
-    open_ = open_.select("sign", "low", F.ceil(F.col("members") / BLOCK).alias("blocks"))
-    block = ["sign", "lo", "hi"]
-    blocks = (
-        placed.join(open_, "sign")
-        .withColumn("half", F.pmod(F.xxhash64("key"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .withColumn("lo", F.least("half", "other"))
-        .withColumn("hi", F.greatest("half", "other"))
-        .join(info, "key")
-        .select(*block, "half", "key", "root", "n", "parts", "low")
-        .repartition("low", "lo", "hi")
-        .sortWithinPartitions(*block, "key")
-    )
-    close = keep(blocks.mapInArrow(_close(percent), "a long, b long").distinct(), "close", tidy=True)
-    if close.limit(1).count():
+    # signatures that still hold several components: the nearest pair of each component, then all across components
+    members = shared.select("key", "sign").distinct()
+    for nearest in (True, False):
+        members, blocks = _blocks(members, roots, info)
+        close = blocks.mapInArrow(_close(percent, nearest), CLOSEST)
+        if nearest:
+            near = keep(close, "near", tidy=True)
+            ends = [near.select(F.col(f"root_{x}").alias("root"), "apart", "a", "b") for x in "ab"]
+            one = F.min(F.struct("apart", "a", "b")).alias("one")
+            close = ends[0].union(ends[1]).groupBy("root").agg(one).select("one.a", "one.b")
+        close = keep(close.select("a", "b").distinct(), "close", tidy=True)
+        if not close.limit(1).count():
+            break
         roots = contracted(roots, verified(close, info, rows, size, percent))
 
     final = roots.withColumnRenamed("node", "key")

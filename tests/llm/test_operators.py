@@ -133,6 +133,50 @@ def test_ngram_join_against_all_pairs(spark, monkeypatch, size, percent, block):
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_ngram_join_compares_few_pairs_of_a_group_of_near_copies(spark, monkeypatch):
+    # most copies differ from the base in two words, so that two of them lie just under the similarity
+    monkeypatch.setattr(ngram_join, "BLOCK", 64)
+    monkeypatch.setattr(ngram_join, "SHARE", 256)
+    rng, rows = random.Random(4), []
+    for number in range(300):
+        own = [f"w{i}" for i in range(150)]
+        for at in rng.sample(range(150), 1 if number % 50 == 7 else 2):
+            own[at] = f"x{rng.randrange(10**9)}"
+        rows.append((number, " ".join(own)))
+    compared, verified = [], ngram_join.verified
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return verified(pairs, *more)
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    got = dict((r.doc_id, r.component_id) for r in ngram_join.ngram_join(docs_of(spark, rows), 5, 80).collect())
+    sets, root = {i: shingles(t, 5) for i, t in rows}, {i: i for i, _ in rows}
+    for a, b in itertools.combinations(sets, 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if r == high else r for i, r in root.items()}
+    assert got == root
+    assert sum(compared) < 10 * len(rows)
+
+
+def test_sketches_bound_the_difference_from_below():
+    rng = np.random.default_rng(9)
+    for n in (1, 3, 40, 146, 700, 3000, 9000):
+        common = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        extra = rng.integers(0, 1 << 63, n // 4 + 2, dtype=np.uint64)
+        a, b = np.concatenate([common, extra[: len(extra) // 2]]), np.concatenate([common, extra[len(extra) // 2 :]])
+        found = int(ngram_join._distance(*(pa.array([ngram_join.sketch(x)]) for x in (a, b)))[0])
+        assert 0.75 * len(extra) <= found <= len(extra)
+
+
+def test_each_component_keeps_its_nearest_pair():
+    # a, b, root of either, distance
+    found = np.array([[1, 5, 10, 30, 4], [2, 6, 10, 30, 3], [2, 7, 10, 40, 3], [3, 7, 20, 40, 9], [1, 8, 10, 50, 7]]).T
+    kept = {tuple(x[:2]) for x in ngram_join._nearest(found).T.tolist()}
+    assert kept == {(2, 6), (2, 7), (3, 7), (1, 8)}
+
+
 def test_ngram_join_odd_rows(spark):
     rows = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_join(docs_of(spark, ODD)).collect()}
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (5, 1, 5)} <= rows
