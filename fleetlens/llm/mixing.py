@@ -96,9 +96,9 @@ def fit_rates(members: DataFrame, target: np.ndarray) -> tuple[list[np.ndarray],
             .mapInArrow(_totals(steps, size, width), "domain long, rate double, ahead double")
             .groupBy("domain")
             .agg(F.sum("rate").alias("rate"), F.sum("ahead").alias("ahead"))
-            .orderBy("domain")
             .collect()
         )
+        rows.sort(key=lambda r: r.domain)  # a row a class: sorted here, as a sort by Spark is two more stages a round
         reached = np.array([r.rate for r in rows]) / sums["all"]
         short = np.abs(reached - target).max()
         if len(steps) >= ROUNDS and short > TOLERANCE:

@@ -26,6 +26,7 @@ from fleetlens.llm import (
     queries,
     subword,
 )
+from fleetlens.llm import links as links_module
 from fleetlens.llm import text as tx
 from fleetlens.llm.links import components
 from tests.oracle import compare, connect
@@ -223,6 +224,39 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
 
 
+def _tasks(spark, job):
+    """The tasks that a job's stages ran, and its result."""
+    group = f"tasks-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "tasks")
+    try:
+        result = job()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds}
+    return sum(i.numCompletedTasks for s in stages if (i := status.getStageInfo(s))), result
+
+
+def test_components_of_few_links_take_few_tasks(spark, monkeypatch):
+    # a forest of every task's links, then one of these: nothing is dealt out over all partitions, round by round
+    links = [(i + 1, i) for i in range(500)] + [(1000, i) for i in range(1001, 1300)] + [(None, 5), (9, None), (2000, 2000)]
+    want = {i: 0 for i in range(501)} | {i: 1000 for i in range(1000, 1300)}
+    pairs = spark.createDataFrame(links, "a long, b long").repartition(16)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 64)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        tasks, got = _tasks(spark, lambda: components(pairs).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, got)) == sorted(want.items())
+    assert 0 < tasks <= 100
+    # more links than a task takes: rounds of all tasks, with the same components
+    monkeypatch.setattr(links_module, "LINKS", 100)
+    assert sorted(map(tuple, components(pairs).collect())) == sorted(want.items())
+
+
 # ---- 3, 4, 5
 
 
